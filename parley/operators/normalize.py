@@ -201,10 +201,15 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
                 .when(sh == "conversation", F.col("_mc"))
                 .otherwise(F.col("_mi")))
     out = staged2.select(*base_cols, *keep_fields.keys(), sh, outcome.alias("outcome"), messages.alias("_msgs"))
-    return out.select(*base_cols, *keep_fields.keys(),
-                      F.when(~F.col("outcome").isin("blank", "json_error", "not_object"), sh).alias("shape"),
-                      "outcome",
-                      F.when(F.col("outcome") == "ok", F.col("_msgs")).cast(MESSAGES).alias("messages"))
+    result = F.struct(
+        F.when(~F.col("outcome").isin("blank", "json_error", "not_object"), sh).alias("shape"),
+        F.col("outcome").alias("outcome"),
+        F.when(F.col("outcome") == "ok", F.col("_msgs")).cast(MESSAGES).alias("messages"))
+    # The results leave through a one-element generator.  Catalyst does not
+    # push a predicate on generator output below the generator, so a later
+    # ``outcome = 'ok'`` filter cannot inline (and re-evaluate) the whole parse
+    # expression; every line is parsed exactly once.
+    return out.select(*base_cols, *keep_fields.keys(), F.inline(F.array(result)))
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
