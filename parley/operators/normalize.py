@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +53,6 @@ def role_alias(c) -> Column:
 
 def _strict_json_ok(line: Column) -> Column:
     """Exact ``json.loads`` acceptance (opt-in, Arrow-batched Python)."""
-    import pandas as pd
-
     @F.pandas_udf(T.BooleanType())
     def _ok(s: pd.Series) -> pd.Series:
         import json

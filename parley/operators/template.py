@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +56,6 @@ def tokenize_with(text, make_tokenizer: Callable[[], Callable[[str], list[int]]]
     ``make_tokenizer()`` runs once per task (not per row); the UDF is an
     Arrow-batched iterator ``pandas_udf``.
     """
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = make_tokenizer()
@@ -107,8 +106,13 @@ def masked_labels(tokens, start, ignore=None) -> Column:
     A row without a marker (``start`` NULL) is ignored entirely.
     """
     t = _col(tokens)
-    st = _col(start)
-    return F.transform(t, lambda x, i: F.when(st.isNotNull() & (i >= st), x).otherwise(F.lit(ignore)))
+    # No lambda: ``start`` is read a fixed number of times per row (not once
+    # per token), so the cost stays linear even if Catalyst inlines it.
+    n = F.size(t)
+    st = F.least(F.coalesce(_col(start), n), n)
+    head = F.array_repeat(F.lit(ignore), st)
+    rest = F.slice(t, st + 1, F.greatest(n - st, F.lit(0)))
+    return F.concat(head, rest)
 
 
 def truncate_tokens(tokens, max_len: int) -> Column:

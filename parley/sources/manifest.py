@@ -7,6 +7,7 @@ only ``path, length, modificationTime`` are read).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,7 +91,7 @@ def glob_to_regex(pattern: str) -> str:
                     body = "^" + body[1:]
                 out.append("[" + body + "]")
         else:
-            out.append("\\Q" + c + "\\E" if not c.isalnum() else c)
+            out.append(re.escape(c))
     return "^(?s:" + "".join(out) + ")$"
 
 
