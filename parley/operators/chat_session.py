@@ -2,9 +2,14 @@
 
 Input rows ``(conv_id, turn, role, text)``: user rows are what was typed,
 assistant rows are the replies.  The reference keeps one in-memory list per
-session; here every quantity is a window over one conversation ordered by
-turn.  Windows are partitioned by conversation (and epoch); the history frame
-is bounded (``cap`` rows), so memory per row is bounded.
+session; here every quantity is an ordered computation over one conversation.
+
+``skew_safe=True`` (default) uses the range-partitioned primitives of
+``parley.operators.numbering`` — running totals by per-slice offsets and the
+history frame by chunk + halo — so one conversation holding a large share of
+all turns is still spread over many tasks.  ``skew_safe=False`` uses plain
+windows partitioned by conversation (one shuffle; fine when sessions are
+known to be small).
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import strip_ws
+from parley.operators.numbering import running_total, sliding_collect
 from parley.operators.template import render_chat
 
 # --- fixed values -----------------------------------------------------------
@@ -32,17 +38,22 @@ def command_kind(text_col: str = "text", role_col: str = "role") -> Column:
     return k.otherwise(F.lit("message"))
 
 
-def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
+                   skew_safe: bool = True) -> DataFrame:
     """H2: ``kind`` and ``epoch`` (number of ``/clear`` so far); rows from the first ``/exit`` on are dropped."""
-    k = turns.withColumn("kind", command_kind())
-    w = Window.partitionBy(conv).orderBy(turn).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (k.withColumn("epoch", F.sum((F.col("kind") == "clear").cast("int")).over(w).cast("bigint"))
-            .withColumn("_exited", F.max((F.col("kind") == "exit").cast("int")).over(w))
-            .where(F.col("_exited") == 0).drop("_exited"))
+    k = turns.withColumn("kind", command_kind()).withColumn(
+        "_c", (F.col("kind") == "clear").cast("long")).withColumn("_x", (F.col("kind") == "exit").cast("long"))
+    if skew_safe:
+        t = running_total(k, {"epoch": "_c", "_exits": "_x"}, [turn], [conv])
+    else:
+        w = Window.partitionBy(conv).orderBy(turn).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        t = k.withColumn("epoch", F.sum("_c").over(w)).withColumn("_exits", F.sum("_x").over(w))
+    return (t.where(F.col("_exits") == 0).withColumn("epoch", F.col("epoch").cast("bigint"))
+            .drop("_c", "_x", "_exits"))
 
 
 def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv_id",
-                    turn: str = "turn") -> DataFrame:
+                    turn: str = "turn", skew_safe: bool = True) -> DataFrame:
     """H3: for every typed message, the last ``cap`` messages of its epoch before it.
 
     Command and blank rows are removed first, so they never enter history.
@@ -50,21 +61,30 @@ def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv
     ``history_turns`` ('t1,t2,...').
     """
     msgs = epochs.where(F.col("kind").isin("message", "response"))
-    w = Window.partitionBy(conv, "epoch").orderBy(turn).rowsBetween(-cap, -1)
-    h = msgs.withColumn("history", F.collect_list(F.struct(turn, "role", "text")).over(w))
+    item = F.struct(turn, "role", "text")
+    if skew_safe:
+        h = sliding_collect(msgs, item, cap, [turn], [conv, "epoch"], name="history")
+    else:
+        w = Window.partitionBy(conv, "epoch").orderBy(turn).rowsBetween(-cap, -1)
+        h = msgs.withColumn("history", F.collect_list(item).over(w))
     h = h.where(F.col("kind") == "message")
     return h.withColumn("n_history", F.size("history").cast("bigint")).withColumn(
         "history_turns", F.array_join(F.transform("history", lambda x: x[turn].cast("string")), ","))
 
 
 def history_count(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv_id",
-                  turn: str = "turn") -> DataFrame:
+                  turn: str = "turn", skew_safe: bool = True) -> DataFrame:
     """H5: at each ``/history`` command, ``least(cap, messages so far in the epoch)``."""
-    w = Window.partitionBy(conv, "epoch").orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
-    is_msg = F.col("kind").isin("message", "response").cast("bigint")
-    c = epochs.withColumn("_n", F.coalesce(F.sum(is_msg).over(w), F.lit(0)))
+    e = epochs.withColumn("_m", F.col("kind").isin("message", "response").cast("long"))
+    if skew_safe:
+        c = running_total(e, {"_n": "_m"}, [turn], [conv, "epoch"])
+    else:
+        w = Window.partitionBy(conv, "epoch").orderBy(turn).rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+        c = e.withColumn("_n", F.sum("_m").over(w))
+    # running total includes the row itself; a /history row is not a message
     return c.where(F.col("kind") == "history").select(
-        conv, turn, F.least(F.lit(cap).cast("bigint"), F.col("_n")).alias("n_history"))
+        conv, turn, F.least(F.lit(cap).cast("bigint"), (F.col("_n") - F.col("_m")).cast("bigint")).alias("n_history"))
 
 
 def session_prompt(history: DataFrame, system_prompt: str | None) -> DataFrame:

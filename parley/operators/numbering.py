@@ -61,3 +61,62 @@ def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     firsts = numbered.groupBy(*partition_by).agg(F.min("_g").alias("_first"))
     out = numbered.join(firsts, list(partition_by)).withColumn(name, F.col("_g") - F.col("_first") + 1)
     return out.drop("_pid", "_mid", "_off", "_g", "_first")
+
+
+def _tag_ranges(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    spark = df.sparkSession
+    work_dir(spark)
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return ranged.select("*", F.spark_partition_id().alias("_pid"),
+                         F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+
+
+def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, partition_by: Sequence[str] = (),
+                  num_partitions: int | None = None) -> DataFrame:
+    """Running sums (``current row`` inclusive) within ``partition_by`` by ``order_by``.
+
+    ``values`` maps output name → numeric column.  Skew-safe: rows are range
+    partitioned (a hot group spans many tasks); each task sums its own slice
+    of a group (``Window`` over ``(_pid, group)``, at most one range partition
+    per window partition), and slices are shifted by the totals of the same
+    group's earlier slices (a per-slice table: one row per group per task).
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*_cols(partition_by), *_cols(order_by)]
+    ided = _tag_ranges(df, keys, n)
+    pk = list(partition_by)
+    w_local = Window.partitionBy("_pid", *pk).orderBy("_mid").rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+    local = ided.select("*", *[F.sum(F.col(c)).over(w_local).alias(f"_l_{o}") for o, c in values.items()])
+    slices = ided.groupBy("_pid", *pk).agg(*[F.sum(F.col(c)).alias(f"_t_{o}") for o, c in values.items()])
+    w_prev = Window.partitionBy(*pk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = slices.select("_pid", *pk, *[F.coalesce(F.sum(f"_t_{o}").over(w_prev), F.lit(0)).alias(f"_o_{o}")
+                                        for o in values])
+    out = local.join(offs, ["_pid", *pk])
+    out = out.select("*", *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in values])
+    return out.drop("_pid", "_mid", *[f"_l_{o}" for o in values], *[f"_o_{o}" for o in values])
+
+
+def sliding_collect(df: DataFrame, items: Column, frame: int, order_by: Sequence, partition_by: Sequence[str],
+                    name: str, chunk_rows: int = 100_000, num_partitions: int | None = None) -> DataFrame:
+    """``collect_list(items)`` over the ``frame`` rows before each row (``rows between frame
+    preceding and 1 preceding``) within ``partition_by`` ordered by ``order_by``.
+
+    Skew-safe: rows get a group-local number (``number_rows``), groups are cut
+    into chunks of ``chunk_rows`` and the last ``frame`` rows of each chunk are
+    copied into the next chunk as look-back halo.  A window then runs per
+    (group, chunk) — never more than ``chunk_rows + frame`` rows per window
+    partition however large the group — and halo copies are dropped.
+    """
+    numbered = number_rows(df.withColumn("_item", items), order_by, partition_by, name="_rn",
+                           num_partitions=num_partitions)
+    pos = F.col("_rn") - 1
+    base = numbered.select("*", F.floor(pos / F.lit(chunk_rows)).cast("long").alias("_chunk"),
+                           F.lit(False).alias("_halo"))
+    halo = numbered.where((pos % F.lit(chunk_rows)) >= F.lit(chunk_rows - frame)).select(
+        "*", (F.floor(pos / F.lit(chunk_rows)) + 1).cast("long").alias("_chunk"), F.lit(True).alias("_halo"))
+    both = base.unionByName(halo)
+    w = Window.partitionBy(*partition_by, "_chunk").orderBy("_rn").rowsBetween(-frame, -1)
+    out = both.select("*", F.collect_list("_item").over(w).alias(name)).where(~F.col("_halo"))
+    return out.drop("_item", "_rn", "_chunk", "_halo")
