@@ -22,15 +22,35 @@ from pyspark.sql import functions as F
 from parley.session import work_dir
 
 
+TARGET_SLICE_BYTES = 128 * 1024 * 1024
+MAX_SLICES = 200_000
+
+
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Slice count for a range exchange: ~128 MiB per slice by the optimizer's size
+    estimate, never fewer than ``spark.sql.shuffle.partitions``.
+
+    The range exchanges here use an explicit count (so AQE leaves them alone);
+    sizing it from the input keeps slices bounded from 1 GB to 100 TB.
+    """
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return base
+    return int(min(MAX_SLICES, max(base, -(-size // TARGET_SLICE_BYTES))))
+
+
 def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
                 name: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based ``name`` column: row number within ``partition_by`` by ``order_by``."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     keys = [*_cols(partition_by), *_cols(order_by)]
     # An explicit partition count keeps AQE from coalescing or splitting this
     # exchange, so partition index and position stay consistent.
@@ -81,8 +101,7 @@ def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, par
     per window partition), and slices are shifted by the totals of the same
     group's earlier slices (a per-slice table: one row per group per task).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     keys = [*_cols(partition_by), *_cols(order_by)]
     ided = _tag_ranges(df, keys, n)
     pk = list(partition_by)

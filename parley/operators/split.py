@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.curate import shuffle_key
+from parley.session import materialize
 
 # --- fixed values -----------------------------------------------------------
 EVAL_BUDGET_A = 300     # profile A: total eval rows
@@ -83,13 +84,18 @@ def _tag(df: DataFrame, eval_keys: DataFrame, key_cols: Sequence[str], n_eval: i
 
 
 def stratified_split(df: DataFrame, flag_col: str, key_cols: Sequence[str], *, seed: int = 42,
-                     quota: Quota | str = "A") -> DataFrame:
+                     quota: Quota | str = "A", materialize_input: bool = True) -> DataFrame:
     """Add ``split`` ('train'/'eval'); row-level, like the reference (``compat``).
 
     ``key_cols`` must identify a row (e.g. ``conv_id`` or ``(conv_id, replica)``);
-    order inside a stratum is ``md5('<seed>:<key>...')``.
+    order inside a stratum is ``md5('<seed>:<key>...')``.  The input is read by
+    three passes (counts, per-stratum top-k, tagging); with
+    ``materialize_input`` it is written once as parquet first, so an expensive
+    upstream (parsing) runs once and the count pass reads one column.
     """
     q = QUOTAS[quota] if isinstance(quota, str) else quota
+    if materialize_input:
+        df = materialize(df, "split_input")
     n_id, n_other = _stratum_counts(df, flag_col)
     k_id, k_other = q(n_id, n_other)
     order = [shuffle_key(seed, *key_cols), *[F.col(c) for c in key_cols]]
@@ -104,7 +110,7 @@ def content_key(messages_col: str = "messages") -> Column:
 
 def leak_safe_split(df: DataFrame, flag_col: str, *, seed: int = 42, quota: Quota | str = "A",
                     group_col: str = "_group", order_col: str | None = None,
-                    replica_col: str = "replica") -> DataFrame:
+                    replica_col: str = "replica", materialize_input: bool = True) -> DataFrame:
     """Split whole content groups, so no copy of a row reaches both sides.
 
     Quotas are computed over distinct groups (``group_col``; computed from
@@ -115,6 +121,8 @@ def leak_safe_split(df: DataFrame, flag_col: str, *, seed: int = 42, quota: Quot
     q = QUOTAS[quota] if isinstance(quota, str) else quota
     if group_col not in df.columns:
         df = df.withColumn(group_col, content_key())
+    if materialize_input:
+        df = materialize(df, "split_input")
     oc = order_col or group_col
     groups = df.groupBy(group_col).agg(F.max(F.col(flag_col)).alias(flag_col),
                                        F.min(F.col(oc)).alias("_ord"))

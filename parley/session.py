@@ -73,3 +73,18 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 def input_key(sf_dir: str) -> str:
     """Stable folder name for inputs derived from one data directory."""
     return hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the work folder and return a reader over it.
+
+    Used where one input feeds several passes (counts, top-k, join): later
+    passes read only the columns they need, and the lineage is cut, so a lost
+    executor re-reads files instead of recomputing the input.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = work_dir(spark, "tables", name, uuid.uuid4().hex[:12])
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

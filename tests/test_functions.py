@@ -121,3 +121,24 @@ def test_glob_in_spark(spark):
     pats = ["checkpoint-*", "*.pyc", "runs/*", "optimizer.pt", "*.tmp"]
     kept = {r["path"] for r in df.where(~match_any_glob(F.col("path"), pats)).collect()}
     assert kept == {n for n in names if not any(fnmatch.fnmatchcase(n, p) for p in pats)}
+
+
+def test_pluggable_tokenizer(spark):
+    def _toy_tokenizer():  # nested: shipped to workers by value
+        vocab = {}
+
+        def enc(s):
+            return [vocab.setdefault(w, len(vocab)) for w in s.split()]
+
+        return enc
+
+    df = spark.createDataFrame([("a b a",), ("c",), (None,)], "text string")
+    rows = df.select(template.tokenize_with("text", _toy_tokenizer).alias("ids")).collect()
+    ids = [r["ids"] for r in rows]
+    assert ids[2] is None and len(ids[0]) == 3 and ids[0][0] == ids[0][2] and len(ids[1]) == 1
+
+
+def test_range_partitions_floor(spark):
+    from parley.operators.numbering import range_partitions
+
+    assert range_partitions(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
