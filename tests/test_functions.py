@@ -49,9 +49,9 @@ def test_mask_and_strip_prompt(spark):
 
 
 def test_keywords(spark):
-    assert one(spark, any_keyword(F.lit("providing"), ["idin"], case_sensitive=False)) is True
-    assert one(spark, any_keyword(F.lit("providing"), ["idin"], case_sensitive=False, word_boundary=True)) is False
-    assert one(spark, any_keyword(F.lit("hi Idin!"), ["idin"], case_sensitive=False, word_boundary=True)) is True
+    assert one(spark, any_keyword(F.lit("providing"), ["ovid"], case_sensitive=False)) is True
+    assert one(spark, any_keyword(F.lit("providing"), ["ovid"], case_sensitive=False, word_boundary=True)) is False
+    assert one(spark, any_keyword(F.lit("hi Ovid!"), ["ovid"], case_sensitive=False, word_boundary=True)) is True
     msgs = F.array(F.struct(F.lit("user").alias("role"), F.lit("ab").alias("content")),
                    F.struct(F.lit("assistant").alias("role"), F.lit("cd").alias("content")))
     df = spark.range(1).select(msgs.alias("messages"))
