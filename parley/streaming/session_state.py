@@ -14,6 +14,7 @@ import json
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -39,36 +40,43 @@ def _kind(role: str, text: str | None) -> str:
 def history_state_fn(cap: int = HISTORY_CAP):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         conv_id = int(key[0])
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
+        parts = list(batches)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        turns = rows["turn"].to_numpy()
+        order = np.argsort(turns, kind="stable") if len(turns) > 1 else range(len(turns))
+        roles, texts = rows["role"].to_numpy(), rows["text"].to_numpy()
         if state.exists:
             epoch, exited, last_turn, hist_s = state.get
             hist = [tuple(h) for h in json.loads(hist_s)]
         else:
             epoch, exited, last_turn, hist = 0, False, -1, []
-        out = []
-        for turn, role, text in zip(rows["turn"], rows["role"], rows["text"]):
-            turn = int(turn)
-            if turn <= last_turn:
+        out_turn, out_n, out_hist = [], [], []
+        for i in order:
+            turn = int(turns[i])
+            if turn <= last_turn:          # late or replayed turn
                 continue
             last_turn = turn
             if exited:
                 continue
+            role, text = roles[i], texts[i]
             kind = _kind(role, text)
             if kind == "exit":
                 exited = True
-                continue
-            if kind == "clear":
+            elif kind == "clear":
                 epoch += 1
                 hist = []
-                continue
-            if kind in ("skip", "history"):
-                continue
-            if kind == "message":
-                out.append((conv_id, turn, len(hist), ",".join(str(h[0]) for h in hist)))
-            hist.append((turn, role, text))
-            hist = hist[-cap:]
+            elif kind in ("message", "response"):
+                if kind == "message":
+                    out_turn.append(turn)
+                    out_n.append(len(hist))
+                    out_hist.append(",".join(str(h[0]) for h in hist))
+                hist.append((turn, role, text))
+                if len(hist) > cap:
+                    hist = hist[-cap:]
         state.update((int(epoch), bool(exited), int(last_turn), json.dumps(hist)))
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "n_history", "history_turns"])
+        if out_turn:
+            yield pd.DataFrame({"conv_id": [conv_id] * len(out_turn), "turn": out_turn,
+                                "n_history": out_n, "history_turns": out_hist})
 
     return fn
 

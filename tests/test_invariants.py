@@ -113,11 +113,11 @@ def test_stream_state_drops_late_turns():
     fn = history_state_fn(cap=3)
     b1 = pd.DataFrame({"conv_id": [1, 1, 1], "turn": [2, 0, 1], "role": ["user", "user", "assistant"],
                        "text": ["c", "a", "b"]})
-    out1 = next(fn((1,), iter([b1]), st))
+    out1 = list(fn((1,), iter([b1]), st))[0]
     assert list(out1["turn"]) == [0, 2] and list(out1["n_history"]) == [0, 2]
     b2 = pd.DataFrame({"conv_id": [1, 1], "turn": [1, 3], "role": ["user", "assistant"], "text": ["late", "d"]})
-    out2 = next(fn((1,), iter([b2]), st))
-    assert len(out2) == 0 and st.get[2] == 3
+    out2 = list(fn((1,), iter([b2]), st))
+    assert out2 == [] and st.get[2] == 3
 
 
 def test_running_total_and_sliding_collect_hot_key(spark):
