@@ -47,8 +47,13 @@ def range_partitions(df: DataFrame) -> int:
 
 
 def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
-                name: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """Add a 1-based ``name`` column: row number within ``partition_by`` by ``order_by``."""
+                name: str = "rn", num_partitions: int | None = None,
+                first_of: Sequence[str] = ()) -> DataFrame:
+    """Add a 1-based ``name`` column: row number within ``partition_by`` by ``order_by``.
+
+    ``first_of`` columns are also returned as ``first_<col>``: their value on
+    the group's first row (e.g. a run's start time).
+    """
     spark = df.sparkSession
     n = num_partitions or range_partitions(df)
     keys = [*_cols(partition_by), *_cols(order_by)]
@@ -73,14 +78,30 @@ def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     numbered = ided.join(F.broadcast(offsets), "_pid").withColumn(
         "_g", F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
     if not partition_by:
-        return numbered.withColumnRenamed("_g", name).drop("_pid", "_mid", "_off")
+        out = numbered.withColumnRenamed("_g", name)
+        if first_of:
+            # first row overall, found per slice then over the slice table (≤ n rows, broadcast)
+            sl = numbered.groupBy("_pid").agg(F.min_by(F.struct("_g", *first_of), "_g").alias("_f"))
+            sl = sl.select("_pid", F.min("_f").over(Window.partitionBy()).alias("_f"))
+            out = out.join(F.broadcast(sl), "_pid")
+            for c in first_of:
+                out = out.withColumn(f"first_{c}", F.col(f"_f.{c}"))
+            out = out.drop("_f")
+        return out.drop("_pid", "_mid", "_off")
     # Within-group number = global number minus the group's first global
-    # number.  The per-group minimum is pre-aggregated map-side (one row per
-    # group per task); the join back is left to AQE (broadcast when small,
-    # skew-split when a group is hot).
-    firsts = numbered.groupBy(*partition_by).agg(F.min("_g").alias("_first"))
-    out = numbered.join(firsts, list(partition_by)).withColumn(name, F.col("_g") - F.col("_first") + 1)
-    return out.drop("_pid", "_mid", "_off", "_g", "_first")
+    # number.  The group's first row is found per slice (one row per group per
+    # slice), reduced over the slices of each group on that small table, and
+    # joined back on (slice, group) — a key no larger than one slice, so a
+    # hot group never funnels into one join task.
+    pk = list(partition_by)
+    firsts_cols = [F.min_by(F.struct("_g", *first_of), "_g").alias("_f")]
+    slices = numbered.groupBy("_pid", *pk).agg(*firsts_cols)
+    w = Window.partitionBy(*pk)
+    slices = slices.select("_pid", *pk, F.min(F.col("_f")).over(w).alias("_f"))
+    out = numbered.join(slices, ["_pid", *pk]).withColumn(name, F.col("_g") - F.col("_f._g") + 1)
+    for c in first_of:
+        out = out.withColumn(f"first_{c}", F.col(f"_f.{c}"))
+    return out.drop("_pid", "_mid", "_off", "_g", "_f")
 
 
 def _tag_ranges(df: DataFrame, keys: list[Column], n: int) -> DataFrame:

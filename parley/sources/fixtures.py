@@ -99,11 +99,11 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("eval_loss"))
-    numbered = number_rows(ev, order_by=["ts", "event_id"], partition_by=["run_id"], name="step")
-    first = ev.groupBy("run_id").agg(F.min("ts").alias("_t0"))
+    numbered = number_rows(ev, order_by=["ts", "event_id"], partition_by=["run_id"], name="step",
+                           first_of=["ts"])
     # wall-clock difference of two local timestamps: no session time zone involved
-    micros = F.expr("timestampdiff(MICROSECOND, _t0, ts)")
-    out = numbered.join(first, "run_id").select(
+    micros = F.expr("timestampdiff(MICROSECOND, first_ts, ts)")
+    out = numbered.select(
         "run_id", F.col("step").cast("bigint").alias("step"), "ts",
         (micros / F.lit(1_000_000.0)).alias("elapsed"),
         "eval_loss", F.lit(RUN_MAX_STEPS).cast("bigint").alias("max_steps"))

@@ -138,3 +138,11 @@ def test_running_total_and_sliding_collect_hot_key(spark):
     ref2 = df.withColumn("r", F.collect_list("t").over(w2))
     j = sc.join(ref2, ["k", "t"])
     assert sc.count() == 3000 and j.where("h != r").count() == 0
+
+
+def test_number_rows_first_of(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id"), (F.col("id") * 10).alias("v"))
+    keyed = number_rows(df, ["id"], ["k"], name="rn", num_partitions=7, first_of=["v"])
+    assert keyed.where("first_v != k * 10").count() == 0
+    glob = number_rows(df, ["id"], name="rn", num_partitions=7, first_of=["v"])
+    assert glob.where("first_v != 0").count() == 0 and glob.agg(F.max("rn")).first()[0] == 500
