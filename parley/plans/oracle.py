@@ -208,6 +208,12 @@ ORACLE: dict[str, str] = {
     # --- S: scans and sinks ---
     "jsonl_scan": _with(LINES) + "SELECT file, conv_id FROM lines",
     "jsonl_rejects": _with(LINES) + "SELECT file, conv_id FROM lines WHERE outcome = 'json_error'",
+    "normalize_reject_lines": _with(LINES) + """
+        SELECT file, line_no, outcome FROM (
+          SELECT file, outcome, row_number() OVER (PARTITION BY file ORDER BY conv_id) AS line_no FROM lines)
+        WHERE outcome <> 'ok'""",
+    "train_coverage_guard": _with(LINES, COVERAGE) + """
+        SELECT n_key, n_total, pct, CASE WHEN pct < 5.0 THEN 'warn' ELSE 'ok' END AS verdict FROM cov2""",
     "train_sink": _with(LINES) + "SELECT CAST(n_messages AS BIGINT) AS n_messages, count(*) AS n_rows FROM prep_rows GROUP BY 1",
     "train_reload": _with(LINES) + """
         SELECT m.role, count(*) AS n FROM prep_rows p JOIN msgs m ON m.conv_id = p.conv_id GROUP BY m.role""",

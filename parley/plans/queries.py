@@ -135,6 +135,16 @@ def q_jsonl_scan(spark, sf_dir):
     return lines.where(strip_ws("value") != "").select("file", fx.line_conv_id(F.col("value")).alias("conv_id"))
 
 
+def q_normalize_reject_lines(spark, sf_dir):
+    """P6 with S5: reject reason, logical file and 1-based line number, from files on disk."""
+    root = jsonl.materialize_raw_lines(spark, sf_dir)
+    lines = jsonl.read_jsonl_lines(spark, root, glob=None, recursive=False, file_col="file")
+    numbered = jsonl.logical_line_numbers(lines)
+    prepare(spark)
+    return rejects(normalize_rows(numbered)).select("file", F.col("line_no").cast("bigint").alias("line_no"),
+                                                    "outcome")
+
+
 def q_jsonl_rejects(spark, sf_dir):
     n = _with_id(_normalized(spark, sf_dir))
     return n.where(F.col("outcome") == "json_error").select("file", "conv_id")
@@ -165,6 +175,14 @@ def q_train_reload(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
+def q_train_coverage_guard(spark, sf_dir):
+    """Training-side check: strict re-read of the prepared file, keyword share, warn below 5 %."""
+    back = jsonl.read_prepared(spark, _write_train(spark, sf_dir))
+    cov = curate.keyword_coverage(curate.keyword_flag(back, KEYWORDS))
+    guard = curate.soft_guard(cov, curate.TRAIN_GUARD_MIN_PCT)
+    return cov.select("n_key", "n_total", "pct").join(guard.select("pct", "verdict"), "pct")
+
+
 def q_marker_roundtrip(spark, sf_dir):
     r = _rendered(spark, sf_dir).select("conv_id", template.marker_tail("text", "first_response", 3).alias("ids"))
     path = work_dir(spark, "marker_ids", input_key(sf_dir))
@@ -485,6 +503,8 @@ QUERIES: dict[str, Query] = {
     "manifest_conflicts": q_manifest_conflicts,
     "jsonl_scan": q_jsonl_scan,
     "jsonl_rejects": q_jsonl_rejects,
+    "normalize_reject_lines": q_normalize_reject_lines,
+    "train_coverage_guard": q_train_coverage_guard,
     "train_sink": q_train_sink,
     "train_reload": q_train_reload,
     "marker_roundtrip": q_marker_roundtrip,

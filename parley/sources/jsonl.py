@@ -38,8 +38,11 @@ def read_jsonl_lines(spark: SparkSession, path: str | list[str], *, glob: str |
         r = r.option("basePath", paths[0])
     df = r.text(paths)
     file = F.col(file_col) if file_col else F.col("_metadata.file_path")
-    return df.select(file.alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
-                     F.monotonically_increasing_id().alias("row_pos"), "value")
+    cols = [file.alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
+            F.monotonically_increasing_id().alias("row_pos"), "value"]
+    if file_col:
+        cols.insert(1, F.col("_metadata.file_path").alias("part_path"))
+    return df.select(*cols)
 
 
 def with_line_numbers(lines: DataFrame) -> DataFrame:
@@ -77,9 +80,21 @@ def materialize_raw_lines(spark: SparkSession, sf_dir: str) -> str:
     ``read_jsonl_lines(..., glob=None, recursive=False, file_col="file")``.
     """
     out = work_dir(spark, "raw_lines", input_key(sf_dir))
-    fixtures.raw_lines(spark, sf_dir).write.mode("overwrite").partitionBy("file").text(out)
+    raw = fixtures.raw_lines(spark, sf_dir).withColumn("_id", fixtures.line_conv_id(F.col("value")))
+    # Range-partitioned on (file, id): every logical file is written as ordered
+    # part files (task order = id order), so "line n of a logical file" is
+    # well defined without funnelling a file through one task.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (raw.repartitionByRange(n, "file", "_id").sortWithinPartitions("file", "_id").drop("_id")
+     .write.mode("overwrite").partitionBy("file").text(out))
     return out
 
 
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    return os.path.join(work_dir(spark), *parts)
+def logical_line_numbers(lines: DataFrame) -> DataFrame:
+    """1-based ``line_no`` within a logical file stored as ordered part files.
+
+    ``lines`` comes from ``read_jsonl_lines(..., file_col=...)`` (it carries
+    ``part_path``); numbering is the skew-safe ``number_rows``.
+    """
+    return number_rows(lines, order_by=["part_path", "block_start", "row_pos"], partition_by=["file"],
+                       name="line_no")
