@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from parley.functions.text import strip_ws
 from parley.functions.variant import as_string, field, py_str, py_truthy, vtype
+from parley.session import prepare
 
 # --- fixed values -----------------------------------------------------------
 ROLES = ("system", "user", "assistant")
@@ -89,6 +90,7 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     if unknown:
         raise ValueError(f"unknown shapes {sorted(unknown)}")
     keep_fields = keep_fields or {}
+    prepare(lines.sparkSession)  # duplicate JSON keys keep the last value (D10)
     base_cols = [F.col(c) for c in lines.columns]
 
     # Stage 1: strip once, parse once.
