@@ -206,6 +206,7 @@ ORACLE: dict[str, str] = {
                  CASE WHEN starts_with(path, 'runs/src2/') THEN 1 ELSE 0 END AS moved FROM manifest)
         GROUP BY new_path HAVING count(*) > 1 AND max(moved) = 1""",
     # --- S: scans and sinks ---
+    "manifest_list_files": _with(LINES) + "SELECT DISTINCT file, true AS has_bytes FROM lines",
     "jsonl_scan": _with(LINES) + "SELECT file, conv_id FROM lines",
     "jsonl_rejects": _with(LINES) + "SELECT file, conv_id FROM lines WHERE outcome = 'json_error'",
     "normalize_reject_lines": _with(LINES) + """

@@ -129,6 +129,14 @@ def q_manifest_conflicts(spark, sf_dir):
     return manifest.reroot_conflicts(manifest.reroot(fx.manifest(spark, sf_dir), REROOT_PREFIX))
 
 
+def q_manifest_list_files(spark, sf_dir):
+    """S1 on storage: list the written raw-line files (``binaryFile``, bodies pruned) per logical file."""
+    root = jsonl.materialize_raw_lines(spark, sf_dir)
+    files = manifest.list_files(spark, root, glob="*.txt")
+    return files.select(F.regexp_extract("path", "/file=([^/]+)/[^/]+$", 1).alias("file"), "length").groupBy(
+        "file").agg((F.sum("length") > 0).alias("has_bytes"))
+
+
 def q_jsonl_scan(spark, sf_dir):
     root = jsonl.materialize_raw_lines(spark, sf_dir)
     lines = jsonl.read_jsonl_lines(spark, root, glob=None, recursive=False, file_col="file")
@@ -501,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "manifest_allow": q_manifest_allow,
     "manifest_reroot": q_manifest_reroot,
     "manifest_conflicts": q_manifest_conflicts,
+    "manifest_list_files": q_manifest_list_files,
     "jsonl_scan": q_jsonl_scan,
     "jsonl_rejects": q_jsonl_rejects,
     "normalize_reject_lines": q_normalize_reject_lines,

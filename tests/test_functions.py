@@ -142,3 +142,12 @@ def test_range_partitions_floor(spark):
     from parley.operators.numbering import range_partitions
 
     assert range_partitions(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_file_multiplier_long_rule_list(spark):
+    rules = [(f"zz{i}", 5) for i in range(120)] + [("Identity", 2), ("team", 3)]
+    files = spark.createDataFrame([("a/team_identity.jsonl",), ("b/general.jsonl",), ("c/x.JSONL",)], "file string")
+    got = {r["file"]: r["mult"] for r in curate.file_multiplier(files, rules).collect()}
+    assert got == {"a/team_identity.jsonl": 2, "b/general.jsonl": 1, "c/x.JSONL": 1}
+    inline = {r["file"]: r["mult"] for r in curate.file_multiplier(files, rules[-2:]).collect()}
+    assert inline == got
