@@ -40,9 +40,12 @@ def as_string(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def py_truthy(v: Column) -> Column:
-    """Python truthiness of a JSON value (absent counts as ``None`` → False)."""
-    t = vtype(v)
+def py_truthy(v: Column, t: Column | None = None) -> Column:
+    """Python truthiness of a JSON value (absent counts as ``None`` → False).
+
+    Pass ``t`` (its precomputed ``vtype``) to avoid recomputing the type.
+    """
+    t = vtype(v) if t is None else t
     numeric = F.lit(False)
     for p in _NUMERIC_PREFIXES:
         numeric = numeric | t.startswith(p)
@@ -57,14 +60,14 @@ def py_truthy(v: Column) -> Column:
     )
 
 
-def py_str(v: Column, null_text: str | None = None) -> Column:
+def py_str(v: Column, null_text: str | None = None, t: Column | None = None) -> Column:
     """Text of a JSON value as ``str(value)`` would give for strings and numbers.
 
     Absent → ''.  JSON null → '' by default, or ``null_text`` (``'None'``
     reproduces Python's ``str(None)``).  Booleans, objects and arrays come
     back as JSON text, which differs from Python's repr (documented).
     """
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     null_val = F.lit(null_text if null_text is not None else "")
     return (
         F.when(v.isNull(), F.lit(""))

@@ -100,39 +100,62 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     v = F.col("_v")
     ln = F.col("_line")
 
-    # Stage 2: per-shape item parses (each computed once, reused below).
+    # Stage 2: per-shape item parses.  Nested ``transform`` stages compute each
+    # per-message value once (lambdas get no common-subexpression elimination).
     def m_item(m):
         rv = F.try_variant_get(m, "$.role", "variant")
         cv = F.try_variant_get(m, "$.content", "variant")
+        return F.struct(rv.alias("rv"), cv.alias("cv"))
+
+    def m_item2(x):
         return F.struct(
-            vtype(rv).alias("rt"), vtype(cv).alias("ct"),
-            strip_ws(F.coalesce(as_string(rv), F.lit(""))).alias("role"),
-            strip_ws(F.coalesce(as_string(cv), F.lit(""))).alias("content"))
+            vtype(x["rv"]).alias("rt"), vtype(x["cv"]).alias("ct"),
+            strip_ws(F.coalesce(as_string(x["rv"]), F.lit(""))).alias("role"),
+            strip_ws(F.coalesce(as_string(x["cv"]), F.lit(""))).alias("content"))
 
     amap = F.create_map(*[F.lit(x) for kv in ROLE_ALIASES.items() for x in kv])
+    empty = F.parse_json(F.lit('""'))
 
     def c_item(m):
         r = F.try_variant_get(m, "$.role", "variant")
-        fr = F.try_variant_get(m, "$.from", "variant")
         c = F.try_variant_get(m, "$.content", "variant")
-        va = F.try_variant_get(m, "$.value", "variant")
-        rp = F.when(py_truthy(r), r).otherwise(F.coalesce(fr, F.parse_json(F.lit('""'))))
-        cp = F.when(py_truthy(c), c).otherwise(F.coalesce(va, F.parse_json(F.lit('""'))))
+        return F.struct(r.alias("r"), vtype(r).alias("r_t"),
+                        F.try_variant_get(m, "$.from", "variant").alias("fr"),
+                        c.alias("c"), vtype(c).alias("c_t"),
+                        F.try_variant_get(m, "$.value", "variant").alias("va"))
+
+    def c_item2(x):
+        # ``role or from``, ``content or value`` with Python truthiness (D3)
+        rp = F.when(py_truthy(x["r"], x["r_t"]), x["r"]).otherwise(F.coalesce(x["fr"], empty))
+        cp = F.when(py_truthy(x["c"], x["c_t"]), x["c"]).otherwise(F.coalesce(x["va"], empty))
+        return F.struct(rp.alias("rp"), cp.alias("cp"))
+
+    def c_item3(y):
         return F.struct(
-            vtype(rp).alias("rt"), vtype(cp).alias("ct"),
-            F.element_at(amap, F.lower(strip_ws(as_string(rp)))).alias("role"),
-            strip_ws(F.coalesce(as_string(cp), F.lit(""))).alias("content"))
+            vtype(y["rp"]).alias("rt"), vtype(y["cp"]).alias("ct"),
+            F.element_at(amap, F.lower(strip_ws(as_string(y["rp"])))).alias("role"),
+            strip_ws(F.coalesce(as_string(y["cp"]), F.lit(""))).alias("content"))
 
     null_text = "None" if py_str_null else None
-    parsed = staged.select(
+    top = staged.select(
+        *base_cols, "_line", "_v",
+        *[field(v, k).alias(f"_f_{k}") for k in ("instruction", "input", "response", "system")])
+    top = top.select("*", *[vtype(F.col(f"_f_{k}")).alias(f"_t_{k}")
+                            for k in ("instruction", "input", "response", "system")])
+
+    def top_str(k):
+        return strip_ws(py_str(F.col(f"_f_{k}"), null_text, F.col(f"_t_{k}")))
+
+    parsed = top.select(
         *base_cols, "_line", "_v",
-        F.transform(F.try_variant_get(v, "$.messages", "array<variant>"), m_item).alias("_m"),
-        F.transform(F.try_variant_get(v, "$.conversation", "array<variant>"), c_item).alias("_c"),
-        (field(v, "instruction").isNotNull() & field(v, "response").isNotNull()).alias("_has_i"),
-        strip_ws(py_str(field(v, "instruction"), null_text)).alias("_ins"),
-        strip_ws(py_str(field(v, "input"), null_text)).alias("_inp"),
-        strip_ws(py_str(field(v, "response"), null_text)).alias("_resp"),
-        strip_ws(py_str(field(v, "system"), null_text)).alias("_sys"),
+        F.transform(F.transform(F.try_variant_get(v, "$.messages", "array<variant>"), m_item), m_item2).alias("_m"),
+        F.transform(F.transform(F.transform(F.try_variant_get(v, "$.conversation", "array<variant>"), c_item),
+                                c_item2), c_item3).alias("_c"),
+        (F.col("_f_instruction").isNotNull() & F.col("_f_response").isNotNull()).alias("_has_i"),
+        top_str("instruction").alias("_ins"),
+        top_str("input").alias("_inp"),
+        top_str("response").alias("_resp"),
+        top_str("system").alias("_sys"),
         *[F.try_variant_get(v, f"$.{k}", t).alias(k) for k, t in keep_fields.items()],
     )
 
