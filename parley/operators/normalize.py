@@ -72,6 +72,9 @@ def _strict_json_ok(line: Column) -> Column:
     return _ok(line)
 
 
+_STAGE_CACHE: dict = {}
+
+
 def normalize_rows(lines: DataFrame, value_col: str = "value", *,
                    shapes: Sequence[str] = SHAPES, min_messages: int = 2,
                    strict_json: bool = False, py_str_null: bool = False,
@@ -89,14 +92,32 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     unknown = set(shapes) - set(SHAPES)
     if unknown:
         raise ValueError(f"unknown shapes {sorted(unknown)}")
-    keep_fields = keep_fields or {}
-    prepare(lines.sparkSession)  # duplicate JSON keys keep the last value (D10)
-    base_cols = [F.col(c) for c in lines.columns]
-
+    keep_fields = dict(keep_fields or {})
+    spark = lines.sparkSession
+    prepare(spark)  # duplicate JSON keys keep the last value (D10)
+    # The expression trees do not depend on the data: build them once per
+    # Spark context and parameter set (thousands of JVM calls otherwise).
+    key = (spark.sparkContext.applicationId, value_col, tuple(shapes), min_messages, strict_json, py_str_null,
+           lazy_content_check, tuple(sorted(keep_fields.items())))
+    stages = _STAGE_CACHE.get(key)
+    if stages is None:
+        stages = _build_stages(value_col, tuple(shapes), min_messages, strict_json, py_str_null,
+                               lazy_content_check, keep_fields)
+        _STAGE_CACHE[key] = stages
+    base = list(lines.columns)
+    df = lines
+    for cols in stages:
+        df = df.select(*base, *cols)
+    return df
+
+
+def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, lazy_content_check, keep_fields):
+    """Column lists of the successive projections (input columns pass through each)."""
+    stages: list[list] = []
     # Stage 1: strip once, parse once.
     line = strip_ws(F.regexp_replace(F.col(value_col), "^\\x{FEFF}", ""))
-    staged = lines.select(*base_cols, line.alias("_line")).select(
-        *base_cols, "_line", F.try_parse_json("_line").alias("_v"))
+    stages.append([line.alias("_line")])
+    stages.append(["_line", F.try_parse_json("_line").alias("_v")])
     v = F.col("_v")
     ln = F.col("_line")
 
@@ -137,17 +158,16 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
             strip_ws(F.coalesce(as_string(y["cp"]), F.lit(""))).alias("content"))
 
     null_text = "None" if py_str_null else None
-    top = staged.select(
-        *base_cols, "_line", "_v",
-        *[field(v, k).alias(f"_f_{k}") for k in ("instruction", "input", "response", "system")])
-    top = top.select("*", *[vtype(F.col(f"_f_{k}")).alias(f"_t_{k}")
-                            for k in ("instruction", "input", "response", "system")])
+    top_keys = ("instruction", "input", "response", "system")
+    stages.append(["_line", "_v", *[field(v, k).alias(f"_f_{k}") for k in top_keys]])
+    stages.append(["_line", "_v", *[f"_f_{k}" for k in top_keys],
+                   *[vtype(F.col(f"_f_{k}")).alias(f"_t_{k}") for k in top_keys]])
 
     def top_str(k):
         return strip_ws(py_str(F.col(f"_f_{k}"), null_text, F.col(f"_t_{k}")))
 
-    parsed = top.select(
-        *base_cols, "_line", "_v",
+    stages.append([
+        "_line", "_v",
         F.transform(F.transform(F.try_variant_get(v, "$.messages", "array<variant>"), m_item), m_item2).alias("_m"),
         F.transform(F.transform(F.transform(F.try_variant_get(v, "$.conversation", "array<variant>"), c_item),
                                 c_item2), c_item3).alias("_c"),
@@ -157,7 +177,7 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
         top_str("response").alias("_resp"),
         top_str("system").alias("_sys"),
         *[F.try_variant_get(v, f"$.{k}", t).alias(k) for k, t in keep_fields.items()],
-    )
+    ])
 
     def bad_m(x):
         role_bad = x["rt"].isNotNull() & (x["rt"] != "STRING")
@@ -200,9 +220,9 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     if strict_json:
         json_bad = json_bad | ~_strict_json_ok(ln)
 
-    staged2 = parsed.select(*base_cols, *keep_fields.keys(), "_line", "_v", "_m", "_c", "_has_i",
-                            "_ins", "_resp", shape.alias("shape"), json_bad.alias("_jbad"),
-                            msgs_m.alias("_mm"), msgs_c.alias("_mc"), msgs_i.alias("_mi"))
+    stages.append([*keep_fields.keys(), "_line", "_v", "_m", "_c", "_has_i",
+                   "_ins", "_resp", shape.alias("shape"), json_bad.alias("_jbad"),
+                   msgs_m.alias("_mm"), msgs_c.alias("_mc"), msgs_i.alias("_mi")])
     sh = F.col("shape")
     outcome = (
         F.when(F.col("_line") == "", F.lit("blank"))
@@ -224,7 +244,7 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     messages = (F.when(sh == "messages", F.col("_mm"))
                 .when(sh == "conversation", F.col("_mc"))
                 .otherwise(F.col("_mi")))
-    out = staged2.select(*base_cols, *keep_fields.keys(), sh, outcome.alias("outcome"), messages.alias("_msgs"))
+    stages.append([*keep_fields.keys(), sh, outcome.alias("outcome"), messages.alias("_msgs")])
     result = F.struct(
         F.when(~F.col("outcome").isin("blank", "json_error", "not_object"), sh).alias("shape"),
         F.col("outcome").alias("outcome"),
@@ -233,7 +253,10 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     # push a predicate on generator output below the generator, so a later
     # ``outcome = 'ok'`` filter cannot inline (and re-evaluate) the whole parse
     # expression; every line is parsed exactly once.
-    return out.select(*base_cols, *keep_fields.keys(), F.inline(F.array(result)))
+    stages.append([*keep_fields.keys(), F.inline(F.array(result))])
+    return stages
+
+
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
