@@ -41,19 +41,24 @@ def command_kind(text_col: str = "text", role_col: str = "role") -> Column:
 def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                    skew_safe: bool = True) -> DataFrame:
     """H2: ``kind`` and ``epoch`` (number of ``/clear`` so far); rows from the first ``/exit`` on are dropped."""
-    k = turns.withColumn("kind", command_kind()).withColumn(
-        "_c", (F.col("kind") == "clear").cast("long")).withColumn("_x", (F.col("kind") == "exit").cast("long"))
+    k = (turns.withColumn("kind", command_kind())
+         .withColumn("_c", (F.col("kind") == "clear").cast("long"))
+         .withColumn("_x", (F.col("kind") == "exit").cast("long"))
+         .withColumn("_m", F.col("kind").isin("message", "response").cast("long")))
+    sums = {"epoch": "_c", "_exits": "_x", "msg_ord": "_m"}
     if skew_safe:
-        t = running_total(k, {"epoch": "_c", "_exits": "_x"}, [turn], [conv])
+        t = running_total(k, sums, [turn], [conv])
     else:
         w = Window.partitionBy(conv).orderBy(turn).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        t = k.withColumn("epoch", F.sum("_c").over(w)).withColumn("_exits", F.sum("_x").over(w))
+        t = k.select("*", *[F.sum(c).over(w).alias(o) for o, c in sums.items()])
+    # ``msg_ord``: running count of messages in the conversation (lets the
+    # history frame skip a second numbering pass)
     return (t.where(F.col("_exits") == 0).withColumn("epoch", F.col("epoch").cast("bigint"))
-            .drop("_c", "_x", "_exits"))
+            .drop("_c", "_x", "_m", "_exits"))
 
 
 def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv_id",
-                    turn: str = "turn", skew_safe: bool = True) -> DataFrame:
+                    turn: str = "turn", skew_safe: bool = True, chunk_rows: int = 100_000) -> DataFrame:
     """H3: for every typed message, the last ``cap`` messages of its epoch before it.
 
     Command and blank rows are removed first, so they never enter history.
@@ -61,12 +66,23 @@ def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv
     ``history_turns`` ('t1,t2,...').
     """
     msgs = epochs.where(F.col("kind").isin("message", "response"))
-    item = F.struct(turn, "role", "text")
-    if skew_safe:
-        h = sliding_collect(msgs, item, cap, [turn], [conv, "epoch"], name="history")
+    if skew_safe and "msg_ord" in epochs.columns:
+        # Epochs are contiguous in turn order, so the last ``cap`` messages of
+        # the conversation, kept where the epoch matches, are exactly the last
+        # ``cap`` messages of this epoch.  Frame by conversation on the
+        # ordinal from ``session_epochs``: no second numbering pass.
+        item = F.struct(turn, "role", "text", "epoch")
+        h = sliding_collect(msgs, item, cap, [turn], [conv], name="_h", ordinal_col="msg_ord",
+                            chunk_rows=chunk_rows)
+        h = h.withColumn("history", F.transform(F.filter("_h", lambda x: x["epoch"] == F.col("epoch")),
+                                                lambda x: F.struct(x[turn].alias(turn), x["role"].alias("role"),
+                                                                   x["text"].alias("text")))).drop("_h")
+    elif skew_safe:
+        h = sliding_collect(msgs, F.struct(turn, "role", "text"), cap, [turn], [conv, "epoch"], name="history",
+                            chunk_rows=chunk_rows)
     else:
         w = Window.partitionBy(conv, "epoch").orderBy(turn).rowsBetween(-cap, -1)
-        h = msgs.withColumn("history", F.collect_list(item).over(w))
+        h = msgs.withColumn("history", F.collect_list(F.struct(turn, "role", "text")).over(w))
     h = h.where(F.col("kind") == "message")
     return h.withColumn("n_history", F.size("history").cast("bigint")).withColumn(
         "history_turns", F.array_join(F.transform("history", lambda x: x[turn].cast("string")), ","))

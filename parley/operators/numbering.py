@@ -139,7 +139,8 @@ def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, par
 
 
 def sliding_collect(df: DataFrame, items: Column, frame: int, order_by: Sequence, partition_by: Sequence[str],
-                    name: str, chunk_rows: int = 100_000, num_partitions: int | None = None) -> DataFrame:
+                    name: str, chunk_rows: int = 100_000, num_partitions: int | None = None,
+                    ordinal_col: str | None = None) -> DataFrame:
     """``collect_list(items)`` over the ``frame`` rows before each row (``rows between frame
     preceding and 1 preceding``) within ``partition_by`` ordered by ``order_by``.
 
@@ -148,9 +149,14 @@ def sliding_collect(df: DataFrame, items: Column, frame: int, order_by: Sequence
     copied into the next chunk as look-back halo.  A window then runs per
     (group, chunk) — never more than ``chunk_rows + frame`` rows per window
     partition however large the group — and halo copies are dropped.
+    ``ordinal_col`` skips the numbering pass when the rows already carry one.
     """
-    numbered = number_rows(df.withColumn("_item", items), order_by, partition_by, name="_rn",
-                           num_partitions=num_partitions)
+    if ordinal_col:
+        # caller already has a 1-based, gap-free ordinal within the group
+        numbered = df.withColumn("_item", items).withColumn("_rn", F.col(ordinal_col))
+    else:
+        numbered = number_rows(df.withColumn("_item", items), order_by, partition_by, name="_rn",
+                               num_partitions=num_partitions)
     pos = F.col("_rn") - 1
     base = numbered.select("*", F.floor(pos / F.lit(chunk_rows)).cast("long").alias("_chunk"),
                            F.lit(False).alias("_halo"))

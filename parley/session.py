@@ -28,6 +28,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # drop checkpoint files once their DataFrames are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -56,6 +58,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """Folder under the cluster's checkpoint dir for this library's files."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if base and not spark.sparkContext.getCheckpointDir():
+        # the cluster names the shared folder; make DataFrame.checkpoint() use it too
+        spark.sparkContext.setCheckpointDir(base)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
         if base:

@@ -146,3 +146,26 @@ def test_number_rows_first_of(spark):
     assert keyed.where("first_v != k * 10").count() == 0
     glob = number_rows(df, ["id"], name="rn", num_partitions=7, first_of=["v"])
     assert glob.where("first_v != 0").count() == 0 and glob.agg(F.max("rn")).first()[0] == 500
+
+
+def test_skew_safe_sessions_equal_plain_windows(spark):
+    """One hot conversation with many /clear epochs and an /exit; tiny chunks force halos."""
+    from parley.operators import chat_session as cs
+
+    n = 2000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 4 + 2).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.when(F.col("id") % 97 == 0, F.lit(" /clear")).when(F.col("id") == 1900, F.lit("/EXIT"))
+        .when(F.col("id") % 89 == 0, F.lit("/history")).otherwise(F.concat(F.lit("t"), F.col("id"))).alias("text"))
+    safe_e = cs.session_epochs(rows)
+    plain_e = cs.session_epochs(rows, skew_safe=False)
+    key = ["conv_id", "turn", "kind", "epoch"]
+    assert sorted(map(tuple, safe_e.select(*key).collect())) == sorted(map(tuple, plain_e.select(*key).collect()))
+    cols = ["conv_id", "turn", "n_history", "history_turns"]
+    safe_h = cs.session_history(safe_e, cap=5, chunk_rows=13).select(*cols).collect()
+    plain_h = cs.session_history(plain_e, cap=5, skew_safe=False).select(*cols).collect()
+    assert sorted(map(tuple, safe_h)) == sorted(map(tuple, plain_h)) and len(safe_h) > 500
+    hc = sorted(map(tuple, cs.history_count(safe_e).collect()))
+    assert hc == sorted(map(tuple, cs.history_count(plain_e, skew_safe=False).collect())) and hc
