@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +115,48 @@ def masked_labels(tokens, start, ignore=None) -> Column:
     return F.concat(head, rest)
 
 
+def _barrier(df: DataFrame, *cols: Column) -> DataFrame:
+    """Add columns through a one-element generator so later expressions read them
+    as columns (Catalyst cannot inline them into per-element lambdas)."""
+    return df.select("*", F.inline(F.array(F.struct(*cols))))
+
+
+def with_assistant_labels(df: DataFrame, tokens: str, marker_tokens: Column, out: str = "labels",
+                          end_token: str = IM_END, ignore=None) -> DataFrame:
+    """T7, ``mode='all_assistant'``: keep every assistant turn, mask the rest.
+
+    A turn runs from the end of an assistant marker to the next end token
+    (inclusive; to the last token when unclosed).  Positions are found once,
+    turns are built from them, and labels are assembled turn by turn: work per
+    row is tokens + turns², never tokens².
+    """
+    t = F.col(tokens)
+    n, k = F.size(t), F.size(marker_tokens)
+    starts = F.filter(F.sequence(F.lit(0), n - k),
+                      lambda i: (F.element_at(t, i + 1) == F.element_at(marker_tokens, 1))
+                      & (F.slice(t, i + 1, k) == marker_tokens))
+    empty = F.array().cast("array<int>")
+    ends = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                    lambda i: F.element_at(t, i + 1) == end_token)
+    d = _barrier(df, F.when(n >= k, F.transform(starts, lambda s: s + k)).otherwise(empty).alias("_me"),
+                 F.when(n > 0, ends).otherwise(empty).alias("_ee"))
+    segs = F.transform("_me", lambda e: F.struct(
+        e.alias("s"), F.coalesce(F.array_min(F.filter("_ee", lambda x: x >= e)), n - 1).alias("f")))
+    d = _barrier(d, segs.alias("_sg"))
+
+    def piece(sg, j):
+        prev_f = F.when(j == 0, F.lit(-1)).otherwise(F.element_at(F.col("_sg"), j)["f"])
+        st = F.greatest(sg["s"], prev_f + 1)
+        return F.concat(F.array_repeat(F.lit(ignore), F.greatest(st - prev_f - 1, F.lit(0))),
+                        F.slice(t, st + 1, F.greatest(sg["f"] - st + 1, F.lit(0))))
+
+    last_f = F.coalesce(F.array_max(F.transform("_sg", lambda x: x["f"])), F.lit(-1))
+    labels = F.concat(F.flatten(F.transform("_sg", piece)),
+                      F.array_repeat(F.lit(ignore), F.greatest(n - 1 - last_f, F.lit(0))))
+    return d.withColumn(out, F.when(F.size("_sg") > 0, labels).otherwise(
+        F.array_repeat(F.lit(ignore), n))).drop("_me", "_ee", "_sg")
+
+
 def truncate_tokens(tokens, max_len: int) -> Column:
     """Keep the first ``max_len`` tokens (no packing)."""
     return F.slice(_col(tokens), 1, max_len)

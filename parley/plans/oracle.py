@@ -314,6 +314,11 @@ ORACLE: dict[str, str] = {
     "completion_mask": _with(RENDER) + """
         SELECT conv_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(mask_start AS BIGINT) AS mask_start,
                CAST(CASE WHEN mask_start IS NULL THEN 0 ELSE len(t) - mask_start END AS BIGINT) AS n_trained FROM mask""",
+    "completion_mask_all": _with(RENDER) + f"""
+        SELECT t.conv_id, CAST(len(t.t) AS BIGINT) AS n_tokens, coalesce(a.n, 0) AS n_trained
+        FROM toks t LEFT JOIN (
+          SELECT conv_id, CAST(sum(len(regexp_extract_all(text || '<|im_end|>', '{PAT}'))) AS BIGINT) AS n
+          FROM conversations WHERE role = 'assistant' GROUP BY conv_id) a ON a.conv_id = t.conv_id""",
     "truncate_tokens": _with(RENDER) + """
         SELECT conv_id, CAST(least(len(t), 256) AS BIGINT) AS n_kept,
                CASE WHEN len(t) > 0 THEN t[least(len(t), 256)] END AS last_token FROM toks""",

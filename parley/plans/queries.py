@@ -420,6 +420,13 @@ def q_completion_mask(spark, sf_dir):
                     F.size(F.filter("labels", lambda x: x.isNotNull())).cast("bigint").alias("n_trained"))
 
 
+def q_completion_mask_all(spark, sf_dir):
+    """T7 ``all_assistant``: trained tokens are every assistant turn's content and its end token."""
+    t = template.with_assistant_labels(_tokens(spark, sf_dir), "tokens", _marker())
+    return t.select("conv_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                    F.size(F.filter("labels", lambda x: x.isNotNull())).cast("bigint").alias("n_trained"))
+
+
 def q_truncate_tokens(spark, sf_dir):
     t = _tokens(spark, sf_dir).withColumn("cut", template.truncate_tokens("tokens", MAX_LEN))
     return t.select("conv_id", F.size("cut").cast("bigint").alias("n_kept"),
@@ -579,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "array_find_subseq": q_array_find_subseq,
     "marker_tail": q_marker_tail,
     "completion_mask": q_completion_mask,
+    "completion_mask_all": q_completion_mask_all,
     "truncate_tokens": q_truncate_tokens,
     "truncation_report": q_truncation_report,
     "strip_prompt": q_strip_prompt,

@@ -151,3 +151,15 @@ def test_file_multiplier_long_rule_list(spark):
     assert got == {"a/team_identity.jsonl": 2, "b/general.jsonl": 1, "c/x.JSONL": 1}
     inline = {r["file"]: r["mult"] for r in curate.file_multiplier(files, rules[-2:]).collect()}
     assert inline == got
+
+
+def test_assistant_mask(spark):
+    toks = ["<|im_start|>", "user", "q", "<|im_end|>", "<|im_start|>", "assistant", "a1", "a2", "<|im_end|>",
+            "<|im_start|>", "user", "r", "<|im_end|>", "<|im_start|>", "assistant", "b", "<|im_end|>"]
+    rows = [(1, toks), (2, []), (3, ["x"]), (4, ["<|im_start|>", "assistant", "c", "d"])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    marker = arr(["<|im_start|>", "assistant"], "string")
+    got = {r["id"]: r["labels"] for r in template.with_assistant_labels(df, "tokens", marker).collect()}
+    assert [x for x in got[1] if x is not None] == ["a1", "a2", "<|im_end|>", "b", "<|im_end|>"]
+    assert len(got[1]) == 17 and got[2] == [] and got[3] == [None]
+    assert got[4] == [None, None, "c", "d"]
