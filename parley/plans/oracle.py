@@ -231,6 +231,7 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, CASE WHEN outcome = 'json_error' THEN 'json_error'
                              WHEN shape <> 'messages' THEN 'unknown_shape' ELSE outcome END AS outcome FROM lines""",
     "normalize_rejects": _with(LINES) + "SELECT conv_id, outcome FROM lines WHERE outcome <> 'ok'",
+    "normalize_outcome_counts": _with(LINES) + "SELECT file, outcome, count(*) AS n FROM lines GROUP BY file, outcome",
     "role_alias": "SELECT conv_id, turn, role FROM conversations",
     "strip_ws": "SELECT conv_id, turn, text FROM conversations",
     # --- K: keywords ---

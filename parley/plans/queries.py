@@ -246,6 +246,13 @@ def q_normalize_messages_only(spark, sf_dir):
     return n.select("conv_id", "outcome")
 
 
+def q_normalize_outcome_counts(spark, sf_dir):
+    """Every outcome counted per file (json errors included)."""
+    from parley.operators.normalize import outcome_counts
+
+    return outcome_counts(_normalized(spark, sf_dir), by=["file"])
+
+
 def q_normalize_rejects(spark, sf_dir):
     return rejects(_with_id(_normalized(spark, sf_dir))).select("conv_id", "outcome")
 
@@ -559,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "normalize_rows": q_normalize_rows,
     "normalize_messages_only": q_normalize_messages_only,
     "normalize_rejects": q_normalize_rejects,
+    "normalize_outcome_counts": q_normalize_outcome_counts,
     "role_alias": q_role_alias,
     "strip_ws": q_strip_ws,
     "keyword_flag": q_keyword_flag,
