@@ -87,12 +87,25 @@ def session_stream(turns_stream: DataFrame, cap: int = HISTORY_CAP) -> DataFrame
         history_state_fn(cap), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
-def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP) -> DataFrame:
-    """Land the session turns as files, run the stream with ``availableNow``, read the result."""
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
+                       max_files_per_trigger: int = 256, rocksdb: bool = True) -> DataFrame:
+    """Land the session turns as files, run the stream with ``availableNow``, read the result.
+
+    ``max_files_per_trigger`` bounds each micro-batch (and so the rows one key
+    can bring to one state-function call); ``availableNow`` still drains all
+    files, in several batches.  ``rocksdb`` keeps the keyed state off the JVM
+    heap (set before the query starts; a checkpoint keeps its provider).
+    """
     base = work_dir(spark, "stream_session", input_key(sf_dir), uuid.uuid4().hex[:8])
     landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/ckpt"
     fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
-    stream = spark.readStream.schema(INPUT_SCHEMA).parquet(landing)
+    if rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    stream = (spark.readStream.schema(INPUT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(landing))
     q = (session_stream(stream, cap).writeStream.format("parquet").option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start(out))
     q.awaitTermination()
