@@ -8,7 +8,6 @@ hidden ``_metadata`` column.  True 1-based line numbers are optional
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
