@@ -16,7 +16,7 @@ from parley.functions.text import strip_ws
 from parley.operators import chat_session as cs
 from parley.operators import curate, evaluate, runlog, split, template
 from parley.operators.normalize import accepted, explode_messages, normalize_rows, rejects, role_alias
-from parley.session import input_key, prepare, work_dir
+from parley.session import input_key, materialize, prepare, work_dir
 from parley.sources import fixtures as fx
 from parley.sources import jsonl, manifest
 
@@ -331,11 +331,11 @@ def q_prep_summary(spark, sf_dir):
 
 
 def q_step_plan(spark, sf_dir):
-    f = _flagged_convs(spark, sf_dir)
+    f = materialize(_flagged_convs(spark, sf_dir), "split_input")   # shared by both profiles
     out = None
     for prof in ("A", "B"):
         micro, accum, epochs, floor = split.PROFILES[prof]
-        s = split.stratified_split(f, "flag", ["conv_id"], seed=SEED, quota=prof)
+        s = split.stratified_split(f, "flag", ["conv_id"], seed=SEED, quota=prof, materialize_input=False)
         n = s.where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train"))
         row = n.select(F.lit(prof).alias("profile"), "n_train",
                        *curate.step_plan("n_train", micro, accum, epochs, floor))
@@ -369,9 +369,10 @@ def q_split_leak_safe(spark, sf_dir):
 
 
 def q_split_leak_report(spark, sf_dir):
-    rows = _prep_rows(spark, sf_dir).withColumn("_group", split.content_key())
-    compat = split.stratified_split(rows, "flag", ["conv_id", "replica"], seed=SEED, quota="A")
-    safe = split.leak_safe_split(rows, "flag", seed=SEED, quota="A", order_col="conv_id")
+    rows = materialize(_prep_rows(spark, sf_dir).withColumn("_group", split.content_key()), "split_input")
+    compat = split.stratified_split(rows, "flag", ["conv_id", "replica"], seed=SEED, quota="A",
+                                    materialize_input=False)
+    safe = split.leak_safe_split(rows, "flag", seed=SEED, quota="A", order_col="conv_id", materialize_input=False)
     a = split.leak_report(compat, "_group").select(F.lit("compat").alias("mode"), "n_leaked")
     b = split.leak_report(safe, "_group").select(F.lit("leak_safe").alias("mode"), "n_leaked")
     return a.unionByName(b)
