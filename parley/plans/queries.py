@@ -298,10 +298,12 @@ def q_category_multiplier(spark, sf_dir):
 
 
 def q_union_files(spark, sf_dir):
-    lines = fx.raw_lines(spark, sf_dir)
+    """Read every file on its own, append the rows (bag union), normalise once."""
+    root = jsonl.materialize_raw_lines(spark, sf_dir)
     names = [fx.IDENTITY_FILE] + [f"general_{i}.jsonl" for i in range(4)]
-    per_file = [normalize_rows(lines.where(F.col("file") == n), keep_fields={"conv_id": "bigint"}) for n in names]
-    u = accepted(curate.union_files(per_file))
+    per_file = [jsonl.read_jsonl_lines(spark, f"{root}/file={n}", glob=None, recursive=False)
+                .withColumn("file", F.lit(n)) for n in names]
+    u = accepted(normalize_rows(curate.union_files(per_file), keep_fields={"conv_id": "bigint"}))
     return u.select("file", "conv_id", F.size("messages").cast("bigint").alias("n_messages"))
 
 
