@@ -76,7 +76,7 @@ def glob_to_regex(pattern: str) -> str:
             out.append(".")
         elif c == "[":
             j = i
-            if j < n and pattern[j] in "!^":
+            if j < n and pattern[j] == "!":
                 j += 1
             if j < n and pattern[j] == "]":
                 j += 1
@@ -85,11 +85,15 @@ def glob_to_regex(pattern: str) -> str:
             if j >= n:
                 out.append("\\[")
             else:
-                body = pattern[i:j].replace("\\", "\\\\")
+                body = pattern[i:j]
                 i = j + 1
-                if body[:1] in ("!", "^"):
-                    body = "^" + body[1:]
-                out.append("[" + body + "]")
+                neg = body.startswith("!")          # only '!' negates, as in fnmatch
+                if neg:
+                    body = body[1:]
+                # escape characters that are special inside a set in Java or Python
+                # regex ('[' nests, '&&' intersects, '^' negates); '-' keeps ranges
+                body = "".join("\\" + ch if ch in "\\[]&~|^" else ch for ch in body)
+                out.append("[" + ("^" if neg else "") + body + "]")
         else:
             out.append(re.escape(c))
     return "^(?s:" + "".join(out) + ")$"

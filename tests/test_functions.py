@@ -104,12 +104,16 @@ def test_step_plan(spark):
         (1, 2, 100), (1, 2, 100), (2, 4, 100), (300, 600, 100)]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab*?/.-_c", min_size=0, max_size=6), st.text(alphabet="ab/.-_c", min_size=0, max_size=8))
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab*?/._c[]!^&|", min_size=0, max_size=7), st.text(alphabet="ab/._c!^&|[]", min_size=0, max_size=8))
 def test_glob_matches_fnmatch(pattern, name):
     import re
 
-    expected = fnmatch.fnmatchcase(name, pattern)
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)   # fnmatch's own regex for '[[' sets
+        expected = fnmatch.fnmatchcase(name, pattern)
     assert (re.fullmatch(glob_to_regex(pattern), name) is not None) == expected
 
 
@@ -163,3 +167,13 @@ def test_assistant_mask(spark):
     assert [x for x in got[1] if x is not None] == ["a1", "a2", "<|im_end|>", "b", "<|im_end|>"]
     assert len(got[1]) == 17 and got[2] == [] and got[3] == [None]
     assert got[4] == [None, None, "c", "d"]
+
+
+def test_glob_sets_in_spark(spark):
+    from parley.sources.manifest import match_any_glob
+
+    names = ["[x", "ax", "&x", "^x", "bx", "]x", "!x"]
+    df = spark.createDataFrame([(n,) for n in names], "path string")
+    for pat in ["[[]x", "[!a&]x", "[a^]x", "[]a]x", "[!]]x", "[^]x"]:
+        got = {r["path"] for r in df.where(match_any_glob(F.col("path"), [pat])).collect()}
+        assert got == {n for n in names if fnmatch.fnmatchcase(n, pat)}, pat
