@@ -82,6 +82,15 @@ def find_subseq(haystack, needle, last: bool = False) -> Column:
             .otherwise(F.coalesce(pick, F.lit(-1))))
 
 
+def count_subseq(haystack, needle) -> Column:
+    """Number of (possibly overlapping) occurrences of ``needle`` in ``haystack``."""
+    h, n = _col(haystack), _col(needle)
+    sh, sn = F.size(h), F.size(n)
+    hits = F.filter(F.sequence(F.lit(0), sh - sn),
+                    lambda i: (F.element_at(h, i + 1) == F.element_at(n, 1)) & (F.slice(h, i + 1, sn) == n))
+    return F.when((sn == 0) | (sh < sn), F.lit(0)).otherwise(F.size(hits))
+
+
 def tail(arr, k: int) -> Column:
     """Last ``k`` elements; the whole array when shorter."""
     a = _col(arr)

@@ -315,6 +315,12 @@ ORACLE: dict[str, str] = {
     "completion_mask": _with(RENDER) + """
         SELECT conv_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(mask_start AS BIGINT) AS mask_start,
                CAST(CASE WHEN mask_start IS NULL THEN 0 ELSE len(t) - mask_start END AS BIGINT) AS n_trained FROM mask""",
+    "marker_mismatch": _with(RENDER) + """
+        SELECT k.conv_id, k.n_markers, a.n_assistant, k.n_markers <> a.n_assistant AS mismatch FROM (
+          SELECT conv_id, CAST(len(list_filter(range(0, len(t) - 1),
+                 lambda i: t[i + 1] = '<|im_start|>' AND t[i + 2] = 'assistant')) AS BIGINT) AS n_markers FROM toks) k
+        JOIN (SELECT conv_id, count(*) FILTER (WHERE role = 'assistant') AS n_assistant
+              FROM conversations GROUP BY conv_id) a ON a.conv_id = k.conv_id""",
     "completion_mask_all": _with(RENDER) + f"""
         SELECT t.conv_id, CAST(len(t.t) AS BIGINT) AS n_tokens, coalesce(a.n, 0) AS n_trained
         FROM toks t LEFT JOIN (

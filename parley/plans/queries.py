@@ -430,6 +430,15 @@ def q_completion_mask(spark, sf_dir):
                     F.size(F.filter("labels", lambda x: x.isNotNull())).cast("bigint").alias("n_trained"))
 
 
+def q_marker_mismatch(spark, sf_dir):
+    """Marker occurrences vs assistant turns per conversation (a marker inside other text shifts the mask)."""
+    t = _tokens(spark, sf_dir)
+    n_asst = F.size(F.filter("messages", lambda m: m["role"] == "assistant"))
+    out = t.select("conv_id", template.count_subseq("tokens", _marker()).cast("bigint").alias("n_markers"),
+                   n_asst.cast("bigint").alias("n_assistant"))
+    return out.withColumn("mismatch", F.col("n_markers") != F.col("n_assistant"))
+
+
 def q_completion_mask_all(spark, sf_dir):
     """T7 ``all_assistant``: trained tokens are every assistant turn's content and its end token."""
     t = template.with_assistant_labels(_tokens(spark, sf_dir), "tokens", _marker())
@@ -598,6 +607,7 @@ QUERIES: dict[str, Query] = {
     "marker_tail": q_marker_tail,
     "completion_mask": q_completion_mask,
     "completion_mask_all": q_completion_mask_all,
+    "marker_mismatch": q_marker_mismatch,
     "truncate_tokens": q_truncate_tokens,
     "truncation_report": q_truncation_report,
     "strip_prompt": q_strip_prompt,

@@ -177,3 +177,9 @@ def test_glob_sets_in_spark(spark):
     for pat in ["[[]x", "[!a&]x", "[a^]x", "[]a]x", "[!]]x", "[^]x"]:
         got = {r["path"] for r in df.where(match_any_glob(F.col("path"), [pat])).collect()}
         assert got == {n for n in names if fnmatch.fnmatchcase(n, pat)}, pat
+
+
+def test_count_subseq(spark):
+    assert one(spark, template.count_subseq(arr([1, 2, 1, 2, 1]), arr([1, 2]))) == 2
+    assert one(spark, template.count_subseq(arr([1, 1, 1]), arr([1, 1]))) == 2
+    assert one(spark, template.count_subseq(arr([1]), arr([1, 2]))) == 0
