@@ -385,5 +385,6 @@ ORACLE: dict[str, str] = {
     "join_chunks": "SELECT conv_id, turn, text FROM conversations",
     # --- W ---
     "stream_session": _with(SESSION, _history(20)) + HIST_SELECT,
+    "stream_session_table": _with(SESSION, _history(20)) + HIST_SELECT,
     "stream_normalize": _with(LINES) + NORM_SELECT,
 }

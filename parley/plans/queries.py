@@ -550,6 +550,12 @@ def q_stream_session(spark, sf_dir):
     return run_session_stream(spark, sf_dir).select("conv_id", "turn", "n_history", "history_turns")
 
 
+def q_stream_session_table(spark, sf_dir):
+    from parley.streaming.session_table import run_session_table_stream
+
+    return run_session_table_stream(spark, sf_dir).select("conv_id", "turn", "n_history", "history_turns")
+
+
 def q_stream_normalize(spark, sf_dir):
     from parley.streaming.normalize_stream import run_normalize_stream
 
@@ -626,5 +632,6 @@ QUERIES: dict[str, Query] = {
     "session_prompt": q_session_prompt,
     "join_chunks": q_join_chunks,
     "stream_session": q_stream_session,
+    "stream_session_table": q_stream_session_table,
     "stream_normalize": q_stream_normalize,
 }

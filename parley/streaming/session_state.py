@@ -91,7 +91,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
-                       max_files_per_trigger: int = 256, rocksdb: bool = True) -> DataFrame:
+                       max_files_per_trigger: int = 256, rocksdb: bool = True,
+                       landing: str | None = None) -> DataFrame:
     """Land the session turns as files, run the stream with ``availableNow``, read the result.
 
     ``max_files_per_trigger`` bounds each micro-batch (and so the rows one key
@@ -100,8 +101,10 @@ def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
     heap (set before the query starts; a checkpoint keeps its provider).
     """
     base = work_dir(spark, "stream_session", input_key(sf_dir), uuid.uuid4().hex[:8])
-    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/ckpt"
-    fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
+    out, ckpt = f"{base}/out", f"{base}/ckpt"
+    if landing is None:
+        landing = f"{base}/landing"
+        fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
     if rocksdb:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     stream = (spark.readStream.schema(INPUT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
