@@ -31,8 +31,8 @@ def _cols(cs) -> list[Column]:
 
 
 def range_partitions(df: DataFrame) -> int:
-    """Slice count for a range exchange: ~128 MiB per slice by the optimizer's size
-    estimate, never fewer than ``spark.sql.shuffle.partitions``.
+    """Slice count for a range exchange: ~128 MiB of input per slice, never fewer
+    than ``spark.sql.shuffle.partitions``.
 
     The range exchanges here use an explicit count (so AQE leaves them alone);
     sizing it from the input keeps slices bounded from 1 GB to 100 TB.
@@ -40,7 +40,12 @@ def range_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        # Sum of the leaf (scan / checkpoint / local) sizes: real input bytes.
+        # The root estimate multiplies through joins and can be absurd.
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        # a leaf without statistics reports the default (huge) size: leave it out
+        size = sum(x for x in sizes if x < (1 << 62))
     except Exception:  # noqa: BLE001 - estimate unavailable
         return base
     return int(min(MAX_SLICES, max(base, -(-size // TARGET_SLICE_BYTES))))
