@@ -8,6 +8,11 @@ state rows are rewritten.  No Python runs per key, so throughput grows with the
 cluster rather than with per-key calls.  The state for batch ``b`` is written
 to ``state/v=<b>`` (overwrite), so a replayed batch rewrites the same version.
 
+Trade-off: each batch rewrites the whole state table (copy-on-write, one row
+per conversation ever seen), so per-batch cost grows with the number of
+conversations; it pays off with large triggers and many keys, where the
+state-function form is bound by per-key Python calls.
+
 Semantics equal ``session_state.history_state_fn``: turns at or below the last
 processed turn are dropped, a batch is processed in turn order, nothing after
 ``/exit`` is processed.
@@ -32,21 +37,21 @@ INPUT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
 def _read_state(spark: SparkSession, state_root: str, before: int) -> DataFrame:
-    """Latest state version written by a batch before ``before`` (empty if none)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = []
-    if fs.exists(path):
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                v = int(name[2:])
-                if v < before:
-                    versions.append(v)
-    if not versions:
+    """Newest state version written by a batch before ``before`` (empty if none).
+
+    Versions are partition folders ``v=<batch>``; a batch writes its version
+    completely before the next batch starts, so every ``v < before`` is whole.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        allv = spark.read.schema(STATE_SCHEMA + ", v long").parquet(state_root)
+        latest = allv.where(F.col("v") < before).agg(F.max("v")).first()[0]   # one scalar
+    except AnalysisException:      # no state written yet
+        latest = None
+    if latest is None:
         return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(f"{state_root}/v={max(versions)}")
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{state_root}/v={latest}")
 
 
 def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
