@@ -44,9 +44,9 @@ from parley.llm.suffix_array import kasai, suffix_array
 
 LENGTH = 50
 K = 24
-PIECE = 4 << 20
-CHUNK = 1 << 20
-ANCHOR_BYTES = 8 << 20  # of anchors to an owner
+PIECE = 2 << 20
+CHUNK = 1 << 18
+ANCHOR_BYTES = 4 << 20  # of anchors to an owner
 SHARD_BYTES = 2 << 20  # of units to a shard
 HOT_PIECES = 64
 MANY = 64
