@@ -17,7 +17,7 @@ from parley.llm.queries import tokenizer_path
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose perplexity is above their language's threshold (trusted: labelled good)."""
-    return quality.keep_quality(docs, quality.trusted_rows(docs, table(spark, sf_dir, "labels")))
+    return quality.keep_quality(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,13 @@ def release(spark: SparkSession) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def only(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose id is in ``ids``, by a shuffle on the id at every size."""
+    return df.join(ids.hint("shuffle_hash"), id_col, "left_semi")
+
+
+def without(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose id is not in ``ids`` (a null id stays), by a shuffle on the id at every size."""
+    return df.join(ids.hint("shuffle_hash"), id_col, "left_anti")

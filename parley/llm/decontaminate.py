@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import stash, text_of
+from parley.llm.common import stash, text_of, without
 
 WINDOW = 13
 SHARE = 0.8
@@ -247,4 +247,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """``docs`` (all columns) without the texts that overlap a benchmark item."""
     gone = contamination(docs, benchmark, id_col, text_col).where("contaminated").select(
         F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, gone, id_col)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import release, stash, text_of
+from parley.llm.common import release, stash, text_of, without
 
 WHITESPACE = "[\\x20\\x09-\\x0D]+"
 BUCKET_BYTES = 16 * 1024 * 1024
@@ -138,6 +138,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) without the rows that are copies of a smaller doc_id."""
     gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, gone, id_col)
 
 

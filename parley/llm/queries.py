@@ -30,7 +30,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.quality(docs, quality.trusted_rows(docs, table(spark, sf_dir, "labels")))
+    return quality.quality(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

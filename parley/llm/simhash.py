@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import release, stash, text_of
+from parley.llm.common import release, stash, text_of, without
 from parley.llm.components import star_components
 
 SHINGLE_WORDS = 3
@@ -180,4 +180,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` (all columns) with the smallest doc_id of each component."""
     got = simhash_components(docs, id_col, text_col)
     gone = got.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, gone, id_col)

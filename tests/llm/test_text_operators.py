@@ -29,7 +29,7 @@ def test_kneser_ney_probabilities_sum_to_one(spark, docs_of, real_docs, monkeypa
 def test_quality_rejects_junk_and_keeps_clean(spark, docs_of, real_docs):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    got = {r.doc_id: r.kept for r in quality.quality(d, quality.trusted_rows(d, labels)).collect()}
+    got = {r.doc_id: r.kept for r in quality.quality(d, quality.trusted_ids(labels)).collect()}
     good = [got[r.doc_id] for r in labels.collect() if r.quality == 1]
     bad = [got[r.doc_id] for r in labels.collect() if r.quality == 0]
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.4
@@ -38,16 +38,17 @@ def test_quality_rejects_junk_and_keeps_clean(spark, docs_of, real_docs):
 def test_quality_edge_cases(spark, docs_of, real_docs):
     rows = [(d, t, lang) for d, t, lang in real_docs[:80]]
     df = docs_of(rows + ODD, extra=("perplexity", "kept", "threshold", "_l", "id"))
-    got = [r for r in quality.quality(df, docs_of(rows)).collect()]
+    good = docs_of(rows).select("doc_id")
+    got = [r for r in quality.quality(df, good).collect()]
     assert len(got) == len(rows) + len(ODD)
     by = {r.doc_id: r for r in got}
     assert by[900].perplexity is None and not by[900].kept and not by[901].kept and not by[902].kept
-    kept = quality.keep_quality(df, docs_of(rows))
+    kept = quality.keep_quality(df, good)
     assert kept.columns[0] == "doc_id" and set(kept.columns) == set(df.columns)
     assert any(r.doc_id is None for r in kept.collect())
     untrained = quality.quality(df, docs_of([])).collect()  # no trusted text
     assert all(r.kept == (r.perplexity is not None) for r in untrained)
-    assert quality.quality(docs_of([]), docs_of(rows)).count() == 0
+    assert quality.quality(docs_of([]), good).count() == 0
 
 
 # --- language ------------------------------------------------------------------------------------------------------
