@@ -8,7 +8,8 @@
 * Only keys held by two or more rows need their bytes compared, so only those
   texts are indexed.  Copies are collapsed before the exchange, in ``SALTS``
   slices per key: one text held by a third of all rows reaches its owner as at
-  most ``SALTS`` entries.
+  most ``SALTS`` entries.  Keys with over 1/``HOT_SHARE`` of all rows (fewer than
+  ``HOT_SHARE`` of them) are also joined in slices.
 * Index entries are written to shared files by bucket.  An owner task takes a
   bucket (a key range), chains the entries that share a key, and compares the
   bytes of each new entry with those in the chain: equal bytes join a group,
@@ -33,7 +34,8 @@ from parley.llm.common import release, stash, text_of, without
 
 WHITESPACE = "[\\x20\\x09-\\x0D]+"
 BUCKET_BYTES = 16 * 1024 * 1024
-SALTS = 16
+SALTS = 64
+HOT_SHARE = 512
 MAX_DEPTH = 18
 STEP = 6  # prefix bits added per histogram round
 
@@ -116,18 +118,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                              F.octet_length("norm").cast("long").alias("bytes")), "exact-meta")
     # keys of two or more rows; load: bytes that reach the owner after salted collapsing
     dup = meta.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("b")).where("n > 1")
-    dup = stash(dup.select("key", (F.least("n", F.lit(SALTS)) * (F.col("b") + 64)).alias("load")), "exact-keys")
+    dup = stash(dup.select("key", "n", (F.least("n", F.lit(SALTS)) * (F.col("b") + 64)).alias("load")), "exact-keys")
     buckets, depth = build_directory(dup, capacity)
     slots = _directory_table(spark, buckets, depth)
-    owned = dup.select("key", _prefix(depth).alias("slot")).join(F.broadcast(slots), "slot").select("key", "bucket")
-    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS))
-    entries = (base.join(owned, "key").groupBy("bucket", "key", salt.alias("salt"), "norm")
+    hot = [r["key"] for r in dup.where(F.col("n") > max(SALTS, meta.count() // HOT_SHARE)).select("key").collect()]
+    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
+    slice_of = F.when(F.col("key").isin(hot), salt).otherwise(0) if hot else F.lit(0)
+    slices = F.explode(F.when(F.col("key").isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0)))) if hot else F.lit(0)
+    owned = dup.select("key", _prefix(depth).alias("slot")).join(F.broadcast(slots), "slot").select(
+        "key", "bucket", slices.alias("slice"))
+    entries = (base.withColumn("slice", slice_of).join(owned, ["key", "slice"])
+               .groupBy("bucket", "key", salt.alias("salt"), "norm")
                .agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n")))
     index = stash(entries.select("bucket", "key", "norm", "doc", "n"), "exact-index")
     groups = stash(index.groupBy("bucket").applyInPandas(_chains, "key long, sha binary, keep long, size long")
                    .where("size > 1"), "exact-groups")
     release(spark)
-    out = meta.join(groups, ["key", "sha"], "left")
+    out = meta.withColumn("slice", slice_of).join(groups.withColumn("slice", slices), ["key", "sha", "slice"], "left")
     keep = F.when(F.col("size").isNull(), F.col("doc")).otherwise(F.col("keep"))
     return out.select(F.col("doc").alias("doc_id"), keep.alias("keep_id"),
                       F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
