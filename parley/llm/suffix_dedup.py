@@ -3,6 +3,9 @@
 A byte of a document is removed if it lies in a string of ``LENGTH`` (50) bytes that also
 starts in a document with a smaller doc_id.  Exact, over whole texts as UTF-8 bytes.
 
+0. *Copies.*  A whole text of 50 bytes or more that a smaller doc_id has too is covered by it
+   and needs no search: copies are found by their SHA-256 first, and only one text of each
+   group goes on.
 1. *Shards.*  Texts are packed into pieces of about ``PIECE`` bytes, written once.  Every
    ``LENGTH``-byte window has an anchor: of the ``LENGTH - K + 1`` ``K``-byte grams in it the one
    with the smallest hash (the leftmost on a tie).  Equal windows have equal anchors at equal
@@ -47,7 +50,7 @@ K = 24
 PIECE = 2 << 20
 CHUNK = 1 << 18
 ANCHOR_BYTES = 4 << 20  # of anchors to an owner
-SHARD_BYTES = 2 << 20  # of units to a shard
+SHARD_BYTES = 3 << 20  # of units to a shard
 HOT_PIECES = 64
 MANY = 64
 FLAGS = 1 << 40
@@ -182,6 +185,15 @@ def shared_units(data: np.ndarray, sizes: np.ndarray, shared: np.ndarray, hot: n
     return x
 
 
+def unit_hashes(flat: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``u`` of units whose bytes stand one after another in ``flat``."""
+    t = _tables()
+    size = n + LENGTH - 1
+    before = np.cumsum(size) - size
+    inner = np.arange(len(flat)) - np.repeat(before, size)
+    return mix(np.add.reduceat(t["byte"][flat] * t["up"][inner], before) + n.astype(np.uint64))
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids: list[int] = []
     texts: list[bytes] = []
@@ -201,7 +213,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if texts and held + len(text) > PIECE:
                 yield piece()
                 ids, texts, held = [], [], 0
-            ids.append(NONE if doc is None else doc)
+            ids.append(doc)
             texts.append(text)
             held += len(text)
     if texts:
@@ -304,10 +316,10 @@ def _unit_rows(shards: int):
                     continue
                 doc = ids[x["own"]]
                 low, high = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
-                key, u, n, pos = (x[c][first] for c in ("key", "u", "n", "pos"))
+                key, n, pos = (x[c][first] for c in ("key", "n", "pos"))
                 for s, a, b in _slices(key, shards):
                     flat = spans_flat(data, pos[a:b], n[a:b] + LENGTH - 1)
-                    out.append((s, piece, a, pack(key[a:b], u[a:b], n[a:b].astype(np.uint8), low[a:b],
+                    out.append((s, piece, a, pack(key[a:b], n[a:b].astype(np.uint8), low[a:b],
                                                   (high[a:b] > low[a:b]).astype(np.uint8), flat)))
         return pd.DataFrame(out, columns=["shard", "piece", "slot", "units"])
 
@@ -332,10 +344,10 @@ def window_minima(flat: np.ndarray, n: np.ndarray, low: np.ndarray) -> np.ndarra
 
 def _shard_answers(rows: pd.DataFrame) -> pd.DataFrame:
     """One shard: merge the pieces' units; smallest doc of every window, for units where it can matter."""
-    got = [unpack(b, np.uint64, np.uint64, np.uint8, np.int64, np.uint8, np.uint8) for b in rows["units"]]
-    key, u, n, low, several = (np.concatenate([g[i] for g in got]) for i in range(5))
+    got = [unpack(b, np.uint64, np.uint8, np.int64, np.uint8, np.uint8) for b in rows["units"]]
+    key, n, low, several, flat = (np.concatenate([g[i] for g in got]) for i in range(5))
     n = n.astype(np.int64)
-    flat = np.concatenate([g[5] for g in got])
+    u = unit_hashes(flat, n)
     at = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
     order = np.lexsort((u, key))
     new = np.r_[True, (key[order][1:] != key[order][:-1]) | (u[order][1:] != u[order][:-1])]
@@ -415,8 +427,17 @@ ANSWER = "piece long, kind int, answer binary, size long"
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row; with ``texts`` also ``kept`` (bytes)."""
     spark = docs.sparkSession
-    pieces = stash(docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("text")).mapInArrow(
-        _pieces, "piece long, bytes long, blob binary"), "suffix-pieces")
+    text = text_of(text_col)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NONE)).alias("doc"), text.alias("text"),
+                       F.sha2(text, 256).alias("sha"))
+    whole = stash(rows.where(F.octet_length("text") >= LENGTH).select(
+        "doc", F.unhex("sha").alias("sha"), F.octet_length("text").cast("long").alias("bytes")), "suffix-whole")
+    first = whole.groupBy("sha").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    copies = stash(whole.join(first, "sha").where("doc > first").select("doc", F.lower(F.hex("sha")).alias("sha"), "bytes"),
+                   "suffix-copies")
+    one = rows.join(copies.select("doc", "sha").distinct().hint("shuffle_hash"), ["doc", "sha"], "left_anti")
+    pieces = stash(one.select("doc", "text").mapInArrow(_pieces, "piece long, bytes long, blob binary"), "suffix-pieces")
+    release(spark)
     total = pieces.agg(F.sum("bytes")).first()[0] or 0
     owners = int(max(1, -(-total // (ANCHOR_BYTES * 2))))  # about 0.07 anchors a byte
     anchors = pieces.mapInArrow(_anchor_rows(owners), "owner int, piece long, keys binary, flags binary")
@@ -430,4 +451,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     release(spark)
     answers = shared.unionByName(marks)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
-    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInPandas(_finish(texts), schema)
+    out = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInPandas(_finish(texts), schema)
+    gone = copies.select(F.nullif("doc", F.lit(NONE)).alias("doc_id"), F.col("bytes").alias("n_bytes"),
+                         F.col("bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+                         F.sha2(F.lit(""), 256).alias("kept_sha256"), *[F.lit(b"").alias("kept")] * texts)
+    return out.unionByName(gone)
