@@ -21,9 +21,9 @@ starts in a document with a smaller doc_id.  Exact, over whole texts as UTF-8 by
 4. *Marks.*  The answers go back to their pieces; a window whose class has a smaller doc_id
    marks its bytes.
 
-No shard holds an unbounded group: a piece sends equal units once, and an anchor that occurs in
-more than ``HOT_PIECES`` pieces or ``MANY`` times in one is keyed by whole windows instead, so that
-each key has one content and each piece one entry for it.  Numbers of owners follow the bytes.
+No shard holds an unbounded group: a piece sends equal units once, and an anchor with more than
+``HOT_UNITS`` units (counted by its owner, over all pieces) is keyed by whole windows instead, so
+that each key has one content and each piece one entry for it.  Numbers of owners follow the bytes.
 
 Defined results: null text is empty; texts under 50 bytes keep everything; repeated rows of one
 doc_id do not remove each other's bytes; a null doc_id counts as larger than all others; invalid
@@ -51,9 +51,8 @@ PIECE = 2 << 20
 CHUNK = 1 << 18
 ANCHOR_BYTES = 4 << 20  # of anchors to an owner
 SHARD_BYTES = 3 << 20  # of units to a shard
-HOT_PIECES = 64
-MANY = 64
-FLAGS = 1 << 40
+HOT_UNITS = 30_000
+FLAGS = 1 << 60
 NONE = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLES: dict[str, np.ndarray] = {}
@@ -64,7 +63,7 @@ def pack(*arrays: np.ndarray) -> bytes:
 
     parts = [a.tobytes() for a in arrays]
     head = np.array([len(parts), *map(len, parts)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(parts))
 
 
 def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -260,31 +259,32 @@ def _anchor_rows(owners: int):
             for piece, blob in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
                 ids, sizes, data = _open(blob)
                 x = units(data, sizes)
-                order = np.argsort(x["key"], kind="stable")
-                key, doc = x["key"][order], ids[x["own"][order]]
-                first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-                if not len(first):
+                order = np.lexsort((x["u"], x["key"]))
+                key, u, doc = x["key"][order], x["u"][order], ids[x["own"][order]]
+                if not len(key):
                     continue
+                fresh = np.r_[True, key[1:] != key[:-1]]
+                first = np.flatnonzero(fresh)
                 several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-                flag = several + 2 * (np.diff(np.r_[first, len(key)]) > MANY)
+                differ = np.add.reduceat((fresh | np.r_[True, u[1:] != u[:-1]]).astype(np.int64), first)
+                note = (np.minimum(differ, 32_000) * 2 + several).astype(np.uint16)
                 key = key[first]
-                rows = [(o, piece, key[a:c].tobytes(), flag[a:c].astype(np.uint8).tobytes()) for o, a, c in _slices(key, owners)]
+                rows = [(o, piece, pack(key[a:c], note[a:c])) for o, a, c in _slices(key, owners)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["owner", "piece", "keys", "flags"])
+                    [pa.array(v, t) for v, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))],
+                    ["owner", "piece", "anchors"])
 
     return run
 
 
 def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
     """One key range: which anchors of each piece occur in two documents, and which are hot."""
-    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-    flags = [np.frombuffer(f, np.uint8).astype(np.int64) for f in rows["flags"]]
-    # number of pieces; flags: two documents in a piece, many places in a piece
-    whole, count = merge_runs([(k, 1 + FLAGS * f) for k, f in zip(keys, flags)])
-    pieces, flag = count % FLAGS, count // FLAGS
-    shared = (pieces > 1) | (flag & 1 > 0)
-    hot = (pieces > HOT_PIECES) | (flag & 2 > 0)
+    runs = [unpack(a, np.uint64, np.uint16) for a in rows["anchors"]]
+    keys = [k for k, _ in runs]
+    # pieces in the low 26 bits, units above them; flag: two documents in a piece
+    whole, count = merge_runs([(k, 1 + ((n >> 1).astype(np.int64) << 26) + FLAGS * (n & 1).astype(np.int64)) for k, n in runs])
+    shared = (count & ((1 << 26) - 1) > 1) | (count >= FLAGS)
+    hot = (count % FLAGS) >> 26 > HOT_UNITS
     out = []
     for piece, k in zip(rows["piece"], keys):
         at = np.searchsorted(whole, k)
@@ -440,7 +440,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     release(spark)
     total = pieces.agg(F.sum("bytes")).first()[0] or 0
     owners = int(max(1, -(-total // (ANCHOR_BYTES * 2))))  # about 0.07 anchors a byte
-    anchors = pieces.mapInArrow(_anchor_rows(owners), "owner int, piece long, keys binary, flags binary")
+    anchors = pieces.mapInArrow(_anchor_rows(owners), "owner int, piece long, anchors binary")
     shared = stash(anchors.groupBy("owner").applyInPandas(_shared_anchors, ANSWER), "suffix-anchors")
     release(spark)
     units_total = shared.agg(F.sum("size")).first()[0] or 0
