@@ -51,6 +51,7 @@ PIECE = 2 << 20
 CHUNK = 1 << 18
 ANCHOR_BYTES = 4 << 20  # of anchors to an owner
 SHARD_BYTES = 3 << 20  # of units to a shard
+TEXT_BYTES = 1 << 19  # of units in one suffix array; the units of an anchor stay together
 HOT_UNITS = 30_000
 FLAGS = 1 << 60
 NONE = np.iinfo(np.int64).max
@@ -345,9 +346,9 @@ def window_minima(flat: np.ndarray, n: np.ndarray, low: np.ndarray) -> np.ndarra
 def _shard_answers(rows: pd.DataFrame) -> pd.DataFrame:
     """One shard: merge the pieces' units; smallest doc of every window, for units where it can matter."""
     got = [unpack(b, np.uint64, np.uint8, np.int64, np.uint8, np.uint8) for b in rows["units"]]
+    u = np.concatenate([unit_hashes(g[4], g[1].astype(np.int64)) for g in got])
     key, n, low, several, flat = (np.concatenate([g[i] for g in got]) for i in range(5))
     n = n.astype(np.int64)
-    u = unit_hashes(flat, n)
     at = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
     order = np.lexsort((u, key))
     new = np.r_[True, (key[order][1:] != key[order][:-1]) | (u[order][1:] != u[order][:-1])]
@@ -360,11 +361,16 @@ def _shard_answers(rows: pd.DataFrame) -> pd.DataFrame:
     alike = np.r_[False, k1[1:] == k1[:-1]] | np.r_[k1[1:] == k1[:-1], False]
     offset = np.cumsum(n1) - n1
     minima = np.repeat(least, n1)
-    if alike.any():
-        pick = one[alike]
-        text = spans_flat(flat, at[pick], n[pick] + LENGTH - 1)
-        where = np.repeat(offset[alike] - (np.cumsum(n1[alike]) - n1[alike]), n1[alike]) + np.arange(int(n1[alike].sum()))
-        minima[where] = window_minima(text, n1[alike], least[alike])
+    # blocks of whole anchors with about TEXT_BYTES of units that differ
+    differ = np.flatnonzero(alike)
+    size = np.cumsum(n1[differ] + LENGTH - 1)
+    start = np.flatnonzero(np.r_[True, k1[differ][1:] != k1[differ][:-1]][: len(differ)])
+    block = (size[start] // TEXT_BYTES) if len(differ) else start
+    for cut in np.split(differ, start[1:][block[1:] != block[:-1]]) if len(differ) else ():
+        pick, m = one[cut], n1[cut]
+        text = spans_flat(flat, at[pick], m + LENGTH - 1)
+        where = np.repeat(offset[cut] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+        minima[where] = window_minima(text, m, least[cut])
     best = np.minimum.reduceat(minima, offset)
     out, done = [], 0
     for piece, slot, g in zip(rows["piece"], rows["slot"], got):

@@ -68,7 +68,7 @@ def test_real_documents(spark, real_docs, docs_of, monkeypatch):
 @pytest.mark.parametrize("small", [True, False])
 def test_random_overlaps_hot_passages_many_pieces(spark, docs_of, monkeypatch, small):
     if small:  # many pieces, owners and shards, and anchors that are hot
-        for name, value in (("PIECE", 3000), ("CHUNK", 700), ("ANCHOR_BYTES", 400), ("SHARD_BYTES", 3000),
+        for name, value in (("PIECE", 3000), ("CHUNK", 700), ("ANCHOR_BYTES", 400), ("SHARD_BYTES", 9000), ("TEXT_BYTES", 1500),
                             ("HOT_UNITS", 6)):
             monkeypatch.setattr(S, name, value)
         S._TABLES.clear()
