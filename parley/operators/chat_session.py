@@ -30,9 +30,11 @@ HISTORY_CAP = 20
 
 
 def command_kind(text_col: str = "text", role_col: str = "role") -> Column:
-    """H1: 'response' (assistant row), 'skip' (blank), 'exit' / 'clear' / 'history', or 'message'."""
+    """H1: 'response' (assistant row), 'skip' (blank, or neither user nor assistant), 'exit' / 'clear' / 'history',
+    or 'message'."""
     t = F.lower(strip_ws(F.col(text_col)))
-    k = F.when(F.col(role_col) != "user", F.lit("response")).when(t == "", F.lit("skip"))
+    k = F.when(F.col(role_col) == "assistant", F.lit("response")).when(
+        (t == "") | (F.coalesce(F.col(role_col), F.lit("")) != "user"), F.lit("skip"))
     for cmd, kind in COMMANDS.items():
         k = k.when(t == cmd, F.lit(kind))
     return k.otherwise(F.lit("message"))
@@ -40,8 +42,11 @@ def command_kind(text_col: str = "text", role_col: str = "role") -> Column:
 
 def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                    skew_safe: bool = True) -> DataFrame:
-    """H2: ``kind`` and ``epoch`` (number of ``/clear`` so far); rows from the first ``/exit`` on are dropped."""
-    k = (turns.withColumn("kind", command_kind())
+    """H2: ``kind`` and ``epoch`` (number of ``/clear`` so far); rows from the first ``/exit`` on are dropped.
+
+    Texts are stripped on both sides.
+    """
+    k = (turns.withColumn("text", strip_ws(F.col("text"))).withColumn("kind", command_kind())
          .withColumn("_c", (F.col("kind") == "clear").cast("long"))
          .withColumn("_x", (F.col("kind") == "exit").cast("long"))
          .withColumn("_m", F.col("kind").isin("message", "response").cast("long")))

@@ -23,8 +23,6 @@ PREP_EPOCHS = 2
 PREP_ITERS_PER_SEC = 0.15           # assumed speed used for the time estimate
 # -----------------------------------------------------------------------------
 
-_RULE_INLINE_LIMIT = 100
-
 
 class GuardError(RuntimeError):
     """Raised by an enforced guard before any sink runs."""
@@ -56,21 +54,8 @@ def multiplier_expr(file_col, rules: Sequence[tuple[str, int]], default: int = 1
 
 def file_multiplier(files: DataFrame, rules: Sequence[tuple[str, int]], file_col: str = "file",
                     default: int = 1) -> DataFrame:
-    """J1 over a file table: ``(file, mult)``.
-
-    Up to 100 rules inline as a CASE; longer rule lists become a broadcast rule
-    table (size = the rule list) joined on ``instr`` and reduced with
-    ``min_by(mult, priority)``.
-    """
-    if len(rules) <= _RULE_INLINE_LIMIT:
-        return files.select(file_col, multiplier_expr(file_col, rules, default).alias("mult"))
-    spark = files.sparkSession
-    rt = spark.createDataFrame([(i, k.lower(), int(m)) for i, (k, m) in enumerate(rules)],
-                               "priority int, keyword string, mult int")
-    f = files.select(file_col).withColumn("_stem", file_stem(file_col))
-    j = f.join(F.broadcast(rt), F.instr(F.col("_stem"), F.col("keyword")) > 0, "left")
-    return j.groupBy(file_col).agg(
-        F.coalesce(F.min_by("mult", "priority"), F.lit(int(default))).alias("mult"))
+    """J1 over a file table: ``(file, mult)``, one row per input row for any number of rules."""
+    return files.select(file_col, multiplier_expr(file_col, rules, default).alias("mult"))
 
 
 def category_multiplier(category_col, mults: dict[str, int], default: int = 1) -> Column:

@@ -51,6 +51,13 @@ def range_partitions(df: DataFrame) -> int:
     return int(min(MAX_SLICES, max(base, -(-size // TARGET_SLICE_BYTES))))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null (as in a window's partitions)."""
+    right = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return left.join(right, on).drop(*[f"_k_{k}" for k in keys])
+
+
 def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
                 name: str = "rn", num_partitions: int | None = None,
                 first_of: Sequence[str] = ()) -> DataFrame:
@@ -103,7 +110,7 @@ def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     slices = numbered.groupBy("_pid", *pk).agg(*firsts_cols)
     w = Window.partitionBy(*pk)
     slices = slices.select("_pid", *pk, F.min(F.col("_f")).over(w).alias("_f"))
-    out = numbered.join(slices, ["_pid", *pk]).withColumn(name, F.col("_g") - F.col("_f._g") + 1)
+    out = null_safe_join(numbered, slices, ["_pid", *pk]).withColumn(name, F.col("_g") - F.col("_f._g") + 1)
     for c in first_of:
         out = out.withColumn(f"first_{c}", F.col(f"_f.{c}"))
     return out.drop("_pid", "_mid", "_off", "_g", "_f")
@@ -138,7 +145,7 @@ def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, par
     w_prev = Window.partitionBy(*pk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = slices.select("_pid", *pk, *[F.coalesce(F.sum(f"_t_{o}").over(w_prev), F.lit(0)).alias(f"_o_{o}")
                                         for o in values])
-    out = local.join(offs, ["_pid", *pk])
+    out = null_safe_join(local, offs, ["_pid", *pk])
     out = out.select("*", *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in values])
     return out.drop("_pid", "_mid", *[f"_l_{o}" for o in values], *[f"_o_{o}" for o in values])
 
@@ -156,6 +163,8 @@ def sliding_collect(df: DataFrame, items: Column, frame: int, order_by: Sequence
     partition however large the group — and halo copies are dropped.
     ``ordinal_col`` skips the numbering pass when the rows already carry one.
     """
+    if frame > chunk_rows:
+        raise ValueError(f"frame {frame} does not fit in chunks of {chunk_rows} rows")
     if ordinal_col:
         # caller already has a 1-based, gap-free ordinal within the group
         numbered = df.withColumn("_item", items).withColumn("_rn", F.col(ordinal_col))

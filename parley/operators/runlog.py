@@ -47,9 +47,10 @@ def latest_checkpoint(ckpts: DataFrame, run_col: str = "run_id", path_col: str =
 
 def best_checkpoint(ckpts: DataFrame, run_col: str = "run_id", path_col: str = "path",
                     loss_col: str = "eval_loss") -> DataFrame:
-    """M4: lowest eval loss per run; ties go to the lowest step."""
+    """M4: lowest eval loss per run; ties go to the lowest step.  Checkpoints without a loss are no candidates."""
     st = checkpoint_step(path_col)
-    c = ckpts.select(run_col, path_col, loss_col, st.alias("_step")).where(F.col("_step").isNotNull())
+    c = ckpts.select(run_col, path_col, loss_col, st.alias("_step")).where(
+        F.col("_step").isNotNull() & F.col(loss_col).isNotNull())
     return c.groupBy(run_col).agg(
         F.min_by(F.struct(path_col, loss_col), F.struct(loss_col, "_step")).alias("_b")).select(
         run_col, F.col(f"_b.{path_col}").alias(path_col), F.col(f"_b.{loss_col}").alias(loss_col))

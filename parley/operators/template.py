@@ -32,9 +32,12 @@ def _col(c) -> Column:
 
 def render_chat(messages, add_generation_prompt: bool = False,
                 start: str = IM_START, end: str = IM_END) -> Column:
-    """``<start>role\\ncontent<end>\\n`` per message; optional open assistant turn."""
+    """``<start>role\\ncontent<end>\\n`` per message; optional open assistant turn.
+
+    A null role or content counts as empty: the message stays in the text.
+    """
     body = F.array_join(F.transform(_col(messages), lambda m: F.concat(
-        F.lit(start), m["role"], F.lit("\n"), m["content"], F.lit(end), F.lit("\n"))), "")
+        F.lit(start), F.coalesce(m["role"], F.lit("")), F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(end), F.lit("\n"))), "")
     if add_generation_prompt:
         body = F.concat(body, F.lit(start), F.lit("assistant\n"))
     return body

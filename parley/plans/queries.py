@@ -7,6 +7,7 @@ returns flat columns whose names match ``parley.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,30 +47,6 @@ MARKER_TOKENS = ["<|im_start|>", "assistant"]
 
 # ---- shared building blocks ---------------------------------------------------
 
-_PLAN_MEMO: dict = {}
-
-
-def _memo_plan(fn):
-    """Reuse a *lazy* building block's DataFrame within one Spark application.
-
-    Only plan construction is saved (Python-side expression building and
-    analysis); every query still executes all of its work.  Blocks that run
-    an action when built (numbering checkpoints, written tables) are not
-    memoised.
-    """
-    def wrapper(spark, sf_dir, **kw):
-        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
-        df = _PLAN_MEMO.get(key)
-        if df is None:
-            df = _PLAN_MEMO[key] = fn(spark, sf_dir, **kw)
-        return df
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-@_memo_plan
 def _normalized(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     prepare(spark)
     return normalize_rows(fx.raw_lines(spark, sf_dir), keep_fields={"conv_id": "bigint"}, **kw)
@@ -80,7 +57,6 @@ def _with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("conv_id", F.coalesce(F.col("conv_id"), fx.line_conv_id(F.col("value"))))
 
 
-@_memo_plan
 def _prep_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell-5 flow up to the keyword flag: normalise → multiplier → oversample → flag."""
     ok = accepted(_normalized(spark, sf_dir)).withColumn("mult", curate.multiplier_expr("file", MULT_RULES))
@@ -91,7 +67,6 @@ def _coverage(spark, sf_dir):
     return curate.keyword_coverage(_prep_rows(spark, sf_dir))
 
 
-@_memo_plan
 def _conv_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(conv_id, messages)`` straight from the conversations table (turn order)."""
     conv = fx.table(spark, sf_dir, "conversations")
@@ -100,7 +75,6 @@ def _conv_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         x["role"].alias("role"), x["text"].alias("content"))).alias("messages"))
 
 
-@_memo_plan
 def _flagged_convs(spark, sf_dir):
     return curate.keyword_flag(_conv_messages(spark, sf_dir), KEYWORDS)
 
@@ -109,7 +83,6 @@ def _msg_rows(df: DataFrame) -> DataFrame:
     return explode_messages(df, keep=["conv_id"]).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-@_memo_plan
 def _rendered(spark, sf_dir):
     m = _conv_messages(spark, sf_dir)
     first_a = F.try_element_at(F.filter("messages", lambda x: x["role"] == "assistant"), F.lit(1))["content"]
@@ -117,7 +90,6 @@ def _rendered(spark, sf_dir):
                     first_a.alias("first_response"))
 
 
-@_memo_plan
 def _tokens(spark, sf_dir):
     r = _rendered(spark, sf_dir)
     return r.withColumn("tokens", template.tokenize_simple("text"))
@@ -188,7 +160,7 @@ def q_jsonl_rejects(spark, sf_dir):
 
 
 def _sink_path(spark, sf_dir):
-    return work_dir(spark, "train_jsonl", input_key(sf_dir))
+    return work_dir(spark, "train_jsonl", input_key(sf_dir), uuid.uuid4().hex[:12])  # a new folder per call
 
 
 def _write_train(spark, sf_dir) -> str:
@@ -222,7 +194,7 @@ def q_train_coverage_guard(spark, sf_dir):
 
 def q_marker_roundtrip(spark, sf_dir):
     r = _rendered(spark, sf_dir).select("conv_id", template.marker_tail("text", "first_response", 3).alias("ids"))
-    path = work_dir(spark, "marker_ids", input_key(sf_dir))
+    path = work_dir(spark, "marker_ids", input_key(sf_dir), uuid.uuid4().hex[:12])
     jsonl.write_json_arrays(r, path)
     back = jsonl.read_json_arrays(spark, path, "conv_id bigint, ids array<string>")
     return back.select("conv_id", F.posexplode("ids").alias("pos", "token")).withColumn(

@@ -67,6 +67,8 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
             # SparkContext appends a random child folder; use its parent.
             base = os.path.dirname(base.rstrip("/"))
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # Unset: local tests only.  Create one and register it so later
         # checkpoint() calls and other helpers agree on the location.
         base = tempfile.mkdtemp(prefix="parley-ckpt-")
@@ -77,7 +79,8 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 
 def input_key(sf_dir: str) -> str:
     """Stable folder name for inputs derived from one data directory."""
-    return hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    path = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+    return hashlib.md5(path.encode()).hexdigest()[:12]
 
 
 def materialize(df, name: str):

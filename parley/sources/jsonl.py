@@ -8,6 +8,7 @@ hidden ``_metadata`` column.  True 1-based line numbers are optional
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,19 +73,13 @@ def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-_WRITTEN: set = set()
-
-
 def materialize_raw_lines(spark: SparkSession, sf_dir: str) -> str:
     """Write the derived raw lines as JSONL text files, one folder per logical file.
 
     Layout ``<work>/raw_lines/<key>/file=<name>/part-*``; read back with
     ``read_jsonl_lines(..., glob=None, recursive=False, file_col="file")``.
     """
-    out = work_dir(spark, "raw_lines", input_key(sf_dir))
-    key = (spark.sparkContext.applicationId, out)
-    if key in _WRITTEN:   # derived input: written once per application
-        return out
+    out = work_dir(spark, "raw_lines", input_key(sf_dir), uuid.uuid4().hex[:12])  # always of the folder's present files
     raw = fixtures.raw_lines(spark, sf_dir).withColumn("_id", fixtures.line_conv_id(F.col("value")))
     # Range-partitioned on (file, id): every logical file is written as ordered
     # part files (task order = id order), so "line n of a logical file" is
@@ -92,7 +87,6 @@ def materialize_raw_lines(spark: SparkSession, sf_dir: str) -> str:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (raw.repartitionByRange(n, "file", "_id").sortWithinPartitions("file", "_id").drop("_id")
      .write.mode("overwrite").partitionBy("file").text(out))
-    _WRITTEN.add(key)
     return out
 
 

@@ -29,8 +29,10 @@ INPUT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
 def _kind(role: str, text: str | None) -> str:
-    if role != "user":
+    if role == "assistant":
         return "response"
+    if role != "user":
+        return "skip"
     t = (text or "").strip().lower()
     if t == "":
         return "skip"
@@ -58,7 +60,7 @@ def history_state_fn(cap: int = HISTORY_CAP):
             last_turn = turn
             if exited:
                 continue
-            role, text = roles[i], texts[i]
+            role, text = roles[i], (texts[i] or "").strip()
             kind = _kind(role, text)
             if kind == "exit":
                 exited = True

@@ -25,6 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parley.functions.text import strip_ws
 from parley.operators.chat_session import HISTORY_CAP, command_kind
 from parley.operators.numbering import running_total, sliding_collect
 from parley.session import input_key, work_dir
@@ -42,13 +43,11 @@ def _read_state(spark: SparkSession, state_root: str, before: int) -> DataFrame:
     Versions are partition folders ``v=<batch>``; a batch writes its version
     completely before the next batch starts, so every ``v < before`` is whole.
     """
-    from pyspark.errors import AnalysisException
-
-    try:
+    path = spark._jvm.org.apache.hadoop.fs.Path(state_root)
+    latest = None
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):   # else no state written yet
         allv = spark.read.schema(STATE_SCHEMA + ", v long").parquet(state_root)
         latest = allv.where(F.col("v") < before).agg(F.max("v")).first()[0]   # one scalar
-    except AnalysisException:      # no state written yet
-        latest = None
     if latest is None:
         return spark.createDataFrame([], STATE_SCHEMA)
     return spark.read.schema(STATE_SCHEMA).parquet(f"{state_root}/v={latest}")
@@ -60,7 +59,7 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
                      F.col("last_turn").alias("_s_last"), F.col("hist").alias("_s_hist"))
     b = (batch.dropDuplicates(["conv_id", "turn"]).join(s, "conv_id", "left")
          .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))))
-    b = (b.withColumn("kind", command_kind())
+    b = (b.withColumn("text", strip_ws(F.col("text"))).withColumn("kind", command_kind())
          .withColumn("_c", (F.col("kind") == "clear").cast("long"))
          .withColumn("_x", (F.col("kind") == "exit").cast("long"))
          .withColumn("_m", F.col("kind").isin("message", "response").cast("long")))

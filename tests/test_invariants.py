@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from conftest import SF_MID
 from parley.operators import curate, split
-from parley.operators.numbering import number_rows
+from parley.operators.numbering import number_rows, running_total, sliding_collect
 from parley.plans import queries as Q
 
 
@@ -60,8 +62,23 @@ def test_number_rows_hot_key(spark):
     bad = out.groupBy("k").agg(F.count("*").alias("n"), F.min("rn").alias("lo"), F.max("rn").alias("hi"),
                                F.countDistinct("rn").alias("d")).where("lo != 1 OR hi != n OR d != n")
     assert bad.count() == 0
-    hot = out.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert hot >= 1
+    # the hot key's rows are dealt to several slices of the range exchange
+    ranged = df.repartitionByRange(16, "k", "id")
+    assert ranged.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+
+
+def test_null_group_keys_are_numbered(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"), F.col("id"))
+    out = number_rows(df, ["id"], ["k"], name="rn")
+    assert out.count() == 100 and out.where("k is null").agg(F.max("rn")).first()[0] == 25
+    total = running_total(df.withColumn("x", F.lit(1)), {"t": "x"}, ["id"], ["k"])
+    assert total.where("k is null").agg(F.max("t")).first()[0] == 25
+
+
+def test_frame_must_fit_in_a_chunk(spark):
+    df = spark.range(10).withColumn("k", F.lit(1))
+    with pytest.raises(ValueError):
+        sliding_collect(df, F.col("id"), 20, ["id"], ["k"], "h", chunk_rows=13)
 
 
 def test_split_plan_is_bounded(spark):
