@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import xxhash
 
+from llm_fixtures import docs_of, real_docs  # noqa: F401 - fixtures
 from parley.llm import exact_dedup, simhash
 from parley.llm.components import star_components
 

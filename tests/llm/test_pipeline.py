@@ -1,5 +1,6 @@
 """The pipeline stage by stage."""
 
+from llm_fixtures import docs_of, real_docs  # noqa: F401 - fixtures
 import corpus_pipeline
 import __spark_entry__ as E
 

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of, real_docs  # noqa: F401 - fixtures
 from parley.llm import suffix_dedup as S
 from parley.llm.suffix_array import kasai, suffix_array
 

@@ -7,6 +7,7 @@ import random
 import duckdb
 import pytest
 
+from llm_fixtures import docs_of, real_docs  # noqa: F401 - fixtures
 from parley.llm import bpe, decontaminate, html_extract, langid, oracle, quality, quotations, queries, token_counts
 
 LONG = "thing " * 60_000
