@@ -46,7 +46,7 @@ with recursive msg as (
 ), rt as (
   select conv_id, turn, cur as root, depth from th where up is null
 )
-select m.conv_id, m.turn, m.role, rp.reply_to, coalesce(rt.root, m.turn) as thread, coalesce(rt.depth, 0) as depth,
+select m.conv_id, m.turn, m.role, rp.reply_to, coalesce(rt.root, m.turn) as thread, coalesce(rt.depth, 0)::bigint as depth,
        (select count(*) from q where q.id = m.id) as n_quoted, coalesce(rp.n_linked, 0)::bigint as n_linked,
        coalesce(own.body, '') as text,
        '<|im_start|>' || m.role || chr(10) || coalesce(own.body, '') || '<|im_end|>' || chr(10) as formatted
