@@ -7,15 +7,20 @@ a ``messages`` array that yields too few messages does *not* fall through
 to the other shapes.
 
 Reject reasons (every line gets exactly one ``outcome``):
-``ok, blank, json_error, not_object, bad_type, too_few_messages,
+``ok, blank, json_error, not_object, too_large, bad_type, too_few_messages,
 empty_instruction, unknown_shape``.
+
+A line is JSON only as a whole: text after the value (``{..}{..}``, ``{..}}``)
+is ``json_error``.  A valid line that one parse cannot hold (a string of over
+20 million characters, or more than the VARIANT size limit) is read value by
+value, so the size limit then binds one message or field; if no shape can be
+read even so it is ``too_large``, never ``json_error``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +40,7 @@ ROLE_ALIASES = {
     "bot": "assistant",
     "system": "system",
 }
-OUTCOMES = ("ok", "blank", "json_error", "not_object", "bad_type",
+OUTCOMES = ("ok", "blank", "json_error", "not_object", "too_large", "bad_type",
             "too_few_messages", "empty_instruction", "unknown_shape")
 SHAPES = ("messages", "conversation", "instruction")
 # -----------------------------------------------------------------------------
@@ -52,26 +57,21 @@ def role_alias(c) -> Column:
     return F.element_at(amap, F.lower(strip_ws(c)))
 
 
-def _strict_json_ok(line: Column) -> Column:
-    """Exact ``json.loads`` acceptance (opt-in, Arrow-batched Python)."""
-    @F.pandas_udf(T.BooleanType())
-    def _ok(s: pd.Series) -> pd.Series:
-        import json
+# Valid lines longer than this that the one parse does not hold are read value by value.
+LARGE_LINE = 1 << 20
+LARGE_SCHEMA = ("messages array<variant>, conversation array<variant>, instruction variant, input variant, "
+                "response variant, system variant")
 
-        def one(x):
-            if x is None:
-                return False
-            if not x.endswith("}"):
-                return True   # decided by the native checks (not an object, or trailing text)
-            try:
-                json.loads(x)
-                return True
-            except ValueError:
-                return False
 
-        return s.map(one)
+def json_valid(line: Column) -> Column:
+    """Whether the whole text is one JSON value, read as a stream (no size limit).
 
-    return _ok(line)
+    As the one element of an array and as the one value of an object: no
+    trailing text closes both.  Single quotes pass here; VARIANT rejects them.
+    """
+    one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
+    key = F.size(F.json_object_keys(F.concat(F.lit('{"k":'), line, F.lit("}"))))
+    return F.coalesce((one == 1) & (key == 1), F.lit(False))
 
 
 _STAGE_CACHE: dict = {}
@@ -79,7 +79,7 @@ _STAGE_CACHE: dict = {}
 
 def normalize_rows(lines: DataFrame, value_col: str = "value", *,
                    shapes: Sequence[str] = SHAPES, min_messages: int = 2,
-                   strict_json: bool = False, py_str_null: bool = False,
+                   py_str_null: bool = False,
                    lazy_content_check: bool = False,
                    keep_fields: dict[str, str] | None = None) -> DataFrame:
     """Parse and normalise every line; adds ``outcome``, ``shape``, ``messages``.
@@ -99,11 +99,11 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     prepare(spark)  # duplicate JSON keys keep the last value (D10)
     # The expression trees do not depend on the data: build them once per
     # Spark context and parameter set (thousands of JVM calls otherwise).
-    key = (spark.sparkContext.applicationId, value_col, tuple(shapes), min_messages, strict_json, py_str_null,
+    key = (spark.sparkContext.applicationId, value_col, tuple(shapes), min_messages, py_str_null,
            lazy_content_check, tuple(sorted(keep_fields.items())))
     stages = _STAGE_CACHE.get(key)
     if stages is None:
-        stages = _build_stages(value_col, tuple(shapes), min_messages, strict_json, py_str_null,
+        stages = _build_stages(value_col, tuple(shapes), min_messages, py_str_null,
                                lazy_content_check, keep_fields)
         _STAGE_CACHE[key] = stages
     base = list(lines.columns)
@@ -113,15 +113,18 @@ def normalize_rows(lines: DataFrame, value_col: str = "value", *,
     return df
 
 
-def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, lazy_content_check, keep_fields):
+def _build_stages(value_col, shapes, min_messages, py_str_null, lazy_content_check, keep_fields):
     """Column lists of the successive projections (input columns pass through each)."""
     stages: list[list] = []
     # Stage 1: strip once, parse once.
     line = strip_ws(F.regexp_replace(F.col(value_col), "^\\x{FEFF}", ""))
     stages.append([line.alias("_line")])
-    stages.append(["_line", F.try_parse_json("_line").alias("_v")])
+    stages.append(["_line", F.try_parse_json("_line").alias("_v"), json_valid(F.col("_line")).alias("_valid")])
     v = F.col("_v")
     ln = F.col("_line")
+    large = v.isNull() & F.col("_valid") & (F.length(ln) > LARGE_LINE)
+    stages.append(["_line", "_v", "_valid", large.alias("_large"), F.when(large, F.from_json(
+        ln, LARGE_SCHEMA, {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false"})).alias("_w")])
 
     # Stage 2: per-shape item parses.  Nested ``transform`` stages compute each
     # per-message value once (lambdas get no common-subexpression elimination).
@@ -161,18 +164,21 @@ def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, laz
 
     null_text = "None" if py_str_null else None
     top_keys = ("instruction", "input", "response", "system")
-    stages.append(["_line", "_v", *[field(v, k).alias(f"_f_{k}") for k in top_keys]])
-    stages.append(["_line", "_v", *[f"_f_{k}" for k in top_keys],
+    carried = ["_line", "_v", "_w", "_valid", "_large"]
+    stages.append([*carried, *[F.coalesce(field(v, k), F.col("_w")[k]).alias(f"_f_{k}") for k in top_keys]])
+    stages.append([*carried, *[f"_f_{k}" for k in top_keys],
                    *[vtype(F.col(f"_f_{k}")).alias(f"_t_{k}") for k in top_keys]])
 
     def top_str(k):
         return strip_ws(py_str(F.col(f"_f_{k}"), null_text, F.col(f"_t_{k}")))
 
+    def items(k):
+        return F.coalesce(F.try_variant_get(v, f"$.{k}", "array<variant>"), F.col("_w")[k])
+
     stages.append([
-        "_line", "_v",
-        F.transform(F.transform(F.try_variant_get(v, "$.messages", "array<variant>"), m_item), m_item2).alias("_m"),
-        F.transform(F.transform(F.transform(F.try_variant_get(v, "$.conversation", "array<variant>"), c_item),
-                                c_item2), c_item3).alias("_c"),
+        "_line", "_v", "_valid", "_large",
+        F.transform(F.transform(items("messages"), m_item), m_item2).alias("_m"),
+        F.transform(F.transform(F.transform(items("conversation"), c_item), c_item2), c_item3).alias("_c"),
         (F.col("_f_instruction").isNotNull() & F.col("_f_response").isNotNull()).alias("_has_i"),
         top_str("instruction").alias("_ins"),
         top_str("input").alias("_inp"),
@@ -216,13 +222,9 @@ def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, laz
         shape = shape.when(F.col("_has_i"), F.lit("instruction"))
     shape = shape.otherwise(F.lit(None)).cast("string")
 
-    suspicious = ((F.substring(ln, 1, 1) == "{") & (F.substring(ln, -1, 1) != "}")) | (
-        (F.substring(ln, 1, 1) == "[") & (F.substring(ln, -1, 1) != "]"))
-    json_bad = v.isNull() | suspicious
-    if strict_json:
-        json_bad = json_bad | ~_strict_json_ok(ln)
+    json_bad = ~F.col("_valid") | (v.isNull() & ~F.col("_large"))
 
-    stages.append([*keep_fields.keys(), "_line", "_v", "_m", "_c", "_has_i",
+    stages.append([*keep_fields.keys(), "_line", "_large", "_m", "_c", "_has_i",
                    "_ins", "_resp", shape.alias("shape"), json_bad.alias("_jbad"),
                    msgs_m.alias("_mm"), msgs_c.alias("_mc"), msgs_i.alias("_mi")])
     sh = F.col("shape")
@@ -230,6 +232,7 @@ def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, laz
         F.when(F.col("_line") == "", F.lit("blank"))
         .when(F.col("_jbad"), F.lit("json_error"))
         .when(F.substring("_line", 1, 1) != "{", F.lit("not_object"))
+        .when(F.col("_large") & sh.isNull(), F.lit("too_large"))
         .when(sh == "messages",
               F.when(F.exists("_m", bad_m), F.lit("bad_type"))
               .when(F.size("_mm") < min_messages, F.lit("too_few_messages"))
@@ -248,7 +251,7 @@ def _build_stages(value_col, shapes, min_messages, strict_json, py_str_null, laz
                 .otherwise(F.col("_mi")))
     stages.append([*keep_fields.keys(), sh, outcome.alias("outcome"), messages.alias("_msgs")])
     result = F.struct(
-        F.when(~F.col("outcome").isin("blank", "json_error", "not_object"), sh).alias("shape"),
+        F.when(~F.col("outcome").isin("blank", "json_error", "not_object", "too_large"), sh).alias("shape"),
         F.col("outcome").alias("outcome"),
         F.when(F.col("outcome") == "ok", F.col("_msgs")).cast(MESSAGES).alias("messages"))
     # The results leave through a one-element generator.  Catalyst does not

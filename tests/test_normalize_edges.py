@@ -43,8 +43,7 @@ CASES = [
     ("", "blank", None),
     ("   ", "blank", None),
     ('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]} x', "json_error", None),
-    ('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}}', "ok",
-     [("user", "a"), ("assistant", "b")]),
+    ('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}}', "json_error", None),
     ('{"instruction":"a","instruction":"b","response":"r"}', "ok", [("user", "b"), ("assistant", "r")]),
     ('{"instruction":"q","response":NaN}', "json_error", None),
     (BOM + '{"instruction":"q","response":"r"}', "ok", [("user", "q"), ("assistant", "r")]),
@@ -73,14 +72,31 @@ def test_edge_line(result, i):
         assert [(m["role"], m["content"]) for m in r["messages"]] == msgs
 
 
-def test_strict_json_and_py_null(spark):
-    lines = ['{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}}',
+def test_whole_line_json_and_py_null(spark):
+    ok = '{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}'
+    lines = [ok + "}", ok + ok, ok + "]{}", ok + "," + ok, '"abc" x', "5 x", ok + " ",
              '{"instruction":"q","input":null,"response":"r"}']
     df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "n int, value string")
-    strict = {r["n"]: r for r in normalize_rows(df, strict_json=True).collect()}
-    assert strict[0]["outcome"] == "json_error"
+    got = {r["n"]: r["outcome"] for r in normalize_rows(df).collect()}
+    assert got == {**dict.fromkeys(range(6), "json_error"), 6: "ok", 7: "ok"}
     py = {r["n"]: r for r in normalize_rows(df, py_str_null=True).collect()}
-    assert [m["content"] for m in py[1]["messages"]] == ["q\n\nNone", "r"]
+    assert [m["content"] for m in py[7]["messages"]] == ["q\n\nNone", "r"]
+
+
+def test_lines_too_large_for_one_parse(spark):
+    """A 21 MiB message is read value by value; without a readable shape too_large; broken stays json_error."""
+    from pyspark.sql import functions as F
+
+    long_text = F.repeat(F.lit("x"), (F.col("id") + (21 << 20)).cast("int"))   # not a constant: no folding
+    tail = '"},{"role":"assistant","content":"y"}]}'
+    cases = [('{"messages":[{"role":"user","content":"', tail, "ok"), ('{"other":"', '"}', "too_large"),
+             ('{"messages":[{"role":"user","content":"', tail + "{}", "json_error")]
+    for head, end, outcome in cases:
+        value = F.concat(F.lit(head), long_text, F.lit(end))
+        r = normalize_rows(spark.range(1).select(value.alias("value"))).select(
+            "outcome", F.transform("messages", lambda m: F.length(m["content"])).alias("n")).first()
+        assert r["outcome"] == outcome
+        assert r["n"] == ([21 << 20, 1] if outcome == "ok" else None)
 
 
 def test_messages_only_profile(spark):
