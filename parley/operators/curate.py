@@ -5,11 +5,10 @@ SURVEY J1, J2, U1, O1, O2, K1, K2, A1–A3, G1, G2, L1, L2.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parley.functions.text import any_keyword, joined_contents
 from parley.operators.numbering import number_rows
@@ -149,6 +148,14 @@ def band_guard(coverage: DataFrame, band: tuple[float, float] = BAND_GUARD, enfo
     return out
 
 
+def guarded_write(rows: DataFrame, path: str, write: Callable[[DataFrame, str], str], seed: int,
+                  key_cols: Sequence[str], flag_col: str = "flag",
+                  band: tuple[float, float] = BAND_GUARD) -> str:
+    """Guard, stop, shuffle, write: ``GuardError`` before anything is written when the share is outside ``band``."""
+    band_guard(keyword_coverage(rows, flag_col), band, enforce=True)
+    return write(seeded_shuffle(rows, seed, key_cols), path)
+
+
 def file_stats(normalized: DataFrame, file_col: str = "file", mult_col: str = "mult") -> DataFrame:
     """A1: per file ``n_original, n_final, n_invalid, n_json_error`` (keyed by full path, D20)."""
     o = F.col("outcome")
@@ -179,6 +186,3 @@ def step_plan(n_rows, micro_batch: int, grad_accum: int, epochs: int, eval_floor
     return [spe.alias("steps_per_epoch"), (spe * F.lit(epochs)).alias("total_steps"),
             F.greatest(F.lit(eval_floor).cast("bigint"), F.floor(spe / F.lit(3)).cast("bigint")).alias("eval_every")]
 
-
-MESSAGE_SCHEMA = T.ArrayType(T.StructType([T.StructField("role", T.StringType()),
-                                           T.StructField("content", T.StringType())]))

@@ -26,10 +26,10 @@ def heartbeat(log: DataFrame, every: int, run_col: str = "run_id") -> DataFrame:
 
 
 def peaks(log: DataFrame, every: int, value_col: str = "eval_loss", run_col: str = "run_id") -> DataFrame:
-    """M2: per log interval ``bucket = ceil(step/every)``: peak (2 decimals) and last value."""
+    """M2: per log interval ``bucket = ceil(step/every)``: peak and last value, both unrounded (display rounds)."""
     b = F.ceil(F.col("step") / F.lit(every)).cast("bigint")
     return log.groupBy(run_col, b.alias("bucket")).agg(
-        F.round(F.max(value_col), 2).alias("peak"), F.max_by(value_col, "step").alias("last_value"))
+        F.max(value_col).alias("peak"), F.max_by(value_col, "step").alias("last_value"))
 
 
 def checkpoint_step(path_col: str = "path"):

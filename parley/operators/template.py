@@ -68,6 +68,17 @@ def tokenize_with(text, make_tokenizer: Callable[[], Callable[[str], list[int]]]
     return _enc(_col(text))
 
 
+def decode_with(ids, make_decoder: Callable[[], Callable[[list[int]], str]]) -> Column:
+    """T9 decode: text of ``array<int>`` ids by a caller tokenizer, Arrow-batched like ``tokenize_with``."""
+    @F.pandas_udf(T.StringType())
+    def _dec(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        dec = make_decoder()
+        for s in batches:
+            yield s.map(lambda x: None if x is None else dec([int(i) for i in x]))
+
+    return _dec(_col(ids))
+
+
 def find_subseq(haystack, needle, last: bool = False) -> Column:
     """T4: 0-based index of the first (or last) occurrence of ``needle`` in ``haystack``.
 
@@ -106,6 +117,12 @@ def marker_tail(text, response, k: int, pattern: str = TOKEN_PATTERN) -> Column:
     return tail(tokenize_simple(pre, pattern), k)
 
 
+def marker_choice(tokens, marker_tokens, text, response, k: int = 5) -> Column:
+    """The marker's tokens where they occur in ``tokens``, else the last ``k`` tokens before ``response``."""
+    return F.when(find_subseq(tokens, marker_tokens) >= 0, _col(marker_tokens)).otherwise(
+        marker_tail(text, response, k))
+
+
 def mask_start(tokens, marker_tokens) -> Column:
     """First trained position = end of the *last* marker match; NULL if none."""
     last = find_subseq(tokens, marker_tokens, last=True)

@@ -127,7 +127,7 @@ rl AS (
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step,
          value AS eval_loss,
          (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id)))::DOUBLE / 1000000.0::DOUBLE AS elapsed,
-         CAST(100 AS BIGINT) AS max_steps
+         CAST(ceil(count(*) OVER (PARTITION BY user_id) / 100) * 100 AS BIGINT) AS max_steps
   FROM events),
 ck AS (
   SELECT run_id, step, eval_loss,
@@ -296,11 +296,11 @@ ORACLE: dict[str, str] = {
     # --- T ---
     "render_chat": _with(RENDER) + "SELECT conv_id, text FROM rend",
     "render_prompt": f"""
-        WITH fa AS (SELECT conv_id, min(turn) FILTER (WHERE role = 'assistant') AS fa FROM conversations GROUP BY conv_id)
-        SELECT c.conv_id,
-               coalesce(string_agg('<|im_start|>' || c.role || {NL} || c.text || '<|im_end|>' || {NL}, '' ORDER BY c.turn)
-                        FILTER (WHERE fa.fa IS NULL OR c.turn < fa.fa), '') || '<|im_start|>assistant' || {NL} AS prompt
-        FROM conversations c JOIN fa ON fa.conv_id = c.conv_id GROUP BY c.conv_id""",
+        SELECT a.conv_id, a.turn,
+               coalesce(string_agg('<|im_start|>' || c.role || {NL} || c.text || '<|im_end|>' || {NL}, '' ORDER BY c.turn), '')
+                 || '<|im_start|>assistant' || {NL} AS prompt
+        FROM conversations a LEFT JOIN conversations c ON c.conv_id = a.conv_id AND c.turn < a.turn
+        WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn""",
     "marker_check": _with(RENDER) + f"""
         SELECT count(*) AS n_rows,
                count(*) FILTER (WHERE NOT contains(text, '<|im_start|>assistant' || {NL})) AS n_missing FROM rend""",
@@ -333,9 +333,21 @@ ORACLE: dict[str, str] = {
         SELECT count(*) AS n_rows, count(*) FILTER (WHERE len(t) > 256) AS n_truncated,
                count(*) FILTER (WHERE mask_start IS NULL OR mask_start >= 256) AS n_response_cut FROM mask""",
     "strip_prompt": f"""
-        WITH fa AS (SELECT conv_id, arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a FROM conversations GROUP BY conv_id),
-        g AS (SELECT conv_id, regexp_extract_all(a || '<|im_end|>' || {NL}, '{PAT}') AS x FROM fa WHERE a IS NOT NULL)
-        SELECT conv_id, CAST(len(x) AS BIGINT) AS n_generated, array_to_string(x, ' ') AS generated FROM g""",
+        WITH g AS (SELECT conv_id, turn, regexp_extract_all(text || '<|im_end|>' || {NL}, '{PAT}') AS x
+                   FROM conversations WHERE role = 'assistant')
+        SELECT conv_id, turn, CAST(len(x) AS BIGINT) AS n_generated, array_to_string(x, ' ') AS generated FROM g""",
+    "decode_tokens": f"""
+        SELECT conv_id, turn, text AS decoded,
+               CAST(octet_length(encode(text)) AS BIGINT) AS n_ids FROM conversations""",
+    "marker_choice": _with(RENDER) + f"""
+        SELECT conv_id, CASE WHEN first_pos >= 0 THEN '<|im_start|> assistant'
+               ELSE array_to_string(x[greatest(len(x) - 5, 0) + 1 : len(x)], ' ') END AS marker FROM (
+          SELECT r.conv_id, p.first_pos,
+                 regexp_extract_all(split_part(r.text, r.first_response, 1), '{PAT}') AS x
+          FROM rend r JOIN pos p ON p.conv_id = r.conv_id)""",
+    "guarded_sink": _with(LINES, COVERAGE) + """
+        SELECT pct BETWEEN 10.0 AND 18.0 AS written,
+               CAST(CASE WHEN pct BETWEEN 10.0 AND 18.0 THEN n_total ELSE 0 END AS BIGINT) AS n_rows FROM cov2""",
     # --- E ---
     "response_pass": """
         SELECT conv_id, turn,
@@ -353,7 +365,7 @@ ORACLE: dict[str, str] = {
           SELECT run_id, step, max_steps, step::DOUBLE / greatest(elapsed, 1.0::DOUBLE) AS rate FROM rl
           WHERE step > 0 AND step % 20 = 0)""",
     "run_peaks": _with(RUNLOG) + """
-        SELECT run_id, CAST(ceil(step / 20) AS BIGINT) AS bucket, round(max(eval_loss), 2) AS peak,
+        SELECT run_id, CAST(ceil(step / 20) AS BIGINT) AS bucket, max(eval_loss) AS peak,
                arg_max(eval_loss, step) AS last_value
         FROM rl GROUP BY run_id, CAST(ceil(step / 20) AS BIGINT)""",
     "latest_checkpoint": _with(RUNLOG) + "SELECT run_id, arg_max(path, step) AS path FROM ck GROUP BY run_id",

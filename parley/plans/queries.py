@@ -192,6 +192,16 @@ def q_train_coverage_guard(spark, sf_dir):
     return cov.select("n_key", "n_total", "pct").join(guard.select("pct", "verdict"), "pct")
 
 
+def q_guarded_sink(spark, sf_dir):
+    """Guard, shuffle and write in one step: rows written, or none where the share is outside the band."""
+    try:
+        path = curate.guarded_write(_prep_rows(spark, sf_dir), _sink_path(spark, sf_dir),
+                                    jsonl.write_training_jsonl, SEED, ["conv_id", "replica"])
+    except curate.GuardError:
+        return spark.range(1).select(F.lit(False).alias("written"), F.lit(0).cast("bigint").alias("n_rows"))
+    return jsonl.read_prepared(spark, path).agg(F.lit(True).alias("written"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_marker_roundtrip(spark, sf_dir):
     r = _rendered(spark, sf_dir).select("conv_id", template.marker_tail("text", "first_response", 3).alias("ids"))
     path = work_dir(spark, "marker_ids", input_key(sf_dir), uuid.uuid4().hex[:12])
@@ -358,12 +368,21 @@ def q_render_chat(spark, sf_dir):
     return _rendered(spark, sf_dir).select("conv_id", "text")
 
 
+def _assistant_turns(spark, sf_dir):
+    """``(conv_id, turn, before, reply)``: one row per assistant turn with the messages before it."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    per = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    per = per.withColumn("m", F.transform("t", lambda x: F.struct(
+        x["role"].alias("role"), x["text"].alias("content"))))
+    one = per.select("conv_id", "m", F.posexplode("t").alias("i", "x"))
+    return one.where(F.col("x.role") == "assistant").select(
+        "conv_id", "x.turn", F.slice("m", 1, F.col("i")).alias("before"),
+        F.slice("m", F.col("i") + 1, 1).alias("reply"))
+
+
 def q_render_prompt(spark, sf_dir):
-    m = _conv_messages(spark, sf_dir)
-    # messages before the first assistant turn = the question part of the chat
-    first_a = F.array_position(F.transform("messages", lambda x: x["role"]), F.lit("assistant"))
-    before = F.when(first_a > 0, F.slice("messages", 1, first_a - 1)).otherwise(F.col("messages"))
-    return m.select("conv_id", template.render_chat(before, add_generation_prompt=True).alias("prompt"))
+    return _assistant_turns(spark, sf_dir).select(
+        "conv_id", "turn", template.render_chat("before", add_generation_prompt=True).alias("prompt"))
 
 
 def q_marker_check(spark, sf_dir):
@@ -432,16 +451,34 @@ def q_truncation_report(spark, sf_dir):
 
 
 def q_strip_prompt(spark, sf_dir):
-    m = _conv_messages(spark, sf_dir)
-    first_a = F.array_position(F.transform("messages", lambda x: x["role"]), F.lit("assistant"))
-    has_a = m.where(first_a > 0)
-    prompt = template.render_chat(F.slice("messages", 1, first_a - 1), add_generation_prompt=True)
-    full = template.render_chat(F.slice("messages", 1, first_a))
-    p_tok = template.tokenize_simple(prompt)
-    f_tok = template.tokenize_simple(full)
+    a = _assistant_turns(spark, sf_dir)
+    p_tok = template.tokenize_simple(template.render_chat("before", add_generation_prompt=True))
+    f_tok = template.tokenize_simple(template.render_chat(F.concat("before", "reply")))
     gen = template.strip_prompt(f_tok, F.size(p_tok))
-    return has_a.select("conv_id", F.size(gen).cast("bigint").alias("n_generated"),
-                        F.array_join(gen, " ").alias("generated"))
+    return a.select("conv_id", "turn", F.size(gen).cast("bigint").alias("n_generated"),
+                    F.array_join(gen, " ").alias("generated"))
+
+
+def _byte_encoder():
+    return lambda text: text.encode("utf-8")
+
+
+def _byte_decoder():
+    return lambda ids: bytes(ids).decode("utf-8", "replace")
+
+
+def q_decode_tokens(spark, sf_dir):
+    """T9 both ways with a plugged-in tokenizer (UTF-8 bytes as ids): decode(encode(text)) is the text."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    ids = conv.select("conv_id", "turn", template.tokenize_with("text", _byte_encoder).alias("ids"))
+    return ids.select("conv_id", "turn", template.decode_with("ids", _byte_decoder).alias("decoded"),
+                      F.size("ids").cast("bigint").alias("n_ids"))
+
+
+def q_marker_choice(spark, sf_dir):
+    t = _tokens(spark, sf_dir)
+    return t.select("conv_id", F.array_join(
+        template.marker_choice("tokens", _marker(), "text", "first_response"), " ").alias("marker"))
 
 
 # ---- E: evaluation -----------------------------------------------------------------------------
@@ -549,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "train_coverage_guard": q_train_coverage_guard,
     "train_sink": q_train_sink,
     "train_reload": q_train_reload,
+    "guarded_sink": q_guarded_sink,
     "marker_roundtrip": q_marker_roundtrip,
     "norm_messages": _norm_shape("messages"),
     "norm_conversation": _norm_shape("conversation"),
@@ -589,6 +627,8 @@ QUERIES: dict[str, Query] = {
     "truncate_tokens": q_truncate_tokens,
     "truncation_report": q_truncation_report,
     "strip_prompt": q_strip_prompt,
+    "decode_tokens": q_decode_tokens,
+    "marker_choice": q_marker_choice,
     "response_pass": q_response_pass,
     "response_pass_by_step": q_response_pass_by_step,
     "run_heartbeat": q_run_heartbeat,

@@ -28,7 +28,7 @@ SPEAKER_NAMES = {"user": "Human", "assistant": "GPT", "system": "system"}
 MULTIPLIER_RULES = [("identity", 2)]           # (keyword, multiplier) in priority order
 KEYWORDS = ["ung"]
 SEED = 42
-RUN_MAX_STEPS = 100
+RUN_STEP_BLOCK = 100          # a run is planned in whole blocks of steps
 HEARTBEAT_EVERY = 20
 # -----------------------------------------------------------------------------
 
@@ -95,18 +95,22 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(run_id, step, ts, elapsed, eval_loss, max_steps)`` from ``events``.
 
     ``step`` numbers a run's events by ``(ts, event_id)`` with the skew-safe
-    numbering (a run may hold a large share of all events).
+    numbering (a run may hold a large share of all events).  ``max_steps`` is
+    the run's own event count rounded up to whole blocks of steps.
     """
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("eval_loss"))
     numbered = number_rows(ev, order_by=["ts", "event_id"], partition_by=["run_id"], name="step",
                            first_of=["ts"])
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(RUN_STEP_BLOCK)) * RUN_STEP_BLOCK
+    plan = ev.groupBy(F.col("run_id").alias("_run")).agg(blocks.cast("bigint").alias("max_steps"))
+    numbered = numbered.join(plan, F.col("run_id").eqNullSafe(F.col("_run")))
     # wall-clock difference of two local timestamps: no session time zone involved
     micros = F.expr("timestampdiff(MICROSECOND, first_ts, ts)")
     out = numbered.select(
         "run_id", F.col("step").cast("bigint").alias("step"), "ts",
         (micros / F.lit(1_000_000.0)).alias("elapsed"),
-        "eval_loss", F.lit(RUN_MAX_STEPS).cast("bigint").alias("max_steps"))
+        "eval_loss", "max_steps")
     return out
 
 

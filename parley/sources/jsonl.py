@@ -17,6 +17,7 @@ from parley.operators.normalize import MESSAGES
 from parley.operators.numbering import number_rows
 from parley.session import input_key, work_dir
 from parley.sources import fixtures
+from parley.sources.manifest import EmptySourceError
 
 
 def read_jsonl_lines(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.jsonl",
@@ -27,6 +28,8 @@ def read_jsonl_lines(spark: SparkSession, path: str | list[str], *, glob: str |
     base names in two folders stay apart).  For hive-partitioned input pass
     ``file_col`` to use a partition column as the file identity instead
     (``recursive`` must then be False so partition discovery runs).
+    Raises ``EmptySourceError`` where no file matches (S4); files without
+    lines are no error.
     """
     r = spark.read
     if glob:
@@ -37,6 +40,8 @@ def read_jsonl_lines(spark: SparkSession, path: str | list[str], *, glob: str |
     if file_col:
         r = r.option("basePath", paths[0])
     df = r.text(paths)
+    if df.isEmpty() and not df.inputFiles():   # one-row probe; names are asked for only when there is no line
+        raise EmptySourceError(f"no input files found under {paths}")
     file = F.col(file_col) if file_col else F.col("_metadata.file_path")
     cols = [file.alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_pos"), "value"]

@@ -18,7 +18,7 @@ class EmptySourceError(FileNotFoundError):
     """No input file matched."""
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = "*.jsonl", recursive: bool = True) -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str], glob: str | None = "*.jsonl", recursive: bool = True) -> DataFrame:
     """``(path, length, modificationTime)`` of files under ``root``."""
     r = spark.read.format("binaryFile")
     if glob:

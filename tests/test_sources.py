@@ -60,3 +60,36 @@ def test_sink_and_strict_reload(spark, folder):
         f.write('{"messages":[]}\n{oops\n')
     with pytest.raises(Exception):
         jsonl.read_prepared(spark, bad).collect()
+
+
+def test_reader_raises_without_files(spark, folder):
+    with pytest.raises(manifest.EmptySourceError):
+        jsonl.read_jsonl_lines(spark, folder, glob="*.nothing")
+    empty = tempfile.mkdtemp(prefix="parley-empty-")
+    open(f"{empty}/e.jsonl", "w").close()
+    assert jsonl.read_jsonl_lines(spark, empty).count() == 0   # a file without lines is a file
+
+
+def test_guarded_write_stops_before_writing(spark):
+    from parley.operators import curate
+
+    rows = spark.range(100).select("id", (F.col("id") < 12).alias("flag"))
+    out = tempfile.mkdtemp(prefix="parley-guard-") + "/out"
+
+    def write(df, path):
+        df.write.json(path)
+        return path
+
+    with pytest.raises(curate.GuardError):
+        curate.guarded_write(rows, out, write, 42, ["id"], band=(20.0, 30.0))
+    assert not os.path.exists(out)
+    assert spark.read.json(curate.guarded_write(rows, out, write, 42, ["id"])).count() == 100
+
+
+def test_marker_choice(spark):
+    from parley.operators import template
+
+    df = spark.createDataFrame([(["a", "<m>", "b"], "a <m> b", "b"), (["a", "c", "b"], "a c b", "b")],
+                               "tokens array<string>, text string, reply string")
+    got = df.select(template.marker_choice("tokens", F.array(F.lit("<m>")), "text", "reply", k=1)).collect()
+    assert [r[0] for r in got] == [["<m>"], ["c"]]
