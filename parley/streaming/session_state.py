@@ -1,11 +1,18 @@
 """Keyed chat-history state in Structured Streaming.
 
 Turns arrive as files; ``groupBy(conv_id).applyInPandasWithState`` keeps, per
-conversation, the epoch, whether ``/exit`` was seen, the last turn processed
-and at most ``cap`` history messages — bounded state per key.  Turns at or
-below the last processed turn (late or replayed) are dropped; turns inside a
-micro-batch are processed in turn order.  Output equals the batch
-``session_history`` for in-order input.
+conversation, the epoch, whether ``/exit`` was seen, the last turn released,
+at most ``cap`` history messages and the turns that are still held.
+
+A turn is held for ``hold`` after its arrival (its file's modification time,
+which the file source reads in order), so turns that arrive out of order
+within that time are still processed in turn order.  Released are the turns
+whose time is up and every held turn before them.  A turn that arrives at or
+below a released one is late: it leaves as a row with ``late`` set and no
+history, never silently.  Of a repeated held turn the first arrival stays.
+Conversations without a new turn for ``expire`` lose their state.  At the end
+of a bounded input ``finish`` releases what is still held; the stream then
+equals the batch ``session_history``, however turns lie in files.
 """
 
 from __future__ import annotations
@@ -14,18 +21,22 @@ import json
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from parley.operators.chat_session import COMMANDS, HISTORY_CAP
 from parley.session import input_key, work_dir
 from parley.sources import fixtures as fx
 
-OUTPUT_SCHEMA = "conv_id long, turn long, n_history long, history_turns string"
-STATE_SCHEMA = "epoch long, exited boolean, last_turn long, hist string"
+OUTPUT_SCHEMA = "conv_id long, turn long, n_history long, history_turns string, late boolean"
+STATE_SCHEMA = "epoch long, exited boolean, last_turn long, hist string, held string"
 INPUT_SCHEMA = "conv_id long, turn long, role string, text string"
+HOLD_MS = 3_600_000                # how long a turn waits for earlier ones
+EXPIRE_MS = 30 * 24 * 3_600_000    # idle time after which a conversation's state goes
+END_ROLE = "_end"                  # role of the row that ends a bounded input
+END_TIME = "2200-01-01 00:00:00"
 
 
 def _kind(role: str, text: str | None) -> str:
@@ -39,79 +50,118 @@ def _kind(role: str, text: str | None) -> str:
     return COMMANDS.get(t, "message")
 
 
-def history_state_fn(cap: int = HISTORY_CAP):
+def history_state_fn(cap: int = HISTORY_CAP, expire_ms: int = EXPIRE_MS):
+    """State function over rows ``(conv_id, turn, role, text, arrived_ms)`` and event-time timeouts."""
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        conv_id = int(key[0])
-        parts = list(batches)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        turns = rows["turn"].to_numpy()
-        order = np.argsort(turns, kind="stable") if len(turns) > 1 else range(len(turns))
-        roles, texts = rows["role"].to_numpy(), rows["text"].to_numpy()
         if state.exists:
-            epoch, exited, last_turn, hist_s = state.get
-            hist = [tuple(h) for h in json.loads(hist_s)]
+            epoch, exited, last_turn, hist_s, held_s = state.get
+            hist, held = [tuple(h) for h in json.loads(hist_s)], [tuple(h) for h in json.loads(held_s)]
         else:
-            epoch, exited, last_turn, hist = 0, False, -1, []
-        out_turn, out_n, out_hist = [], [], []
-        for i in order:
-            turn = int(turns[i])
-            if turn <= last_turn:          # late or replayed turn
-                continue
-            last_turn = turn
-            if exited:
-                continue
-            role, text = roles[i], (texts[i] or "").strip()
-            kind = _kind(role, text)
-            if kind == "exit":
-                exited = True
-            elif kind == "clear":
-                epoch += 1
-                hist = []
-            elif kind in ("message", "response"):
-                if kind == "message":
-                    out_turn.append(turn)
-                    out_n.append(len(hist))
-                    out_hist.append(",".join(str(h[0]) for h in hist))
-                hist.append((turn, role, text))
-                if len(hist) > cap:
-                    hist = hist[-cap:]
-        state.update((int(epoch), bool(exited), int(last_turn), json.dumps(hist)))
-        if out_turn:
-            yield pd.DataFrame({"conv_id": [conv_id] * len(out_turn), "turn": out_turn,
-                                "n_history": out_n, "history_turns": out_hist})
+            epoch, exited, last_turn, hist, held = 0, False, -1, [], []
+        watermark = state.getCurrentWatermarkMs()
+        out, newest = [], 0            # out: (turn, n_history, history_turns, late)
+        for rows in (() if state.hasTimedOut else batches):
+            for turn, role, text, arrived in zip(rows["turn"].tolist(), rows["role"].tolist(), rows["text"].tolist(),
+                                                 rows["arrived_ms"].tolist()):
+                newest = max(newest, int(arrived))
+                if turn <= last_turn:
+                    out.append((int(turn), None, None, True))
+                else:
+                    held.append((int(turn), int(arrived), role, text))
+        due = [h[0] for h in held if h[1] <= watermark]
+        if not due and not held and state.hasTimedOut:   # idle for long enough
+            state.remove()
+            return
+        if due:
+            upto = max(due)
+            ready = sorted((h for h in held if h[0] <= upto), key=lambda h: (h[0], h[1], h[2] or "", h[3] or ""))
+            held = [h for h in held if h[0] > upto]
+            for turn, _, role, text in ready:
+                if turn == last_turn:      # repeated
+                    continue
+                last_turn = turn
+                if exited:
+                    continue
+                text = (text or "").strip()
+                kind = _kind(role, text)
+                if kind == "exit":
+                    exited = True
+                elif kind == "clear":
+                    epoch += 1
+                    hist = []
+                elif kind in ("message", "response"):
+                    if kind == "message":
+                        out.append((turn, len(hist), ",".join(str(h[0]) for h in hist), False))
+                    hist = [*hist, (turn, role, text)][-cap:]
+        state.update((int(epoch), bool(exited), int(last_turn), json.dumps(hist), json.dumps(held)))
+        wake = min(h[1] for h in held) if held else max(newest, watermark) + expire_ms
+        state.setTimeoutTimestamp(max(wake, watermark + 1))
+        if out:
+            yield pd.DataFrame({"conv_id": pd.array([key[0]] * len(out), "Int64"), "turn": [o[0] for o in out],
+                                "n_history": pd.array([o[1] for o in out], "Int64"),
+                                "history_turns": [o[2] for o in out], "late": [o[3] for o in out]})
 
     return fn
 
 
-def session_stream(turns_stream: DataFrame, cap: int = HISTORY_CAP) -> DataFrame:
-    """Streaming ``(conv_id, turn, n_history, history_turns)`` from a stream of turns."""
-    return turns_stream.groupBy("conv_id").applyInPandasWithState(
-        history_state_fn(cap), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def session_stream(turns_stream: DataFrame, cap: int = HISTORY_CAP, hold_ms: int = HOLD_MS,
+                   expire_ms: int = EXPIRE_MS) -> DataFrame:
+    """Streaming ``OUTPUT_SCHEMA`` from a stream of turns with their arrival (``arrived``, in source order)."""
+    end = F.lit(END_TIME).cast("timestamp")
+    # One more millisecond, so that a file with the last file's time is not behind the watermark.
+    held = turns_stream.withWatermark("arrived", f"{hold_ms + 1} milliseconds")
+    # The condition reads the event time, so it stays above the watermark and the end row still moves that.
+    rows = held.where(F.col("arrived") < end).withColumn("arrived_ms", F.unix_millis("arrived"))
+    return rows.groupBy("conv_id").applyInPandasWithState(
+        history_state_fn(cap, expire_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def read_turns(spark: SparkSession, landing: str, max_files_per_trigger: int) -> DataFrame:
+    """Stream of the landed turns with their file's modification time as ``arrived``."""
+    stream = (spark.readStream.schema(INPUT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(landing))
+    arrived = F.when(F.col("role") == END_ROLE, F.lit(END_TIME).cast("timestamp")).otherwise(
+        F.col("_metadata.file_modification_time"))
+    return stream.select("*", arrived.alias("arrived"))
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
 def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
                        max_files_per_trigger: int = 256, rocksdb: bool = True,
-                       landing: str | None = None) -> DataFrame:
+                       landing: str | None = None, hold_ms: int = HOLD_MS, late: bool = False) -> DataFrame:
     """Land the session turns as files, run the stream with ``availableNow``, read the result.
 
     ``max_files_per_trigger`` bounds each micro-batch (and so the rows one key
     can bring to one state-function call); ``availableNow`` still drains all
-    files, in several batches.  ``rocksdb`` keeps the keyed state off the JVM
-    heap (set before the query starts; a checkpoint keeps its provider).
+    files, in several batches.  A second run then reads an end row, landed last,
+    which releases what is held: the landing folder is complete from there on.  ``rocksdb`` keeps the
+    keyed state off the JVM heap; the session's own setting is put back.
+    ``late=True`` returns the late turns instead of the histories.
     """
     base = work_dir(spark, "stream_session", input_key(sf_dir), uuid.uuid4().hex[:8])
     out, ckpt = f"{base}/out", f"{base}/ckpt"
     if landing is None:
         landing = f"{base}/landing"
         fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
-    if rocksdb:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    stream = (spark.readStream.schema(INPUT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(landing))
-    q = (session_stream(stream, cap).writeStream.format("parquet").option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    return spark.read.schema(OUTPUT_SCHEMA).parquet(out)
+
+    def drain():
+        stream = session_stream(read_turns(spark, landing, max_files_per_trigger), cap, hold_ms)
+        (stream.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
+         .trigger(availableNow=True).start(out).awaitTermination())
+
+    before = spark.conf.get(PROVIDER_CONF)
+    try:
+        if rocksdb:
+            spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
+        drain()
+        spark.range(1).selectExpr("cast(null as bigint) as conv_id", "cast(null as bigint) as turn",
+                                  f"'{END_ROLE}' as role", "cast(null as string) as text").write.mode(
+            "append").parquet(landing)
+        drain()
+    finally:
+        spark.conf.set(PROVIDER_CONF, before)
+    rows = spark.read.schema(OUTPUT_SCHEMA).parquet(out)
+    return rows.where("late").select("conv_id", "turn") if late else rows.where("not late").drop("late")

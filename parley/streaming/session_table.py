@@ -13,9 +13,13 @@ per conversation ever seen), so per-batch cost grows with the number of
 conversations; it pays off with large triggers and many keys, where the
 state-function form is bound by per-key Python calls.
 
-Semantics equal ``session_state.history_state_fn``: turns at or below the last
-processed turn are dropped, a batch is processed in turn order, nothing after
-``/exit`` is processed.
+Semantics equal ``session_state``: a turn is held for ``hold`` after its
+arrival and released in turn order; a turn at or below a released one goes to
+the ``late`` table; nothing after ``/exit`` is processed; idle conversations
+expire.  Arrivals are an append-only table: what is held are its rows above the
+last released turn of their conversation, so nothing is rewritten to hold it,
+and rows whose time was up in an earlier batch are pruned by arrival time.
+Batches in which no turn is due write no new state.
 """
 
 from __future__ import annotations
@@ -30,11 +34,11 @@ from parley.operators.chat_session import HISTORY_CAP, command_kind
 from parley.operators.numbering import running_total, sliding_collect
 from parley.session import input_key, work_dir
 from parley.sources import fixtures as fx
+from parley.streaming.session_state import EXPIRE_MS, HOLD_MS, INPUT_SCHEMA, read_turns
 
 STATE_SCHEMA = ("conv_id long, epoch long, exited boolean, last_turn long, "
-                "hist array<struct<turn:long,role:string,text:string>>")
+                "hist array<struct<turn:long,role:string,text:string>>, seen timestamp")
 OUTPUT_SCHEMA = "conv_id long, turn long, n_history long, history_turns string"
-INPUT_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
 def _read_state(spark: SparkSession, state_root: str, before: int) -> DataFrame:
@@ -57,7 +61,11 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
     """One micro-batch: returns (output rows, new state rows for the touched conversations)."""
     s = state.select("conv_id", F.col("epoch").alias("_s_epoch"), F.col("exited").alias("_s_exited"),
                      F.col("last_turn").alias("_s_last"), F.col("hist").alias("_s_hist"))
-    b = (batch.dropDuplicates(["conv_id", "turn"]).join(s, "conv_id", "left")
+    s = s.withColumnRenamed("conv_id", "_s_conv")
+    # of a repeated turn the first arrival
+    once = batch.groupBy("conv_id", "turn").agg(F.min(F.struct("arrived", "role", "text")).alias("_f")).select(
+        "conv_id", "turn", "_f.arrived", "_f.role", "_f.text")
+    b = (once.join(s, F.col("conv_id").eqNullSafe(F.col("_s_conv")), "left").drop("_s_conv")
          .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))))
     b = (b.withColumn("text", strip_ws(F.col("text"))).withColumn("kind", command_kind())
          .withColumn("_c", (F.col("kind") == "clear").cast("long"))
@@ -84,7 +92,7 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
 
     # New state for every conversation seen in this batch (late rows excluded).
     per = t.groupBy("conv_id").agg(
-        F.max("turn").alias("last_turn"),
+        F.max("turn").alias("last_turn"), F.max("arrived").alias("seen"),
         F.max(F.when(F.col("_live"), F.col("epoch"))).alias("_e_live"),
         F.max("_exits").alias("_ex"),
         F.first("_s_epoch", ignorenulls=True).alias("_s_epoch"),
@@ -97,36 +105,90 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
     recent = (msgs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap)
               .groupBy("conv_id", "epoch").agg(F.sort_array(F.collect_list(
                   F.struct(F.col("turn"), F.col("role"), F.col("text")))).alias("_b_hist")))
-    per = per.join(recent, ["conv_id", "epoch"], "left")
+    recent = recent.withColumnsRenamed({"conv_id": "_r_conv", "epoch": "_r_epoch"})
+    per = per.join(recent, F.col("conv_id").eqNullSafe(F.col("_r_conv")) & (F.col("epoch") == F.col("_r_epoch")),
+                   "left")
     keep_old = F.when(F.col("epoch") == F.col("_s_epoch"), F.coalesce(F.col("_s_hist"), F.array())).otherwise(
         F.array())
     new_hist = F.concat(keep_old.cast("array<struct<turn:long,role:string,text:string>>"),
                         F.coalesce(F.col("_b_hist"), F.array().cast("array<struct<turn:long,role:string,text:string>>")))
     new_hist = F.slice(new_hist, F.greatest(F.size(new_hist) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
     touched = per.select("conv_id", F.col("epoch").cast("long"), "exited", F.col("last_turn").cast("long"),
-                         new_hist.alias("hist"))
-    new_state = state.join(touched.select("conv_id"), "conv_id", "left_anti").unionByName(touched)
+                         new_hist.alias("hist"), "seen")
+    done = touched.select(F.col("conv_id").alias("_t_conv"))
+    new_state = state.join(done, F.col("conv_id").eqNullSafe(F.col("_t_conv")), "left_anti").unionByName(touched)
     return out, new_state
 
 
+def _after(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """``rows`` with ``_last``, the last released turn of their conversation (-1 if none)."""
+    last = state.select(F.col("conv_id").alias("_conv"), "last_turn")
+    j = rows.join(last, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    return j.withColumn("_last", F.coalesce("last_turn", F.lit(-1))).drop("last_turn")
+
+
 def run_session_table_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
-                             max_files_per_trigger: int = 256, landing: str | None = None) -> DataFrame:
-    """Run W1 (native variant) over landed session turns with ``availableNow``; return the output rows."""
+                             max_files_per_trigger: int = 256, landing: str | None = None,
+                             hold_ms: int = HOLD_MS, expire_ms: int = EXPIRE_MS, late: bool = False) -> DataFrame:
+    """Run W1 (native variant) over landed session turns with ``availableNow``; return the output rows.
+
+    What is still held at the end of the input is released then.  ``late=True``
+    returns the late turns instead.
+    """
     base = work_dir(spark, "stream_session_table", input_key(sf_dir), uuid.uuid4().hex[:8])
     if landing is None:
         landing = f"{base}/landing"
         fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
     out_root, state_root, ckpt = f"{base}/out", f"{base}/state", f"{base}/ckpt"
-
-    def on_batch(batch_df: DataFrame, batch_id: int) -> None:
-        state = _read_state(batch_df.sparkSession, state_root, batch_id)
-        out, new_state = process_batch(batch_df, state, cap)
-        new_state.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
+    arrivals, late_root, marks = f"{base}/arrivals", f"{base}/late", f"{base}/marks"
+    turn_schema = INPUT_SCHEMA + ", arrived timestamp, b long"
+    seen_batches = [-1]
+
+    def release(session: SparkSession, batch_id: int, due_ms: int, due_before_ms: int) -> None:
+        """Release what arrived by ``due_ms`` and the held turns before it."""
+        held = session.read.schema(turn_schema).parquet(arrivals).where(
+            (F.col("b") <= batch_id) & (F.col("arrived") > F.timestamp_millis(F.lit(due_before_ms)))).drop("b")
+        state = _read_state(session, state_root, batch_id)
+        held = _after(held, state).where(F.col("turn") > F.col("_last")).drop("_last")
+        due = held.where(F.col("arrived") <= F.timestamp_millis(F.lit(due_ms)))
+        if due.isEmpty():
+            return
+        upto = due.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("turn").alias("_upto"))
+        ready = held.join(upto, F.col("conv_id").eqNullSafe(F.col("_conv"))).where(
+            F.col("turn") <= F.col("_upto")).drop("_conv", "_upto")
+        out, new_state = process_batch(ready, state, cap)
+        live = new_state.where(F.col("seen") > F.timestamp_millis(F.lit(due_ms - expire_ms)))
+        live.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
         out.write.mode("overwrite").parquet(f"{out_root}/batch={batch_id}")
 
-    stream = (spark.readStream.schema(INPUT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(landing))
-    q = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt).trigger(
-        availableNow=True).start()
+    def on_batch(batch_df: DataFrame, batch_id: int) -> None:
+        session = batch_df.sparkSession
+        seen_batches.append(batch_id)
+        batch_df.write.mode("overwrite").parquet(f"{arrivals}/b={batch_id}")
+        mine = session.read.schema(INPUT_SCHEMA + ", arrived timestamp").parquet(f"{arrivals}/b={batch_id}")
+        state = _read_state(session, state_root, batch_id)
+        _after(mine, state).where(F.col("turn") <= F.col("_last")).select("conv_id", "turn").write.mode(
+            "overwrite").parquet(f"{late_root}/b={batch_id}")
+        newest = mine.agg(F.unix_millis(F.max("arrived"))).first()[0]     # one scalar
+        before = 0
+        if batch_id > 0:
+            before = session.read.schema("due_ms long, b long").parquet(marks).where(
+                F.col("b") < batch_id).agg(F.max("due_ms")).first()[0]    # one scalar
+        due = max(before, (newest or 0) - hold_ms)
+        release(session, batch_id, due, before)
+        session.range(1).select(F.lit(due).cast("bigint").alias("due_ms")).write.mode("overwrite").parquet(
+            f"{marks}/b={batch_id}")
+
+    q = read_turns(spark, landing, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
+        "checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
+    last = max(seen_batches)
+    if last >= 0:
+        before = spark.read.schema("due_ms long").parquet(marks).agg(F.max("due_ms")).first()[0]
+        release(spark, last + 1, 7_258_118_400_000, before)               # end of input: all is due
+    if late:
+        return spark.read.schema("conv_id long, turn long").parquet(late_root).select("conv_id", "turn")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(out_root)
+    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):   # no turn at all
+        return spark.createDataFrame([], OUTPUT_SCHEMA)
     return spark.read.schema(OUTPUT_SCHEMA + ", batch long").parquet(out_root).drop("batch")

@@ -115,26 +115,45 @@ def test_stream_equals_batch(spark):
     assert batch == stream
 
 
-def test_stream_state_drops_late_turns():
+def test_stream_state_holds_and_reports_late_turns():
     import pandas as pd
 
     from parley.streaming.session_state import history_state_fn
 
     class S:
-        exists, get = False, None
+        exists, get, hasTimedOut, mark = False, None, False, 0
 
         def update(self, v):
             self.exists, self.get = True, v
 
+        def remove(self):
+            self.exists, self.get = False, None
+
+        def getCurrentWatermarkMs(self):
+            return self.mark
+
+        def setTimeoutTimestamp(self, t):
+            assert t > self.mark
+            self.wake = t
+
+    def rows(turns, roles, texts, at):
+        return pd.DataFrame({"turn": turns, "role": roles, "text": texts, "arrived_ms": [at] * len(turns)})
+
     st = S()
-    fn = history_state_fn(cap=3)
-    b1 = pd.DataFrame({"conv_id": [1, 1, 1], "turn": [2, 0, 1], "role": ["user", "user", "assistant"],
-                       "text": ["c", "a", "b"]})
-    out1 = list(fn((1,), iter([b1]), st))[0]
-    assert list(out1["turn"]) == [0, 2] and list(out1["n_history"]) == [0, 2]
-    b2 = pd.DataFrame({"conv_id": [1, 1], "turn": [1, 3], "role": ["user", "assistant"], "text": ["late", "d"]})
-    out2 = list(fn((1,), iter([b2]), st))
-    assert out2 == [] and st.get[2] == 3
+    fn = history_state_fn(cap=3, expire_ms=1000)
+    assert list(fn((1,), iter([rows([2, 0], ["user", "user"], ["c", "a"], 10)]), st)) == []
+    assert list(fn((1,), iter([rows([1, 5], ["assistant", "user"], ["b", "z"], 20)]), st)) == [] and st.wake == 10
+    st.mark, st.hasTimedOut = 10, True      # the turns of time 10 are due, and turn 1 before them
+    out = list(fn((1,), iter([]), st))[0]
+    assert list(out["turn"]) == [0, 2] and list(out["n_history"]) == [0, 2] and st.wake == 20
+    st.hasTimedOut = False
+    out = list(fn((1,), iter([rows([1, 3], ["user", "assistant"], ["late", "d"], 30)]), st))[0]
+    assert list(out["turn"]) == [1] and list(out["late"]) == [True]
+    st.mark, st.hasTimedOut = 40, True
+    out = list(fn((1,), iter([]), st))[0]
+    assert list(out["turn"]) == [5] and list(out["history_turns"]) == ["1,2,3"]
+    st.mark = 5000
+    assert list(fn((1,), iter([]), st)) == [] and not st.exists   # idle: state gone
 
 
 def test_running_total_and_sliding_collect_hot_key(spark):
@@ -188,23 +207,45 @@ def test_skew_safe_sessions_equal_plain_windows(spark):
     assert hc == sorted(map(tuple, cs.history_count(plain_e, skew_safe=False).collect())) and hc
 
 
+COLS = ["conv_id", "turn", "n_history", "history_turns"]
+
+
+def _both_streams(spark, landing, **kw):
+    from parley.streaming.session_state import run_session_stream
+    from parley.streaming.session_table import run_session_table_stream
+
+    b = sorted(map(tuple, run_session_table_stream(spark, SF_MID, max_files_per_trigger=1, landing=landing,
+                                                   **kw).collect()))
+    # second: it lands the end row in the folder
+    a = sorted(map(tuple, run_session_stream(spark, SF_MID, max_files_per_trigger=1, landing=landing, **kw).collect()))
+    return a, b
+
+
 def test_streams_carry_state_across_batches(spark):
-    """Turns arrive one turn value per file, one file per micro-batch: state must carry over."""
+    """Turns arrive in order, nothing is held: state must carry over from file to file."""
     import tempfile
 
     from parley.sources import fixtures as fx
-    from parley.streaming.session_state import run_session_stream
-    from parley.streaming.session_table import run_session_table_stream
 
     turns = fx.session_turns(spark, SF_MID)
     landing = tempfile.mkdtemp(prefix="parley-landing-")
-    max_turn = turns.agg(F.max("turn")).first()[0]
-    for t in range(max_turn + 1):   # sequential writes: file order = turn order
-        turns.where(F.col("turn") == t).coalesce(1).write.mode("append").parquet(landing)
-    cols = ["conv_id", "turn", "n_history", "history_turns"]
-    batch = sorted(tuple(r) for r in Q._history_q(20)(spark, SF_MID).select(*cols).collect())
-    a = sorted(tuple(r) for r in run_session_stream(spark, SF_MID, max_files_per_trigger=1,
-                                                    landing=landing).select(*cols).collect())
-    b = sorted(tuple(r) for r in run_session_table_stream(spark, SF_MID, max_files_per_trigger=1,
-                                                          landing=landing).select(*cols).collect())
+    last = turns.agg(F.max("turn")).first()[0]
+    cuts = [0, 2, 3, 5, last + 1]
+    for lo, hi in zip(cuts, cuts[1:]):   # sequential writes: file order = turn order
+        turns.where(F.col("turn").between(lo, hi - 1)).coalesce(1).write.mode("append").parquet(landing)
+    batch = sorted(tuple(r) for r in Q._history_q(20)(spark, SF_MID).select(*COLS).collect())
+    a, b = _both_streams(spark, landing, hold_ms=0)
+    assert batch == a == b
+
+
+def test_streams_equal_batch_on_shuffled_landing(spark):
+    """Turns scattered over files, one file per micro-batch: held turns lose none."""
+    import tempfile
+
+    from parley.sources import fixtures as fx
+
+    landing = tempfile.mkdtemp(prefix="parley-landing-") + "/turns"
+    fx.session_turns(spark, SF_MID).repartition(5, F.xxhash64("conv_id", "turn")).write.parquet(landing)
+    batch = sorted(tuple(r) for r in Q._history_q(20)(spark, SF_MID).select(*COLS).collect())
+    a, b = _both_streams(spark, landing)
     assert batch == a == b
