@@ -88,18 +88,19 @@ def stratified_split(df: DataFrame, flag_col: str, key_cols: Sequence[str], *, s
     """Add ``split`` ('train'/'eval'); row-level, like the reference (``compat``).
 
     ``key_cols`` must identify a row (e.g. ``conv_id`` or ``(conv_id, replica)``);
-    order inside a stratum is ``md5('<seed>:<key>...')``.  The input is read by
-    three passes (counts, per-stratum top-k, tagging); with
-    ``materialize_input`` it is written once as parquet first, so an expensive
-    upstream (parsing) runs once and the count pass reads one column.
+    order inside a stratum is ``md5('<seed>:<key>...')``.  Counts and
+    per-stratum top-k read only keys and flag; with ``materialize_input`` these
+    (never whole rows) are written once as parquet, so an expensive upstream
+    runs twice: for the keys and for the tagged rows.
     """
     q = QUOTAS[quota] if isinstance(quota, str) else quota
+    units = df.select(*key_cols, flag_col)
     if materialize_input:
-        df = materialize(df, "split_input")
-    n_id, n_other = _stratum_counts(df, flag_col)
+        units = materialize(units, "split_keys")
+    n_id, n_other = _stratum_counts(units, flag_col)
     k_id, k_other = q(n_id, n_other)
     order = [shuffle_key(seed, *key_cols), *[F.col(c) for c in key_cols]]
-    ek = _eval_keys(df, flag_col, order, key_cols, min(k_id, n_id), k_other)
+    ek = _eval_keys(units, flag_col, order, key_cols, min(k_id, n_id), k_other)
     return _tag(df, ek, key_cols, min(k_id, n_id) + k_other)
 
 
@@ -121,10 +122,11 @@ def leak_safe_split(df: DataFrame, flag_col: str, *, seed: int = 42, quota: Quot
     q = QUOTAS[quota] if isinstance(quota, str) else quota
     if group_col not in df.columns:
         df = df.withColumn(group_col, content_key())
-    if materialize_input:
-        df = materialize(df, "split_input")
     oc = order_col or group_col
-    groups = df.groupBy(group_col).agg(F.max(F.col(flag_col)).alias(flag_col),
+    units = df.select(*dict.fromkeys([group_col, flag_col, oc]))
+    if materialize_input:   # group, flag and order only, never whole rows
+        units = materialize(units, "split_keys")
+    groups = units.groupBy(group_col).agg(F.max(F.col(flag_col)).alias(flag_col),
                                        F.min(F.col(oc)).alias("_ord"))
     n_id, n_other = _stratum_counts(groups, flag_col)
     k_id, k_other = q(n_id, n_other)

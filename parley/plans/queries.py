@@ -315,7 +315,7 @@ def q_prep_summary(spark, sf_dir):
 
 
 def q_step_plan(spark, sf_dir):
-    f = materialize(_flagged_convs(spark, sf_dir), "split_input")   # shared by both profiles
+    f = materialize(_flagged_convs(spark, sf_dir).select("conv_id", "flag"), "split_keys")   # for both profiles
     out = None
     for prof in ("A", "B"):
         micro, accum, epochs, floor = split.PROFILES[prof]
@@ -353,7 +353,8 @@ def q_split_leak_safe(spark, sf_dir):
 
 
 def q_split_leak_report(spark, sf_dir):
-    rows = materialize(_prep_rows(spark, sf_dir).withColumn("_group", split.content_key()), "split_input")
+    rows = materialize(_prep_rows(spark, sf_dir).select("conv_id", "replica", "flag", split.content_key().alias(
+        "_group")), "split_keys")
     compat = split.stratified_split(rows, "flag", ["conv_id", "replica"], seed=SEED, quota="A",
                                     materialize_input=False)
     safe = split.leak_safe_split(rows, "flag", seed=SEED, quota="A", order_col="conv_id", materialize_input=False)

@@ -249,3 +249,32 @@ def test_streams_equal_batch_on_shuffled_landing(spark):
     batch = sorted(tuple(r) for r in Q._history_q(20)(spark, SF_MID).select(*COLS).collect())
     a, b = _both_streams(spark, landing)
     assert batch == a == b
+
+
+def test_state_table_reports_late_turns(spark):
+    """Nothing is held, later turns come first: the earlier ones are late, and all are reported."""
+    import tempfile
+
+    from parley.sources import fixtures as fx
+    from parley.streaming.session_table import run_session_table_stream
+
+    turns = fx.session_turns(spark, SF_MID)
+    landing = tempfile.mkdtemp(prefix="parley-landing-")
+    for cond in ("turn >= 3", "turn < 3"):
+        turns.where(cond).coalesce(1).write.mode("append").parquet(landing)
+    late = run_session_table_stream(spark, SF_MID, max_files_per_trigger=1, landing=landing, hold_ms=0, late=True)
+    want = turns.where("turn < 3").join(turns.where("turn >= 3").select("conv_id").distinct(), "conv_id")
+    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, want.select("conv_id", "turn").collect()))
+
+
+def test_split_writes_keys_only(spark, monkeypatch):
+    from parley.operators import split
+
+    seen = []
+    real = split.materialize
+    monkeypatch.setattr(split, "materialize", lambda df, name: (seen.append(df.columns), real(df, name))[1])
+    rows = spark.range(200).select("id", (F.col("id") % 5 == 0).alias("flag"), F.lit("x").alias("messages"))
+    out = split.stratified_split(rows, "flag", ["id"])
+    assert out.count() == 200 and out.columns == ["id", "flag", "messages", "split"]
+    split.leak_safe_split(rows, "flag", group_col="id").count()
+    assert seen == [["id", "flag"], ["id", "flag"]]
