@@ -143,7 +143,8 @@ def units(data: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         stops = np.append(np.flatnonzero(new | ~valid), n)
         count = stops[np.searchsorted(stops, first, "right")] - first
         u = mix((total[first + count + LENGTH - 1] - total[first]) * t["down"][first] + count.astype(np.uint64))
-        parts.append((gram[anchor[first]], u, first + lo, count))
+        # mixed again: the smallest hash of a window is a small number, and owners take even key ranges
+        parts.append((mix(gram[anchor[first]]), u, first + lo, count))
     if not parts:
         return {"key": np.zeros(0, np.uint64), "u": np.zeros(0, np.uint64), "pos": np.zeros(0, np.int64),
                 "n": np.zeros(0, np.int64), "own": np.zeros(0, np.int64)}
