@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import strip_ws
-from parley.operators.numbering import running_total, sliding_collect
+from parley.operators.numbering import null_safe_join, running_total, sliding_collect
 from parley.operators.template import render_chat
 
 # --- fixed values -----------------------------------------------------------
@@ -96,6 +96,13 @@ def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv
 def history_count(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv_id",
                   turn: str = "turn", skew_safe: bool = True) -> DataFrame:
     """H5: at each ``/history`` command, ``least(cap, messages so far in the epoch)``."""
+    if skew_safe and "msg_ord" in epochs.columns:
+        # messages so far, less those before the epoch's ``/clear``: no second numbering pass
+        asked = epochs.where(F.col("kind") == "history")
+        clears = epochs.where(F.col("kind") == "clear").select(conv, "epoch", F.col("msg_ord").alias("_before"))
+        c = null_safe_join(asked, clears, [conv, "epoch"], how="left")
+        return c.select(conv, turn, F.least(F.lit(cap).cast("bigint"), (
+            F.col("msg_ord") - F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")).alias("n_history"))
     e = epochs.withColumn("_m", F.col("kind").isin("message", "response").cast("long"))
     if skew_safe:
         c = running_total(e, {"_n": "_m"}, [turn], [conv, "epoch"])

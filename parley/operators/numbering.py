@@ -51,11 +51,11 @@ def range_partitions(df: DataFrame) -> int:
     return int(min(MAX_SLICES, max(base, -(-size // TARGET_SLICE_BYTES))))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where null equals null (as in a window's partitions)."""
-    right = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null (as in a window's partitions)."""
+    renamed = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})   # keeps a broadcast hint
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return left.join(right, on).drop(*[f"_k_{k}" for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
@@ -66,20 +66,9 @@ def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     ``first_of`` columns are also returned as ``first_<col>``: their value on
     the group's first row (e.g. a run's start time).
     """
-    spark = df.sparkSession
     n = num_partitions or range_partitions(df)
     keys = [*_cols(partition_by), *_cols(order_by)]
-    # An explicit partition count keeps AQE from coalescing or splitting this
-    # exchange, so partition index and position stay consistent.
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    # Partition ids and positions are read by two branches below (counts and
-    # rows).  Range bounds come from sampling that Spark may redo per branch
-    # with a different seed, so the tagged rows are checkpointed once to the
-    # shared checkpoint dir: both branches then see the same ids, and the
-    # lineage is cut (a lost executor re-reads the files, not a re-sample).
-    work_dir(spark)  # make sure a checkpoint dir is set
-    ided = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                         F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    ided = _tag_ranges(df, keys, n)
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Prefix sum over the per-partition count table: at most ``n`` rows, so
     # this small un-partitioned window is bounded by the partition count.
@@ -100,30 +89,64 @@ def number_rows(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
                 out = out.withColumn(f"first_{c}", F.col(f"_f.{c}"))
             out = out.drop("_f")
         return out.drop("_pid", "_mid", "_off")
-    # Within-group number = global number minus the group's first global
-    # number.  The group's first row is found per slice (one row per group per
-    # slice), reduced over the slices of each group on that small table, and
-    # joined back on (slice, group) — a key no larger than one slice, so a
-    # hot group never funnels into one join task.
+    # Within-group number = global number minus the group's first global number.  A group that begins
+    # in a slice has its first row there, which a window over (slice, group) finds; one that goes on
+    # from the slice before takes it from a table of at most one row per slice (bounded broadcast).
     pk = list(partition_by)
-    firsts_cols = [F.min_by(F.struct("_g", *first_of), "_g").alias("_f")]
-    slices = numbered.groupBy("_pid", *pk).agg(*firsts_cols)
-    w = Window.partitionBy(*pk)
-    slices = slices.select("_pid", *pk, F.min(F.col("_f")).over(w).alias("_f"))
-    out = null_safe_join(numbered, slices, ["_pid", *pk]).withColumn(name, F.col("_g") - F.col("_f._g") + 1)
+    w_local = Window.partitionBy("_pid", *pk).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.first(F.struct("_g", *first_of)).over(w_local).alias("_f")
+    out = null_safe_join(numbered.select("*", first), F.broadcast(_border_firsts(numbered, pk, first_of)),
+                         ["_pid", *pk], how="left")
+    out = out.withColumn("_f", F.coalesce("_b", "_f")).withColumn(name, F.col("_g") - F.col("_f._g") + 1)
     for c in first_of:
         out = out.withColumn(f"first_{c}", F.col(f"_f.{c}"))
-    return out.drop("_pid", "_mid", "_off", "_g", "_f")
+    return out.drop("_pid", "_mid", "_off", "_g", "_f", "_b")
+
+
+def _border_firsts(numbered: DataFrame, pk: list[str], first_of: Sequence[str]) -> DataFrame:
+    """``(_pid, *pk, _b)``: the first row of a group that goes on from an earlier slice; at most one row per slice."""
+    edge = _edge_groups(numbered, pk, [F.struct("_g", *first_of).alias("_r")])
+    per = edge.groupBy("_pid", *pk).agg(F.min_by("_r", "_r._g").alias("_first"))
+    w = Window.partitionBy(*pk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select("_pid", *pk, F.first("_first").over(w).alias("_b")).where(F.col("_b").isNotNull())
 
 
 def _tag_ranges(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
-    spark = df.sparkSession
-    work_dir(spark)
+    """Rows in ``n`` ranges of ``keys``, tagged with range (``_pid``) and place (``_mid``), checkpointed.
+
+    An explicit partition count keeps AQE from coalescing or splitting the exchange.  Tags are read by
+    several branches, and Spark may sample range bounds anew per branch with another seed: the tagged
+    rows are therefore written once to the shared checkpoint folder (a lost executor re-reads them).
+    """
+    work_dir(df.sparkSession)  # make sure a checkpoint dir is set
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     return ranged.select("*", F.spark_partition_id().alias("_pid"),
                          F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
 
 
+def _edge_groups(tagged: DataFrame, pk: list[str], cols: list[Column]) -> DataFrame:
+    """``(_pid, *pk, *cols)`` of the rows in the first and the last group of their slice.
+
+    Slices are ranges, so only these groups can go on in another slice.
+    """
+    keys = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in pk])
+    ends = tagged.groupBy("_pid").agg(F.min_by(keys, "_mid").alias("_lo"), F.max_by(keys, "_mid").alias("_hi"))
+    return tagged.select("_pid", *pk, *cols).join(F.broadcast(ends), "_pid").where(
+        keys.eqNullSafe(F.col("_lo")) | keys.eqNullSafe(F.col("_hi")))
+
+
+def _border_offsets(ided: DataFrame, values: dict[str, str], pk: list[str]) -> DataFrame:
+    """``(_pid, *pk, _o_<name>...)``: sums over a group's earlier slices, only where a group goes on in a slice.
+
+    The table has at most one row per slice, whatever the number of groups.
+    """
+    edge = _edge_groups(ided, pk, [F.col(c).alias(f"_v_{o}") for o, c in values.items()])
+    sums = edge.groupBy("_pid", *pk).agg(*[F.sum(f"_v_{o}").alias(f"_t_{o}") for o in values])
+    w = Window.partitionBy(*pk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("_pid", *pk, F.count(F.lit(1)).over(w).alias("_earlier"),
+                       *[F.sum(f"_t_{o}").over(w).alias(f"_o_{o}") for o in values]).where("_earlier > 0").drop("_earlier")
+
+
 def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, partition_by: Sequence[str] = (),
                   num_partitions: int | None = None) -> DataFrame:
     """Running sums (``current row`` inclusive) within ``partition_by`` by ``order_by``.
@@ -131,8 +154,9 @@ def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, par
     ``values`` maps output name → numeric column.  Skew-safe: rows are range
     partitioned (a hot group spans many tasks); each task sums its own slice
     of a group (``Window`` over ``(_pid, group)``, at most one range partition
-    per window partition), and slices are shifted by the totals of the same
-    group's earlier slices (a per-slice table: one row per group per task).
+    per window partition), and a slice that goes on with a group of the slice
+    before is shifted by that group's earlier sums (at most one row per slice,
+    a bounded broadcast).
     """
     n = num_partitions or range_partitions(df)
     keys = [*_cols(partition_by), *_cols(order_by)]
@@ -141,12 +165,8 @@ def running_total(df: DataFrame, values: dict[str, str], order_by: Sequence, par
     w_local = Window.partitionBy("_pid", *pk).orderBy("_mid").rowsBetween(Window.unboundedPreceding,
                                                                          Window.currentRow)
     local = ided.select("*", *[F.sum(F.col(c)).over(w_local).alias(f"_l_{o}") for o, c in values.items()])
-    slices = ided.groupBy("_pid", *pk).agg(*[F.sum(F.col(c)).alias(f"_t_{o}") for o, c in values.items()])
-    w_prev = Window.partitionBy(*pk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = slices.select("_pid", *pk, *[F.coalesce(F.sum(f"_t_{o}").over(w_prev), F.lit(0)).alias(f"_o_{o}")
-                                        for o in values])
-    out = null_safe_join(local, offs, ["_pid", *pk])
-    out = out.select("*", *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in values])
+    out = null_safe_join(local, F.broadcast(_border_offsets(ided, values, pk)), ["_pid", *pk], how="left")
+    out = out.select("*", *[(F.col(f"_l_{o}") + F.coalesce(F.col(f"_o_{o}"), F.lit(0))).alias(o) for o in values])
     return out.drop("_pid", "_mid", *[f"_l_{o}" for o in values], *[f"_o_{o}" for o in values])
 
 
@@ -172,11 +192,10 @@ def sliding_collect(df: DataFrame, items: Column, frame: int, order_by: Sequence
         numbered = number_rows(df.withColumn("_item", items), order_by, partition_by, name="_rn",
                                num_partitions=num_partitions)
     pos = F.col("_rn") - 1
-    base = numbered.select("*", F.floor(pos / F.lit(chunk_rows)).cast("long").alias("_chunk"),
-                           F.lit(False).alias("_halo"))
-    halo = numbered.where((pos % F.lit(chunk_rows)) >= F.lit(chunk_rows - frame)).select(
-        "*", (F.floor(pos / F.lit(chunk_rows)) + 1).cast("long").alias("_chunk"), F.lit(True).alias("_halo"))
-    both = base.unionByName(halo)
+    # one branch: every row in its chunk, the last ``frame`` rows of a chunk in the next one too
+    own = F.floor(pos / F.lit(chunk_rows)).cast("long")
+    places = F.when((pos % F.lit(chunk_rows)) >= F.lit(chunk_rows - frame), F.array(own, own + 1)).otherwise(F.array(own))
+    both = numbered.select("*", F.posexplode(places).alias("_copy", "_chunk")).withColumn("_halo", F.col("_copy") > 0)
     w = Window.partitionBy(*partition_by, "_chunk").orderBy("_rn").rowsBetween(-frame, -1)
     out = both.select("*", F.collect_list("_item").over(w).alias(name)).where(~F.col("_halo"))
-    return out.drop("_item", "_rn", "_chunk", "_halo")
+    return out.drop("_item", "_rn", "_copy", "_chunk", "_halo")

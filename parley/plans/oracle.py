@@ -16,9 +16,9 @@ NL = "chr(10)"
 LINES = f"""
 c_agg AS (
   SELECT conv_id, count(*) AS n_turns,
-         arg_min(text, turn) FILTER (WHERE role = 'user') AS u_text,
-         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a_text,
-         arg_min(text, turn) FILTER (WHERE role = 'system') AS s_text
+         string_agg(text, {NL} || {NL} ORDER BY turn) FILTER (WHERE role = 'user') AS u_text,
+         string_agg(text, {NL} || {NL} ORDER BY turn) FILTER (WHERE role = 'assistant') AS a_text,
+         string_agg(text, {NL} || {NL} ORDER BY turn) FILTER (WHERE role = 'system') AS s_text
   FROM conversations GROUP BY conv_id),
 lines AS (
   SELECT conv_id,

@@ -37,8 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _first_text(turns: Column, role: str) -> Column:
-    return F.try_element_at(F.filter(turns, lambda x: x["role"] == role), F.lit(1))["text"]
+def _role_text(turns: Column, role: str) -> Column:
+    """All texts of a role in turn order, one blank line between them; empty if none."""
+    return F.array_join(F.transform(F.filter(turns, lambda x: x["role"] == role), lambda x: x["text"]), "\n\n")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +56,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv_items = F.transform("t", lambda x: F.struct(F.element_at(names, x["role"]).alias("from"),
                                                      x["text"].alias("value")))
     conv_items = F.when(short, F.slice(conv_items, 1, 1)).otherwise(conv_items)
-    response = F.when(short, F.lit("")).otherwise(F.coalesce(_first_text(F.col("t"), "assistant"), F.lit("")))
+    response = F.when(short, F.lit("")).otherwise(_role_text(F.col("t"), "assistant"))
     shape0 = F.to_json(F.struct(cid.alias("conv_id"), msgs.alias("messages")))
     shape1 = F.to_json(F.struct(cid.alias("conv_id"), conv_items.alias("conversation")))
     shape2 = F.to_json(F.struct(cid.alias("conv_id"),
-                                _first_text(F.col("t"), "user").alias("instruction"),
+                                _role_text(F.col("t"), "user").alias("instruction"),
                                 response.alias("response"),
-                                _first_text(F.col("t"), "system").alias("system")))
+                                F.nullif(_role_text(F.col("t"), "system"), F.lit("")).alias("system")))
     value = (F.when((cid % 11) == 3, F.concat(F.lit('{bad "conv_id":'), cid.cast("string"), F.lit(',"messages":[}')))
              .when((cid % 3) == 0, shape0)
              .when((cid % 3) == 1, shape1)
