@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.curate import shuffle_key
+from parley.operators.numbering import number_rows
 from parley.session import materialize
 
 # --- fixed values -----------------------------------------------------------
@@ -65,8 +66,12 @@ def _eval_keys(units: DataFrame, flag_col: str, order: Sequence[Column], key_col
     parts = []
     for flag_value, k in ((True, k_id), (False, k_other)):
         if k > 0:
-            parts.append(units.where(F.col(flag_col) == F.lit(flag_value)).orderBy(*order)
-                         .limit(k).select(*key_cols))
+            stratum = units.where(F.col(flag_col) == F.lit(flag_value))
+            if k <= BROADCAST_EVAL_LIMIT:
+                top = stratum.orderBy(*order).limit(k)
+            else:   # a quota of any size: numbered in ranges, never collected in one task
+                top = number_rows(stratum, order, name="_rank").where(F.col("_rank") <= k)
+            parts.append(top.select(*key_cols))
     if not parts:
         return units.select(*key_cols).limit(0)
     out = parts[0]

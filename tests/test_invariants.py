@@ -81,6 +81,17 @@ def test_frame_must_fit_in_a_chunk(spark):
         sliding_collect(df, F.col("id"), 20, ["id"], ["k"], "h", chunk_rows=13)
 
 
+def test_large_split_quota_equals_small_path(spark, monkeypatch):
+    """Beyond the limit the same rows are taken by numbered ranges and a shuffle join."""
+    df = spark.range(400).select(F.col("id"), (F.col("id") % 4 == 0).alias("flag"))
+    small = split.stratified_split(df, "flag", ["id"], quota=lambda a, b: (a // 2, b // 2))
+    want = sorted(r.id for r in small.where("split = 'eval'").collect())
+    monkeypatch.setattr(split, "BROADCAST_EVAL_LIMIT", 20)
+    large = split.stratified_split(df, "flag", ["id"], quota=lambda a, b: (a // 2, b // 2))
+    assert sorted(r.id for r in large.where("split = 'eval'").collect()) == want and len(want) == 200
+    assert large.count() == 400
+
+
 def test_split_plan_is_bounded(spark):
     s = split.stratified_split(Q._flagged_convs(spark, SF_MID), "flag", ["conv_id"], quota="A")
     plan = s._jdf.queryExecution().executedPlan().toString()
