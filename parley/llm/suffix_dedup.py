@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import release, stash, text_of
@@ -53,6 +53,7 @@ ANCHOR_BYTES = 4 << 20  # of anchors to an owner
 SHARD_BYTES = 3 << 20  # of units to a shard
 TEXT_BYTES = 1 << 19  # of units in one suffix array; the units of an anchor stay together
 HOT_UNITS = 30_000
+SALTS = 64  # parts of a group of whole copies
 FLAGS = 1 << 60
 NONE = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -438,9 +439,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NONE)).alias("doc"), text.alias("text"),
                        F.sha2(text, 256).alias("sha"))
     whole = stash(rows.where(F.octet_length("text") >= LENGTH).select(
-        "doc", F.unhex("sha").alias("sha"), F.octet_length("text").cast("long").alias("bytes")), "suffix-whole")
-    first = whole.groupBy("sha").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    copies = stash(whole.join(first, "sha").where("doc > first").select("doc", F.lower(F.hex("sha")).alias("sha"), "bytes"),
+        "doc", F.unhex("sha").alias("sha"), F.octet_length("text").cast("long").alias("bytes"),
+        (F.rand(0) * SALTS).cast("int").alias("salt")), "suffix-whole")  # written: every pass reads the same salts
+    # a group of copies may hold a third of all rows: a key is a text in one of SALTS parts
+    parts = whole.groupBy("sha", "salt").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    group = Window.partitionBy("sha")  # at most SALTS rows
+    first = parts.select("sha", "salt", F.min("low").over(group).alias("first"),
+                         F.max("high").over(group).alias("last")).where("first < last").drop("last")
+    copies = stash(whole.join(first, ["sha", "salt"]).where("doc > first").select("doc", F.lower(F.hex("sha")).alias("sha"), "bytes"),
                    "suffix-copies")
     one = rows.join(copies.select("doc", "sha").distinct().hint("shuffle_hash"), ["doc", "sha"], "left_anti")
     pieces = stash(one.select("doc", "text").mapInArrow(_pieces, "piece long, bytes long, blob binary"), "suffix-pieces")
