@@ -96,3 +96,11 @@ def test_kept_bytes_are_returned(spark, docs_of):
     got = {r.doc_id: r.kept for r in S.repeated_passages(docs_of([(1, "A " + p), (2, "B! " + p + " end")]), texts=True).collect()}
     assert got[1] == ("A " + p).encode() and bytes(got[2]) == b"B! end"[:2] + b"" + got[2][2:]
     assert p.encode()[5:] not in got[2]
+
+
+def test_anchor_keys_are_even_over_key_ranges():
+    """Owners take equal key ranges; none may get much more than its share."""
+    data = np.random.default_rng(3).integers(0, 256, 400_000, np.uint8)
+    key = np.unique(S.units(data, np.array([len(data)]))["key"])
+    counts = [b - a for _, a, b in S._slices(key, 16)]
+    assert len(counts) == 16 and max(counts) < 1.2 * len(key) / 16
