@@ -5,7 +5,7 @@ Spark.  An n-gram belongs to a language if its share of that language's
 n-grams is at least ``MIN_SHARE`` (so a language has at most ``1/MIN_SHARE``
 n-grams) and at least ``MIN_RATIO`` of its largest share in any language.
 
-The filter is one table of ``2**LOG_SLOTS`` slots, each a bit mask of languages:
+The filter is a table of ``2**LOG_SLOTS`` slots, each a bit mask of languages:
 slice l of the table is the Bloom filter of language l.  An n-gram is hashed
 to ``HASHES`` slots; the AND of their masks returns all languages that contain
 it in one lookup.  Predicting counts, per text and language, the n-grams whose
@@ -14,7 +14,9 @@ with fill f of slice l and k hashes, ``(hits - n f^k) / (1 - f^k)``.  The
 highest corrected count decides (ties: the language first in order); the score
 is its share of all corrected counts.
 
-The table has a fixed size, so broadcasting it is bounded by a parameter.
+A mask has ``WORD`` bits: every ``WORD`` languages have a table of their own with
+the same slots, so any number of languages is served; what is broadcast is a
+fixed size for each ``WORD`` languages.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
 letters without any known n-gram give the language with most training n-grams
@@ -38,7 +40,7 @@ LOG_SLOTS = 20
 HASHES = 4
 MIN_SHARE = 2e-5
 MIN_RATIO = 0.1
-MAX_LANGUAGES = 64
+WORD = 64  # languages in a mask
 PIECE_CHARS = 1 << 20
 
 _FOLD: list = []
@@ -137,25 +139,30 @@ def _slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         key = b.column(0).to_numpy().view(np.uint64)
         for s in slots(key):
-            yield pa.RecordBatch.from_arrays([pa.array(s), b.column(1)], ["slot", "mask"])
+            yield pa.RecordBatch.from_arrays([pa.array(s), b.column(1), b.column(2)], ["slot", "mask", "word"])
 
 
 class Model:
-    """Languages in bit order, the bit-sliced table, and the language with most training n-grams."""
+    """Languages in bit order, the bit-sliced table of the first ``WORD``, the language with most training n-grams,
+    and the tables of the further languages."""
 
-    def __init__(self, langs: list[str], table: np.ndarray, default: int):
+    def __init__(self, langs: list[str], table: np.ndarray, default: int, more: tuple[np.ndarray, ...] = ()):
         self.langs, self.table, self.default = langs, table, default
-        self.false = [float(((table >> np.uint64(i)) & np.uint64(1)).mean()) ** HASHES for i in range(len(langs))]
+        self.tables = (table, *more)
+        self.false = [float(((self.tables[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).mean()) ** HASHES
+                      for i in range(len(langs))]
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         key, own, has = grams(texts)
         total = np.bincount(own, minlength=len(texts))
-        mask = np.full(len(key), np.uint64(0xFFFFFFFFFFFFFFFF))
-        for s in slots(key):
-            mask &= self.table[s]
+        at = slots(key)
         est = np.zeros((len(self.langs), len(texts)))
         for i in range(len(self.langs)):
-            bit = ((mask >> np.uint64(i)) & np.uint64(1)).astype(np.float64)
+            if i % WORD == 0:
+                mask = np.full(len(key), np.uint64(0xFFFFFFFFFFFFFFFF))
+                for s in at:
+                    mask &= self.tables[i // WORD][s]
+            bit = ((mask >> np.uint64(i % WORD)) & np.uint64(1)).astype(np.float64)
             hits = np.bincount(own, bit, len(texts))
             est[i] = np.maximum(0, (hits - total * self.false[i]) / max(1e-9, 1 - self.false[i]))
         if not self.langs:
@@ -182,32 +189,30 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mod
     counts = stash(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     known = sorted((r["lang"], r["total"]) for r in totals.collect())  # one row per language
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"{len(known)} languages; a slot's mask has {MAX_LANGUAGES} bits")
-    table = np.zeros(1 << LOG_SLOTS, np.uint64)
+    tables = [np.zeros(1 << LOG_SLOTS, np.uint64) for _ in range(max(1, -(-len(known) // WORD)))]
     if not known:
-        return Model([], table, 0)
+        return Model([], tables[0], 0)
     bits = train.sparkSession.createDataFrame([(lang, i, n) for i, (lang, n) in enumerate(known)],
                                               "lang string, bit int, total long")
     shares = counts.join(F.broadcast(bits), "lang").select("gram", "bit", (F.col("n") / F.col("total")).alias("share"))
     shares = shares.where(F.col("share") >= MIN_SHARE)
-    # at most one row per language and n-gram: groups are bounded by the number of languages
-    tops = shares.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("bit", "share")).alias("all"))
-    mask = F.aggregate(F.filter("all", lambda x: x["share"] >= F.col("top") * MIN_RATIO), F.lit(0).cast("long"),
-                       lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["bit"])))
-    masks = tops.select("gram", mask.alias("mask"))
-    filled = masks.mapInArrow(_slots_of, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-    for r in filled.toLocalIterator(prefetchPartitions=True):  # at most 2**LOG_SLOTS rows
-        table[r["slot"]] = np.uint64(r["mask"] & 0xFFFFFFFFFFFFFFFF)
+    tops = shares.groupBy("gram").agg(F.max("share").alias("top"))
+    own = shares.join(tops, "gram").where(F.col("share") >= F.col("top") * MIN_RATIO)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(WORD)))
+    masks = own.groupBy("gram", F.floor(F.col("bit") / WORD).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask"))
+    filled = masks.select("gram", "mask", "word").mapInArrow(_slots_of, "slot long, mask long, word int")
+    filled = filled.groupBy("word", "slot").agg(F.bit_or("mask").alias("mask"))
+    for r in filled.toLocalIterator(prefetchPartitions=True):  # at most 2**LOG_SLOTS rows per WORD languages
+        tables[r["word"]][r["slot"]] = np.uint64(r["mask"] & 0xFFFFFFFFFFFFFFFF)
     default = max(range(len(known)), key=lambda i: (known[i][1], -i))
-    return Model([lang for lang, _ in known], table, default)
+    return Model([lang for lang, _ in known], tables[0], default, tuple(tables[1:]))
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
             extra: dict[str, Column] | None = None) -> DataFrame:
     """``(id, *extra, lang_pred, score)``, one row per input row; ``extra`` columns pass through."""
-    # fixed size: 2**LOG_SLOTS masks; plain values, so that executors need not import this package
-    shared = df.sparkSession.sparkContext.broadcast((model.langs, model.table, model.default))
+    # 2**LOG_SLOTS masks for each WORD languages; plain values, so that executors need not import this package
+    shared = df.sparkSession.sparkContext.broadcast((model.langs, model.table, model.default, model.tables[1:]))
     extra = extra or {}
     cols = [F.col(id_col).alias(id_col), *[c.alias(k) for k, c in extra.items()]]
     head = df.select(*cols)

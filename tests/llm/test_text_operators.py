@@ -78,6 +78,15 @@ def test_filter_returns_all_languages_of_an_ngram(spark, docs_of):
     assert masks[1] == 0b01 and masks[4] == 0b11 and masks[7] == 0b10
 
 
+def test_more_languages_than_bits_of_a_mask(spark, docs_of):
+    names = [f"l{i:03}" for i in range(150)]
+    word = {n: "".join(chr(0x4E00 + 40 * i + j) for j in range(6)) for i, n in enumerate(names)}
+    model = langid.fit(docs_of([(i, word[n], n) for i, n in enumerate(names)]))
+    assert model.langs == names
+    got = langid.predict(docs_of([(i, f"{word[n]} {word[n]}") for i, n in enumerate(names)]), model).collect()
+    assert {names[r.doc_id]: r.lang_pred for r in got} == {n: n for n in names}
+
+
 # --- decontamination -----------------------------------------------------------------------------------------------
 def test_masks_hit_every_pattern_of_two_substitutions():
     w = decontaminate.WINDOW
