@@ -32,13 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RAW = "script|style|template|noscript|iframe|textarea|title|svg|math|object|xmp|noframes"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*(?:>.*?(?:</(?P=raw)[^>]*(?:>|\Z)|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|</?[a-z][^>]*(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    # a quote opens only after "="
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)"
+    r"(?P<attrs>(?>=\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?|[^>=])*+)(?:>|\Z)",
     re.S | re.I)
+#: Elements whose content is no markup, up to their end tag.
+RAW = frozenset("script style iframe textarea title xmp noframes".split())
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in RAW}
+#: Elements left out with all that is in them; empty if they end in "/>".
+SKIPPED = frozenset("svg math object noscript template".split())
+FOREIGN = frozenset("svg math".split())
+#: Elements within ``FOREIGN`` that may hold blocks; elsewhere a block ends an open ``FOREIGN`` element.
+HOLDERS = frozenset("foreignobject desc annotation-xml".split())
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 CONTAINERS = frozenset("html body article main section div td th blockquote figure center dd".split())
 BLOCKS = CONTAINERS | frozenset(
@@ -83,6 +90,7 @@ def blocks(page: str) -> list[Block]:
     text: list[str] = []
     linked = 0
     in_link = False
+    skip: list[str] = []  # open elements from a skipped one on
 
     def flush():
         nonlocal linked
@@ -95,8 +103,8 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at and not stack[-1][2]:
+    while m := TOKEN.search(page, at):
+        if m.start() > at and not skip and not stack[-1][2]:
             piece = page[at:m.start()]
             text.append(piece)
             if in_link:
@@ -106,6 +114,30 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        closed = m["attrs"].endswith("/")
+        if tag in RAW and not m["end"]:
+            if not (closed and skip and skip[0] in FOREIGN):
+                end = RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        if skip:
+            if m["end"]:
+                if tag in skip:
+                    del skip[len(skip) - 1 - skip[::-1].index(tag):]
+                    continue
+                if tag not in BLOCKS or all(s[0] != tag for s in stack):
+                    continue
+                skip.clear()  # the element around the skipped one ends
+            elif tag in BLOCKS and skip[0] in FOREIGN and HOLDERS.isdisjoint(skip):
+                skip.clear()
+            else:
+                if (tag in BLOCKS or tag in SKIPPED or tag in HOLDERS) and tag not in VOID and not closed:
+                    skip.append(tag)
+                continue
+        if tag in SKIPPED:
+            if not m["end"] and not closed:
+                skip.append(tag)
+            continue
         if tag not in BLOCKS:
             if tag == "br":
                 text.append(" ")
@@ -133,7 +165,7 @@ def blocks(page: str) -> list[Block]:
         if tag in CONTAINERS and not (inside and container):
             container = path
         stack.append((tag, path, under_bad or bad, container))
-    if at < len(page) and not stack[-1][2]:
+    if at < len(page) and not skip and not stack[-1][2]:
         text.append(page[at:])
     flush()
     return out

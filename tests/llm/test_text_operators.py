@@ -171,6 +171,21 @@ def test_extract_pages(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><p>one</p><svg class='i'/><p>two</p><object data='x'/><p>three</p></article>", "one two three"),
+    ("<article><p>one <svg><title/><path/><g>no</g></svg> two</p><math><mi>x</mi></math><p>three</p></article>", "one two three"),
+    ("<article><p>one</p><svg><path><p>two</p></article>", "one two"),
+    ("<article><p>one</p><svg><foreignObject><div><p>no</p></div></foreignObject></svg><p>two</p></article>", "one two"),
+    ("<article><p>one</p><div><object><p>no</div><p>two</p><noscript><p>no</p></noscript><p>three</p></article>", "one two three"),
+    ("<article><p>one</p><template><p>no<template>no</template></p>no</template><p>two</p></article>", "one two"),
+    ("<article><p title=don't>one</p><p>it's two</p><p don't>three</p><p title=\"a > b\" id='>'>four</p></article>",
+     "one it's two three four"),
+    ("<article><p>one</p><!--><p>two</p><!---><p>three</p><!-- no --><p>four</p></article>", "one two three four"),
+    ("<article><p>one</p><script>var a='<p>no</p>';</script><p>two</p><style/>no", "one two")])
+def test_markup_drops_nothing_else(page, want):
+    assert " ".join(t for _, _, t, _ in html_extract.blocks(page)).split() == want.split()
+
+
 def test_extract_given_pages_keeps_the_article(spark):
     got = queries.op5_html_extract(spark, "/root/testdata/sf0.001").collect()
     import html
