@@ -2,14 +2,18 @@
 
 1. Every page is cut into text blocks, each with the path of the block-level
    elements above it (``html>body>div.post-#>p``: tag, class names, numbers
-   generalised to ``#``).  Each block scores for its container: the outermost
-   ``article`` or ``main`` above it, else the nearest block container; the
-   score is its characters outside links.
-2. The scores are votes: Spark sums them per (host, path) and picks each
-   host's path with the most votes (map-side sums, so a host with a third of
-   all pages is a few rows per task).
-3. Pages are joined to their host's path and extracted again from the elements
-   on it; a page without such an element uses its own best container.
+   generalised to ``#``) and scored by its characters outside links.  A page
+   votes for one container: if ``article``/``main`` elements hold at least half
+   of its text, for these, else for the lowest container with ``NEARLY`` all of
+   it, and from there up (below ``body``) as long as headings, paragraphs,
+   quotes or the like lie outside.
+2. The scores are votes: Spark sums them per (host, path), that is per host and
+   template (map-side sums, so a host with a third of all pages is a few rows
+   per task), and keeps each host's ``WINNERS`` paths with the highest scores.
+3. Pages are joined to their host's paths and extracted again.  A page whose own
+   container is one of them that ``AGREE`` pages voted for takes it; others take
+   the first of them that covers ``COVER`` of their text; a page without such a
+   path uses its own container.
 
 Left out everywhere: scripts, styles, heads, forms and controls, navigation,
 page headers, footers, asides, and elements whose class, id or role names an
@@ -29,7 +33,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(
@@ -64,6 +68,12 @@ NEVER_BAD = frozenset("html body article main".split())
 VOID = frozenset("hr input".split())
 WORD = re.compile(r"[a-z]+")
 NUMBER = re.compile(r"\d+")
+#: Blocks that belong to a text whose container they lie beside.
+CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre table tr td th caption figure figcaption blockquote".split())
+NEARLY = 0.9
+COVER = 0.1
+AGREE = 2
+WINNERS = 16
 Block = tuple[str, str, str, int]  # path, container path, text, characters outside links
 
 
@@ -171,29 +181,67 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def under(path: str, top: str) -> bool:
+    return not top or path == top or path.startswith(top + ">")
+
+
+def weights(own: list[Block]) -> list[int]:
+    """Characters of each block outside links; all characters if every text is a link."""
+    score = [b[3] for b in own]
+    return score if any(score) else [len(b[2]) for b in own]
+
+
+def _tag(path: str) -> str:
+    return path.rsplit(">", 1)[-1].split(".", 1)[0]
+
+
+def own_container(own: list[Block]) -> tuple[str, int]:
+    """The container that a page votes for, and its score."""
+    score = weights(own)
+    marked = [n for n, b in enumerate(own) if _tag(b[1]) in ("article", "main")]
+    if 2 * sum(score[n] for n in marked) >= sum(score):  # article text only
+        use = marked
+    else:
+        use = list(range(len(own)))
+    held: dict[str, int] = {}
+    for n in use:
+        steps = own[n][1].split(">")
+        for k in range(len(steps) + 1):
+            if not k or steps[k - 1].split(".", 1)[0] in CONTAINERS:
+                top = ">".join(steps[:k])
+                held[top] = held.get(top, 0) + score[n]
+    whole = sum(score[n] for n in use)
+    path = max((p for p, x in held.items() if x >= NEARLY * whole), key=lambda p: (p.count(">") + bool(p), held[p], p))
+    while use is not marked:
+        above = max((p for p in held if p != path and under(path, p)), key=len, default="")
+        if _tag(above) in ("", "html", "body"):
+            break
+        outside = [own[n][0] for n in use if under(own[n][0], above) and not under(own[n][0], path)]
+        if all(_tag(p) not in CONTENT for p in outside):
+            break
+        path = above
+    return path, held[path]
+
+
 def page_votes(page: str) -> dict[str, int]:
-    """Score of each container path of a page."""
-    votes: dict[str, int] = {}
-    for _, container, _, score in blocks(page):
-        votes[container] = votes.get(container, 0) + score
-    return votes
+    """The container path that a page votes for, with its score."""
+    own = blocks(page)
+    return dict([own_container(own)]) if own else {}
 
 
-def main_text(page: str, host_path: str | None) -> str:
-    """Text of the elements on the host's path, or else in the page's own best container."""
+def main_text(page: str, winners: list[dict] | None) -> str:
+    """Text of the elements on a path of the host (``winners(path, pages)``, best first), or of the page's own container."""
     own = blocks(page)
-    for path in (host_path, None):
-        if path is None:
-            votes: dict[str, int] = {}
-            for _, container, _, score in own:
-                votes[container] = votes.get(container, 0) + score
-            if not votes:
-                return ""
-            path = max(votes, key=lambda p: (votes[p], p))
-        got = [t for p, _, t, _ in own if p == path or p.startswith(path + ">")]
-        if got:
-            return "\n".join(got)
-    return ""
+    if not own:
+        return ""
+    score = weights(own)
+    path = own_container(own)[0]
+    if not any(w["path"] == path and w["pages"] >= AGREE for w in winners or ()):
+        for w in winners or ():
+            if sum(x for b, x in zip(own, score) if under(b[0], w["path"])) >= max(1, COVER * sum(score)):
+                path = w["path"]
+                break
+    return "\n".join(b[2] for b in own if under(b[0], path))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,12 +265,12 @@ def host_of(url_col: str = "url"):
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, path, score, pages)``: the winning path of each host."""
+    """``(host, path, score, pages, place)``: the winning paths of each host, the best at place 1."""
     cols = [host_of(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")]
     votes = pages.select(*cols).mapInArrow(_vote, "host string, path string, score long, pages long")
     summed = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.sum("pages").alias("pages"))
-    best = summed.groupBy("host").agg(F.max(F.struct("score", "pages", "path")).alias("best"))
-    return best.select("host", "best.path", "best.score", "best.pages")
+    best = Window.partitionBy("host").orderBy(F.desc("score"), F.desc("pages"), F.desc("path"))
+    return summed.withColumn("place", F.row_number().over(best)).where(F.col("place") <= WINNERS)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -236,9 +284,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 [b.column(0), b.column(1), pa.array(got, pa.string()), pa.array([len(t) for t in got], pa.int64())],
                 ["id", "url", "text", "n_chars"])
 
-    paths = host_paths(pages, url_col, html_col).select("host", "path")
+    # at most WINNERS paths to a host
+    paths = host_paths(pages, url_col, html_col).groupBy("host").agg(
+        F.array_sort(F.collect_list(F.struct("place", "path", "pages"))).alias("paths"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), host_of(url_col).alias("host"))
-    out = rows.join(paths, "host", "left").select("id", "url", "html", "path").mapInArrow(
+    out = rows.join(paths, "host", "left").select("id", "url", "html", "paths").mapInArrow(
         run, f"id {kinds[id_col]}, url {kinds[url_col]}, text string, n_chars long")
     return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

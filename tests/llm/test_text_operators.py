@@ -186,6 +186,21 @@ def test_markup_drops_nothing_else(page, want):
     assert " ".join(t for _, _, t, _ in html_extract.blocks(page)).split() == want.split()
 
 
+def test_extract_keeps_text_beside_the_longest_container_and_both_templates(spark):
+    body = "A sentence of the text. " * 30
+    post = '<html><body><div class=post><h1>T</h1><div class=body><p>%s</p></div><blockquote>Quote.</blockquote></div></body></html>'
+    parts = "<html><body><div class=story>" + "".join(f"<section class=s{c}><p>Part {c}. {body}</p></section>" for c in "abc")
+    mixed = parts + "</div><div class=post><p>Small teaser.</p></div></body></html>"
+    once = "<html><body><div class=once><p>%s</p></div><div class=post><p>Small teaser.</p></div></body></html>" % body
+    rows = [(n, "http://a/1", post % (body * 4)) for n in range(4)] + [(n, "http://a/2", mixed) for n in range(4, 6)] + [(6, "http://a/3", once)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(4):
+        assert got[n].startswith("T\nA sentence") and got[n].endswith("\nQuote.")
+    for n in (4, 5):
+        assert [t[:6] for t in got[n].split("\n")] == ["Part a", "Part b", "Part c"]
+    assert got[6] == body.strip()
+
+
 def test_extract_given_pages_keeps_the_article(spark):
     got = queries.op5_html_extract(spark, "/root/testdata/sf0.001").collect()
     import html
