@@ -2,8 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet
 and read again as the next stage's ``docs``.  All but the last return the columns of ``docs``.
-Rows that a stage drops are the ones its operator names by doc_id; rows with a null doc_id
-are never dropped by it.
+Each stage numbers its rows once and drops by row: null and repeated doc_ids have verdicts of
+their own, and exactly one row of a group of copies stays.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id."""
+    """Of equal texts one row, with the smallest doc_id (null last)."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest doc_id."""
+    """Of each SimHash component one row, with the smallest doc_id (null last)."""
     return simhash.drop_near_copies(docs)
 
 

@@ -47,6 +47,21 @@ def only(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return df.join(ids.hint("shuffle_hash"), id_col, "left_semi")
 
 
+def numbered(df: DataFrame, order: list[Column] | None = None) -> tuple[DataFrame, str]:
+    """``df``, written once with a row key of its own, and the key's name; keys ascend by ``order``."""
+    key = "_row"
+    while key in df.columns:
+        key += "_"
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stash(df.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
+def by_id(id_col: str, text_col: str) -> list[Column]:
+    """Order of rows by id, null last; the text parts a common id."""
+    return [F.col(id_col).cast("long").asc_nulls_last(), F.xxhash64(text_of(text_col)).asc()]
+
+
 def without(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of ``df`` whose id is not in ``ids`` (a null id stays), by a shuffle on the id at every size."""
     return df.join(ids.hint("shuffle_hash"), id_col, "left_anti")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import stash, text_of, without
+from parley.llm.common import numbered, stash, text_of, without
 
 WINDOW = 13
 SHARE = 0.8
@@ -244,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the texts that overlap a benchmark item."""
-    gone = contamination(docs, benchmark, id_col, text_col).where("contaminated").select(
-        F.col("doc_id").alias(id_col)).distinct()
-    return without(docs, gone, id_col)
+    """``docs`` (all columns) without the rows whose text overlaps a benchmark item."""
+    rows, key = numbered(docs)
+    gone = contamination(rows, benchmark, key, text_col).where("contaminated").select(F.col("doc_id").alias(key))
+    return without(rows, gone, key).drop(key)

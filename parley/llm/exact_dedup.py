@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import release, stash, text_of, without
+from parley.llm.common import by_id, numbered, release, stash, text_of, without
 
 WHITESPACE = "[\\x20\\x09-\\x0D]+"
 BUCKET_BYTES = 16 * 1024 * 1024
@@ -144,8 +144,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the rows that are copies of a smaller doc_id."""
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    return without(docs, gone, id_col)
-
-
+    """``docs`` (all columns) with one row of each group of copies: one with the smallest doc_id, null last."""
+    rows, key = numbered(docs, by_id(id_col, text_col))
+    gone = exact_groups(rows, key, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(key))
+    return without(rows, gone, key).drop(key)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import release, stash, text_of, without
+from parley.llm.common import by_id, numbered, release, stash, text_of, without
 from parley.llm.components import star_components
 
 SHINGLE_WORDS = 3
@@ -177,7 +177,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) with the smallest doc_id of each component."""
-    got = simhash_components(docs, id_col, text_col)
-    gone = got.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return without(docs, gone, id_col)
+    """``docs`` (all columns) with one row of each component: one with the smallest doc_id, null last."""
+    rows, key = numbered(docs, by_id(id_col, text_col))
+    got = simhash_components(rows, key, text_col)
+    gone = got.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return without(rows, gone, key).drop(key)

@@ -30,6 +30,26 @@ def test_stages_keep_columns_and_take_effect(spark, docs_of):
     assert 5003 not in left["benchmark"] and 5001 in left["tokens"] and left["tokens"] == left["benchmark"]
 
 
+def test_stages_drop_rows_not_ids(spark, docs_of):
+    from parley.llm import decontaminate, exact_dedup, quality, simhash
+
+    texts = lambda df: sorted((str(r.doc_id), r.text) for r in df.collect())
+    rows = [(7, "one two three"), (7, "one two three"), (7, "other words in here"), (3, "other words in here"), (None, "one two three"),
+            (None, "only without an id"), (None, "only without an id")]
+    want = [("3", "other words in here"), ("7", "one two three"), ("None", "only without an id")]
+    assert texts(exact_dedup.drop_copies(docs_of(rows, extra=("_row",)))) == want
+    assert texts(simhash.drop_near_copies(docs_of(rows, extra=("_row",)))) == want
+    bench = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    bad = "x one two three four five six, seven y"
+    assert texts(decontaminate.drop_contaminated(docs_of([(1, bad), (1, "clean"), (None, bad), (None, "clean")]), bench)) == [
+        ("1", "clean"), ("None", "clean")]
+    good = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").limit(60).collect()
+    line, junk = good[0].text, "$$$ ### !!! %%% " * 20
+    docs = docs_of([(r.doc_id, r.text) for r in good] + [(8001, line), (8001, junk), (None, line), (None, junk)])
+    kept = texts(quality.keep_quality(docs, docs_of([(r.doc_id, "") for r in good]).select("doc_id")))
+    assert {("8001", line), ("None", line)} <= set(kept) and all(t != junk for _, t in kept)
+
+
 def test_empty_documents(spark, docs_of):
     docs = docs_of([])
     for _, stage in corpus_pipeline.STAGES:
