@@ -14,11 +14,12 @@ aligned with the item on their diagonal, and each window of
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text; each block
 is one pass over all texts, so what a task receives has a fixed bound whatever
-the benchmark's size.
+the benchmark's size.  For several passes the rows are written once with a key of
+their own, and the passes' items are put together by that key, row by row.
 
 Defined results: null and empty texts and items match nothing; items below
-``LEAST`` tokens must be equal throughout; repeated rows repeat their result;
-with several blocks a null doc_id is never flagged; extra columns are not read.
+``LEAST`` tokens must be equal throughout; every row has a verdict of its own,
+also with a null or repeated doc_id; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -223,20 +224,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     n = max(1, -(-2 * total // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    if n > 1:
+        rows, _ = numbered(rows)
     passes = []
     for k in range(n):
         own = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else bench
         got = sorted((r["i"], r["t"]) for r in own.collect())  # one block
-        passes.append(_pass(rows, [g[0] for g in got], [g[1] for g in got], kind))
+        ids, texts = [g[0] for g in got], [g[1] for g in got]
+        passes.append(_pass(rows.select("_row", "text"), ids, texts, "long") if n > 1 else _pass(rows, ids, texts, kind))
     if n == 1:
         out = passes[0]
     else:
         found = passes[0].where("size(items) > 0")
         for p in passes[1:]:
             found = found.unionByName(p.where("size(items) > 0"))
-        found = stash(found, "decontaminate").groupBy("doc_id").agg(
+        found = stash(found, "decontaminate").groupBy(F.col("doc_id").alias("_row")).agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("best").alias("best"))
-        out = rows.select("doc_id").join(found, "doc_id", "left")
+        out = rows.select("_row", "doc_id").join(found, "_row", "left")
         out = out.select("doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"),
                          F.coalesce("best", F.lit(0.0)).alias("best"))
     return out.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),

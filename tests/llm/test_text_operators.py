@@ -134,6 +134,17 @@ def test_contamination_against_brute_force(spark, docs_of, monkeypatch, block):
     assert got == slow_contamination(rows, items)
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 100])
+def test_contamination_of_null_and_repeated_ids(spark, docs_of, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(8))) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(None, items[3][1]), (None, "clean"), (5, f"{items[1][1]} {items[2][1]}"), (5, "clean"), (5, items[9][1]), (5, items[9][1])]
+    got = decontaminate.contamination(docs_of(rows), bench).collect()
+    assert sorted((str(r.doc_id), r["items"], r.best_share) for r in got) == [
+        ("5", [], 0.0), ("5", [1, 2], 1.0), ("5", [9], 1.0), ("5", [9], 1.0), ("None", [], 0.0), ("None", [3], 1.0)]
+
+
 def test_contamination_empty_sides_and_drop(spark, docs_of):
     bench = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
