@@ -215,22 +215,31 @@ def _pass(docs: DataFrame, ids: list[int], texts: list[str], kind: str) -> DataF
     return docs.mapInArrow(run, f"doc_id {kind}, items array<long>, best double")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``(doc_id, contaminated, n_items, items, best_share)``, one row per input row; ``items`` are item ids."""
+def _blocks(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, int]:
+    """Items ``(i, t)`` and their number of blocks."""
     bench = benchmark.select(F.col(item_col).cast("long").alias("i"), text_of(item_text_col).alias("t")).where(
         "i is not null and t <> ''")
     total = bench.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    n = max(1, -(-2 * total // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
+    return bench, max(1, -(-2 * total // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
+
+
+def _block(bench: DataFrame, k: int, n: int) -> tuple[list[int], list[str]]:
+    own = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else bench
+    got = sorted((r["i"], r["t"]) for r in own.collect())  # one block
+    return [g[0] for g in got], [g[1] for g in got]
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(doc_id, contaminated, n_items, items, best_share)``, one row per input row; ``items`` are item ids."""
+    bench, n = _blocks(benchmark, item_col, item_text_col)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     if n > 1:
         rows, _ = numbered(rows)
     passes = []
     for k in range(n):
-        own = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else bench
-        got = sorted((r["i"], r["t"]) for r in own.collect())  # one block
-        ids, texts = [g[0] for g in got], [g[1] for g in got]
+        ids, texts = _block(bench, k, n)
         passes.append(_pass(rows.select("_row", "text"), ids, texts, "long") if n > 1 else _pass(rows, ids, texts, kind))
     if n == 1:
         out = passes[0]
@@ -249,6 +258,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) without the rows whose text overlaps a benchmark item."""
-    rows, key = numbered(docs)
-    gone = contamination(rows, benchmark, key, text_col).where("contaminated").select(F.col("doc_id").alias(key))
-    return without(rows, gone, key).drop(key)
+    bench, n = _blocks(benchmark)
+    if n > 1:
+        rows, key = numbered(docs)
+        gone = contamination(rows, benchmark, key, text_col).where("contaminated").select(F.col("doc_id").alias(key))
+        return without(rows, gone, key).drop(key)
+    shared = docs.sparkSession.sparkContext.broadcast(_block(bench, 0, 1))  # at most BLOCK_BYTES of text
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = Seeds(*shared.value)
+        for b in batches:
+            own = b.column(len(names)).to_pylist()
+            for lo, hi in _pieces(own):
+                found = seeds.matches(own[lo:hi])
+                keep = pa.array([x not in found for x in range(hi - lo)], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(c).slice(lo, hi - lo).filter(keep) for c in range(len(names))], names)
+
+    return docs.select("*", text_of(text_col).alias("_text")).mapInArrow(run, docs.schema)
