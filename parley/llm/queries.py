@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import (bpe, decontaminate, exact_dedup, html_extract, langid, quality, quotations, simhash,
-                        suffix_dedup, token_counts)
+from parley.llm import (bpe, decontaminate, exact_dedup, fim, hard_negatives, html_extract, langid, piece_bpe, quality,
+                        quotations, simhash, suffix_dedup, token_counts)
 from parley.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -68,6 +68,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restore(fim.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = piece_bpe.encode_table(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, label=label,
+                               positives=5, negatives=5, low=80, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_quality, op3_langid, op4_decontaminate, op5_html_extract,
-                            op6_exact_dedup, op7_simhash, op8_bpe, op9_quotations, op10_token_counts)}
+                            op6_exact_dedup, op7_simhash, op8_bpe, op9_quotations, op10_token_counts, op11_fim,
+                            op12_piece_bpe, op13_hard_negatives)}
