@@ -11,8 +11,8 @@ no prefix is left, the place is marked in a bitfield of failed positions and the
 sequence can reach a place, so a failed place is never entered again and the search is linear in the text.
 
 No piece has a blank after another character (checked when the file is loaded), so blanks begin units that do not
-affect each other; a worker remembers the units it has met, and new units of a chunk are searched once.  The
-file's own rules: one blank is put before a text that is not empty, blanks become U+2581, a character that is
+affect each other, and so do any two neighbours that no piece holds side by side; a worker remembers the units it has
+met, and new units of a chunk are searched once.  The file's own rules: one blank is put before a text that is not empty, blanks become U+2581, a character that is
 no piece becomes its UTF-8 bytes (files with other rules are refused).  Decoding drops one leading blank, joins
 byte pieces into UTF-8 (a byte that is none is U+FFFD), control pieces are nothing.
 
@@ -36,7 +36,7 @@ from parley.llm.common import text_of
 
 BLANK = "▁"  # how the file writes a blank
 CHUNK_CHARS = 2_000_000
-TABLE_CHARS = 8_000_000  # a worker forgets its units when they hold so many characters
+TABLE_CHARS = 16_000_000  # a worker forgets its units when they hold so many characters
 PAIRS = 1_000_000  # and its tested neighbours at this number
 
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -89,6 +89,8 @@ class PieceBpe:
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in own or k == 1), None) for p in made}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.units: dict[str, tuple[int, ...]] = {}
+        self.runs: dict[str, tuple[int, ...]] = {}
+        self.together = {pair for p in self.id for pair in zip(p, p[1:])}
         self.held = 0
 
     def merge(self, text: str) -> list[str]:
@@ -116,39 +118,38 @@ class PieceBpe:
 
     def search(self, text: str) -> list[str]:
         """The pieces (and characters that are none) of a text, by backtracking over the longest matches."""
-        size = len(text)
+        size, pairs, shorter = len(text), self.pairs, self.shorter
         longest: list[str] = list(text)
+        seen = -1
         for end, piece in self.automaton.iter(text[::-1]):
-            start = size - 1 - end
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
-        failed = bytearray(size // 8 + 1)
+            if end != seen:      # of the pieces that end here in the reversed text the longest comes first
+                longest[size - 1 - end] = piece
+                seen = end
+        failed: bytearray | None = None
         found: list[str] = []
-        at, piece = 0, longest[0]
-        while at < size:
-            before = found[-1] if found else None
+        at, before, piece = 0, None, longest[0]
+        while True:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (before is None or self.agrees(before, piece)):
+                if ((before is None or pairs.get((before, piece)) or self.agrees(before, piece))
+                        and (failed is None or not failed[end >> 3] >> (end & 7) & 1)):
                     break
-                piece = self.shorter.get(piece)
+                piece = shorter.get(piece)
             if piece is not None:
                 found.append(piece)
-                at = end
-                piece = longest[at] if at < size else None
-            else:
+                if end == size:
+                    return found
+                at, before, piece = end, piece, longest[end]
+                continue
+            failed = bytearray(size // 8 + 1) if failed is None else failed
+            while piece is None:      # nothing goes on from here: mark the place, shorten the piece before
                 failed[at >> 3] |= 1 << (at & 7)
                 last = found.pop()
                 at -= len(last)
-                piece = self.shorter.get(last)
-                while piece is None and found:  # the piece before cannot be shortened: its start fails too
-                    failed[at >> 3] |= 1 << (at & 7)
-                    last = found.pop()
-                    at -= len(last)
-                    piece = self.shorter.get(last)
-        return found
-
-    def ids_of(self, pieces: list[str]) -> list[int]:
+                piece = shorter.get(last)
+            before = found[-1] if found else None
+
+    def ids_of(self, pieces: list[str]) -> tuple[int, ...]:
         out: list[int] = []
         for p in pieces:
             n = self.id.get(p)
@@ -156,7 +157,24 @@ class PieceBpe:
                 out += [self.of_byte[b] for b in p.encode("utf-8", "surrogatepass")]
             else:
                 out.append(n)
-        return out
+        return tuple(out)
+
+    def ids_of_unit(self, text: str) -> tuple[int, ...]:
+        """Ids of a unit: two neighbours that no piece holds side by side never merge, so it is cut there."""
+        borders = [n for n, together in enumerate(map(self.together.__contains__, zip(text, text[1:])), 1) if not together]
+        if not borders:
+            return self.ids_of(self.search(text))
+        out: list[int] = []
+        start = 0
+        for end in (*borders, len(text)):
+            run = text[start:end]
+            known = self.runs.get(run)
+            if known is None:
+                known = self.runs[run] = self.ids_of(self.search(run))
+                self.held += len(run) + 8
+            out += known
+            start = end
+        return tuple(out)
 
     def split(self, text: str) -> list[str]:
         """The units of a text, each without the blank that begins it."""
@@ -172,11 +190,12 @@ class PieceBpe:
         split = [self.split(t) for t in texts]
         if self.held > TABLE_CHARS:
             self.units.clear()
+            self.runs.clear()
             self.held = 0
         units = self.units
         for unit in set().union(*split):
             if unit not in units:
-                units[unit] = tuple(self.ids_of(self.search(BLANK + unit.replace(" ", BLANK))))
+                units[unit] = self.ids_of_unit(BLANK + unit.replace(" ", BLANK))
                 self.held += len(unit) + 8
         return [list(chain.from_iterable(map(units.__getitem__, own))) for own in split]
 
