@@ -5,13 +5,16 @@ SURVEY J1, J2, U1, O1, O2, K1, K2, A1–A3, G1, G2, L1, L2.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import any_keyword, joined_contents
-from parley.operators.numbering import number_rows
+from parley.operators.numbering import range_partitions
+from parley.session import work_dir
 
 # --- fixed values -----------------------------------------------------------
 SOFT_GUARD_MIN_PCT = 10.0           # data prep warns below this share
@@ -93,17 +96,26 @@ def shuffle_key(seed: int | str, *key_cols) -> Column:
 
 
 def seeded_shuffle(df: DataFrame, seed: int, key_cols: Sequence[str], rank_col: str | None = None) -> DataFrame:
-    """O2: reproducible shuffle = range sort on the seeded hash (key breaks ties).
+    """O2: reproducible shuffle = sort by the seeded hash (key breaks ties).
 
-    With ``rank_col`` the position is numbered with the skew-safe numbering
-    (no single-task window).
+    The hash is uniform, so its leading 32 bits cut the rows into even ranges: no sampling run of the upstream, which is
+    evaluated once.  Partition ``i`` holds the ``i``-th range, sorted.  With ``rank_col`` (1-based position) the sorted rows are
+    written to the checkpoint folder once, and the ranges' counts (one row each) are added up.
     """
-    h = shuffle_key(seed, *key_cols)
-    keyed = df.withColumn("_h", h)
-    if rank_col:
-        out = number_rows(keyed, order_by=["_h", *key_cols], name=rank_col)
+    n = range_partitions(df)
+    keyed = df.withColumn("_h", shuffle_key(seed, *key_cols))
+    slot = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * n / F.lit(1 << 32)).cast("int")
+    out = keyed.repartitionById(n, F.coalesce(slot, F.lit(0))).sortWithinPartitions("_h", *key_cols)
+    if not rank_col:
         return out.drop("_h")
-    return keyed.orderBy("_h", *key_cols).drop("_h")
+    work_dir(df.sparkSession)   # make sure a checkpoint dir is set
+    tagged = out.drop("_h").select("*", F.spark_partition_id().alias("_pid"),
+                                   F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_off"))
+    place = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return tagged.join(F.broadcast(offsets), "_pid").withColumn(rank_col, F.col("_off") + place + 1).drop("_pid", "_mid", "_off")
 
 
 def keyword_flag(df: DataFrame, keywords: Sequence[str], *, messages_col: str = "messages",
@@ -124,10 +136,14 @@ def pct_expr(n_key, n_total) -> Column:
         F.lit(100.0) * _col(n_key).cast("double") / _col(n_total).cast("double"))
 
 
+def soft_verdict(pct, min_pct: float = SOFT_GUARD_MIN_PCT) -> Column:
+    """G1 for a coverage row: 'warn' below ``min_pct`` else 'ok'."""
+    return F.when(_col(pct) < F.lit(float(min_pct)), F.lit("warn")).otherwise(F.lit("ok"))
+
+
 def soft_guard(coverage: DataFrame, min_pct: float = SOFT_GUARD_MIN_PCT) -> DataFrame:
-    """G1: ``verdict`` = 'warn' below ``min_pct`` else 'ok'."""
-    return coverage.select("pct", F.when(F.col("pct") < F.lit(float(min_pct)), F.lit("warn"))
-                           .otherwise(F.lit("ok")).alias("verdict"))
+    """G1: ``(pct, verdict)``."""
+    return coverage.select("pct", soft_verdict("pct", min_pct).alias("verdict"))
 
 
 def band_guard(coverage: DataFrame, band: tuple[float, float] = BAND_GUARD, enforce: bool = False) -> DataFrame:
@@ -148,12 +164,58 @@ def band_guard(coverage: DataFrame, band: tuple[float, float] = BAND_GUARD, enfo
     return out
 
 
+MANIFEST = "_published.json"
+
+
 def guarded_write(rows: DataFrame, path: str, write: Callable[[DataFrame, str], str], seed: int,
                   key_cols: Sequence[str], flag_col: str = "flag",
                   band: tuple[float, float] = BAND_GUARD) -> str:
-    """Guard, stop, shuffle, write: ``GuardError`` before anything is written when the share is outside ``band``."""
-    band_guard(keyword_coverage(rows, flag_col), band, enforce=True)
-    return write(seeded_shuffle(rows, seed, key_cols), path)
+    """G2 with S8: write, audit, publish, in one evaluation of ``rows``; returns the published folder.
+
+    The shuffled rows are written to a staging folder under ``path`` that readers of ``path`` do not see, and the
+    share is counted by the tasks that write (each partition once, whatever is retried: the count is in the job's
+    last stage).  Within ``band`` a manifest naming the folder is put in place, in one small write: ``published``
+    reads by it.  Else the staging folder is removed and ``GuardError`` raised.  After a crash there is no new manifest: readers
+    find the earlier version, or nothing.
+    """
+    spark = rows.sparkSession
+    staging = f"{path.rstrip('/')}/_data-{uuid.uuid4().hex[:12]}"
+    seen = Observation()
+    counted = seeded_shuffle(rows, seed, key_cols).observe(
+        seen, F.count_if(_col(flag_col)).alias("n_key"), F.count(F.lit(1)).alias("n_total"))
+    write(counted, staging)
+    got = seen.get
+    pct = 100.0 * got["n_key"] / got["n_total"] if got["n_total"] else 0.0
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    lo, hi = band
+    if not lo <= pct <= hi:
+        fs.delete(hadoop.Path(staging), True)
+        if not fs.listStatus(root):
+            fs.delete(root, False)
+        raise GuardError(f"keyword share {pct} outside {band}: {'raise' if pct < lo else 'lower'} the multiplier")
+    record = json.dumps({"folder": staging.rsplit("/", 1)[1], "n_key": got["n_key"], "n_total": got["n_total"]})
+    fresh = hadoop.Path(f"{staging}.json")
+    out = fs.create(fresh, True)
+    out.write(bytearray(record, "utf-8"))
+    out.close()
+    target = hadoop.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    fs.delete(target, False)
+    fs.rename(fresh, target)
+    return staging
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder that the manifest under ``path`` names; ``FileNotFoundError`` where nothing is published."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        raise FileNotFoundError(f"nothing is published under {path}")
+    stream = fs.open(target)
+    record = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return f"{path.rstrip('/')}/{json.loads(record)['folder']}"
 
 
 def file_stats(normalized: DataFrame, file_col: str = "file", mult_col: str = "mult") -> DataFrame:

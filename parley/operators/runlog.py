@@ -2,13 +2,12 @@
 
 All per-run results are plain aggregates (``max_by`` / ``min_by``) with
 map-side partial aggregation, so a run holding most of the log does not land
-whole in one task.  ``retain`` uses ``row_number() <= 2``, which Spark plans as
-a partial window group limit before the shuffle.
+whole in one task.  ``retain`` keeps the newest and the best of blocks of steps, then of runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHECKPOINT_RE = "checkpoint-(\\d+)$"
@@ -56,12 +55,28 @@ def best_checkpoint(ckpts: DataFrame, run_col: str = "run_id", path_col: str = "
         run_col, F.col(f"_b.{path_col}").alias(path_col), F.col(f"_b.{loss_col}").alias(loss_col))
 
 
-def retain_checkpoints(ckpts: DataFrame, keep_last: int = 2, run_col: str = "run_id",
-                       path_col: str = "path", loss_col: str = "eval_loss") -> DataFrame:
-    """M4: the newest ``keep_last`` checkpoints plus the best one, per run."""
+def retain_checkpoints(ckpts: DataFrame, keep_last: int = 2, run_col: str = "run_id", path_col: str = "path",
+                       loss_col: str = "eval_loss", block: int = 65_536) -> DataFrame:
+    """M4: the newest ``keep_last`` checkpoints plus the best one, per run, from one pass over the log.
+
+    Two rounds of one mergeable aggregate, the newest ``keep_last`` and the best of a set: of every block of ``block`` steps,
+    then of every run's blocks.  A group collects at most ``block`` steps, then the few rows that each block leaves.
+    """
     st = checkpoint_step(path_col)
-    c = ckpts.select(run_col, path_col, loss_col, st.alias("_step")).where(F.col("_step").isNotNull())
-    w = Window.partitionBy(run_col).orderBy(F.col("_step").desc())
-    newest = c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep_last).select(run_col, path_col)
-    best = best_checkpoint(ckpts, run_col, path_col, loss_col).select(run_col, path_col)
-    return newest.unionByName(best).dropDuplicates([run_col, path_col])
+    row = F.struct(F.col("_step"), F.col(loss_col).alias("loss"), F.col(path_col).alias("path"))
+    rows = ckpts.select(run_col, path_col, loss_col, st.alias("_step")).where(F.col("_step").isNotNull())
+
+    def kept(of: DataFrame, by: list[str]) -> DataFrame:
+        rows = F.col("_rows")
+        newest = F.slice(F.reverse(F.array_sort(rows)), 1, keep_last)
+        some = F.filter(rows, lambda r: r["loss"].isNotNull())
+        best = F.transform(some, lambda r: F.struct(r["loss"].alias("loss"), r["_step"].alias("_step"), r["path"].alias("path")))
+        best = F.transform(F.slice(F.array_sort(best), 1, 1), lambda r: F.struct(
+            r["_step"].alias("_step"), r["loss"].alias("loss"), r["path"].alias("path")))
+        return of.groupBy(*by).agg(F.collect_list("_row").alias("_rows")).withColumn("_rows", F.array_union(newest, best))
+
+    level = F.floor(F.col("_step") / F.lit(block)).alias("_block")
+    blocks = kept(rows.select(run_col, row.alias("_row"), level), [run_col, "_block"])
+    runs = kept(blocks.select(run_col, F.explode("_rows").alias("_row")), [run_col])
+    paths = F.array_distinct(F.transform("_rows", lambda r: r["path"]))
+    return runs.select(run_col, F.explode(paths).alias(path_col))

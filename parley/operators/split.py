@@ -1,11 +1,10 @@
 """Stratified train/eval split.
 
-Plan (SURVEY §4.3 rule 1): per-stratum counts are one small aggregate; the
-eval set is at most a few hundred rows, taken per stratum with
-``orderBy(hash).limit(k)`` (TakeOrderedAndProject: every task keeps only its
-top k, so a huge stratum never lands in one task).  The eval keys are then
-broadcast — their size is bounded by the quota and checked — and joined to
-tag every row, so no ``row_number`` over a two-valued stratum is needed.
+Quotas depend on the strata's counts, but have upper limits (``LIMITS``), so counts and candidates come from one pass
+(``bottom_k``): per stratum the number of rows and, for each task, the few keys that come first by hash.  The eval keys are
+then broadcast — their number is bounded by the quota and checked — and joined to
+tag every row, so no ``row_number`` over a two-valued stratum is needed.  A quota of the caller without
+limits reads keys and flags, written once, in two passes.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.operators.bottom_k import bottom_k, counts_of, smallest
 from parley.operators.curate import shuffle_key
 from parley.operators.numbering import number_rows
 from parley.session import materialize
@@ -53,6 +53,9 @@ def quota_profile_b(n_id: int, n_other: int) -> tuple[int, int]:
 
 
 QUOTAS: dict[str, Quota] = {"A": quota_profile_a, "B": quota_profile_b}
+#: The most rows a quota ever takes: (keyword rows, others).
+LIMITS: dict[Quota, tuple[int, int]] = {quota_profile_a: (EVAL_ID_CAP, EVAL_BUDGET_A - EVAL_ID_MIN_A),
+                                        quota_profile_b: (EVAL_ID_CAP, EVAL_OTHER_CAP_B)}
 
 
 def _stratum_counts(units: DataFrame, flag_col: str) -> tuple[int, int]:
@@ -89,24 +92,38 @@ def _tag(df: DataFrame, eval_keys: DataFrame, key_cols: Sequence[str], n_eval: i
 
 
 def stratified_split(df: DataFrame, flag_col: str, key_cols: Sequence[str], *, seed: int = 42,
-                     quota: Quota | str = "A", materialize_input: bool = True) -> DataFrame:
+                     quota: Quota | str = "A", limits: tuple[int, int] | None = None,
+                     materialize_input: bool = True) -> DataFrame:
     """Add ``split`` ('train'/'eval'); row-level, like the reference (``compat``).
 
     ``key_cols`` must identify a row (e.g. ``conv_id`` or ``(conv_id, replica)``);
-    order inside a stratum is ``md5('<seed>:<key>...')``.  Counts and
-    per-stratum top-k read only keys and flag; with ``materialize_input`` these
-    (never whole rows) are written once as parquet, so an expensive upstream
-    runs twice: for the keys and for the tagged rows.
+    order inside a stratum is ``md5('<seed>:<key>...')``.  ``limits``: the most rows that the quota takes of each
+    stratum (known for the profiles): then counts and first rows are one pass over keys and flags, and an expensive
+    upstream runs twice, for that and for the tagged rows.  Without limits keys and flags
+    (never whole rows) are written once as parquet (``materialize_input``) and read twice.
     """
     q = QUOTAS[quota] if isinstance(quota, str) else quota
     units = df.select(*key_cols, flag_col)
+    ek, n_eval = _choose(units, flag_col, shuffle_key(seed, *key_cols), key_cols, q, limits, materialize_input)
+    return _tag(df, ek, key_cols, n_eval)
+
+
+def _choose(units: DataFrame, flag_col: str, order: Column, key_cols: Sequence[str], quota: Quota,
+            limits: tuple[int, int] | None, materialize_input: bool) -> tuple[DataFrame, int]:
+    """Keys of the eval rows and their number."""
+    limits = limits or LIMITS.get(quota)
+    if limits and max(limits) <= BROADCAST_EVAL_LIMIT:
+        records = bottom_k(units, F.col(flag_col), order, key_cols, {True: limits[0], False: limits[1]})
+        count = counts_of(records)
+        n_id, n_other = count.get(True, 0), count.get(False, 0)
+        k_id, k_other = (min(k, top) for k, top in zip(quota(n_id, n_other), limits))
+        return smallest(records, key_cols, {True: k_id, False: k_other}), min(k_id, n_id) + k_other
     if materialize_input:
         units = materialize(units, "split_keys")
     n_id, n_other = _stratum_counts(units, flag_col)
-    k_id, k_other = q(n_id, n_other)
-    order = [shuffle_key(seed, *key_cols), *[F.col(c) for c in key_cols]]
-    ek = _eval_keys(units, flag_col, order, key_cols, min(k_id, n_id), k_other)
-    return _tag(df, ek, key_cols, min(k_id, n_id) + k_other)
+    k_id, k_other = quota(n_id, n_other)
+    by = [order, *[F.col(c) for c in key_cols]]
+    return _eval_keys(units, flag_col, by, key_cols, min(k_id, n_id), k_other), min(k_id, n_id) + k_other
 
 
 def content_key(messages_col: str = "messages") -> Column:
@@ -115,8 +132,8 @@ def content_key(messages_col: str = "messages") -> Column:
 
 
 def leak_safe_split(df: DataFrame, flag_col: str, *, seed: int = 42, quota: Quota | str = "A",
-                    group_col: str = "_group", order_col: str | None = None,
-                    replica_col: str = "replica", materialize_input: bool = True) -> DataFrame:
+                    group_col: str = "_group", order_col: str | None = None, replica_col: str = "replica",
+                    limits: tuple[int, int] | None = None, materialize_input: bool = True) -> DataFrame:
     """Split whole content groups, so no copy of a row reaches both sides.
 
     Quotas are computed over distinct groups (``group_col``; computed from
@@ -128,16 +145,12 @@ def leak_safe_split(df: DataFrame, flag_col: str, *, seed: int = 42, quota: Quot
     if group_col not in df.columns:
         df = df.withColumn(group_col, content_key())
     oc = order_col or group_col
-    units = df.select(*dict.fromkeys([group_col, flag_col, oc]))
-    if materialize_input:   # group, flag and order only, never whole rows
-        units = materialize(units, "split_keys")
-    groups = units.groupBy(group_col).agg(F.max(F.col(flag_col)).alias(flag_col),
-                                       F.min(F.col(oc)).alias("_ord"))
-    n_id, n_other = _stratum_counts(groups, flag_col)
-    k_id, k_other = q(n_id, n_other)
-    order = [shuffle_key(seed, "_ord"), F.col(group_col)]
-    ek = _eval_keys(groups, flag_col, order, [group_col], min(k_id, n_id), k_other)
-    tagged = _tag(df, ek, [group_col], min(k_id, n_id) + k_other)
+    units = df.select(*dict.fromkeys([group_col, flag_col, oc]))   # group, flag and order only, never whole rows
+    groups = units.groupBy(group_col).agg(F.max(F.col(flag_col)).alias(flag_col), F.min(F.col(oc)).alias("_ord"))
+    if materialize_input and not (limits or q in LIMITS):
+        groups = materialize(groups, "split_keys")
+    ek, n_eval = _choose(groups, flag_col, shuffle_key(seed, "_ord"), [group_col], q, limits, False)
+    tagged = _tag(df, ek, [group_col], n_eval)
     if replica_col in df.columns:
         tagged = tagged.where((F.col("split") == "train") | (F.col(replica_col) == 1))
     return tagged

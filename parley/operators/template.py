@@ -7,13 +7,18 @@ with ``tokenize_with`` (Arrow-batched iterator UDF, loaded once per task).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import os
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.operators.segments import SLICE_ROWS, before_slice, slice_window, with_slices
+
 # --- fixed values -----------------------------------------------------------
 # ChatML delimiters (the public convention the reference's tokenizer uses).
 IM_START = "<|im_start|>"
@@ -191,6 +196,147 @@ def truncate_tokens(tokens, max_len: int) -> Column:
     return F.slice(_col(tokens), 1, max_len)
 
 
+# ---- T7 / T8 for any tokenizer: labels from character spans -------------------------------------------------------------
+
+#: A tokenizer for offsets: text to ids and ``(start, end)`` character offsets, both ascending.
+OffsetEncoder = Callable[[str], tuple[Sequence[int], Sequence[tuple[int, int]]]]
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a driver's file (a tokenizer's) to every executor; returns the name that ``shipped`` finds it by."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped(name: str) -> str:
+    """Place of a shipped file, on the driver or in a task."""
+    from pyspark import SparkFiles
+
+    return SparkFiles.get(name)
+
+
+def tokenizers_file(name: str) -> Callable[[], OffsetEncoder]:
+    """``make_encoder`` for a shipped file of the tokenizers library (its special tokens are ordinary text)."""
+    def make() -> OffsetEncoder:
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(shipped(name))
+        tok.no_truncation()
+        tok.no_padding()
+        tok.encode_special_tokens = True
+
+        def encode(text: str):
+            got = tok.encode(text, add_special_tokens=False)
+            return got.ids, got.offsets
+
+        return encode
+
+    return make
+
+
+def trained_spans(header: np.ndarray, body: np.ndarray, tail: np.ndarray, assistant: np.ndarray, mode: str,
+                  n_end: int) -> np.ndarray:
+    """``(n, 2)`` character spans of the rendered text that are trained, ascending and disjoint.
+
+    Per message the lengths of its header, body and end; ``all``: every assistant body with its end token;
+    ``last``: all text after the last assistant header, nothing without one.
+    """
+    ends = np.cumsum(header + body + tail)
+    starts = ends - tail - body
+    own = np.flatnonzero(assistant)
+    if mode == "last":
+        return np.array([[starts[own[-1]], ends[-1]]]) if len(own) else np.zeros((0, 2), np.int64)
+    return np.stack([starts[own], starts[own] + body[own] + n_end], axis=1)
+
+
+def inside_spans(token_start: np.ndarray, token_end: np.ndarray, spans: np.ndarray, border: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each token span whether it is trained, and whether it lies over a border of ``spans``: an interval join.
+
+    ``border``: what holds for a token with characters on both sides: ``inside`` (trained only if all its
+    characters are), ``any`` (if one is) or ``first`` (as its first character).
+    """
+    if not len(spans):
+        none = np.zeros(len(token_start), bool)
+        return none, none
+    def span_of(place):
+        at = np.searchsorted(spans[:, 0], place, "right") - 1
+        return np.where((at >= 0) & (place < spans[np.maximum(at, 0), 1]), at, -1)
+    last = np.maximum(token_end - 1, token_start)
+    first_in, last_in = span_of(token_start), span_of(last)
+    # a whole span may lie inside one token
+    held = np.searchsorted(spans[:, 0], last, "right") > np.searchsorted(spans[:, 0], token_start, "left")
+    whole = (first_in >= 0) & (first_in == last_in)
+    some = (first_in >= 0) | (last_in >= 0) | held
+    return {"inside": whole, "any": some, "first": first_in >= 0}[border], some & ~whole
+
+
+def label_tokens(df: DataFrame, make_encoder: Callable[[], OffsetEncoder], messages_col: str = "messages", mode: str = "all",
+                 border: str = "inside", max_len: int | None = None, ignore: int = IGNORE_INDEX) -> DataFrame:
+    """T7/T8 for any tokenizer: ``df`` with ``ids, labels, n_tokens, n_crossing`` of the rendered messages.
+
+    The chat text is encoded once; a token's label is its id where its characters lie in a trained span of the messages
+    (``trained_spans``, ``inside_spans``), else ``ignore``.  No marker is searched, so a marker inside a message changes
+    nothing and tokens of any vocabulary get labels.  ``n_tokens`` counts all tokens, ``ids`` and ``labels`` end at
+    ``max_len``; ``n_crossing``: tokens over a border.  Null messages have no tokens.
+    """
+    if mode not in ("all", "last") or border not in ("inside", "any", "first"):
+        raise ValueError(f"unknown mode {mode!r} or border {border!r}")
+    schema = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("ids", "labels")]
+                          + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_crossing")])
+
+    @F.pandas_udf(schema)
+    def label(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        encode = make_encoder()
+        for text, header, body, assistant in batches:
+            rows = []
+            for t, h, b, a in zip(text, header, body, assistant):
+                if t is None or h is None:
+                    rows.append(([], [], 0, 0))
+                    continue
+                ids, offsets = encode(t)
+                ids, at = np.asarray(ids, np.int64), np.asarray(offsets, np.int64).reshape(-1, 2)
+                spans = trained_spans(np.asarray(h, np.int64), np.asarray(b, np.int64), np.full(len(h), len(IM_END) + 1),
+                                      np.asarray(a, bool), mode, len(IM_END))
+                trained, crossing = inside_spans(at[:, 0], at[:, 1], spans, border)
+                labels = np.where(trained, ids, ignore)
+                rows.append((ids[:max_len], labels[:max_len], len(ids), int(crossing.sum())))
+            yield pd.DataFrame(rows, columns=["ids", "labels", "n_tokens", "n_crossing"])
+
+    m = F.col(messages_col)
+    chars = lambda c: F.length(F.coalesce(c, F.lit("")))
+    made = df.withColumn("_made", label(
+        render_chat(m), F.transform(m, lambda x: chars(x["role"]) + F.lit(len(IM_START) + 1)),
+        F.transform(m, lambda x: chars(x["content"])), F.transform(m, lambda x: F.coalesce(x["role"] == "assistant", F.lit(False)))))
+    return made.select(*df.columns, "_made.ids", "_made.labels", "_made.n_tokens", "_made.n_crossing")
+
+
+# ---- T10 ---------------------------------------------------------------------------------------------------------------
+
+
+def strip_prompts(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+                  tokenize: Callable[[Column], Column] = tokenize_simple, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """T10 for every assistant turn: ``(conv, turn, n_prompt, generated)``, every message tokenised once.
+
+    The prompt of a turn is all messages before it and the open assistant header, so its length is a running sum of
+    message lengths, and what remains of prompt + reply after ``n_prompt`` tokens is the reply message without its
+    header.  Border rule: a message ends with a line break and begins with the start marker, so this holds for tokenizers
+    without tokens over a line break (the regex tokens have none).  Large conversations are summed in slices.
+    """
+    tokens = tokenize(render_chat(F.array(F.struct(F.col(role).alias("role"), F.col(text).alias("content")))))
+    n_header = F.size(tokenize(F.lit(f"{IM_START}assistant\n")))
+    is_reply = F.coalesce(F.col(role) == "assistant", F.lit(False))
+    rows = _barrier(with_slices(turns, conv, turn, slice_rows).select(
+        F.col(conv).alias(conv), F.col(turn).alias(turn), "_key", "_slice", "_large", is_reply.alias("_reply"), role, text),
+        tokens.alias("_tokens"))
+    rows = rows.select(conv, turn, "_key", "_slice", "_large", "_reply", F.size("_tokens").cast("long").alias("_n"),
+                       F.when(F.col("_reply"), F.slice("_tokens", n_header + 1, F.size("_tokens"))).alias("generated"))
+    before = F.sum("_n").over(slice_window(turn).rowsBetween(Window.unboundedPreceding, -1))
+    sums = before_slice(rows.where("_large").groupBy("_key", "_slice").agg(F.sum("_n").alias("n")), {"_n0": "n"})
+    out = rows.withColumn("_before", F.coalesce(before, F.lit(0))).where("_reply").join(
+        F.broadcast(sums), ["_key", "_slice"], "left")
+    return out.select(conv, turn, (F.col("_before") + F.coalesce("_n0", F.lit(0)) + n_header).alias("n_prompt"), "generated")
+
+
 def strip_prompt(out_tokens, n_prompt) -> Column:
     """Drop the first ``n_prompt`` generated ids (the echoed prompt)."""
     o = _col(out_tokens)

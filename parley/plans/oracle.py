@@ -206,7 +206,11 @@ ORACLE: dict[str, str] = {
                  CASE WHEN starts_with(path, 'runs/src2/') THEN 1 ELSE 0 END AS moved FROM manifest)
         GROUP BY new_path HAVING count(*) > 1 AND max(moved) = 1""",
     # --- S: scans and sinks ---
-    "manifest_list_files": _with(LINES) + "SELECT DISTINCT file, true AS has_bytes FROM lines",
+    "manifest_list_files": """
+        SELECT 'convs=' || CAST(conv_id // 64 AS VARCHAR) AS folder,
+               CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS length, true AS timed
+        FROM conversations GROUP BY conv_id // 64
+        UNION ALL SELECT 'empty', 0, true UNION ALL SELECT '_hidden', 0, true""",
     "jsonl_scan": _with(LINES) + "SELECT file, conv_id FROM lines",
     "jsonl_rejects": _with(LINES) + "SELECT file, conv_id FROM lines WHERE outcome = 'json_error'",
     "normalize_reject_lines": _with(LINES) + """
@@ -333,9 +337,25 @@ ORACLE: dict[str, str] = {
         SELECT count(*) AS n_rows, count(*) FILTER (WHERE len(t) > 256) AS n_truncated,
                count(*) FILTER (WHERE mask_start IS NULL OR mask_start >= 256) AS n_response_cut FROM mask""",
     "strip_prompt": f"""
-        WITH g AS (SELECT conv_id, turn, regexp_extract_all(text || '<|im_end|>' || {NL}, '{PAT}') AS x
-                   FROM conversations WHERE role = 'assistant')
-        SELECT conv_id, turn, CAST(len(x) AS BIGINT) AS n_generated, array_to_string(x, ' ') AS generated FROM g""",
+        WITH r AS (SELECT conv_id, turn, role, text,
+                          '<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL} AS one FROM conversations),
+             g AS (SELECT a.conv_id, a.turn, any_value(a.text) AS text,
+                          coalesce(string_agg(b.one, '' ORDER BY b.turn), '') || '<|im_start|>assistant' || {NL} AS prompt
+                   FROM r a LEFT JOIN r b ON a.conv_id = b.conv_id AND b.turn < a.turn
+                   WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn),
+             x AS (SELECT conv_id, turn, len(regexp_extract_all(prompt, '{PAT}')) AS n_prompt,
+                          regexp_extract_all(prompt || text || '<|im_end|>' || {NL}, '{PAT}') AS whole FROM g)
+        SELECT conv_id, turn, CAST(n_prompt AS BIGINT) AS n_prompt, CAST(len(whole) - n_prompt AS BIGINT) AS n_generated,
+               array_to_string(whole[n_prompt + 1 : len(whole)], ' ') AS generated FROM x""",
+    "subword_mask": """
+        SELECT conv_id, coalesce(string_agg(text || '<|im_end|>', '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')
+               AS trained_text, true AS whole FROM conversations GROUP BY conv_id""",
+    "subword_mask_last": f"""
+        WITH l AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS t FROM conversations GROUP BY conv_id)
+        SELECT l.conv_id, coalesce(string_agg(CASE WHEN c.turn = l.t THEN text || '<|im_end|>' || {NL}
+                 ELSE '<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL} END, '' ORDER BY turn)
+                 FILTER (WHERE c.turn >= l.t), '') AS trained_text
+        FROM l JOIN conversations c ON c.conv_id = l.conv_id GROUP BY l.conv_id""",
     "decode_tokens": f"""
         SELECT conv_id, turn, text AS decoded,
                CAST(octet_length(encode(text)) AS BIGINT) AS n_ids FROM conversations""",

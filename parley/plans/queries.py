@@ -131,11 +131,11 @@ def q_manifest_conflicts(spark, sf_dir):
 
 
 def q_manifest_list_files(spark, sf_dir):
-    """S1 on storage: list the written raw-line files (``binaryFile``, bodies pruned) per logical file."""
-    root = jsonl.materialize_raw_lines(spark, sf_dir)
+    """S1 on storage: every file under a root with its length, an empty and a hidden one included."""
+    root = fx.conversation_files(spark, sf_dir)
     files = manifest.list_files(spark, root, glob="*.txt")
-    return files.select(F.regexp_extract("path", "/file=([^/]+)/[^/]+$", 1).alias("file"), "length").groupBy(
-        "file").agg((F.sum("length") > 0).alias("has_bytes"))
+    return files.select(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("folder"), "length",
+                        F.col("modificationTime").isNotNull().alias("timed"))
 
 
 def q_jsonl_scan(spark, sf_dir):
@@ -188,18 +188,18 @@ def q_train_coverage_guard(spark, sf_dir):
     """Training-side check: strict re-read of the prepared file, keyword share, warn below 5 %."""
     back = jsonl.read_prepared(spark, _write_train(spark, sf_dir))
     cov = curate.keyword_coverage(curate.keyword_flag(back, KEYWORDS))
-    guard = curate.soft_guard(cov, curate.TRAIN_GUARD_MIN_PCT)
-    return cov.select("n_key", "n_total", "pct").join(guard.select("pct", "verdict"), "pct")
+    return cov.withColumn("verdict", curate.soft_verdict("pct", curate.TRAIN_GUARD_MIN_PCT))
 
 
 def q_guarded_sink(spark, sf_dir):
-    """Guard, shuffle and write in one step: rows written, or none where the share is outside the band."""
+    """Write, audit and publish: rows published, or none where the share is outside the band."""
+    path = _sink_path(spark, sf_dir)
     try:
-        path = curate.guarded_write(_prep_rows(spark, sf_dir), _sink_path(spark, sf_dir),
-                                    jsonl.write_training_jsonl, SEED, ["conv_id", "replica"])
+        curate.guarded_write(_prep_rows(spark, sf_dir), path, jsonl.write_training_jsonl, SEED, ["conv_id", "replica"])
     except curate.GuardError:
         return spark.range(1).select(F.lit(False).alias("written"), F.lit(0).cast("bigint").alias("n_rows"))
-    return jsonl.read_prepared(spark, path).agg(F.lit(True).alias("written"), F.count(F.lit(1)).alias("n_rows"))
+    return jsonl.read_prepared(spark, curate.published(spark, path)).agg(
+        F.lit(True).alias("written"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_marker_roundtrip(spark, sf_dir):
@@ -280,12 +280,10 @@ def q_category_multiplier(spark, sf_dir):
 
 
 def q_union_files(spark, sf_dir):
-    """Read every file on its own, append the rows (bag union), normalise once."""
+    """The rows of every file that is there (bag union), in one scan, normalised once."""
     root = jsonl.materialize_raw_lines(spark, sf_dir)
-    names = [fx.IDENTITY_FILE] + [f"general_{i}.jsonl" for i in range(4)]
-    per_file = [jsonl.read_jsonl_lines(spark, f"{root}/file={n}", glob=None, recursive=False)
-                .withColumn("file", F.lit(n)) for n in names]
-    u = accepted(normalize_rows(curate.union_files(per_file), keep_fields={"conv_id": "bigint"}))
+    lines = jsonl.read_jsonl_lines(spark, root, glob=None, recursive=False, file_col="file")
+    u = accepted(normalize_rows(lines, keep_fields={"conv_id": "bigint"}))
     return u.select("file", "conv_id", F.size("messages").cast("bigint").alias("n_messages"))
 
 
@@ -452,12 +450,44 @@ def q_truncation_report(spark, sf_dir):
 
 
 def q_strip_prompt(spark, sf_dir):
-    a = _assistant_turns(spark, sf_dir)
-    p_tok = template.tokenize_simple(template.render_chat("before", add_generation_prompt=True))
-    f_tok = template.tokenize_simple(template.render_chat(F.concat("before", "reply")))
-    gen = template.strip_prompt(f_tok, F.size(p_tok))
-    return a.select("conv_id", "turn", F.size(gen).cast("bigint").alias("n_generated"),
-                    F.array_join(gen, " ").alias("generated"))
+    rows = template.strip_prompts(fx.table(spark, sf_dir, "conversations"))
+    return rows.select("conv_id", "turn", "n_prompt", F.size("generated").cast("bigint").alias("n_generated"),
+                       F.array_join("generated", " ").alias("generated"))
+
+
+def tokenizer_file(spark: SparkSession, name: str) -> str:
+    """A public tokenizer file, sent to the executors; its folder is a setting (``parley.tokenizers``)."""
+    return template.ship_file(spark, f"{spark.conf.get('parley.tokenizers', '/opt/tokenizers')}/{name}")
+
+
+def _subword_labels(spark, sf_dir, **kw):
+    name = tokenizer_file(spark, "byte_bpe_50k.json")
+    return name, template.label_tokens(_conv_messages(spark, sf_dir), template.tokenizers_file(name), **kw)
+
+
+def _decoder(name):
+    def make():
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(template.shipped(name))
+        return lambda ids: tok.decode(ids, skip_special_tokens=False)
+
+    return make
+
+
+def q_subword_mask(spark, sf_dir):
+    """T7 with a real subword vocabulary: the text of the trained tokens, decoded from their ids."""
+    name, rows = _subword_labels(spark, sf_dir)
+    trained = F.filter("labels", lambda x: x != template.IGNORE_INDEX)
+    return rows.select("conv_id", template.decode_with(trained, _decoder(name)).alias("trained_text"),
+                       (F.size("ids") == F.col("n_tokens")).alias("whole"))
+
+
+def q_subword_mask_last(spark, sf_dir):
+    """T7, completion only: the text after the last assistant header."""
+    name, rows = _subword_labels(spark, sf_dir, mode="last")
+    trained = F.filter("labels", lambda x: x != template.IGNORE_INDEX)
+    return rows.select("conv_id", template.decode_with(trained, _decoder(name)).alias("trained_text"))
 
 
 def _byte_encoder():
@@ -628,6 +658,8 @@ QUERIES: dict[str, Query] = {
     "truncate_tokens": q_truncate_tokens,
     "truncation_report": q_truncation_report,
     "strip_prompt": q_strip_prompt,
+    "subword_mask": q_subword_mask,
+    "subword_mask_last": q_subword_mask_last,
     "decode_tokens": q_decode_tokens,
     "marker_choice": q_marker_choice,
     "response_pass": q_response_pass,

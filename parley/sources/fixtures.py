@@ -17,10 +17,13 @@ expected answer straight from the table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.operators.numbering import number_rows
+from parley.operators.segments import number_in_groups
+from parley.session import input_key, work_dir
 
 # --- fixed values (fixture rules, FIXTURES.md §2) ----------------------------
 IDENTITY_FILE = "team_identity.jsonl"
@@ -101,11 +104,9 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("eval_loss"))
-    numbered = number_rows(ev, order_by=["ts", "event_id"], partition_by=["run_id"], name="step",
-                           first_of=["ts"])
-    blocks = F.ceil(F.count(F.lit(1)) / F.lit(RUN_STEP_BLOCK)) * RUN_STEP_BLOCK
-    plan = ev.groupBy(F.col("run_id").alias("_run")).agg(blocks.cast("bigint").alias("max_steps"))
-    numbered = numbered.join(plan, F.col("run_id").eqNullSafe(F.col("_run")))
+    numbered = number_in_groups(ev, "run_id", "ts", ["event_id"], name="step")
+    blocks = F.ceil(F.col("group_rows") / F.lit(RUN_STEP_BLOCK)) * RUN_STEP_BLOCK
+    numbered = numbered.withColumn("max_steps", blocks.cast("bigint"))
     # wall-clock difference of two local timestamps: no session time zone involved
     micros = F.expr("timestampdiff(MICROSECOND, first_ts, ts)")
     out = numbered.select(
@@ -144,3 +145,19 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(conv_id, turn, seq, chunk)``: each text split on spaces."""
     conv = table(spark, sf_dir, "conversations")
     return conv.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("seq", "chunk"))
+
+
+FOLDER_CONVS = 64
+
+
+def conversation_files(spark: SparkSession, sf_dir: str) -> str:
+    """Text files, one per ``convs=<conv_id div 64>``, a line per turn; one empty file in ``empty`` and one in ``_hidden``."""
+    root = work_dir(spark, "conversation_files", input_key(sf_dir), uuid.uuid4().hex[:12])
+    conv = table(spark, sf_dir, "conversations").select(
+        F.expr(f"conv_id div {FOLDER_CONVS}").alias("convs"), F.coalesce("text", F.lit("")).alias("value"))
+    conv.repartition("convs").write.partitionBy("convs").text(root)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for name in ("empty", "_hidden"):
+        path = hadoop.Path(f"{root}/{name}/none.txt")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+    return root

@@ -3,18 +3,18 @@
 ``read_jsonl_lines`` is a plain ``spark.read.text`` scan: files are split by
 the reader, every split is parsed in parallel, and the file path comes from the
 hidden ``_metadata`` column.  True 1-based line numbers are optional
-(``with_line_numbers``) because they need a numbering pass over whole files.
+(``with_line_numbers``) because they need a counting pass over whole files.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.operators.normalize import MESSAGES
-from parley.operators.numbering import number_rows
 from parley.session import input_key, work_dir
 from parley.sources import fixtures
 from parley.sources.manifest import EmptySourceError
@@ -50,9 +50,45 @@ def read_jsonl_lines(spark: SparkSession, path: str | list[str], *, glob: str |
     return df.select(*cols)
 
 
+SPLITS_CONF = "spark.sql.files.minPartitionNum"
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Cut files by their lengths and a fixed number from now on, not by the cores that are there when a scan is planned.
+
+    Spark aims at as many splits as cores; the number at hand now is pinned, unless one is set, so that
+    several scans of the same files have the same splits also after executors come or go.
+    """
+    if not spark.conf.get(SPLITS_CONF, None):
+        spark.conf.set(SPLITS_CONF, str(spark.sparkContext.defaultParallelism))
+
+
+def number_lines(lines: DataFrame, file: str, parts: Sequence[str], name: str = "line_no") -> DataFrame:
+    """1-based ``name`` of each line in its ``file``: its place in its split, and the lines of the splits before.
+
+    ``lines``: all lines of ``read_jsonl_lines``, nothing filtered; ``parts``: columns that order the splits of a file
+    (the last is ``block_start``).  The text is neither shuffled nor written: a first pass counts the lines of every
+    (file, split), a prefix sum over this table (one row per split, three numbers each: its size is bounded by the
+    number of splits) is broadcast to the second.  Both passes must cut the files alike (``pin_splits``); a split that the first pass has
+    not seen at that place stops the query rather than giving a wrong number.
+    """
+    pin_splits(lines.sparkSession)
+    # the path as two hashes: a row of the broadcast table has a few numbers, whatever the paths' length
+    key = [F.xxhash64(file, *parts).alias("_k1"), F.xxhash64(F.lit(1), *[F.col(c) for c in reversed([file, *parts])]).alias("_k2")]
+    splits = lines.groupBy(file, *parts).agg(F.count(F.lit(1)).alias("_n"), F.min("row_pos").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(file).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1))
+    places = splits.select(*key, (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+                           F.shiftright("_first", 33).alias("_task"))
+    out = lines.select("*", *key).join(F.broadcast(places), ["_k1", "_k2"], "left")
+    same = F.col("_task") == F.shiftright("row_pos", 33)
+    number = F.when(same, F.col("row_pos") + F.col("_shift")).otherwise(
+        F.raise_error(F.concat(F.lit("files were cut differently by two passes: "), F.col(file))))
+    return out.withColumn(name, number.cast("long")).drop("_k1", "_k2", "_shift", "_task")
+
+
 def with_line_numbers(lines: DataFrame) -> DataFrame:
-    """1-based ``line_no`` per file, counting blank lines (skew-safe numbering)."""
-    return number_rows(lines, order_by=["block_start", "row_pos"], partition_by=["file"], name="line_no")
+    """1-based ``line_no`` per file, counting blank lines."""
+    return number_lines(lines, "file", ["block_start"])
 
 
 def write_training_jsonl(df: DataFrame, path: str, messages_col: str = "messages") -> str:
@@ -98,8 +134,6 @@ def materialize_raw_lines(spark: SparkSession, sf_dir: str) -> str:
 def logical_line_numbers(lines: DataFrame) -> DataFrame:
     """1-based ``line_no`` within a logical file stored as ordered part files.
 
-    ``lines`` comes from ``read_jsonl_lines(..., file_col=...)`` (it carries
-    ``part_path``); numbering is the skew-safe ``number_rows``.
+    ``lines`` comes from ``read_jsonl_lines(..., file_col=...)`` (it carries ``part_path``).
     """
-    return number_rows(lines, order_by=["part_path", "block_start", "row_pos"], partition_by=["file"],
-                       name="line_no")
+    return number_lines(lines, "file", ["part_path", "block_start"])

@@ -1,8 +1,7 @@
 """File manifests: listing, selection, categories, glob filters, re-rooting.
 
 A manifest is a DataFrame with at least a ``path`` column.  ``list_files``
-builds one from storage with the ``binaryFile`` source (file bodies are pruned:
-only ``path, length, modificationTime`` are read).
+builds one from storage (``parley.sources.listing``; no file is opened).
 """
 
 from __future__ import annotations
@@ -13,19 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.sources.listing import file_list
+
 
 class EmptySourceError(FileNotFoundError):
     """No input file matched."""
 
 
-def list_files(spark: SparkSession, root: str | list[str], glob: str | None = "*.jsonl", recursive: bool = True) -> DataFrame:
-    """``(path, length, modificationTime)`` of files under ``root``."""
-    r = spark.read.format("binaryFile")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    return r.load(root).select("path", "length", "modificationTime")
+def list_files(spark: SparkSession, root: str | list[str], glob: str | None = "*.jsonl", recursive: bool = True,
+               allow_empty: bool = False) -> DataFrame:
+    """``(path, length, modificationTime)`` of files under ``root``, zero-length and hidden ones included.
+
+    Raises ``EmptySourceError`` where no file matches (S4), unless ``allow_empty``; a missing root raises
+    ``FileNotFoundError``.
+    """
+    roots = [root] if isinstance(root, str) else list(root)
+    files = file_list(spark, roots, glob, recursive)
+    return files if allow_empty else require_nonempty(files, f"input files under {roots}")
 
 
 def require_nonempty(df: DataFrame, what: str = "input files") -> DataFrame:

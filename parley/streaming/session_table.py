@@ -1,123 +1,163 @@
-"""W1, native variant: chat-history state as a versioned table, one ``foreachBatch`` per micro-batch.
+"""W1, native variant: chat-history state as a bucketed table, one ``foreachBatch`` per micro-batch.
 
 Per conversation the state row holds ``epoch, exited, last_turn`` and the
 last ``cap`` messages of the current epoch.  Each micro-batch is joined to the
-state, processed with the same skew-safe batch operators as ``session_history``
-(running totals, chunked history frames), and the touched conversations'
-state rows are rewritten.  No Python runs per key, so throughput grows with the
-cluster rather than with per-key calls.  The state for batch ``b`` is written
-to ``state/v=<b>`` (overwrite), so a replayed batch rewrites the same version.
+state of the buckets it touches, processed with the same scan as ``session_history``, and the touched
+conversations' rows are written.  No Python runs per key, so throughput grows with the
+cluster rather than with per-key calls.
 
-Trade-off: each batch rewrites the whole state table (copy-on-write, one row
-per conversation ever seen), so per-batch cost grows with the number of
-conversations; it pays off with large triggers and many keys, where the
-state-function form is bound by per-key Python calls.
+``StateTable``: a conversation's bucket is a hash of its id.  A batch writes ``b=<batch>/full=<0|1>/bucket=<k>``: a
+delta with its touched conversations only, or, where a bucket has ``MAX_DELTAS`` deltas, the bucket compacted
+(touched and untouched rows).  A bucket is read from its newest compacted folder on, by path, so untouched buckets are neither
+read nor written.  Batch ``b`` reads folders of earlier batches only and overwrites its own: a replayed batch gives
+the same.  Two compacted versions of a bucket stay, older folders go.
 
 Semantics equal ``session_state``: a turn is held for ``hold`` after its
 arrival and released in turn order; a turn at or below a released one goes to
 the ``late`` table; nothing after ``/exit`` is processed; idle conversations
-expire.  Arrivals are an append-only table: what is held are its rows above the
-last released turn of their conversation, so nothing is rewritten to hold it,
-and rows whose time was up in an earlier batch are pruned by arrival time.
-Batches in which no turn is due write no new state.
+expire.  Arrivals are an append-only table, a folder per batch: what is held are its rows above the
+last released turn of their conversation, so nothing is rewritten to hold it.  A folder whose newest
+turn was released in an earlier batch is no longer read, and goes one batch later.
+Batches in which no turn is due write no state.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parley.functions.text import strip_ws
-from parley.operators.chat_session import HISTORY_CAP, command_kind
-from parley.operators.numbering import running_total, sliding_collect
+from parley.operators.chat_session import HISTORY_CAP, session_epochs, session_history
 from parley.session import input_key, work_dir
 from parley.sources import fixtures as fx
 from parley.streaming.session_state import EXPIRE_MS, HOLD_MS, INPUT_SCHEMA, read_turns
 
-STATE_SCHEMA = ("conv_id long, epoch long, exited boolean, last_turn long, "
-                "hist array<struct<turn:long,role:string,text:string>>, seen timestamp")
+HIST = "array<struct<turn:long,role:string,text:string>>"
+STATE_SCHEMA = f"conv_id long, epoch long, exited boolean, last_turn long, hist {HIST}, seen timestamp"
 OUTPUT_SCHEMA = "conv_id long, turn long, n_history long, history_turns string"
+BUCKETS = 64       # fixed for the life of a state table; a batch lists at most as many folders times MAX_DELTAS
+MAX_DELTAS = 8
 
 
-def _read_state(spark: SparkSession, state_root: str, before: int) -> DataFrame:
-    """Newest state version written by a batch before ``before`` (empty if none).
+def bucket_of(conv: str = "conv_id", buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.col(conv)), F.lit(buckets)).cast("int")
 
-    Versions are partition folders ``v=<batch>``; a batch writes its version
-    completely before the next batch starts, so every ``v < before`` is whole.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(state_root)
-    latest = None
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):   # else no state written yet
-        allv = spark.read.schema(STATE_SCHEMA + ", v long").parquet(state_root)
-        latest = allv.where(F.col("v") < before).agg(F.max("v")).first()[0]   # one scalar
-    if latest is None:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(f"{state_root}/v={latest}")
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+class StateTable:
+    """The state of all conversations under ``root``, in ``buckets`` buckets."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, max_deltas: int = MAX_DELTAS):
+        self.spark, self.buckets, self.max_deltas = spark, buckets, max_deltas
+        self.root = f"{root}/of-{buckets}"      # the number of buckets is part of the place
+        self.segments: dict[int, dict[int, bool]] = {}      # bucket: batch: compacted
+        fs, path = _fs(spark, f"{self.root}/b=*/full=*/bucket=*")
+        for status in fs.globStatus(path) or []:
+            b, full, bucket = map(int, re.search(r"b=(\d+)/full=(\d)/bucket=(\d+)$", status.getPath().toString()).groups())
+            self.segments.setdefault(bucket, {})[b] = full == 1
+
+    def live(self, bucket: int, before: int) -> list[int]:
+        """Batches whose folders make up a bucket for batch ``before``: the newest compacted one and those after it."""
+        own = sorted((b for b in self.segments.get(bucket, {}) if b < before), reverse=True)
+        whole = next((n for n, b in enumerate(own) if self.segments[bucket][b]), len(own) - 1)
+        return own[: whole + 1]
+
+    def _path(self, b: int, full: bool, bucket: int) -> str:
+        return f"{self.root}/b={b}/full={int(full)}/bucket={bucket}"
+
+    def read(self, buckets: Iterable[int], before: int, newer_ms: int | None = None) -> DataFrame:
+        """State rows of the buckets as batch ``before`` finds them, without those idle since ``newer_ms``."""
+        live = {k: self.live(k, before) for k in buckets}
+        paths = [self._path(b, self.segments[k][b], k) for k, own in live.items() for b in own]
+        if not paths:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        rows = self.spark.read.option("basePath", self.root).schema(
+            STATE_SCHEMA + ", b long, full int, bucket int").parquet(*paths)
+        names = [c for c in rows.columns if c not in ("b", "full", "bucket")]
+        if max(map(len, live.values())) > 1:      # the newest row of a conversation
+            rows = rows.groupBy("conv_id").agg(F.max_by(F.struct(*names), "b").alias("r")).select("r.*")
+        else:
+            rows = rows.select(*names)
+        return rows if newer_ms is None else rows.where(F.col("seen") > F.timestamp_millis(F.lit(newer_ms)))
+
+    def write(self, batch: int, touched: DataFrame, buckets: list[int], newer_ms: int) -> None:
+        """Writes the touched conversations, all of these buckets; compacts buckets with enough deltas."""
+        for own in self.segments.values():      # a replayed batch writes anew
+            own.pop(batch, None)
+        compact = [k for k in buckets if len(self.live(k, batch)) > self.max_deltas]
+        full = F.col("bucket").isin(compact) if compact else F.lit(False)
+        rows = touched.withColumn("bucket", bucket_of(buckets=self.buckets))
+        if compact:
+            old = self.read(compact, batch, newer_ms)
+            ids = touched.select(F.col("conv_id").alias("_t_conv"))
+            rest = old.join(ids, F.col("conv_id").eqNullSafe(F.col("_t_conv")), "left_anti")
+            rows = rows.unionByName(rest.withColumn("bucket", bucket_of(buckets=self.buckets)))
+        rows = rows.withColumn("full", full.cast("int"))
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("full", "bucket").parquet(f"{self.root}/b={batch}")
+        for k in buckets:
+            self.segments.setdefault(k, {})[batch] = k in compact
+        self._clean(compact)
+
+    def _clean(self, buckets: list[int]) -> None:
+        """Of each bucket two compacted versions stay, with the deltas after the older one."""
+        for k in buckets:
+            whole = sorted(b for b, full in self.segments[k].items() if full)
+            for b in [b for b in self.segments[k] if len(whole) > 1 and b < whole[-2]]:
+                fs, path = _fs(self.spark, self._path(b, self.segments[k].pop(b), k))
+                fs.delete(path, True)
 
 
 def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch: returns (output rows, new state rows for the touched conversations)."""
-    s = state.select("conv_id", F.col("epoch").alias("_s_epoch"), F.col("exited").alias("_s_exited"),
-                     F.col("last_turn").alias("_s_last"), F.col("hist").alias("_s_hist"))
-    s = s.withColumnRenamed("conv_id", "_s_conv")
+    """One micro-batch: returns (output rows, state rows of the touched conversations)."""
+    s = state.select(F.col("conv_id").alias("_s_conv"), F.col("epoch").alias("_s_epoch"), F.col("exited").alias("_s_exited"),
+                     F.col("last_turn").alias("_s_last"))
+    hists = state.select(F.col("conv_id").alias("_h_conv"), F.col("hist").alias("_s_hist"))
     # of a repeated turn the first arrival
     once = batch.groupBy("conv_id", "turn").agg(F.min(F.struct("arrived", "role", "text")).alias("_f")).select(
         "conv_id", "turn", "_f.arrived", "_f.role", "_f.text")
     b = (once.join(s, F.col("conv_id").eqNullSafe(F.col("_s_conv")), "left").drop("_s_conv")
-         .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))))
-    b = (b.withColumn("text", strip_ws(F.col("text"))).withColumn("kind", command_kind())
-         .withColumn("_c", (F.col("kind") == "clear").cast("long"))
-         .withColumn("_x", (F.col("kind") == "exit").cast("long"))
-         .withColumn("_m", F.col("kind").isin("message", "response").cast("long")))
-    t = running_total(b, {"_clears": "_c", "_exits": "_x", "msg_ord": "_m"}, ["turn"], ["conv_id"])
-    t = t.withColumn("_live", ~F.coalesce(F.col("_s_exited"), F.lit(False)) & (F.col("_exits") == 0))
-    t = t.withColumn("epoch", F.coalesce(F.col("_s_epoch"), F.lit(0)) + F.col("_clears"))
-
-    live = t.where("_live")
-    msgs = live.where(F.col("kind").isin("message", "response"))
-    item = F.struct(F.col("turn"), F.col("role"), F.col("text"), F.col("epoch"))
-    h = sliding_collect(msgs, item, cap, ["turn"], ["conv_id"], name="_h", ordinal_col="msg_ord")
-    batch_part = F.transform(F.filter("_h", lambda x: x["epoch"] == F.col("epoch")),
-                             lambda x: F.struct(x["turn"].alias("turn"), x["role"].alias("role"),
-                                                x["text"].alias("text")))
-    state_part = F.when(F.col("_clears") == 0, F.coalesce(F.col("_s_hist"), F.array())).otherwise(F.array())
-    full = F.concat(state_part.cast("array<struct<turn:long,role:string,text:string>>"), batch_part)
-    hist = F.slice(full, F.greatest(F.size(full) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
-    out = (h.where(F.col("kind") == "message").withColumn("history", hist)
-           .select("conv_id", "turn", F.size("history").cast("long").alias("n_history"),
-                   F.array_join(F.transform("history", lambda x: x["turn"].cast("string")), ",")
-                   .alias("history_turns")))
-
-    # New state for every conversation seen in this batch (late rows excluded).
-    per = t.groupBy("conv_id").agg(
-        F.max("turn").alias("last_turn"), F.max("arrived").alias("seen"),
-        F.max(F.when(F.col("_live"), F.col("epoch"))).alias("_e_live"),
-        F.max("_exits").alias("_ex"),
-        F.first("_s_epoch", ignorenulls=True).alias("_s_epoch"),
-        F.first("_s_exited", ignorenulls=True).alias("_s_exited"),
-        F.first("_s_hist", ignorenulls=True).alias("_s_hist"))
-    per = per.withColumn("epoch", F.coalesce("_e_live", "_s_epoch", F.lit(0))).withColumn(
-        "exited", F.coalesce(F.col("_s_exited"), F.lit(False)) | (F.col("_ex") > 0))
-    # last ``cap`` messages of the final epoch from this batch (partial top-k per key before the shuffle)
-    w = Window.partitionBy("conv_id", "epoch").orderBy(F.col("turn").desc())
-    recent = (msgs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap)
-              .groupBy("conv_id", "epoch").agg(F.sort_array(F.collect_list(
-                  F.struct(F.col("turn"), F.col("role"), F.col("text")))).alias("_b_hist")))
-    recent = recent.withColumnsRenamed({"conv_id": "_r_conv", "epoch": "_r_epoch"})
-    per = per.join(recent, F.col("conv_id").eqNullSafe(F.col("_r_conv")) & (F.col("epoch") == F.col("_r_epoch")),
-                   "left")
-    keep_old = F.when(F.col("epoch") == F.col("_s_epoch"), F.coalesce(F.col("_s_hist"), F.array())).otherwise(
-        F.array())
-    new_hist = F.concat(keep_old.cast("array<struct<turn:long,role:string,text:string>>"),
-                        F.coalesce(F.col("_b_hist"), F.array().cast("array<struct<turn:long,role:string,text:string>>")))
-    new_hist = F.slice(new_hist, F.greatest(F.size(new_hist) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
-    touched = per.select("conv_id", F.col("epoch").cast("long"), "exited", F.col("last_turn").cast("long"),
-                         new_hist.alias("hist"), "seen")
-    done = touched.select(F.col("conv_id").alias("_t_conv"))
-    new_state = state.join(done, F.col("conv_id").eqNullSafe(F.col("_t_conv")), "left_anti").unionByName(touched)
-    return out, new_state
+         .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))).drop("_s_last"))
+    live = session_epochs(b.where(~F.coalesce("_s_exited", F.lit(False))))      # epochs of the batch begin with 0
+
+    def last_cap(x: Column) -> Column:
+        return F.slice(x, F.greatest(F.size(x) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
+
+    def held(epoch: Column) -> Column:
+        """The state's messages, where no ``/clear`` has come since."""
+        return F.when(epoch == 0, F.coalesce("_s_hist", F.array())).otherwise(F.array()).cast(HIST)
+
+    h = session_history(live, cap)
+    h = h.join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
+    h = h.withColumn("history", last_cap(F.concat(held(F.col("epoch")), F.col("history").cast(HIST))))
+    out = h.select("conv_id", "turn", F.size("history").cast("long").alias("n_history"),
+                   F.array_join(F.transform("history", lambda x: x["turn"].cast("string")), ",").alias("history_turns"))
+
+    # The state of every conversation of the batch.  Rows from the first ``/exit`` on are not in ``live``.
+    per = b.groupBy("conv_id").agg(
+        F.max("turn").alias("last_turn"), F.max("arrived").alias("seen"), F.count(F.lit(1)).alias("_n"),
+        F.first("_s_epoch", ignorenulls=True).alias("_s_epoch"), F.first("_s_exited", ignorenulls=True).alias("_s_exited"))
+    w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
+    message = F.struct("turn", "role", "text", "epoch")
+    recent = live.where(F.col("kind").isin("message", "response")).withColumn("_r", F.row_number().over(w)).where(
+        F.col("_r") <= cap).groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("_b_hist"))
+    lived = live.groupBy(F.col("conv_id").alias("_l_conv")).agg(F.max("epoch").alias("_e"), F.count(F.lit(1)).alias("_lived"))
+    per = per.join(lived, F.col("conv_id").eqNullSafe(F.col("_l_conv")), "left")
+    per = per.join(recent.withColumnRenamed("conv_id", "_r_conv"), F.col("conv_id").eqNullSafe(F.col("_r_conv")), "left")
+    per = per.join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
+    epoch = F.coalesce("_e", F.lit(0))
+    own = F.transform(F.filter(F.coalesce("_b_hist", F.array()), lambda x: x["epoch"] == epoch), lambda x: F.struct(
+        x["turn"].alias("turn"), x["role"].alias("role"), x["text"].alias("text"))).cast(HIST)
+    return out, per.select(
+        "conv_id", (F.coalesce("_s_epoch", F.lit(0)) + epoch).cast("long").alias("epoch"),
+        (F.coalesce("_s_exited", F.lit(False)) | (F.coalesce("_lived", F.lit(0)) < F.col("_n"))).alias("exited"),
+        F.col("last_turn").cast("long").alias("last_turn"), last_cap(F.concat(held(epoch), own)).alias("hist"), "seen")
 
 
 def _after(rows: DataFrame, state: DataFrame) -> DataFrame:
@@ -127,68 +167,93 @@ def _after(rows: DataFrame, state: DataFrame) -> DataFrame:
     return j.withColumn("_last", F.coalesce("last_turn", F.lit(-1))).drop("last_turn")
 
 
+class SessionTable:
+    """The tables of one stream under ``base``: arrivals, late turns, marks, state, output."""
+
+    def __init__(self, spark: SparkSession, base: str, cap: int = HISTORY_CAP, hold_ms: int = HOLD_MS,
+                 expire_ms: int = EXPIRE_MS, buckets: int = BUCKETS, max_deltas: int = MAX_DELTAS):
+        self.spark, self.base, self.cap, self.hold_ms, self.expire_ms = spark, base, cap, hold_ms, expire_ms
+        self.state = StateTable(spark, f"{base}/state", buckets, max_deltas)
+        #: per batch still of use: newest arrival and what was due, one row each
+        self.newest: dict[int, int] = {}
+        self.due: dict[int, int] = {}
+        if self.there("marks"):
+            for r in spark.read.schema("newest_ms long, due_ms long, b long").parquet(f"{base}/marks").collect():
+                self.newest[r.b], self.due[r.b] = r.newest_ms, r.due_ms
+
+    def there(self, name: str) -> bool:
+        fs, path = _fs(self.spark, f"{self.base}/{name}")
+        return fs.exists(path)
+
+    def on_batch(self, batch_df: DataFrame, batch: int) -> None:
+        spark = batch_df.sparkSession
+        arrivals = f"{self.base}/arrivals/b={batch}"
+        batch_df.withColumn("bucket", bucket_of(buckets=self.state.buckets)).write.mode("overwrite").parquet(arrivals)
+        mine = spark.read.schema(INPUT_SCHEMA + ", arrived timestamp, bucket int").parquet(arrivals)
+        newest, buckets = mine.agg(F.unix_millis(F.max("arrived")), F.collect_set("bucket")).first()   # at most all buckets
+        before = max((d for b, d in self.due.items() if b < batch), default=0)
+        state = self.state.read(buckets, batch, before - self.expire_ms)
+        _after(mine, state).where(F.col("turn").isNull() | (F.col("turn") <= F.col("_last"))).select("conv_id", "turn").write.mode(
+            "overwrite").parquet(f"{self.base}/late/b={batch}")
+        self.newest[batch] = newest or 0
+        due = max(before, self.newest[batch] - self.hold_ms)
+        self.release(batch, due, before)
+        spark.range(1).select(F.lit(self.newest[batch]).cast("bigint").alias("newest_ms"), F.lit(due).cast("bigint").alias(
+            "due_ms")).write.mode("overwrite").parquet(f"{self.base}/marks/b={batch}")
+        self.due[batch] = due
+        self._clean(batch, before)
+
+    def release(self, batch: int, due_ms: int, before_ms: int) -> None:
+        """Releases what arrived by ``due_ms`` and the held turns before it."""
+        of = [b for b, newest in self.newest.items() if b <= batch and newest > before_ms]
+        if not of:
+            return
+        held = self.spark.read.schema(INPUT_SCHEMA + ", arrived timestamp, bucket int").parquet(
+            *[f"{self.base}/arrivals/b={b}" for b in of]).where(
+            F.col("turn").isNotNull() & (F.col("arrived") > F.timestamp_millis(F.lit(before_ms))))
+        is_due = F.col("arrived") <= F.timestamp_millis(F.lit(due_ms))
+        buckets = held.where(is_due).agg(F.collect_set("bucket")).first()[0]
+        if not buckets:
+            return
+        state = self.state.read(buckets, batch, before_ms - self.expire_ms)
+        held = _after(held.where(F.col("bucket").isin(buckets)), state).where(F.col("turn") > F.col("_last")).drop("_last")
+        upto = held.where(is_due).groupBy(F.col("conv_id").alias("_conv")).agg(F.max("turn").alias("_upto"))
+        ready = held.join(upto, F.col("conv_id").eqNullSafe(F.col("_conv"))).where(
+            F.col("turn") <= F.col("_upto")).drop("_conv", "_upto", "bucket")
+        out, touched = process_batch(ready, state, self.cap)
+        self.state.write(batch, touched, buckets, before_ms - self.expire_ms)
+        out.write.mode("overwrite").parquet(f"{self.base}/out/batch={batch}")
+
+    def _clean(self, batch: int, before_ms: int) -> None:
+        """Removes arrivals that neither this batch, were it replayed, nor a later one reads, and their marks."""
+        for b in [b for b, newest in self.newest.items() if newest <= before_ms and b < batch - 1]:
+            for name in ("arrivals", "marks"):
+                fs, path = _fs(self.spark, f"{self.base}/{name}/b={b}")
+                fs.delete(path, True)
+            del self.newest[b], self.due[b]
+
+
 def run_session_table_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
                              max_files_per_trigger: int = 256, landing: str | None = None,
-                             hold_ms: int = HOLD_MS, expire_ms: int = EXPIRE_MS, late: bool = False) -> DataFrame:
+                             hold_ms: int = HOLD_MS, expire_ms: int = EXPIRE_MS, late: bool = False,
+                             base: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Run W1 (native variant) over landed session turns with ``availableNow``; return the output rows.
 
     What is still held at the end of the input is released then.  ``late=True``
-    returns the late turns instead.
+    returns the late turns instead.  ``base``: where the tables lie (a new folder unless given).
     """
-    base = work_dir(spark, "stream_session_table", input_key(sf_dir), uuid.uuid4().hex[:8])
+    base = base or work_dir(spark, "stream_session_table", input_key(sf_dir), uuid.uuid4().hex[:8])
     if landing is None:
         landing = f"{base}/landing"
         fx.session_turns(spark, sf_dir).write.mode("overwrite").parquet(landing)
-    out_root, state_root, ckpt = f"{base}/out", f"{base}/state", f"{base}/ckpt"
-    arrivals, late_root, marks = f"{base}/arrivals", f"{base}/late", f"{base}/marks"
-    turn_schema = INPUT_SCHEMA + ", arrived timestamp, b long"
-    seen_batches = [-1]
-
-    def release(session: SparkSession, batch_id: int, due_ms: int, due_before_ms: int) -> None:
-        """Release what arrived by ``due_ms`` and the held turns before it."""
-        held = session.read.schema(turn_schema).parquet(arrivals).where(
-            (F.col("b") <= batch_id) & (F.col("arrived") > F.timestamp_millis(F.lit(due_before_ms)))).drop("b")
-        state = _read_state(session, state_root, batch_id)
-        held = _after(held, state).where(F.col("turn") > F.col("_last")).drop("_last")
-        due = held.where(F.col("arrived") <= F.timestamp_millis(F.lit(due_ms)))
-        if due.isEmpty():
-            return
-        upto = due.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("turn").alias("_upto"))
-        ready = held.join(upto, F.col("conv_id").eqNullSafe(F.col("_conv"))).where(
-            F.col("turn") <= F.col("_upto")).drop("_conv", "_upto")
-        out, new_state = process_batch(ready, state, cap)
-        live = new_state.where(F.col("seen") > F.timestamp_millis(F.lit(due_ms - expire_ms)))
-        live.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
-        out.write.mode("overwrite").parquet(f"{out_root}/batch={batch_id}")
-
-    def on_batch(batch_df: DataFrame, batch_id: int) -> None:
-        session = batch_df.sparkSession
-        seen_batches.append(batch_id)
-        batch_df.write.mode("overwrite").parquet(f"{arrivals}/b={batch_id}")
-        mine = session.read.schema(INPUT_SCHEMA + ", arrived timestamp").parquet(f"{arrivals}/b={batch_id}")
-        state = _read_state(session, state_root, batch_id)
-        _after(mine, state).where(F.col("turn") <= F.col("_last")).select("conv_id", "turn").write.mode(
-            "overwrite").parquet(f"{late_root}/b={batch_id}")
-        newest = mine.agg(F.unix_millis(F.max("arrived"))).first()[0]     # one scalar
-        before = 0
-        if batch_id > 0:
-            before = session.read.schema("due_ms long, b long").parquet(marks).where(
-                F.col("b") < batch_id).agg(F.max("due_ms")).first()[0]    # one scalar
-        due = max(before, (newest or 0) - hold_ms)
-        release(session, batch_id, due, before)
-        session.range(1).select(F.lit(due).cast("bigint").alias("due_ms")).write.mode("overwrite").parquet(
-            f"{marks}/b={batch_id}")
-
-    q = read_turns(spark, landing, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
-        "checkpointLocation", ckpt).trigger(availableNow=True).start()
+    tables = SessionTable(spark, base, cap, hold_ms, expire_ms, buckets)
+    q = read_turns(spark, landing, max_files_per_trigger, hold_ms).writeStream.foreachBatch(tables.on_batch).option(
+        "checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
     q.awaitTermination()
-    last = max(seen_batches)
-    if last >= 0:
-        before = spark.read.schema("due_ms long").parquet(marks).agg(F.max("due_ms")).first()[0]
-        release(spark, last + 1, 7_258_118_400_000, before)               # end of input: all is due
+    if tables.due:
+        tables.release(max(tables.due) + 1, 7_258_118_400_000, max(tables.due.values()))     # end of input: all is due
     if late:
-        return spark.read.schema("conv_id long, turn long").parquet(late_root).select("conv_id", "turn")
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(out_root)
-    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):   # no turn at all
+        return spark.read.schema("conv_id long, turn long").parquet(f"{base}/late").select("conv_id", "turn")
+    if not tables.there("out"):      # no turn at all
         return spark.createDataFrame([], OUTPUT_SCHEMA)
-    return spark.read.schema(OUTPUT_SCHEMA + ", batch long").parquet(out_root).drop("batch")
+    return spark.read.schema(OUTPUT_SCHEMA + ", batch long").parquet(f"{base}/out").drop("batch")
