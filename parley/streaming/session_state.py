@@ -3,9 +3,9 @@
 Turns arrive as files; ``groupBy(conv_id).transformWithState`` keeps typed state per conversation:
 
 * ``head`` (value): epoch, whether ``/exit`` was seen, the last turn released, the highest turn held, the newest
-  arrival, the turn numbers of the history, and counts of the other states;
+  arrival with its turns, the turn numbers of the history, and counts of the other states;
 * ``hist`` (list): the messages of the history, appended in place; cut to the last ``cap`` when ``2 * cap`` are there;
-* ``held`` (map): the turns that wait, under the time at which they are released;
+* ``held`` (map): the turns of earlier arrivals that wait, under the time at which they are released;
 * ``fronts`` (list): for turns that come out of order, the release time of the turns before them.
 
 A turn is held for ``hold`` after its arrival (its file's modification time,
@@ -41,7 +41,8 @@ from parley.sources import fixtures as fx
 OUTPUT_SCHEMA = ("conv_id long, turn long, n_history long, history_turns string, "
                  "history array<struct<turn:long,role:string,text:string>>, late boolean")
 HEAD_SCHEMA = ("epoch long, exited boolean, last_turn long, top long, top_due long, seen long, wake long, waiting long, "
-               "n_hist long, n_fronts long, recent array<long>")
+               "n_hist long, n_fronts long, recent array<long>, new_due long, "
+               "new array<struct<turn:long,role:string,text:string>>")
 MESSAGE_SCHEMA = "turn long, role string, text string"
 MESSAGE_FIELDS = "turn:long,role:string,text:string"
 INPUT_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -65,12 +66,13 @@ def _kind(role: str | None, text: str | None) -> str:
 class _Head:
     """The head as attributes; ``None`` starts one."""
 
-    FIELDS = ("epoch", "exited", "last_turn", "top", "top_due", "seen", "wake", "waiting", "n_hist", "n_fronts", "recent")
+    FIELDS = ("epoch", "exited", "last_turn", "top", "top_due", "seen", "wake", "waiting", "n_hist", "n_fronts", "recent",
+              "new_due", "new")
 
     def __init__(self, value: tuple | None):
-        for name, x in zip(self.FIELDS, value or (0, False, -1, -1, -1, -1, -1, 0, 0, 0, [])):
+        for name, x in zip(self.FIELDS, value or (0, False, -1, -1, -1, -1, -1, 0, 0, 0, [], -1, [])):
             setattr(self, name, x)
-        self.recent = list(self.recent or [])
+        self.recent, self.new = list(self.recent or []), [tuple(m) for m in self.new or []]
 
     def values(self) -> tuple:
         return tuple(getattr(self, name) for name in self.FIELDS)
@@ -118,12 +120,20 @@ class HistoryState(StatefulProcessor):
                     known = [tuple(f) for f in self.fronts.get()] if head.n_fronts else []
                 due = min([due, head.top_due, *(d for t, d in [*known, *fronts] if t >= turn)])
             fresh.setdefault(due, []).append((turn, role, text))
-        for due, turns in fresh.items():
+        for due, turns in sorted(fresh.items()):
+            if due == head.new_due:
+                head.new += turns
+                continue
             there = self.held.getValue((due,)) if due <= seen_before else None
             if there is None:
                 self.handle.registerTimer(due)
                 head.waiting += 1
-            self.held.updateValue((due,), ([*map(tuple, there[0]), *turns] if there else turns,))
+            if due > head.new_due:
+                if head.new:
+                    self.held.updateValue((head.new_due,), (head.new,))
+                head.new_due, head.new = due, turns
+            else:
+                self.held.updateValue((due,), ([*map(tuple, there[0]), *turns] if there else turns,))
         if fronts:
             self._add_fronts(head, fronts, known)
         if head.wake < 0:
@@ -149,11 +159,15 @@ class HistoryState(StatefulProcessor):
         if value is None:
             return iter(())
         head = _Head(value)
-        due = self.held.getValue((now,)) if head.waiting else None
+        due = None
+        if now == head.new_due and head.new:
+            due, head.new = head.new, []
+        elif head.waiting and (entry := self.held.getValue((now,))) is not None:
+            due = [tuple(m) for m in entry[0]]
+            self.held.removeKey((now,))
         out = []
         if due is not None:
-            out = self._release(key[0], head, sorted(map(tuple, due[0]), key=lambda m: m[0]))   # equal turns as they came
-            self.held.removeKey((now,))
+            out = self._release(key[0], head, sorted(due, key=lambda m: m[0]))      # equal turns as they came
             head.waiting -= 1
         if now == head.wake:
             if not head.waiting and head.seen + self.expire_ms <= now:
@@ -252,9 +266,9 @@ def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
 
     ``max_files_per_trigger`` bounds each micro-batch (and so the rows one key
     can bring to one call); ``availableNow`` still drains all
-    files, in several batches.  A second run then reads an end row, landed last,
-    which releases what is held: the landing folder is complete from there on.  The session's own settings
-    are put back.  ``late=True`` returns the late turns instead of the histories; ``texts=True`` adds the
+    files, in several batches.  An end row, landed last, releases what is held: the landing folder is complete from
+    there on.  Where not all files fit one batch it is read by a second run, so that it cannot pass a file of its own time.
+    The session's own settings are put back.  ``late=True`` returns the late turns instead of the histories; ``texts=True`` adds the
     histories' messages (``history``).
     """
     base = work_dir(spark, "stream_session", input_key(sf_dir), uuid.uuid4().hex[:8])
@@ -268,14 +282,20 @@ def run_session_stream(spark: SparkSession, sf_dir: str, cap: int = HISTORY_CAP,
         (stream.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
          .trigger(availableNow=True).start(out).awaitTermination())
 
+    def end():
+        spark.range(1).selectExpr("cast(null as bigint) as conv_id", "cast(null as bigint) as turn",
+                                  f"'{END_ROLE}' as role", "cast(null as string) as text").write.mode(
+            "append").parquet(landing)
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/*.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     try:
         for k, v in STATE_CONF.items():
             spark.conf.set(k, v)
-        drain()
-        spark.range(1).selectExpr("cast(null as bigint) as conv_id", "cast(null as bigint) as turn",
-                                  f"'{END_ROLE}' as role", "cast(null as string) as text").write.mode(
-            "append").parquet(landing)
+        if len(files) >= max_files_per_trigger:
+            drain()
+        end()
         drain()
     finally:
         for k, v in before.items():
