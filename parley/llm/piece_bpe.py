@@ -27,7 +27,9 @@ import re
 from collections.abc import Iterator
 from itertools import chain, groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,7 @@ from parley.llm.common import text_of
 
 BLANK = "▁"  # how the file writes a blank
 CHUNK_CHARS = 2_000_000
-TABLE_CHARS = 16_000_000  # a worker forgets its units when they hold so many characters
+TABLE_CHARS = 8_000_000  # characters of the units that a worker remembers, twice
 PAIRS = 1_000_000  # and its tested neighbours at this number
 
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -79,6 +81,12 @@ class PieceBpe:
             raise ValueError(f"{path}: a piece has a blank after another character")
         self.of_byte = {b: n for n, b in self.byte.items()}
         self.blank_first = {n for p, n in self.id.items() if p.startswith(BLANK)}
+        raw = [bytes([self.byte[n]]) if t is None else t.encode() for n, t in enumerate(self.shown)]
+        self.shown_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.shown_size = np.array([len(r) for r in raw])
+        self.shown_at = np.cumsum(self.shown_size) - self.shown_size
+        self.blank_ids = np.isin(np.arange(len(raw)), list(self.blank_first))
+        self.odd_ids = ~np.isin(np.arange(len(raw)), [*self.byte, *self.id.values()])
         # a piece that its own characters do not merge to is never a result
         made = [p for p in self.id if self.merge(p) == [p]]
         self.automaton = ahocorasick.Automaton()
@@ -90,6 +98,8 @@ class PieceBpe:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.units: dict[str, tuple[int, ...]] = {}
         self.runs: dict[str, tuple[int, ...]] = {}
+        self.units_before: dict[str, tuple[int, ...]] = {}
+        self.runs_before: dict[str, tuple[int, ...]] = {}
         self.together = {pair for p in self.id for pair in zip(p, p[1:])}
         self.held = 0
 
@@ -161,21 +171,40 @@ class PieceBpe:
 
     def ids_of_unit(self, text: str) -> tuple[int, ...]:
         """Ids of a unit: two neighbours that no piece holds side by side never merge, so it is cut there."""
-        borders = [n for n, together in enumerate(map(self.together.__contains__, zip(text, text[1:])), 1) if not together]
-        if not borders:
+        side_by_side = list(map(self.together.__contains__, zip(text, text[1:])))
+        if False not in side_by_side:
             return self.ids_of(self.search(text))
+        side_by_side.append(False)
         out: list[int] = []
-        start = 0
-        for end in (*borders, len(text)):
+        start, size = 0, len(text)
+        while start < size:
+            end = side_by_side.index(False, start) + 1
             run = text[start:end]
             known = self.runs.get(run)
             if known is None:
-                known = self.runs[run] = self.ids_of(self.search(run))
-                self.held += len(run) + 8
+                known = self.runs_before.get(run)
+                if known is None:
+                    known = self.ids_of(self.search(run))
+                self.runs[run] = known
+                self.held += end - start + 8
             out += known
             start = end
         return tuple(out)
 
+    def known(self, units: list[str]) -> list[tuple[int, ...]]:
+        """Ids of distinct units; what was not met in the last ``TABLE_CHARS`` characters or two is forgotten."""
+        if self.held > TABLE_CHARS:
+            self.units_before, self.units = self.units, {}
+            self.runs_before, self.runs = self.runs, {}
+            self.held = 0
+        table, before = self.units, self.units_before
+        for unit in units:
+            if unit not in table:
+                ids = before.get(unit)
+                table[unit] = self.ids_of_unit(BLANK + unit.replace(" ", BLANK)) if ids is None else ids
+                self.held += len(unit) + 8
+        return list(map(table.__getitem__, units))
+
     def split(self, text: str) -> list[str]:
         """The units of a text, each without the blank that begins it."""
         if not text:
@@ -187,17 +216,51 @@ class PieceBpe:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        split = [self.split(t) for t in texts]
-        if self.held > TABLE_CHARS:
-            self.units.clear()
-            self.runs.clear()
-            self.held = 0
-        units = self.units
-        for unit in set().union(*split):
-            if unit not in units:
-                units[unit] = self.ids_of_unit(BLANK + unit.replace(" ", BLANK))
-                self.held += len(unit) + 8
-        return [list(chain.from_iterable(map(units.__getitem__, own))) for own in split]
+        ids, borders = self.encode_column(pa.array(texts, pa.utf8()))
+        return [own.tolist() for own in np.split(ids, borders[1:-1])] if len(texts) else []
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column without nulls in one array, and the n + 1 borders of the texts."""
+        texts = pc.replace_substring(texts, BLANK, " ")
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.equal(texts, "")))
+        plain = np.flatnonzero(~odd.to_numpy(zero_copy_only=False))
+        other = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        # every text's units: by Arrow where single blanks part them, else by ``split``
+        parted = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        own = [self.split(t) for t in texts.take(pa.array(other)).to_pylist()]
+        units = pa.concat_arrays([parted.flatten(), pa.array(list(chain.from_iterable(own)), pa.utf8())]).dictionary_encode()
+        size = np.zeros(len(texts), np.int64)
+        size[plain], size[other] = pc.list_value_length(parted).to_numpy(), [len(u) for u in own]
+        at = np.zeros(len(texts), np.int64)
+        order = np.r_[plain, other]
+        at[order] = np.cumsum(size[order]) - size[order]
+        code = units.indices.to_numpy()[_spread(at, size)]
+        ids = self.known(units.dictionary.to_pylist())
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
+        per = length[code]
+        borders = np.r_[0, np.cumsum(per)][np.r_[0, np.cumsum(size)]]
+        return flat[_spread((np.cumsum(length) - length)[code], per)], borders
+
+    def decode_column(self, ids: np.ndarray, borders: np.ndarray) -> pa.Array:
+        """The text of each range of ids."""
+        if self.odd_ids[ids].any():      # pieces without a text of their own
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(borders, borders[1:])], pa.utf8())
+        size = self.shown_size[ids]
+        raw = self.shown_bytes[_spread(self.shown_at[ids], size)]
+        ends = np.r_[0, np.cumsum(size)][borders]
+        first = ids[borders[:-1][borders[:-1] < borders[1:]]]
+        drop = ends[:-1][borders[:-1] < borders[1:]][self.blank_ids[first]]
+        keep = np.ones(len(raw), bool)
+        keep[drop] = False
+        ends = ends - np.searchsorted(drop, ends)
+        raw = raw[keep]
+        got = pa.Array.from_buffers(pa.utf8(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+        try:
+            got.validate(full=True)
+        except pa.ArrowInvalid:      # bytes that are no UTF-8
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(borders, borders[1:])], pa.utf8())
+        return got
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids."""
@@ -214,6 +277,12 @@ class PieceBpe:
         return text[1:] if first in self.blank_first else text
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``start[i] .. start[i] + size[i] - 1`` of all ``i``, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 _LOADED: dict[str, PieceBpe] = {}
 
 
@@ -223,16 +292,14 @@ def load(path: str) -> PieceBpe:
     return _LOADED[path]
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``CHUNK_CHARS`` characters."""
-    at = chars = 0
-    for n, t in enumerate(texts):
-        chars += len(t)
-        if chars >= CHUNK_CHARS:
-            yield at, n + 1
-            at, chars = n + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+    ends = np.cumsum(pc.utf8_length(texts).to_numpy())
+    lo = 0
+    while lo < len(texts):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK_CHARS)) + 1
+        yield lo, min(hi, len(texts))
+        lo = hi
 
 
 def encode_table(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,11 +314,10 @@ def encode_table(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in _parts(texts):
-                ids = bpe.encode(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([bpe.decode(i) for i in ids], pa.utf8())], ["id", "ids", "decoded"])
+            for lo, hi in _parts(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                ids, borders = bpe.encode_column(part.column(1))
+                lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, bpe.decode_column(ids, borders)], ["id", "ids", "decoded"])
 
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
