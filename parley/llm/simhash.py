@@ -136,18 +136,18 @@ def posting_links(key: np.ndarray, fp: np.ndarray, bits: int = MAX_BITS) -> tupl
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's postings → spanning forest edges over nodes."""
+    """One task's postings → spanning forest edges over fingerprints."""
     parts = list(batches)
     if not parts:
         return
     t = pa.Table.from_batches(parts)
-    key, fp, node = (t.column(c).to_numpy() for c in ("key", "fp", "node"))
+    key, fp = (t.column(c).to_numpy() for c in ("key", "fp"))
     if not len(key):
         return
     order = np.argsort(key, kind="stable")
-    key, fp, node = key[order], fp[order].view(np.uint64), node[order]
-    a, b = posting_links(key, fp)
-    nodes, idx = np.unique(node, return_inverse=True)
+    key, fp = key[order], fp[order]
+    a, b = posting_links(key, fp.view(np.uint64))
+    nodes, idx = np.unique(fp, return_inverse=True)
     root = _forest(idx[a], idx[b], len(nodes))
     own = np.flatnonzero(root != np.arange(len(nodes)))
     yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[root[own]])], ["u", "v"])
@@ -164,16 +164,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``(doc_id, fingerprint, component_id)``, one row per input row."""
     spark = docs.sparkSession
     fps = stash(fingerprints(docs, id_col, text_col), "simhash-fps")
-    classes = stash(fps.groupBy("fp").agg(F.min("doc").alias("node")), "simhash-classes")
-    posts = classes.where("node is not null").select("fp", "node", F.explode(F.array(*posting_keys())).alias("key"))
+    # the index is over fingerprints, so texts without a doc_id link others like any text
+    classes = stash(fps.groupBy("fp").agg(F.min("doc").alias("low")), "simhash-classes")
+    posts = classes.select("fp", F.explode(F.array(*posting_keys())).alias("key"))
     edges = posts.repartition("key").mapInArrow(_links, "u long, v long")
     roots = star_components(edges)
     release(spark)
-    labels = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+    own = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    lowest = own.groupBy("root").agg(F.min("low").alias("component"))
+    labels = own.join(lowest, "root").select("fp", "component")
     # one row per distinct fingerprint; AQE splits the rows of a hot fingerprint
     return (fps.join(stash(labels, "simhash-labels"), "fp", "left")
             .select(F.col("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.col("root").alias("component_id")))
+                    F.col("component").alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
