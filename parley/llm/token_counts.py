@@ -22,6 +22,7 @@ add up to the tokens of the whole text under every rule.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,6 +34,9 @@ RULES = ("majority", "first")
 #: The pattern that cuts a text into words for the byte-level vocabularies (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space of the pattern in runs that are encoded by ``encode`` itself.
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{5000,}")
+
 _LOADED: dict = {}
 
 
@@ -50,6 +54,25 @@ def encoder(path: str):
     return _LOADED[path]
 
 
+def encode(enc, text: str) -> np.ndarray:
+    """The ids of a text, long white space included.
+
+    The pattern's white space looks ahead, which takes stack for every character.  By the pattern a run of white space
+    is one word, without its last character where a text goes on, so a long run is encoded as that
+    word, and what lies around it on its own: the words are the same.
+    """
+    parts, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        if run.start() > at:
+            parts.append(enc.encode_to_numpy(text[at: run.start()], disallowed_special=()))
+        parts.append(np.array(enc._encode_single_piece(text[run.start(): end]), np.int64))
+        at = end
+    if at < len(text):
+        parts.append(enc.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+
+
 def token_spans(raw: bytes, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Character spans ``[start, end)`` of the tokens, and the character index of each byte."""
     char = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) - 1
@@ -91,7 +114,7 @@ def section_counts(fields: Sequence[str], path: str, sections: str = "line", rul
     count = cross = np.zeros(n, np.int64)
     raw = text.encode("utf-8", "replace")
     if raw:
-        ids = enc.encode_to_numpy(raw.decode("utf-8"), disallowed_special=()).astype(np.int64)
+        ids = encode(enc, raw.decode("utf-8"))
         starts, ends, _ = token_spans(raw, size, ids)
         owner, over = attribute(starts, ends, bounds, rule)
         count = np.bincount(owner, minlength=n)
