@@ -17,7 +17,8 @@ is one pass over all texts, so what a task receives has a fixed bound whatever
 the benchmark's size.  For several passes the rows are written once with a key of
 their own, and the passes' items are put together by that key, row by row.
 
-Defined results: null and empty texts and items match nothing; items below
+Defined results: null and empty texts and items match nothing; item ids are of any type, and an item without one
+counts like any other (a null in ``items``, once and last); items below
 ``LEAST`` tokens must be equal throughout; every row has a verdict of its own,
 also with a null or repeated doc_id; extra columns are not read.
 """
@@ -31,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from parley.llm.common import numbered, stash, text_of, without
 
@@ -122,7 +125,7 @@ def item_masks(n: int) -> list[tuple[int, tuple[int, ...]]]:
 class Seeds:
     """The seeds of a block of items: per mask the sorted hashes, and the (item, start) of each."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list, texts: list[str]):
         self.ids = ids
         tok, own = tokens(texts)
         self.tok = tok
@@ -196,7 +199,12 @@ def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def _pass(docs: DataFrame, ids: list[int], texts: list[str], kind: str) -> DataFrame:
+def _in_order(ids: set) -> list:
+    """Item ids, null last."""
+    return sorted(ids - {None}) + [None] * (None in ids)
+
+
+def _pass(docs: DataFrame, ids: list, texts: list[str], kind: str, item: T.DataType) -> DataFrame:
     """One pass over ``docs(id, text)`` with one block of items."""
     shared = docs.sparkSession.sparkContext.broadcast((ids, texts))  # at most BLOCK_BYTES of text
 
@@ -206,26 +214,25 @@ def _pass(docs: DataFrame, ids: list[int], texts: list[str], kind: str) -> DataF
             own = b.column(1).to_pylist()
             for lo, hi in _pieces(own):
                 found = seeds.matches(own[lo:hi])
-                items = [sorted({seeds.ids[i] for i in found.get(n, ())}) for n in range(hi - lo)]
+                items = [_in_order({seeds.ids[i] for i in found.get(n, ())}) for n in range(hi - lo)]
                 best = [max(found[n].values()) if n in found else 0.0 for n in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(items, pa.list_(pa.int64())), pa.array(best, pa.float64())],
+                    [b.column(0).slice(lo, hi - lo), pa.array(items, pa.list_(to_arrow_type(item))), pa.array(best, pa.float64())],
                     ["doc_id", "items", "best"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, items array<long>, best double")
+    return docs.mapInArrow(run, f"doc_id {kind}, items array<{item.simpleString()}>, best double")
 
 
 def _blocks(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, int]:
-    """Items ``(i, t)`` and their number of blocks."""
-    bench = benchmark.select(F.col(item_col).cast("long").alias("i"), text_of(item_text_col).alias("t")).where(
-        "i is not null and t <> ''")
+    """Items ``(i, t)`` and their number of blocks; ids of any type, null ones too."""
+    bench = benchmark.select(F.col(item_col).alias("i"), text_of(item_text_col).alias("t")).where("t <> ''")
     total = bench.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     return bench, max(1, -(-2 * total // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
 
 
-def _block(bench: DataFrame, k: int, n: int) -> tuple[list[int], list[str]]:
+def _block(bench: DataFrame, k: int, n: int) -> tuple[list, list[str]]:
     own = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else bench
-    got = sorted((r["i"], r["t"]) for r in own.collect())  # one block
+    got = sorted(((r["i"], r["t"]) for r in own.collect()), key=lambda r: (str(r[0]), r[1]))  # one block
     return [g[0] for g in got], [g[1] for g in got]
 
 
@@ -233,14 +240,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, contaminated, n_items, items, best_share)``, one row per input row; ``items`` are item ids."""
     bench, n = _blocks(benchmark, item_col, item_text_col)
-    kind = dict(docs.dtypes)[id_col]
+    kind, item = dict(docs.dtypes)[id_col], bench.schema["i"].dataType
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     if n > 1:
         rows, _ = numbered(rows)
     passes = []
     for k in range(n):
         ids, texts = _block(bench, k, n)
-        passes.append(_pass(rows.select("_row", "text"), ids, texts, "long") if n > 1 else _pass(rows, ids, texts, kind))
+        passes.append(_pass(rows.select("_row", "text"), ids, texts, "long", item) if n > 1
+                      else _pass(rows, ids, texts, kind, item))
     if n == 1:
         out = passes[0]
     else:
@@ -250,7 +258,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = stash(found, "decontaminate").groupBy(F.col("doc_id").alias("_row")).agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("best").alias("best"))
         out = rows.select("_row", "doc_id").join(found, "_row", "left")
-        out = out.select("doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"),
+        out = out.select("doc_id", F.coalesce("items", F.array().cast(f"array<{item.simpleString()}>")).alias("items"),
                          F.coalesce("best", F.lit(0.0)).alias("best"))
     return out.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
                       "items", F.col("best").alias("best_share"))
