@@ -55,4 +55,47 @@ left join rp on rp.conv_id is not distinct from m.conv_id and rp.turn = m.turn
 left join rt on rt.conv_id is not distinct from m.conv_id and rt.turn = m.turn
 """
 
-ORACLE: dict[str, str] = {"op6_exact_dedup": EXACT, "op9_quotations": QUOTES}
+FIM = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+         sha256('7:' || coalesce(doc_id::varchar, '')) as d from documents
+), h as (
+  select *, len(u) as n, ('0x' || substr(d, 1, 8))::bigint as h1, ('0x' || substr(d, 9, 8))::bigint as h2,
+         ('0x' || substr(d, 17, 8))::bigint as h3, ('0x' || substr(d, 25, 8))::bigint as h4 from t
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100
+              then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form from h
+), p as (
+  select *, array_to_string(u[1 : a], '') as prefix, array_to_string(u[a + 1 : b], '') as middle,
+         array_to_string(u[b + 1 : n], '') as suffix from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(text) as restored_sha256
+from p
+"""
+
+HARD_NEGATIVES = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), p as (
+  select anchor_id, id, score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, p.id as positive_id,
+       row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id)::integer as rank,
+       s.id as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+qualify rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op6_exact_dedup": EXACT, "op9_quotations": QUOTES, "op11_fim": FIM,
+                          "op13_hard_negatives": HARD_NEGATIVES}

@@ -109,6 +109,14 @@ def test_simhash(spark, docs_of, real_docs):
     assert simhash.simhash_components(docs_of([])).count() == 0
 
 
+def test_texts_without_id_link_others(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs)
+    rows = [(1, 0), (None, 3), (3, 15), (9, 0x7F00FF0000000000), (None, 0x00FF00FF00FF00FF), (7, -1), (8, -1), (None, -2)]
+    got = simhash.simhash_components(spark.createDataFrame(rows, "doc long, fp long")).collect()
+    assert sorted(str((r.doc_id, r.component_id)) for r in got) == sorted(map(str, [
+        (1, 1), (None, 1), (3, 1), (9, 9), (None, None), (7, 7), (8, 7), (None, 7)]))
+
+
 def test_postings_find_every_link_also_in_wide_ones(monkeypatch):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)

@@ -212,6 +212,49 @@ def test_extract_keeps_text_beside_the_longest_container_and_both_templates(spar
     assert got[6] == body.strip()
 
 
+WORDS = "The text of the page goes on for a while, and then on. "
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content no-sidebar'>%s</div>", "<div class='post ad-free'>%s</div>", "<div class='post category-social tag-search'>%s</div>",
+    "<article><section class='related-work'>%s</section></article>", "<article>%s</article>", "<div class='search-results-page search'>%s</div>",
+    "<div id='noticeBoard' class='hasSidebar'>%s</div>"])
+def test_a_word_in_a_class_does_not_delete_the_article(page):
+    body = f"<p>{WORDS * 3}</p><p class='share-price'>12 dollars</p><p>{WORDS}</p>"
+    full = ("<html><body><nav>Menu</nav>" + page % body + "<div class='share-buttons'>Tell all</div><div class='user-comments'><p>First!</p></div>"
+            "<div class='cookieNotice'>OK?</div><ul class='related-work-list'><li><a href=x>One link and another</a></li></ul></body></html>")
+    assert [b[2] for b in html_extract.blocks(full)] == [(WORDS * 3).strip(), "12 dollars", WORDS.strip()]
+
+
+def test_a_long_comment_list_goes_and_a_page_of_notices_stays():
+    talk = "<section id='comments'>" + f"<p>{WORDS * 2}</p>" * 3 + "</section>"
+    assert [b[2] for b in html_extract.blocks(f"<body><article><p>{WORDS * 3}</p></article>{talk}</body>")] == [(WORDS * 3).strip()]
+    only = f"<body><div class=notices><p>{WORDS * 9}</p><div class=ad>Buy</div></div><div>x</div></body>"
+    assert [b[2] for b in html_extract.blocks(only)] == [(WORDS * 9).strip(), "x"]
+
+
+@pytest.mark.parametrize("templates", [2, 30])
+def test_hosts_with_many_templates_lose_no_paragraph(spark, templates):
+    """Every page's container holds all its paragraphs, whatever container other pages of the host have."""
+    rows, want = [], {}
+    for n in range(templates * 2):
+        parts = [f"Page {n}, paragraph {k}. {WORDS}" for k in range(1 + n % 5)]
+        body = "".join(f"<p>{p}</p>" for p in parts)
+        rows.append((n, "http://a/x", f"<html><body><nav>Menu</nav><div class=t{'abcdefghij'[n % templates % 10] * (1 + n % templates // 10)}>{body}</div>"
+                                      "<div class=lead><p>Read on.</p></div><footer>End</footer></body></html>"))
+        want[n] = parts
+    lead = "<html><body><div class=lead><p>%s</p></div>%s</body></html>"
+    rows += [(1000 + n, "http://b/x", lead % (f"Lead {n}. {WORDS}", "")) for n in range(20)]
+    story = [f"Paragraph {k}. {WORDS}" for k in range(9)]
+    rows.append((2000, "http://b/y", lead % (WORDS * 2, "<div class=story>" + "".join(f"<p>{p}</p>" for p in story) + "</div>")))
+    got = {r.page_id: r.text.split("\n") for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    for n, parts in want.items():
+        assert got[n][: len(parts)] == [p.strip() for p in parts] and set(got[n][len(parts):]) <= {"Read on."}
+    assert got[2000] == [(WORDS * 2).strip(), *[p.strip() for p in story]]      # all ten paragraphs
+    assert all(got[1000 + n] == [f"Lead {n}. {WORDS}".strip()] for n in range(20))
+
+
 def test_extract_given_pages_keeps_the_article(spark):
     got = queries.op5_html_extract(spark, "/root/testdata/sf0.001").collect()
     import html
@@ -317,3 +360,34 @@ def test_token_counts_add_up_and_follow_the_rule(spark, docs_of, real_docs):
                                        fields=("lang", "text"), sections="field").collect()
     assert sorted((r.field, r.char_start, r.char_end) for r in fields) == [("lang", 0, 2), ("text", 2, 5)]
     assert token_counts.token_counts(docs_of([]), path).count() == 0
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \n\t", "\u3000 ", "\r\n"])
+def test_token_counts_of_long_white_space(spark, space):
+    path = queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    enc, _ = token_counts.encoder(path)
+    rnd = random.Random(1)
+    for n in (4990, 5000, 5003, 20_000):      # short enough for the encoder itself
+        run = (space * n)[:n]
+        for text in (run, run + "word", "word" + run, f"a{run}b{run}", f"a {run} 'll{run[:7]}x", f"{run}1{run}.", f"é{run}日本{run}\n"):
+            assert token_counts.encode(enc, text).tolist() == enc.encode(text, disallowed_special=())
+    mixed = "".join(rnd.choice(" \n\t\u2003") for _ in range(20_000))
+    assert token_counts.encode(enc, f"x{mixed}y").tolist() == enc.encode(f"x{mixed}y", disallowed_special=())
+    long = (space * 3_000_000)[:3_000_000]
+    ids = token_counts.encode(enc, f"a{long}b")
+    assert enc.decode(ids.tolist()) == f"a{long}b"
+    rows = token_counts.section_counts((long,), path)
+    assert sum(r[4] for r in rows) == len(token_counts.encode(enc, long))
+
+
+@pytest.mark.parametrize("block", [8 << 20, 200])
+def test_contamination_of_any_item_ids(spark, docs_of, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    words = " ".join(f"w{n}" for n in range(20))
+    docs = docs_of([(1, f"before {words} after"), (2, "clean text of nothing at all"), (3, "other " + " ".join(f"v{n}" for n in range(20)))])
+    items = [("gsm-1", words), (None, words), (None, " ".join(f"v{n}" for n in range(20))), ("gsm-1", "unseen words are in here too")]
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, spark.createDataFrame(items, "item_id string, text string")).collect()}
+    assert got[1].contaminated and got[1].n_items == 2 and got[1]["items"] == ["gsm-1", None]
+    assert not got[2].contaminated and got[3].contaminated and got[3]["items"] == [None]
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(items, "item_id string, text string"))
+    assert [r.doc_id for r in kept.collect()] == [2]
