@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.operators.chat_session import HISTORY_CAP, session_epochs, session_history
+from parley.operators.segments import SLICE_ROWS
 from parley.session import input_key, work_dir
 from parley.sources import fixtures as fx
 from parley.streaming.session_state import EXPIRE_MS, HOLD_MS, INPUT_SCHEMA, read_turns
@@ -38,7 +39,7 @@ from parley.streaming.session_state import EXPIRE_MS, HOLD_MS, INPUT_SCHEMA, rea
 HIST = "array<struct<turn:long,role:string,text:string>>"
 STATE_SCHEMA = f"conv_id long, epoch long, exited boolean, last_turn long, hist {HIST}, seen timestamp"
 OUTPUT_SCHEMA = "conv_id long, turn long, n_history long, history_turns string"
-BUCKETS = 64       # fixed for the life of a state table; a batch lists at most as many folders times MAX_DELTAS
+BUCKETS = 32       # fixed for the life of a state table; a batch lists at most as many folders times MAX_DELTAS
 MAX_DELTAS = 8
 
 
@@ -114,8 +115,11 @@ class StateTable:
                 fs.delete(path, True)
 
 
-def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch: returns (output rows, state rows of the touched conversations)."""
+def process_batch(batch: DataFrame, state: DataFrame, cap: int, large: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch: returns (output rows, state rows of the touched conversations).
+
+    ``large``: whether a conversation can have more rows here than a slice takes; else it is not asked for any.
+    """
     s = state.select(F.col("conv_id").alias("_s_conv"), F.col("epoch").alias("_s_epoch"), F.col("exited").alias("_s_exited"),
                      F.col("last_turn").alias("_s_last"))
     hists = state.select(F.col("conv_id").alias("_h_conv"), F.col("hist").alias("_s_hist"))
@@ -124,7 +128,7 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
         "conv_id", "turn", "_f.arrived", "_f.role", "_f.text")
     b = (once.join(s, F.col("conv_id").eqNullSafe(F.col("_s_conv")), "left").drop("_s_conv")
          .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))).drop("_s_last"))
-    live = session_epochs(b.where(~F.coalesce("_s_exited", F.lit(False))))      # epochs of the batch begin with 0
+    live = session_epochs(b.where(~F.coalesce("_s_exited", F.lit(False))), skew_safe=large)   # epochs of the batch begin with 0
 
     def last_cap(x: Column) -> Column:
         return F.slice(x, F.greatest(F.size(x) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
@@ -133,7 +137,7 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int) -> tuple[DataFra
         """The state's messages, where no ``/clear`` has come since."""
         return F.when(epoch == 0, F.coalesce("_s_hist", F.array())).otherwise(F.array()).cast(HIST)
 
-    h = session_history(live, cap)
+    h = session_history(live, cap, skew_safe=large)
     h = h.join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
     h = h.withColumn("history", last_cap(F.concat(held(F.col("epoch")), F.col("history").cast(HIST))))
     out = h.select("conv_id", "turn", F.size("history").cast("long").alias("n_history"),
@@ -212,7 +216,7 @@ class SessionTable:
             *[f"{self.base}/arrivals/b={b}" for b in of]).where(
             F.col("turn").isNotNull() & (F.col("arrived") > F.timestamp_millis(F.lit(before_ms))))
         is_due = F.col("arrived") <= F.timestamp_millis(F.lit(due_ms))
-        buckets = held.where(is_due).agg(F.collect_set("bucket")).first()[0]
+        buckets, n = held.agg(F.collect_set(F.when(is_due, F.col("bucket"))), F.count(F.lit(1))).first()
         if not buckets:
             return
         state = self.state.read(buckets, batch, before_ms - self.expire_ms)
@@ -220,7 +224,7 @@ class SessionTable:
         upto = held.where(is_due).groupBy(F.col("conv_id").alias("_conv")).agg(F.max("turn").alias("_upto"))
         ready = held.join(upto, F.col("conv_id").eqNullSafe(F.col("_conv"))).where(
             F.col("turn") <= F.col("_upto")).drop("_conv", "_upto", "bucket")
-        out, touched = process_batch(ready, state, self.cap)
+        out, touched = process_batch(ready, state, self.cap, large=n > SLICE_ROWS)
         self.state.write(batch, touched, buckets, before_ms - self.expire_ms)
         out.write.mode("overwrite").parquet(f"{self.base}/out/batch={batch}")
 
