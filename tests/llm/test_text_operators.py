@@ -391,3 +391,111 @@ def test_contamination_of_any_item_ids(spark, docs_of, monkeypatch, block):
     assert not got[2].contaminated and got[3].contaminated and got[3]["items"] == [None]
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(items, "item_id string, text string"))
     assert [r.doc_id for r in kept.collect()] == [2]
+
+
+def plain_attribution(fields, enc, sections, rule):
+    """Tokens of each section, one token and one character at a time."""
+    text = "\n".join(fields)
+    starts, at = [], 0
+    for f in fields:
+        starts.append((at, len(starts)))
+        at += len(f) + 1
+    bounds = [s for s, _ in starts]
+    if sections == "line":
+        bounds = sorted({*bounds, *[n + 1 for n, c in enumerate(text) if c == "\n" and n + 1 < len(text)]})
+    of_byte = [n for n, c in enumerate(text) for _ in c.encode()]
+    section = lambda char: max(n for n, b in enumerate(bounds) if b <= char)
+    counts, crossing, byte = [0] * len(bounds), [0] * len(bounds), 0
+    for token in enc.encode(text, disallowed_special=()):
+        size = len(enc.decode_single_token_bytes(token))
+        chars = sorted(set(of_byte[byte: byte + size]))
+        byte += size
+        own = [section(c) for c in chars]
+        to = own[0] if rule == "first" else max(sorted(set(own)), key=lambda s: (own.count(s), -s))
+        counts[to] += 1
+        crossing[to] += len(set(own)) > 1
+    return bounds, counts, crossing
+
+
+@pytest.mark.parametrize("sections", ["line", "field"])
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts_equal_plain_attribution(sections, rule):
+    path = queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    enc, _ = token_counts.encoder(path)
+    rnd = random.Random(7)
+    cases = [("a\n\n\n  b",), ("",), ("\n",), ("x\n",), ("", ""), ("one two", "", "\n\nthree"), ("é🎉\n日本\n\n\n", "語\n\n")]
+    cases += [tuple("".join(rnd.choice("ab \n\n\té日🎉.'ll") for _ in range(rnd.randint(0, 40))) for _ in range(rnd.randint(1, 3))) for _ in range(150)]
+    for fields in cases:
+        got = token_counts.section_counts(fields, path, sections, rule)
+        bounds, counts, crossing = plain_attribution(fields, enc, sections, rule)
+        assert [(r[2], r[4], r[5]) for r in got] == list(zip(bounds, counts, crossing)), fields
+
+
+def test_quotations_sql_with_quoted_lines(spark, tmp_path):
+    """The query's SQL on a table whose messages quote each other (the given conversations hold no quoted line)."""
+    rnd = random.Random(11)
+    rows = []
+    for conv in range(12):
+        said = []
+        for turn in range(8):
+            own = [f"line {rnd.randrange(30)} of {turn}", "", f"  more {rnd.randrange(9)} "][: rnd.randint(1, 3)]
+            quoted = []
+            for t in rnd.sample(range(turn), min(turn, rnd.randint(0, 2))):
+                quoted += ["On a day someone wrote:"] * rnd.randint(0, 1)
+                quoted += [f"{'>' * rnd.randint(1, 2)} {x.strip()}" for x in said[t][: rnd.randint(1, 3)]]
+            said.append(own)
+            rows.append((conv if conv else None, turn, rnd.choice(["user", "assistant"]), "\n".join([*quoted, *own])))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.toPandas().to_parquet(tmp_path / "conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT conv_id::bigint AS conv_id, turn, role, text FROM read_parquet('{tmp_path}/conversations.parquet')")
+    got = quotations.link_quotes(df)
+    want = con.sql(oracle.ORACLE["op9_quotations"])
+    order = sorted(want.columns)
+    key = lambda row: tuple(None if v is None or v != v else v for v in row)
+    rows_got = sorted((key(tuple(r[c] for c in order)) for r in got.collect()), key=repr)
+    rows_want = sorted((key(tuple(r[want.columns.index(c)] for c in order)) for r in want.fetchall()), key=repr)
+    assert rows_got == rows_want and sum(r[order.index("n_linked")] for r in rows_got) > 20
+
+
+def slow_model(texts, order=4):
+    """Interpolated modified Kneser-Ney by definition, over dictionaries: a function from a text to its perplexity."""
+    import math
+    from collections import Counter
+
+    def grams(text):
+        s = [quality.BREAK] * (order - 1) + quality.symbols([text])[0][1:].tolist()
+        return [tuple(s[n: n + order]) for n in range(len(s) - order + 1)]
+
+    counts = {order: Counter(g for t in texts for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut, total, mass = {}, {}, {}
+    for k, c in counts.items():
+        of = Counter(c.values())
+        cut[k] = quality.discounts(of[1], of[2], of[3], of[4])
+        total[k], mass[k] = Counter(), Counter()
+        for g, n in c.items():
+            total[k][g[:-1]] += n
+            mass[k][g[:-1]] += cut[k][min(n, 3) - 1]
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / 64
+        h = g[:-1]
+        if not total[k][h]:
+            return p(g[1:])
+        n = counts[k][g]
+        return (max(n - cut[k][min(n, 3) - 1], 0) if n else 0) / total[k][h] + mass[k][h] / total[k][h] * p(g[1:])
+
+    return lambda text: math.exp(sum(-math.log(max(p(g), 1e-12)) for g in grams(text)) / len(grams(text)))
+
+
+def test_quality_perplexity_against_the_definition(spark, docs_of, real_docs):
+    rows = [(d, (t or "")[:400], lang) for d, t, lang in real_docs[:25] if t]
+    others = [(1000, "zzz qqq zzz"), (1001, "The The The"), (1002, "Да нет"), (1003, "x"), (1004, "12 34!?\n\n  A")]
+    perplexity = slow_model([t for _, t, _ in rows])
+    got = {r.doc_id: r.perplexity for r in quality.quality(docs_of(rows + others), docs_of(rows).select("doc_id")).collect()}
+    for r in rows + others:
+        assert got[r[0]] == pytest.approx(perplexity(r[1]), rel=2e-3), r[1][:40]
