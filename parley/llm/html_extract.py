@@ -88,6 +88,7 @@ CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre table tr td th ca
 NEARLY = 0.9
 SHORT = 80      # characters that a path may leave out of what a page's own container holds
 AGREE = 2
+LOOKED_UP = 100_000      # rows of a page's paths (a few hundred bytes) that a task may hold; more are joined by a shuffle
 REST = 0.25     # share of the text that must lie outside an element that goes for its name
 LINKED = 0.5    # share of links from which on one bad word among others tells
 Block = tuple[str, str, str, int]  # path, container path, text, characters outside links
@@ -345,7 +346,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # containers beside the page's own that other pages of the host have as their own
     also = rows.where(F.size("beside") > 0).select("row", "host", F.explode("beside").alias("path")).join(
         votes.where(F.col("pages") >= AGREE), ["host", "path"]).groupBy("row").agg(F.collect_list("path").alias("also"))
-    out = rows.join(best, "row", "left").join(also, "row", "left")
+    other = stash(best.join(also, "row", "full"), "page-paths")
+    if other.count() <= LOOKED_UP:      # few pages take anything but their own container: texts are not shuffled for them
+        other = F.broadcast(other)
+    out = rows.join(other, "row", "left")
     tops = F.concat(F.array(F.coalesce("best", "own")), F.coalesce("also", F.array().cast("array<string>")))
     out = out.withColumn("tops", tops)
     inside = F.filter("blocks", lambda b: F.exists("tops", lambda t: (t == "") | (b["path"] == t) | F.startswith(
