@@ -32,10 +32,6 @@ def vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def is_string(v: Column) -> Column:
-    return vtype(v) == F.lit("STRING")
-
-
 def as_string(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 

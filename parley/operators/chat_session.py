@@ -39,11 +39,12 @@ def command_kind(text_col: str = "text", role_col: str = "role") -> Column:
 
 
 def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", skew_safe: bool = True,
-                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+                   slice_rows: int = SLICE_ROWS, keep_exited: bool = False) -> DataFrame:
     """H2: ``kind`` and ``epoch`` (number of ``/clear`` so far); rows from the first ``/exit`` on are dropped.
 
     Texts are stripped on both sides.  ``msg_ord``: messages of the conversation so far, ``msg_clear``: those up to the
-    epoch's ``/clear``.  ``_key``, ``_slice`` and ``_large`` tell ``session_history`` how the rows lie.
+    epoch's ``/clear``.  ``_key``, ``_slice`` and ``_large`` tell ``session_history`` how the rows lie.  ``keep_exited`` keeps all
+    rows, with ``_exits``, the number of ``/exit`` so far.
     """
     t = with_slices(turns, conv, turn, slice_rows) if skew_safe else whole_groups(turns, conv)
     kind = F.col("kind")
@@ -75,9 +76,8 @@ def session_epochs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
             "msg_ord": F.col("msg_ord") + F.coalesce("_m0", zero)})
     else:
         out = out.withColumn("msg_clear", F.coalesce("msg_clear", F.lit(0)))
-    return out.where(F.col("_exits") == 0).select(
-        *[c for c in turns.columns], "kind", F.col("epoch").cast("bigint").alias("epoch"), "msg_ord", "msg_clear",
-        "_key", "_slice", "_large")
+    names = [*turns.columns, "kind", F.col("epoch").cast("bigint").alias("epoch"), "msg_ord", "msg_clear", "_key", "_slice", "_large"]
+    return out.select(*names, "_exits") if keep_exited else out.where(F.col("_exits") == 0).select(*names)
 
 
 def session_history(epochs: DataFrame, cap: int = HISTORY_CAP, conv: str = "conv_id", turn: str = "turn",

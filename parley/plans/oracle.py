@@ -122,16 +122,19 @@ SPLIT_A = _split_sql("cflag", "conv_id", "md5('42:' || CAST(conv_id AS VARCHAR))
 SPLIT_B = _split_sql("cflag", "conv_id", "md5('42:' || CAST(conv_id AS VARCHAR)), conv_id", QB_ID, QB_OTHER)
 
 RUNLOG = """
+ev AS (
+  SELECT CASE WHEN user_id % 10 <> 3 THEN user_id END AS run_id, ts, event_id,
+         CASE WHEN event_id % 40 <> 7 THEN value END AS eval_loss FROM events),
 rl AS (
-  SELECT user_id AS run_id,
-         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step,
-         value AS eval_loss,
-         (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id)))::DOUBLE / 1000000.0::DOUBLE AS elapsed,
-         CAST(ceil(count(*) OVER (PARTITION BY user_id) / 100) * 100 AS BIGINT) AS max_steps
-  FROM events),
+  SELECT run_id,
+         CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS BIGINT) AS step,
+         eval_loss,
+         (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run_id)))::DOUBLE / 1000000.0::DOUBLE AS elapsed,
+         CAST(ceil(count(*) OVER (PARTITION BY run_id) / 100) * 100 AS BIGINT) AS max_steps
+  FROM ev),
 ck AS (
   SELECT run_id, step, eval_loss,
-         'run-' || CAST(run_id AS VARCHAR) || '/checkpoint-' || CAST(step * 10 AS VARCHAR) AS path
+         'run-' || coalesce(CAST(run_id AS VARCHAR), 'none') || '/checkpoint-' || CAST(step * 10 AS VARCHAR) AS path
   FROM rl)
 """
 
@@ -141,8 +144,11 @@ st AS (
          CASE WHEN role = 'user' AND conv_id % 4 = 1 AND turn = 4 THEN ' /CLEAR '
               WHEN role = 'user' AND conv_id % 4 = 2 AND turn = 2 THEN '/History'
               WHEN role = 'user' AND conv_id % 4 = 3 AND turn = 6 THEN ' /exit'
-              ELSE text END AS text
+              WHEN role = 'user' AND conv_id % 5 = 0 THEN chr(160) || ' ' || text || chr(9) || ' '
+              WHEN role <> 'user' AND conv_id % 5 = 1 THEN chr(10) || text || ' ' || chr(10)
+              ELSE text END AS typed
   FROM conversations WHERE role IN ('user', 'assistant')),
+sv AS (SELECT conv_id, turn, role, trim(typed, ' ' || chr(9) || chr(10) || chr(160)) AS text FROM st),
 kd AS (
   SELECT *, CASE WHEN role <> 'user' THEN 'response'
                  WHEN lower(trim(text)) = '' THEN 'skip'
@@ -150,7 +156,7 @@ kd AS (
                  WHEN lower(trim(text)) = '/clear' THEN 'clear'
                  WHEN lower(trim(text)) = '/history' THEN 'history'
                  ELSE 'message' END AS kind
-  FROM st),
+  FROM sv),
 ep0 AS (
   SELECT *, CAST(sum(CASE WHEN kind = 'clear' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS epoch,
          max(CASE WHEN kind = 'exit' THEN 1 ELSE 0 END) OVER w AS exited
@@ -386,17 +392,17 @@ ORACLE: dict[str, str] = {
           WHERE step > 0 AND step % 20 = 0)""",
     "run_peaks": _with(RUNLOG) + """
         SELECT run_id, CAST(ceil(step / 20) AS BIGINT) AS bucket, max(eval_loss) AS peak,
-               arg_max(eval_loss, step) AS last_value
+               arg_max_null(eval_loss, step) AS last_value
         FROM rl GROUP BY run_id, CAST(ceil(step / 20) AS BIGINT)""",
     "latest_checkpoint": _with(RUNLOG) + "SELECT run_id, arg_max(path, step) AS path FROM ck GROUP BY run_id",
     "best_checkpoint": _with(RUNLOG) + """
         SELECT run_id, arg_min(path, (eval_loss, step)) AS path, arg_min(eval_loss, (eval_loss, step)) AS eval_loss
-        FROM ck GROUP BY run_id""",
+        FROM ck WHERE eval_loss IS NOT NULL GROUP BY run_id""",
     "retain_checkpoints": _with(RUNLOG) + """
         SELECT run_id, path FROM (
           SELECT run_id, path, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS rn FROM ck) WHERE rn <= 2
         UNION
-        SELECT run_id, arg_min(path, (eval_loss, step)) FROM ck GROUP BY run_id""",
+        SELECT run_id, arg_min(path, (eval_loss, step)) FROM ck WHERE eval_loss IS NOT NULL GROUP BY run_id""",
     # --- H ---
     "session_commands": _with(SESSION) + "SELECT conv_id, turn, kind FROM kd",
     "session_epochs": _with(SESSION) + "SELECT conv_id, turn, kind, epoch FROM ep",

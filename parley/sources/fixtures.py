@@ -103,7 +103,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     the run's own event count rounded up to whole blocks of steps.
     """
     ev = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("eval_loss"))
+        F.when(F.col("user_id") % 10 != 3, F.col("user_id")).alias("run_id"), "event_id", "ts",
+        F.when(F.col("event_id") % 40 != 7, F.col("value")).alias("eval_loss"))
     numbered = number_in_groups(ev, "run_id", "ts", ["event_id"], name="step")
     blocks = F.ceil(F.col("group_rows") / F.lit(RUN_STEP_BLOCK)) * RUN_STEP_BLOCK
     numbered = numbered.withColumn("max_steps", blocks.cast("bigint"))
@@ -119,7 +120,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(run_id, path, eval_loss)``: ``run-<run>/checkpoint-<step*10>`` per logged step."""
     rl = run_log(spark, sf_dir)
-    return rl.select("run_id", F.concat(F.lit("run-"), F.col("run_id").cast("string"), F.lit("/checkpoint-"),
+    return rl.select("run_id", F.concat(F.lit("run-"), F.coalesce(F.col("run_id").cast("string"), F.lit("none")), F.lit("/checkpoint-"),
                                         (F.col("step") * 10).cast("string")).alias("path"), "eval_loss")
 
 
@@ -137,6 +138,8 @@ def session_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (F.when(user & (cid % 4 == 1) & (turn == 4), F.lit(" /CLEAR "))
             .when(user & (cid % 4 == 2) & (turn == 2), F.lit("/History"))
             .when(user & (cid % 4 == 3) & (turn == 6), F.lit(" /exit"))
+            .when(user & (cid % 5 == 0), F.concat(F.lit("\u00a0 "), F.col("text"), F.lit("\t ")))
+            .when(~user & (cid % 5 == 1), F.concat(F.lit("\n"), F.col("text"), F.lit(" \n")))
             .otherwise(F.col("text")))
     return conv.select("conv_id", "turn", "role", text.alias("text"))
 

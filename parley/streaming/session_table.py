@@ -30,8 +30,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parley.operators.chat_session import HISTORY_CAP, session_epochs, session_history
-from parley.operators.segments import SLICE_ROWS
+from parley.operators.chat_session import HISTORY_CAP, session_epochs
+from parley.operators.segments import SLICE_ROWS, carried_rows
 from parley.session import input_key, work_dir
 from parley.sources import fixtures as fx
 from parley.streaming.session_state import EXPIRE_MS, HOLD_MS, INPUT_SCHEMA, read_turns
@@ -115,10 +115,13 @@ class StateTable:
                 fs.delete(path, True)
 
 
-def process_batch(batch: DataFrame, state: DataFrame, cap: int, large: bool = True) -> tuple[DataFrame, DataFrame]:
+def process_batch(batch: DataFrame, state: DataFrame, cap: int, large: bool = True,
+                  slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
     """One micro-batch: returns (output rows, state rows of the touched conversations).
 
-    ``large``: whether a conversation can have more rows here than a slice takes; else it is not asked for any.
+    One scan gives each row its epoch, whether ``/exit`` was seen, and the messages before it; output rows are
+    those of typed messages, a conversation's state is what its last row sees.  ``large``: whether a conversation can have
+    more rows here than a slice takes; else none is asked for.
     """
     s = state.select(F.col("conv_id").alias("_s_conv"), F.col("epoch").alias("_s_epoch"), F.col("exited").alias("_s_exited"),
                      F.col("last_turn").alias("_s_last"))
@@ -128,40 +131,48 @@ def process_batch(batch: DataFrame, state: DataFrame, cap: int, large: bool = Tr
         "conv_id", "turn", "_f.arrived", "_f.role", "_f.text")
     b = (once.join(s, F.col("conv_id").eqNullSafe(F.col("_s_conv")), "left").drop("_s_conv")
          .where(F.col("turn") > F.coalesce(F.col("_s_last"), F.lit(-1))).drop("_s_last"))
-    live = session_epochs(b.where(~F.coalesce("_s_exited", F.lit(False))), skew_safe=large)   # epochs of the batch begin with 0
-
-    def last_cap(x: Column) -> Column:
-        return F.slice(x, F.greatest(F.size(x) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
-
-    def held(epoch: Column) -> Column:
-        """The state's messages, where no ``/clear`` has come since."""
-        return F.when(epoch == 0, F.coalesce("_s_hist", F.array())).otherwise(F.array()).cast(HIST)
-
-    h = session_history(live, cap, skew_safe=large)
-    h = h.join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
-    h = h.withColumn("history", last_cap(F.concat(held(F.col("epoch")), F.col("history").cast(HIST))))
-    out = h.select("conv_id", "turn", F.size("history").cast("long").alias("n_history"),
-                   F.array_join(F.transform("history", lambda x: x["turn"].cast("string")), ",").alias("history_turns"))
-
-    # The state of every conversation of the batch.  Rows from the first ``/exit`` on are not in ``live``.
-    per = b.groupBy("conv_id").agg(
-        F.max("turn").alias("last_turn"), F.max("arrived").alias("seen"), F.count(F.lit(1)).alias("_n"),
-        F.first("_s_epoch", ignorenulls=True).alias("_s_epoch"), F.first("_s_exited", ignorenulls=True).alias("_s_exited"))
-    w = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-    message = F.struct("turn", "role", "text", "epoch")
-    recent = live.where(F.col("kind").isin("message", "response")).withColumn("_r", F.row_number().over(w)).where(
-        F.col("_r") <= cap).groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("_b_hist"))
-    lived = live.groupBy(F.col("conv_id").alias("_l_conv")).agg(F.max("epoch").alias("_e"), F.count(F.lit(1)).alias("_lived"))
-    per = per.join(lived, F.col("conv_id").eqNullSafe(F.col("_l_conv")), "left")
-    per = per.join(recent.withColumnRenamed("conv_id", "_r_conv"), F.col("conv_id").eqNullSafe(F.col("_r_conv")), "left")
-    per = per.join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
+    rows = session_epochs(b, skew_safe=large, slice_rows=slice_rows, keep_exited=True)      # epochs of the batch begin with 0
+    live = (F.col("_exits") == 0) & ~F.coalesce("_s_exited", F.lit(False))
+    said = live & F.col("kind").isin("message", "response")
+    item = F.struct("turn", "role", "text", "epoch", "msg_ord")
+    seen = Window.partitionBy("_key", "_slice").orderBy("msg_ord").rangeBetween(-cap, 0)
+    rows = rows.withColumn("_live", live).withColumn("_item", F.when(said, item))
+    rows = rows.withColumn("_seen", F.collect_list("_item").over(seen))      # the row itself and at least ``cap`` before it
+    if large:
+        carried = carried_rows(rows.where(F.col("_large") & F.col("_item").isNotNull()), "turn", "_item", cap, "_carried")
+        rows = rows.join(carried, ["_key", "_slice"], "left").withColumn("_seen", F.when(
+            F.col("_carried").isNull(), F.col("_seen")).otherwise(F.concat("_carried", "_seen")))
+
+    def history(hist: Column, epoch: Column) -> Column:
+        """The last ``cap`` messages of an epoch: the state's, where no ``/clear`` has come since, and the batch's."""
+        own = F.transform(F.filter(hist, lambda x: x["epoch"] == epoch), lambda x: F.struct(
+            x["turn"].alias("turn"), x["role"].alias("role"), x["text"].alias("text"))).cast(HIST)
+        held = F.when(epoch == 0, F.coalesce("_s_hist", F.array())).otherwise(F.array()).cast(HIST)
+        both = F.concat(held, own)
+        return F.slice(both, F.greatest(F.size(both) - F.lit(cap), F.lit(0)) + 1, F.lit(cap))
+
+    out = rows.where(F.col("_live") & (F.col("kind") == "message")).join(
+        hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
+    out = out.withColumn("history", history(F.filter("_seen", lambda x: x["msg_ord"] < F.col("msg_ord")), F.col("epoch")))
+    out = out.select("conv_id", "turn", F.size("history").cast("long").alias("n_history"),
+                     F.array_join(F.transform("history", lambda x: x["turn"].cast("string")), ",").alias("history_turns"))
+
+    # per slice, which needs no exchange, then per conversation where it can have several
+    per = rows.groupBy("_key", "_slice").agg(
+        F.max("turn").alias("last_turn"), F.max("arrived").alias("seen"), F.max(F.when(F.col("_live"), F.col("epoch"))).alias("_e"),
+        F.max("_exits").alias("_exits"), F.max("_s_epoch").alias("_s_epoch"), F.max("_s_exited").alias("_s_exited"),
+        F.max_by("_seen", "turn").alias("_seen"))
+    if large:
+        per = per.groupBy("_key").agg(
+            F.max("last_turn").alias("last_turn"), F.max("seen").alias("seen"), F.max("_e").alias("_e"),
+            F.max("_exits").alias("_exits"), F.max("_s_epoch").alias("_s_epoch"), F.max("_s_exited").alias("_s_exited"),
+            F.max_by("_seen", "last_turn").alias("_seen"))
+    per = per.withColumn("conv_id", F.col("_key.g")).join(hists, F.col("conv_id").eqNullSafe(F.col("_h_conv")), "left")
     epoch = F.coalesce("_e", F.lit(0))
-    own = F.transform(F.filter(F.coalesce("_b_hist", F.array()), lambda x: x["epoch"] == epoch), lambda x: F.struct(
-        x["turn"].alias("turn"), x["role"].alias("role"), x["text"].alias("text"))).cast(HIST)
     return out, per.select(
         "conv_id", (F.coalesce("_s_epoch", F.lit(0)) + epoch).cast("long").alias("epoch"),
-        (F.coalesce("_s_exited", F.lit(False)) | (F.coalesce("_lived", F.lit(0)) < F.col("_n"))).alias("exited"),
-        F.col("last_turn").cast("long").alias("last_turn"), last_cap(F.concat(held(epoch), own)).alias("hist"), "seen")
+        (F.coalesce("_s_exited", F.lit(False)) | (F.col("_exits") > 0)).alias("exited"),
+        F.col("last_turn").cast("long").alias("last_turn"), history(F.col("_seen"), epoch).alias("hist"), "seen")
 
 
 def _after(rows: DataFrame, state: DataFrame) -> DataFrame:

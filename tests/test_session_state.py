@@ -284,3 +284,28 @@ def test_exit_and_clear_cross_batches_in_the_table(spark):
     assert got == {(1, 0): "", (2, 0): "", (None, 0): "", (1, 2): "", (None, 1): "0"}
     state = {r.conv_id: r for r in t.state.read(range(2), 99).collect()}
     assert state[1].epoch == 1 and not state[1].exited and state[2].exited and state[2].last_turn == 3
+
+
+def test_a_large_conversation_in_a_batch_is_cut_into_slices(spark):
+    """The same output and state rows with one conversation in many slices and with all in one."""
+    rnd = random.Random(2)
+    kinds = ["user"] * 5 + ["assistant"] * 3 + ["/clear"] * 1 + ["/exit"] * 0 + [" "]
+    rows = []
+    for conv, n in ((1, 160), (2, 5), (None, 30), (3, 12), (4, 3)):
+        for t in range(n):
+            k = rnd.choice(kinds) if not (conv == 3 and t == 8) else "/exit"
+            rows.append((conv, t, "assistant" if k == "assistant" else "user", k if k.strip() in ("/clear", "/exit", "") else f"m{t}"))
+    state = spark.createDataFrame(
+        [(1, 2, False, -1, [(-5, "user", "old"), (-4, "assistant", "older")], 1.0), (4, 0, True, -1, [(-3, "user", "x")], 1.0),
+         (None, 1, False, 3, [(1, "user", "y")], 1.0)],
+        "conv_id long, epoch long, exited boolean, last_turn long, hist array<struct<turn:long,role:string,text:string>>, s double").select(
+        "conv_id", "epoch", "exited", "last_turn", "hist", F.timestamp_seconds("s").alias("seen"))
+    batch = _batch(spark, rows, 5000)
+    got = []
+    for large in (True, False):
+        out, touched = st.process_batch(batch, state, 4, large=large, slice_rows=9)
+        got.append((sorted(map(str, out.collect())), sorted(map(str, touched.collect()))))
+    assert got[0] == got[1] and len(got[0][0]) > 60 and len(got[0][1]) == 5
+    by = {r.conv_id: r for r in touched.collect()}
+    assert by[3].exited and by[4].exited and by[1].epoch > 2 and len(by[1].hist) <= 4 and by[None].last_turn == 29
+    assert not any("conv_id=4," in r for r in got[0][0])
