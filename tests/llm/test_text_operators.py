@@ -499,3 +499,33 @@ def test_quality_perplexity_against_the_definition(spark, docs_of, real_docs):
     got = {r.doc_id: r.perplexity for r in quality.quality(docs_of(rows + others), docs_of(rows).select("doc_id")).collect()}
     for r in rows + others:
         assert got[r[0]] == pytest.approx(perplexity(r[1]), rel=2e-3), r[1][:40]
+
+
+def test_language_scores_against_plain_counts(spark, docs_of, real_docs):
+    """The filters' corrected counts against sets of n-grams by definition."""
+    from collections import Counter, defaultdict
+
+    import numpy as np
+
+    rows = [(d, t, lang) for d, t, lang in real_docs if t and lang]
+    train, held = rows[::2], rows[1::2]
+    model = langid.fit(docs_of(train))
+    count = defaultdict(Counter)
+    for _, t, lang in train:
+        count[lang].update(langid.grams([t])[0].tolist())
+    share = {lang: {g: n / sum(c.values()) for g, n in c.items() if n / sum(c.values()) >= langid.MIN_SHARE} for lang, c in count.items()}
+    top = Counter()
+    for own in share.values():
+        for g, x in own.items():
+            top[g] = max(top[g], x)
+    sets = {lang: {g for g, x in own.items() if x >= top[g] * langid.MIN_RATIO} for lang, own in share.items()}
+    names, scores = model.predict([t for _, t, _ in held])
+    for (_, t, _), name, score in zip(held, names, scores):
+        grams = langid.grams([t])[0].tolist()
+        hits = np.array([sum(g in sets[lang] for g in grams) for lang in model.langs], float)
+        if hits.sum() < 20:
+            continue
+        assert score == pytest.approx(hits.max() / hits.sum(), abs=0.03)
+        if np.sort(hits)[-1] > 1.1 * np.sort(hits)[-2]:
+            assert name == model.langs[int(hits.argmax())]
+    assert sum(n == lang for n, (_, _, lang) in zip(names, held)) > 0.95 * len(held)
