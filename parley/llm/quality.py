@@ -1,8 +1,10 @@
 """Quality classifier: interpolated modified Kneser-Ney n-gram model of trusted text.
 
-Texts are read as symbols of a fixed alphabet of 64 (base letters, one symbol
-for an upper-case mark, digit, blank, line break, each ASCII sign, other letters,
-other signs), so n-grams are whole numbers of ``6 * ORDER`` bits.
+Texts are read as symbols of an alphabet of 64 (base letters, one symbol for an
+upper-case mark, digit, blank, line break, each ASCII sign, two escapes).  Any
+other character is an escape and its code point in base 64, so the alphabet is
+open: no two characters outside a-z share their symbols (accents are folded).
+n-grams are whole numbers of ``6 * ORDER`` bits.
 
 * Training counts the ``ORDER``-grams of all trusted texts in tasks and sums them
   by shard (hash of the n-gram).  Lower orders use continuation counts: the
@@ -11,9 +13,12 @@ other signs), so n-grams are whole numbers of ``6 * ORDER`` bits.
 * Sharded count joins put together each n-gram's count, its context's total
   and numbers of one-, two- and more-counted continuations, and the lower
   order's probability: p = max(c - D, 0) / total + gamma * p_lower.
-* The tables of seen n-grams and context weights are bounded by the alphabet
-  (at most ``64**ORDER`` n-grams); the scoring tasks get them once and fill in
-  unseen n-grams from gamma * p_lower.  Each whole text gets its perplexity.
+* Scoring is a sharded join as well.  Texts are dealt to blocks; a block asks for
+  each of its n-grams, their suffixes and contexts once (so frequent n-grams are
+  one row a block, however often they occur), the requests meet the model's
+  probabilities and context weights by shard, and the answers return to the
+  block, which fills in unseen n-grams from gamma * p_lower and sums each whole
+  text's perplexity.  No task and no driver holds the model.
 * A text is rejected if its perplexity is above its language's threshold: the
   ``QUANTILE`` of the trusted texts' perplexities in that language, times
   ``MARGIN``.  Languages with fewer than ``MIN_TRUSTED`` trusted texts use the
@@ -29,7 +34,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +49,23 @@ QUANTILE = 0.995
 MARGIN = 1.25
 MIN_TRUSTED = 50
 PIECE_CHARS = 1 << 20
+BLOCK_BYTES = 4 << 20
+PRIME = 1_000_003
 UPPER, DIGIT, BLANK, BREAK, LETTER, OTHER = 27, 28, 29, 30, 62, 63
+#: Code points below the first are LETTER and two base-64 digits (no first digit is OTHER), below the second OTHER and three.
+SHORT, LONG = OTHER << BITS, 1 << (3 * BITS)
 
 _FOLD: list = []
 
 
-def symbol_table() -> np.ndarray:
+def symbol_table() -> tuple[np.ndarray, np.ndarray]:
     """Code point (16 bits) → symbol: 1-26 base letters, 27 upper-case mark, 28 digit, 29 blank, 30 line break,
-    31-61 ASCII signs, 62 other letter, 63 other; plus 64 where the letter is upper case."""
+    31-61 ASCII signs, 62 or 63 for what is written by its code point; plus 64 where the letter is upper case.
+    And code point → code point of the lower-case letter."""
     if not _FOLD:
-        signs = {ord(c): 31 + n % 31 for n, c in enumerate(c for c in map(chr, range(33, 127)) if not c.isalnum())}
-        t = np.full(1 << 16, OTHER, np.uint8)
+        signs = [c for c in map(chr, range(33, 127)) if not c.isalnum()]
+        signs = {ord(c): 31 + n for n, c in enumerate(signs[:31])}
+        t, low = np.full(1 << 16, OTHER, np.uint8), np.arange(1 << 16, dtype=np.uint32)
         for c in range(1 << 16):
             s = chr(c)
             base = unicodedata.normalize("NFD", s)[:1].lower() if s.isalpha() else ""
@@ -64,31 +75,47 @@ def symbol_table() -> np.ndarray:
                 t[c] = BLANK
             elif c in signs:
                 t[c] = signs[c]
-            elif base:
-                t[c] = ord(base) - 96 if "a" <= base <= "z" else LETTER
-                if s.isupper():
-                    t[c] += 64
+            elif "a" <= base <= "z":
+                t[c] = ord(base) - 96
             elif s.isdigit():
                 t[c] = DIGIT
-        _FOLD.append(t)
-    return _FOLD[0]
+            elif s.isupper() and len(s.lower()) == 1:
+                low[c] = ord(s.lower())
+            if base and s.isupper() and (t[c] < UPPER or low[c] != c):
+                t[c] += 64
+        _FOLD.extend((t, low))
+    return _FOLD[0], _FOLD[1]
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts, each with a line break before it, and the text each belongs to."""
     flat = "\n" + "\n".join(texts)
     codes = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
-    sym = symbol_table()[np.minimum(codes, 0xFFFF)]
+    table, low = symbol_table()
+    sym = np.where(codes <= 0xFFFF, table[np.minimum(codes, 0xFFFF)], OTHER).astype(np.uint8)
     size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     owner = np.repeat(np.arange(len(texts)), size)
-    upper = sym >= 64
-    if upper.any():  # an upper-case letter is the mark and the letter
-        width = 1 + upper.astype(np.int64)
-        ends = np.cumsum(width) - 1
-        out = np.full(int(ends[-1]) + 1, UPPER, np.uint8)
-        out[ends] = sym & 63
-        return out, np.repeat(owner, width)
-    return sym, owner
+    upper, spelt = sym >= 64, np.flatnonzero((sym & 63) >= LETTER)
+    if not len(spelt) and not upper.any():
+        return sym, owner
+    width = 1 + upper.astype(np.int64)
+    code = codes[spelt].astype(np.int64)
+    code = np.where(code <= 0xFFFF, low[np.minimum(code, 0xFFFF)], code).astype(np.int64)
+    extra = np.where(code < SHORT, 2, np.where(code < LONG, 3, 5))
+    width[spelt] += extra
+    ends = np.cumsum(width)
+    out = np.full(int(ends[-1]), UPPER, np.uint8)  # an upper-case letter is the mark and the letter
+    at = ends - width + upper
+    out[at] = sym & 63
+    at = at[spelt]
+    out[at] = np.where(extra == 3, OTHER, LETTER)
+    for n, digits in ((2, 2), (3, 3), (5, 4)):  # LETTER OTHER begins the four digits of the rarest
+        of = extra == n
+        if n == 5:
+            out[at[of] + 1] = OTHER
+        for d in range(digits):
+            out[at[of] + n - d] = (code[of] >> (BITS * d)) & 63
+    return out, np.repeat(owner, width)
 
 
 def ngram_keys(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +205,7 @@ Tables = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def gather(probs: DataFrame, gammas: DataFrame) -> Tables:
-    """The model's tables as arrays; their sizes are bounded by the alphabet."""
+    """The tables of a small model as arrays, to look at it as a whole; scoring does not."""
     out: Tables = {}
     p = probs.select("k", "g", F.col("p").cast("float").alias("x")).toArrow()
     w = gammas.select("k", "h", F.col("w").cast("float").alias("x")).toArrow()
@@ -190,7 +217,7 @@ def gather(probs: DataFrame, gammas: DataFrame) -> Tables:
 
 
 def dense(tables: Tables) -> np.ndarray:
-    """Negative log probability (nats) of every possible n-gram; unseen ones from the lower order."""
+    """Negative log probability (nats) of every possible n-gram of a small model; scoring does not use it."""
     below = np.full(1, 1.0 / (1 << BITS), np.float32)
     for k in range(1, ORDER + 1):
         g, p, h, w = tables[k]
@@ -205,33 +232,128 @@ def dense(tables: Tables) -> np.ndarray:
     return -np.log(np.maximum(below, 1e-12))
 
 
-def perplexities(df: DataFrame, tables: Tables, id_col: str = "doc_id", text_col: str = "text",
+def key_type() -> type:
+    return np.int32 if BITS * ORDER + 4 < 32 else np.int64
+
+
+def wanted(top: np.ndarray) -> np.ndarray:
+    """Ascending keys ``order, n-gram`` of all that the probabilities of the ``ORDER``-grams ``top`` may need:
+    themselves, and the suffixes (lower orders) and contexts of what is needed one order above."""
+    out = []
+    for k in range(ORDER, -1, -1):
+        out.append(top + (k << (BITS * ORDER)))
+        if k:
+            top = np.union1d(top & ((1 << (BITS * (k - 1))) - 1), top >> BITS)
+    return np.concatenate(out[::-1]).astype(key_type())
+
+
+def costs(keys: np.ndarray, p: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``ORDER``-grams among ``keys`` (of ``wanted``) and their negative log probabilities (nats); ``p`` is NaN for
+    unseen n-grams, ``w`` the weight of the n-gram as a context (1 if unseen)."""
+    keys = keys.astype(np.int64)
+    ends = np.searchsorted(keys, np.arange(ORDER + 2) << (BITS * ORDER))
+    own = [keys[ends[k]: ends[k + 1]] & ((1 << (BITS * ORDER)) - 1) for k in range(ORDER + 1)]
+    below = np.full(len(own[0]), 1.0 / (1 << BITS), np.float32)
+    for k in range(1, ORDER + 1):
+        seen = p[ends[k]: ends[k + 1]]
+        lower = below[np.searchsorted(own[k - 1], own[k] & ((1 << (BITS * (k - 1))) - 1))]
+        weight = w[ends[k - 1]: ends[k]][np.searchsorted(own[k - 1], own[k] >> BITS)]
+        below = np.where(np.isnan(seen), lower * weight, seen)
+    return own[ORDER], -np.log(np.maximum(below, 1e-12))
+
+
+def _wanted_by(texts: list[str]) -> np.ndarray:
+    parts = [np.unique(ngram_keys(texts[lo:hi])[0]) for lo, hi in _pieces(texts)]
+    return wanted(np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
+
+
+def _asking(shards: int) -> Callable[[pa.Table], pa.Table]:
+    def ask(rows: pa.Table) -> pa.Table:
+        keys = _wanted_by(rows["_text"].to_pylist())
+        shard = keys % PRIME % shards
+        keys = keys[np.argsort(shard, kind="stable")]
+        held, size = np.unique(shard, return_counts=True)
+        parts = np.split(keys, np.cumsum(size)[:-1]) if len(held) else []
+        block = rows["_block"][0].as_py()
+        return pa.table({"block": pa.array([block] * len(held), pa.int64()), "shard": pa.array(held, pa.int64()),
+                         "keys": pa.array([k.tobytes() for k in parts], pa.binary())})
+
+    return ask
+
+
+def _answer(model: pa.Table, asked: pa.Table) -> pa.Table:
+    """For each request its probabilities, and its context weights (below the highest order)."""
+    context = model["context"].to_numpy()
+    tables = []
+    for of in (context == 0, context == 1):
+        key, x = model["key"].to_numpy()[of], model["x"].to_numpy()[of]
+        order = np.argsort(key)
+        tables.append((key[order], x[order]))
+
+    def look(keys: np.ndarray, of: int, unseen: float) -> bytes:
+        key, x = tables[of]
+        out = np.full(len(keys), unseen, np.float32)
+        if len(key):
+            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            out = np.where(key[at] == keys, x[at], out)
+        return out.astype(np.float32).tobytes()
+
+    p, w = [], []
+    for b in asked["keys"].to_pylist():
+        keys = np.frombuffer(b, key_type()).astype(np.int64)
+        p.append(look(keys, 0, math.nan))
+        w.append(look(keys[keys < (ORDER << (BITS * ORDER))], 1, 1.0))
+    return pa.table({"block": asked["block"], "shard": asked["shard"], "p": pa.array(p, pa.binary()),
+                     "w": pa.array(w, pa.binary())})
+
+
+def _scoring(shards: int, width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = rows["_text"].to_pylist()
+        keys = _wanted_by(texts)
+        shard = keys % PRIME % shards
+        p, w = np.full(len(keys), math.nan, np.float32), np.ones(len(keys), np.float32)
+        by = np.argsort(shard, kind="stable")
+        first = np.searchsorted(shard[by], np.arange(shards + 1))
+        for s, ps, ws in zip(*(answers[c].to_pylist() for c in ("shard", "p", "w"))):
+            own = by[first[s]: first[s + 1]]
+            p[own] = np.frombuffer(ps, np.float32)
+            ws = np.frombuffer(ws, np.float32)
+            w[own[:len(ws)]] = ws  # the highest order, which is no context, comes last
+        top, cost = costs(keys, p, w)
+        x, none = np.zeros(len(texts)), np.ones(len(texts), bool)
+        for lo, hi in _pieces(texts):
+            own = texts[lo:hi]
+            key, owner = ngram_keys(own)
+            n = np.bincount(owner, minlength=len(own))
+            nats = np.bincount(owner, cost[np.searchsorted(top, key)], len(own))
+            blank = np.array([not t or t.isspace() for t in own], bool)
+            none[lo:hi] = (n == 0) | blank
+            x[lo:hi] = np.exp(np.minimum(nats / np.maximum(n, 1), 50))
+        return rows.select(list(range(width))).append_column("perplexity", pa.array(x, mask=none))
+
+    return score
+
+
+def perplexities(df: DataFrame, probs: DataFrame, gammas: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id, *keep, perplexity)``; null perplexity for a text without symbols."""
-    shared = df.sparkSession.sparkContext.broadcast(tables)
-    head = df.select(F.col(id_col), *keep)
-    width = 1 + len(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cost = None
-        for b in batches:
-            if cost is None:
-                cost = dense(shared.value)
-            texts = b.column(width).to_pylist()
-            for lo, hi in _pieces(texts):
-                own = texts[lo:hi]
-                key, owner = ngram_keys(own)
-                n = np.bincount(owner, minlength=len(own))
-                bits = np.bincount(owner, cost[key], len(own))
-                blank = np.array([not t or t.isspace() for t in own], bool)
-                none = (n == 0) | blank
-                x = np.exp(np.minimum(bits / np.maximum(n, 1), 50))
-                yield pa.RecordBatch.from_arrays(
-                    [*[b.column(c).slice(lo, hi - lo) for c in range(width)], pa.array(x, mask=none)],
-                    [*b.schema.names[:width], "perplexity"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema)
-    return df.select(F.col(id_col), *keep, text_of(text_col).alias("_text")).mapInArrow(run, f"{schema}, perplexity double")
+    texts = df.select(F.col(id_col), *keep, text_of(text_col).alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema[:-1])
+    size = texts.agg(F.sum(F.octet_length("_text").cast("long") + 64).alias("n")).first()["n"] or 0
+    blocks = 1 + size // BLOCK_BYTES
+    shards = math.ceil(8 * math.sqrt(blocks))
+    texts = texts.withColumn("_block", F.pmod(F.xxhash64(id_col, "_text"), F.lit(blocks)))
+    base = F.lit(1 << (BITS * ORDER))
+    model = probs.select((F.col("k") * base + F.col("g")).alias("key"), F.lit(0).alias("context"), F.col("p").cast("float").alias("x"))
+    model = model.unionByName(gammas.select(((F.col("k") - 1) * base + F.col("h")).alias("key"), F.lit(1).alias("context"),
+                                            F.col("w").cast("float").alias("x")))
+    model = model.withColumn("shard", F.pmod(F.pmod("key", F.lit(PRIME)), F.lit(shards)).cast("long"))
+    asked = texts.groupBy("_block").applyInArrow(_asking(shards), "block long, shard long, keys binary")
+    answers = model.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(
+        _answer, "block long, shard long, p binary, w binary")
+    return texts.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(
+        _scoring(shards, 1 + len(keep)), f"{schema}, perplexity double")
 
 
 def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -244,9 +366,9 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     good = trusted.select(F.col(id_col).alias("doc_id")).distinct()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).alias("text"))
-    tables = gather(*train(only(rows.select("doc_id", "text"), good, "doc_id")))
+    probs, gammas = train(only(rows.select("doc_id", "text"), good, "doc_id"))
     release(spark)
-    scored = stash(perplexities(rows, tables, "doc_id", "text", ("lang",)), "kn-scored")
+    scored = stash(perplexities(rows, probs, gammas, "doc_id", "text", ("lang",)), "kn-scored")
     seen = scored.where("perplexity is not null").join(good, "doc_id", "left_semi")
     at = F.percentile_approx("perplexity", quantile, 10_000)
     overall = seen.agg(at.alias("q")).first()["q"]

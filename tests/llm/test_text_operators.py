@@ -529,3 +529,42 @@ def test_language_scores_against_plain_counts(spark, docs_of, real_docs):
         if np.sort(hits)[-1] > 1.1 * np.sort(hits)[-2]:
             assert name == model.langs[int(hits.argmax())]
     assert sum(n == lang for n, (_, _, lang) in zip(names, held)) > 0.95 * len(held)
+
+
+def test_quality_alphabet_is_open():
+    """No two characters outside a-z have the same symbols; accents and case are folded as before."""
+    chars = [c for r in ((0x21, 0x7F), (0x391, 0x3D0), (0x3B1, 0x3CA), (0x430, 0x460), (0x5D0, 0x5EB), (0xFB0, 0x1010), (0x4E00, 0x4F00),
+                         (0x1F600, 0x1F640), (0x3FFF0, 0x40010), (0xE0061, 0xE0070)) for c in map(chr, range(*r))]
+    chars = [c for c in chars if not c.isspace() and not c.isdigit()]
+    spelt = {}
+    for c in chars:
+        spelt.setdefault(tuple(quality.symbols([c])[0][1:].tolist()), []).append(c)
+    assert all(len({c.lower() for c in same}) == 1 or same[0] in "0123456789" for same in spelt.values())
+    plain = lambda t: quality.symbols([t])[0][1:].tolist()
+    assert plain("éÉ a1") == [5, quality.UPPER, 5, quality.BLANK, 1, quality.DIGIT]
+    assert plain("Да") == [quality.UPPER, *plain("д"), *plain("а")] and plain("日本") == plain("日") + plain("本")
+    sym, owner = quality.symbols(["Яz", "", "😀", "!~"])
+    parts = [sym[owner == n].tolist() for n in range(4)]
+    assert parts == [quality.symbols([t])[0].tolist() for t in ("Яz", "", "😀", "!~")]
+
+
+def test_quality_scores_by_joins_in_any_script(spark, docs_of, monkeypatch):
+    """The model does not pass the driver, the split into blocks changes nothing, and junk in another script is seen."""
+    rnd = random.Random(5)
+    words = "это было очень давно когда вода была чистой и дети играли возле старого дома у реки".split()
+    rows = [(n, " ".join(rnd.choices(words, k=60)), "ru") for n in range(80)]
+    letters = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    junk = [(1000 + n, " ".join("".join(rnd.choices(letters, k=5)) for _ in range(60)), "ru") for n in range(5)]
+    rows += [(rows[0][0], *rows[0][1:]), (None, rows[1][1], "ru")]
+    docs, good = docs_of(rows + junk), docs_of(rows[:80]).select("doc_id")
+
+    def no_gather(*_):
+        raise AssertionError("the model is gathered")
+
+    monkeypatch.setattr(quality, "gather", no_gather)
+    result = lambda: sorted((repr(r.doc_id), r.perplexity, r.kept) for r in quality.quality(docs, good).collect())
+    one = result()
+    assert [k for i, _, k in one if i.startswith("10") and len(i) == 4] == [False] * 5
+    assert sum(k for _, _, k in one) >= len(rows) - 1
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 4000)
+    assert result() == one
