@@ -28,6 +28,9 @@ ASSISTANT_MARKER = "<|im_start|>assistant\n"
 # non-space character.  Same meaning in Java regex and RE2 (DuckDB).
 TOKEN_PATTERN = "<\\|[a-z_]+\\|>|[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r\\f\\x0B]"
 IGNORE_INDEX = -100
+# A Python worker holds the results of about so many characters (or ids) at a time,
+# whatever the number of rows in an Arrow batch.
+PIECE_CHARS = 1 << 18
 # -----------------------------------------------------------------------------
 
 
@@ -79,11 +82,24 @@ def decode_with(ids, make_decoder: Callable[[], Callable[[list[int]], str]]) ->
     def _dec(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dec = make_decoder()
         for s in batches:
-            yield s.map(lambda x: None if x is None else dec([int(i) for i in x]))
+            for lo, hi in _pieces(s, PIECE_CHARS):
+                yield s.iloc[lo:hi].map(lambda x: None if x is None else dec(x.tolist() if isinstance(x, np.ndarray) else list(x)))
 
     return _dec(_col(ids))
 
 
+def _pieces(values: Sequence, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that cover ``values`` (texts or arrays), each of about ``most`` elements or one row."""
+    at = n = 0
+    for i, x in enumerate(values):
+        n += 1 if x is None else len(x) + 1
+        if n >= most:
+            yield at, i + 1
+            at, n = i + 1, 0
+    if at < len(values):
+        yield at, len(values)
+
+
 def find_subseq(haystack, needle, last: bool = False) -> Column:
     """T4: 0-based index of the first (or last) occurrence of ``needle`` in ``haystack``.
 
@@ -287,20 +303,21 @@ def label_tokens(df: DataFrame, make_encoder: Callable[[], OffsetEncoder], messa
     @F.pandas_udf(schema)
     def label(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         encode = make_encoder()
-        for text, header, body, assistant in batches:
-            rows = []
-            for t, h, b, a in zip(text, header, body, assistant):
-                if t is None or h is None:
-                    rows.append(([], [], 0, 0))
-                    continue
-                ids, offsets = encode(t)
-                ids, at = np.asarray(ids, np.int64), np.asarray(offsets, np.int64).reshape(-1, 2)
-                spans = trained_spans(np.asarray(h, np.int64), np.asarray(b, np.int64), np.full(len(h), len(IM_END) + 1),
-                                      np.asarray(a, bool), mode, len(IM_END))
-                trained, crossing = inside_spans(at[:, 0], at[:, 1], spans, border)
-                labels = np.where(trained, ids, ignore)
-                rows.append((ids[:max_len], labels[:max_len], len(ids), int(crossing.sum())))
-            yield pd.DataFrame(rows, columns=["ids", "labels", "n_tokens", "n_crossing"])
+        for batch in batches:
+            for lo, hi in _pieces(batch[0], PIECE_CHARS):
+                rows = []
+                for t, h, b, a in zip(*(c.iloc[lo:hi] for c in batch)):
+                    if t is None or h is None:
+                        rows.append(([], [], 0, 0))
+                        continue
+                    ids, offsets = encode(t)
+                    ids, at = np.asarray(ids, np.int32), np.asarray(offsets, np.int64).reshape(-1, 2)
+                    spans = trained_spans(np.asarray(h, np.int64), np.asarray(b, np.int64), np.full(len(h), len(IM_END) + 1),
+                                          np.asarray(a, bool), mode, len(IM_END))
+                    trained, crossing = inside_spans(at[:, 0], at[:, 1], spans, border)
+                    labels = np.where(trained, ids, np.int32(ignore))
+                    rows.append((ids[:max_len], labels[:max_len], len(ids), int(crossing.sum())))
+                yield pd.DataFrame(rows, columns=["ids", "labels", "n_tokens", "n_crossing"])
 
     m = F.col(messages_col)
     chars = lambda c: F.length(F.coalesce(c, F.lit("")))

@@ -238,3 +238,25 @@ def test_retained_checkpoints(spark, block):
     df = spark.createDataFrame(rows, "run_id long, path string, eval_loss double").repartition(4)
     got = runlog.retain_checkpoints(df, block=block).collect()
     assert {(r.run_id, r.path) for r in got} == want and len(got) == len(want)
+
+
+def test_labels_and_texts_are_made_in_pieces_of_bounded_size(spark, monkeypatch):
+    """A worker holds the results of a few rows, not of a whole Arrow batch; rows keep their number and order."""
+    import pandas as pd
+
+    made, real = [], F.pandas_udf
+    monkeypatch.setattr(template.F, "pandas_udf", lambda kind: lambda f: made.append(f) or real(kind)(f))
+    chats = spark.range(1).select(F.array(F.struct(F.lit("assistant").alias("role"), F.lit("x").alias("content"))).alias("messages"))
+    template.label_tokens(chats, lambda: lambda t: ([ord(c) for c in t], [(n, n + 1) for n in range(len(t))]), max_len=5_000)
+    template.decode_with(F.array(F.lit(1)), lambda: lambda ids: "".join(map(chr, ids)))
+    texts = pd.Series([None if n % 50 == 7 else "ab" * (n % 40) + "c" * 2_000 for n in range(1_000)])
+    texts.iloc[500] = "d" * 600_000  # one row above the bound
+    of = lambda value: pd.Series([value] * len(texts))
+    frames = list(made[0](iter([(texts, of([1]), of([1]), of([False]))])))
+    assert len(frames) > 4 and sum(map(len, frames)) == len(texts)
+    assert max(len(f) for f in frames) * 2_000 < 2 * template.PIECE_CHARS
+    rows = pd.concat(frames, ignore_index=True)
+    assert rows.n_tokens.tolist() == [len(t or "") for t in texts] and len(rows.ids[500]) == 5_000
+    ids = pd.Series([None if t is None else np.array([ord(c) for c in t[:50]], np.int32) for t in texts.tolist() * 20])
+    parts = list(made[1](iter([ids])))
+    assert len(parts) > 1 and [x for p in parts for x in p] == [None if t is None else t[:50] for t in texts.tolist() * 20]
