@@ -55,3 +55,19 @@ def test_empty_documents(spark, docs_of):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF) if "text" in docs.columns else docs
     assert docs.count() == 0
+
+
+def test_quality_stage_scores_by_joins(spark, docs_of, monkeypatch):
+    """The stage neither gathers nor broadcasts the model, keeps each row's own verdict and rejects what it should."""
+    from parley.llm import quality
+
+    def no_gather(*_):
+        raise AssertionError("the model is gathered")
+
+    monkeypatch.setattr(quality, "gather", no_gather)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 20_000)
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    line, junk = next(t for _, t, lang in rows if t and lang == "en"), "$$$ ### !!! %%% " * 20
+    docs = docs_of(rows + [(7001, line, "en"), (7001, junk, "en"), (None, line, "en"), (None, junk, "en")])
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.quality_stage(spark, docs, SF).collect()]
+    assert (7001, line) in left and (None, line) in left and all(t != junk for _, t in left)
