@@ -155,6 +155,34 @@ def test_contamination_empty_sides_and_drop(spark, docs_of):
     assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "2", "None"]
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 64])
+def test_contamination_joins_seeds_of_texts_and_items(spark, docs_of, monkeypatch, block):
+    """Seeds meet in a shuffle join, the benchmark's texts are not collected, and a row of many places is one row."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "RECORD_PLACES", 7)
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.choice([2, 4, 6, 9, 10, 12, 13, 30])))) for i in range(30)]
+    header = " ".join(f"h{n}" for n in range(13))
+    items += [(100 + i, f"{header} question v{i}") for i in range(40)]
+    rows = [(d, " ".join(rng.choices(vocab, k=rng.randint(0, 90)))) for d in range(40)]
+    rows += [(50, f"{header} and " * 500), (51, "w3"), (52, "h0 h1 h2 h3 h4 h5 h6 h7 other words")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sent = []
+    collect = type(bench).collect
+    monkeypatch.setattr(type(bench), "collect", lambda df: sent.append(df.columns) or collect(df))
+    made = decontaminate.contamination(docs_of(rows), bench)
+    left = decontaminate.drop_contaminated(docs_of(rows, extra=("_row", "_H", "__near")), bench)
+    assert ["i", "t"] not in sent and all("text" not in c and "near" not in c for c in sent)
+    monkeypatch.undo()
+    assert "SortMergeJoin" in made._jdf.queryExecution().sparkPlan().toString()
+    want = slow_contamination(rows, items)
+    got = made.collect()
+    assert len(got) == len(rows) and {r.doc_id: r["items"] for r in got} == want
+    assert left.columns == docs_of(rows, extra=("_row", "_H", "__near")).columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted(r for r in rows if not want[r[0]])
+
+
 # --- HTML ----------------------------------------------------------------------------------------------------------
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>x</p>";</script></head><body>
 <nav><ul><li><a href="/a">Menu</a></li></ul></nav><!-- ad --><div class="ad-slot">Buy</div><header><h1>Site</h1></header>
