@@ -18,7 +18,9 @@ n-grams are whole numbers of ``6 * ORDER`` bits.
   one row a block, however often they occur), the requests meet the model's
   probabilities and context weights by shard, and the answers return to the
   block, which fills in unseen n-grams from gamma * p_lower and sums each whole
-  text's perplexity.  No task and no driver holds the model.
+  text's perplexity.  No task and no driver holds the model.  Symbols are not
+  sorted or searched: a task marks, counts and looks up n-grams by their number
+  in arrays of 64^ORDER places, and sorts and searches different n-grams only.
 * A text is rejected if its perplexity is above its language's threshold: the
   ``QUANTILE`` of the trusted texts' perplexities in that language, times
   ``MARGIN``.  Languages with fewer than ``MIN_TRUSTED`` trusted texts use the
@@ -59,13 +61,13 @@ _FOLD: list = []
 
 
 def symbol_table() -> tuple[np.ndarray, np.ndarray]:
-    """Code point (16 bits) → symbol: 1-26 base letters, 27 upper-case mark, 28 digit, 29 blank, 30 line break,
-    31-61 ASCII signs, 62 or 63 for what is written by its code point; plus 64 where the letter is upper case.
-    And code point → code point of the lower-case letter."""
+    """Code point (16 bits, one more place for all above) → symbol: 1-26 base letters, 27 upper-case mark, 28 digit,
+    29 blank, 30 line break, 31-61 ASCII signs, 62 or 63 for what is written by its code point; plus 64 where the letter
+    is upper case. And code point → code point of the lower-case letter."""
     if not _FOLD:
         signs = [c for c in map(chr, range(33, 127)) if not c.isalnum()]
         signs = {ord(c): 31 + n for n, c in enumerate(signs[:31])}
-        t, low = np.full(1 << 16, OTHER, np.uint8), np.arange(1 << 16, dtype=np.uint32)
+        t, low = np.full((1 << 16) + 1, OTHER, np.uint8), np.arange(1 << 16, dtype=np.uint32)
         for c in range(1 << 16):
             s = chr(c)
             base = unicodedata.normalize("NFD", s)[:1].lower() if s.isalpha() else ""
@@ -87,50 +89,63 @@ def symbol_table() -> tuple[np.ndarray, np.ndarray]:
     return _FOLD[0], _FOLD[1]
 
 
-def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts, each with a line break before it, and the text each belongs to."""
-    flat = "\n" + "\n".join(texts)
-    codes = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
+def _spelt(texts: list[str], breaks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all texts, each with ``breaks`` line breaks before it, and each text's number of symbols, breaks included."""
+    lead = "\n" * breaks
+    codes = np.frombuffer((lead + lead.join(texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
     table, low = symbol_table()
-    sym = np.where(codes <= 0xFFFF, table[np.minimum(codes, 0xFFFF)], OTHER).astype(np.uint8)
-    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    owner = np.repeat(np.arange(len(texts)), size)
-    upper, spelt = sym >= 64, np.flatnonzero((sym & 63) >= LETTER)
-    if not len(spelt) and not upper.any():
-        return sym, owner
-    width = 1 + upper.astype(np.int64)
-    code = codes[spelt].astype(np.int64)
+    sym = table.take(codes, mode="clip")
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + breaks
+    wide = np.flatnonzero(sym >= LETTER)  # upper-case letters and what is written by its code point
+    if not len(wide):
+        return sym, size
+    upper, spelt = sym[wide] >= 64, (sym[wide] & 63) >= LETTER
+    extra = upper.astype(np.int64)
+    code = codes[wide[spelt]].astype(np.int64)
     code = np.where(code <= 0xFFFF, low[np.minimum(code, 0xFFFF)], code).astype(np.int64)
-    extra = np.where(code < SHORT, 2, np.where(code < LONG, 3, 5))
-    width[spelt] += extra
-    ends = np.cumsum(width)
-    out = np.full(int(ends[-1]), UPPER, np.uint8)  # an upper-case letter is the mark and the letter
-    at = ends - width + upper
-    out[at] = sym & 63
-    at = at[spelt]
-    out[at] = np.where(extra == 3, OTHER, LETTER)
+    more = np.where(code < SHORT, 2, np.where(code < LONG, 3, 5))
+    extra[spelt] += more
+    sum_extra = np.r_[0, np.cumsum(extra)]
+    size += np.diff(sum_extra[np.searchsorted(wide, np.cumsum(size))], prepend=0)
+    first = wide + sum_extra[:-1]
+    own = np.ones(len(sym) + int(sum_extra[-1]), bool)  # the places that are not put in
+    own[first[upper]] = False  # an upper-case letter is the mark and the letter
+    at = (first + upper)[spelt]
+    for d in range(1, 6):
+        own[at[more >= d] + d] = False
+    out = np.full(len(own), UPPER, np.uint8)
+    out[own] = sym & 63
+    out[at] = np.where(more == 3, OTHER, LETTER)
     for n, digits in ((2, 2), (3, 3), (5, 4)):  # LETTER OTHER begins the four digits of the rarest
-        of = extra == n
+        of = more == n
         if n == 5:
             out[at[of] + 1] = OTHER
         for d in range(digits):
             out[at[of] + n - d] = (code[of] >> (BITS * d)) & 63
-    return out, np.repeat(owner, width)
+    return out, size
+
+
+def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all texts, each with a line break before it, and the text each belongs to."""
+    sym, size = _spelt(texts, 1)
+    return sym, np.repeat(np.arange(len(texts)), size)
 
 
 def ngram_keys(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """n-gram of each symbol with the ``order - 1`` before it (line breaks before the first), and its text.
 
-    The line break put before each text is context only.
+    The line breaks put before each text are context only.
     """
-    sym, owner = symbols(texts)
-    first = np.r_[True, owner[1:] != owner[:-1]]
-    start = np.flatnonzero(first)[owner]
-    at = np.arange(len(sym))
-    key = np.zeros(len(sym), np.int64)
-    for n in range(order - 1, -1, -1):
-        key = (key << BITS) | sym[np.maximum(at - n, start)]
-    return key[~first], owner[~first]
+    sym, size = _spelt(texts, order - 1)
+    sym = sym.astype(np.int32 if BITS * order < 32 else np.int64)
+    key = sym.copy()
+    for n in range(1, order):
+        key[n:] |= sym[:-n] << (BITS * n)
+    own = np.ones(len(key), bool)
+    first = np.cumsum(size) - size
+    for n in range(order - 1):
+        own[first + n] = False
+    return key[own], np.repeat(np.arange(len(texts)), size - (order - 1))
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -150,10 +165,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(0).to_pylist()
         for lo, hi in _pieces(texts):
-            key, n = np.unique(ngram_keys(texts[lo:hi])[0], return_counts=True)
             if total is None:
                 total = np.zeros(size, np.int64)
-            total[key] += n
+            np.add.at(total, ngram_keys(texts[lo:hi])[0], 1)
     if total is not None:
         key = np.flatnonzero(total)
         for at in range(0, len(key), 1 << 17):
@@ -243,7 +257,9 @@ def wanted(top: np.ndarray) -> np.ndarray:
     for k in range(ORDER, -1, -1):
         out.append(top + (k << (BITS * ORDER)))
         if k:
-            top = np.union1d(top & ((1 << (BITS * (k - 1))) - 1), top >> BITS)
+            held = np.zeros(1 << (BITS * (k - 1)), bool)
+            held[top & (len(held) - 1)] = held[top >> BITS] = True
+            top = np.flatnonzero(held)
     return np.concatenate(out[::-1]).astype(key_type())
 
 
@@ -263,8 +279,10 @@ def costs(keys: np.ndarray, p: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _wanted_by(texts: list[str]) -> np.ndarray:
-    parts = [np.unique(ngram_keys(texts[lo:hi])[0]) for lo, hi in _pieces(texts)]
-    return wanted(np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
+    held = np.zeros(1 << (BITS * ORDER), bool)  # marks instead of sorting every symbol's n-gram
+    for lo, hi in _pieces(texts):
+        held[ngram_keys(texts[lo:hi])[0]] = True
+    return wanted(np.flatnonzero(held))
 
 
 def _asking(shards: int) -> Callable[[pa.Table], pa.Table]:
@@ -321,12 +339,14 @@ def _scoring(shards: int, width: int) -> Callable[[pa.Table, pa.Table], pa.Table
             ws = np.frombuffer(ws, np.float32)
             w[own[:len(ws)]] = ws  # the highest order, which is no context, comes last
         top, cost = costs(keys, p, w)
+        cost_of = np.empty(1 << (BITS * ORDER), np.float32)  # filled and read at the block's own n-grams only
+        cost_of[top] = cost
         x, none = np.zeros(len(texts)), np.ones(len(texts), bool)
         for lo, hi in _pieces(texts):
             own = texts[lo:hi]
             key, owner = ngram_keys(own)
             n = np.bincount(owner, minlength=len(own))
-            nats = np.bincount(owner, cost[np.searchsorted(top, key)], len(own))
+            nats = np.bincount(owner, cost_of[key], len(own))
             blank = np.array([not t or t.isspace() for t in own], bool)
             none[lo:hi] = (n == 0) | blank
             x[lo:hi] = np.exp(np.minimum(nats / np.maximum(n, 1), 50))

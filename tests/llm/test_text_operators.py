@@ -596,3 +596,64 @@ def test_quality_scores_by_joins_in_any_script(spark, docs_of, monkeypatch):
     assert sum(k for _, _, k in one) >= len(rows) - 1
     monkeypatch.setattr(quality, "BLOCK_BYTES", 4000)
     assert result() == one
+
+
+def test_quality_keys_by_definition():
+    """The n-grams of many texts at once are those of each text alone, read by definition."""
+    rnd = random.Random(11)
+    chars = "ab zZ\n1!\x7fÉДд日😀\ud800ß\U00040000"
+    for order in (1, 2, 3, 4):
+        texts = ["".join(rnd.choices(chars, k=rnd.choice([0, 1, 2, 3, 40]))) for _ in range(60)]
+        want = []
+        for n, t in enumerate(texts):
+            s = [quality.BREAK] * (order - 1) + quality.symbols([t])[0][1:].tolist()
+            for at in range(len(s) - order + 1):
+                key = 0
+                for x in s[at: at + order]:
+                    key = key * 64 + x
+                want.append((key, n))
+        key, owner = quality.ngram_keys(texts, order)
+        assert list(zip(key.tolist(), owner.tolist())) == want
+
+
+def test_quality_sorts_and_searches_different_ngrams_only(monkeypatch):
+    """CPU time: no step sorts or searches once per symbol, and counts and perplexities are those of plain numpy."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(7)
+    words = "the river runs Down to the sea and Back again 12 times".split()
+    texts = [" ".join(rnd.choices(words, k=400)) for _ in range(60)] + ["", "  "]
+    key, owner = quality.ngram_keys(texts)
+    different, count = np.unique(key, return_counts=True)
+    shards, most = 4, []
+    keys = quality._wanted_by(texts)
+    p, w = np.where(keys % 3, (keys % 89 + 1) / 100, np.nan).astype(np.float32), ((keys % 7 + 1) / 10).astype(np.float32)
+    top, cost = quality.costs(keys, p, w)
+    nats = np.bincount(owner, cost[np.searchsorted(top, key)], len(texts))
+    want = np.exp(np.minimum(nats / np.maximum(np.bincount(owner, minlength=len(texts)), 1), 50)).tolist()
+    shard = keys % quality.PRIME % shards
+    rows = pa.table({"doc_id": list(range(len(texts))), "_text": texts, "_block": [0] * len(texts)})
+    answers = pa.table({"shard": list(range(shards)), "p": [p[shard == n].tobytes() for n in range(shards)],
+                        "w": [w[(shard == n) & (keys < quality.ORDER << (6 * quality.ORDER))].tobytes() for n in range(shards)]})
+
+    def watched(name):
+        plain = getattr(np, name)
+
+        def call(*args, **kw):
+            most.append(max(np.size(x) for x in args))
+            return plain(*args, **kw)
+
+        monkeypatch.setattr(np, name, call)
+
+    for name in ("unique", "sort", "argsort", "searchsorted", "union1d"):
+        watched(name)
+    counted = pa.Table.from_batches(quality._count(iter([pa.record_batch({"text": texts})])))
+    asked = quality._asking(shards)(rows)
+    got = quality._scoring(shards, 1)(rows, answers)
+    monkeypatch.undo()
+    assert (counted["g"].to_pylist(), counted["c"].to_pylist()) == (different.tolist(), count.tolist())
+    assert sorted(np.concatenate([np.frombuffer(b, quality.key_type()) for b in asked["keys"].to_pylist()])) == keys.tolist()
+    assert got["perplexity"].to_pylist() == [*want[:-2], None, None]
+    upper = sum(c.isupper() for t in texts for c in t)
+    assert max(most) <= max(upper, len(keys)) < len(key) / 5
